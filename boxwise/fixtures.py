@@ -136,7 +136,7 @@ detections AS (
   FROM annotations CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) kk),
 documents_s AS (
   SELECT doc_id AS sample_id, CASE WHEN doc_id%25=0 THEN 'val' ELSE 'train' END AS split,
-         text AS payload, CAST(octet_length(CAST(text AS BLOB)) AS BIGINT) AS nbytes
+         text AS payload, CAST(strlen(text) AS BIGINT) AS nbytes
   FROM documents),
 ann_xyxy AS (
   SELECT id, image_id, category_id, x AS x1, y AS y1, x+w AS x2, y+h AS y2, iscrowd FROM annotations)

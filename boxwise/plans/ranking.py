@@ -14,6 +14,13 @@ the group through one task.  ``ranked`` instead
 4. joins the offsets back (broadcast: the segment table's size is bounded by
    the partition count plus the number of groups).
 
+The numbered rows are checkpointed (reliable checkpoint in the shared
+``spark.checkpoint.dir``) before the two uses: range bounds come from a sample,
+and a second evaluation over a re-run upstream shuffle could draw other bounds
+and number rows differently.  The checkpoint also cuts the lineage, so a lost
+executor does not re-run the upstream plan.  Rank narrow tables (ids and order
+keys), then join wide payloads to the positions.
+
 Use ``group`` for a bounded number of groups (categories x thresholds, splits,
 streams).  For many small groups a plain partitioned window is the right tool.
 The order must be total (end it with a unique id) so positions are stable when
@@ -28,7 +35,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxwise.session import default_parallelism
+from boxwise.session import checkpoint_root, default_parallelism
 
 _LOW = (1 << 33) - 1
 
@@ -49,6 +56,8 @@ def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: s
     r = (r.withColumn("_pid", F.shiftright("_mid", 33))
           .withColumn("_i", F.col("_mid").bitwiseAND(F.lit(_LOW)))
           .drop("_mid"))
+    checkpoint_root(df.sparkSession)
+    r = r.checkpoint(eager=True)
     seg = r.groupBy("_pid", *group).agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) \
         if group else Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -139,3 +139,130 @@ def _c7(spark, d):
 @register("collect_boxes", W(f"SELECT x, y, w, h FROM annotations WHERE image_id = {LOOKUP_IMAGE_ID}"))
 def _b9(spark, d):
     return q.image_lookup(fx.annotations(spark, d), LOOKUP_IMAGE_ID).select("x", "y", "w", "h")
+
+# ----------------------------------------------------------------- dataset ---
+
+LAB_CTE = "lab AS (SELECT id AS category_id, name, row_number() OVER (ORDER BY id) AS label FROM categories)"
+
+
+@register("dense_labels", W("""
+SELECT CAST(label AS BIGINT) AS label, category_id, name, CAST(label - 1 AS BIGINT) AS label0 FROM lab
+UNION ALL SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), 'background', CAST(-1 AS BIGINT)""", extra_ctes=LAB_CTE))
+def _f1(spark, d):
+    return ds.dense_labels(fx.categories(spark, d))
+
+
+@register("attach_labels", W("""
+SELECT a.category_id, a.id, a.image_id, a.x, a.y, a.w, a.h, a.iscrowd,
+       CAST(l.label AS BIGINT) AS label_bg1, CAST(l.label - 1 AS BIGINT) AS label0, l.name AS category
+FROM annotations a JOIN lab l ON a.category_id = l.category_id""", extra_ctes=LAB_CTE))
+def _d6(spark, d):
+    return ds.attach_labels(fx.annotations(spark, d), ds.dense_labels(fx.categories(spark, d)))
+
+
+@register("xywh_to_xyxy", W("SELECT id, image_id, category_id, iscrowd, x1, y1, x2, y2 FROM ann_xyxy"))
+def _c2(spark, d):
+    return ds.xywh_to_xyxy(fx.annotations(spark, d))
+
+
+@register("normalize_boxes", W("""
+SELECT a.id, a.image_id, a.x1 / i.width AS nx1, a.y1 / i.height AS ny1, a.x2 / i.width AS nx2, a.y2 / i.height AS ny2
+FROM ann_xyxy a JOIN images i ON a.image_id = i.id"""))
+def _c3(spark, d):
+    return ds.normalize_boxes(ds.xywh_to_xyxy(fx.annotations(spark, d)), fx.images(spark, d))
+
+
+@register("cast_boxes", W("""
+SELECT a.category_id, a.id, a.image_id, a.iscrowd, CAST(a.x1 AS FLOAT) AS x1, CAST(a.y1 AS FLOAT) AS y1,
+       CAST(a.x2 AS FLOAT) AS x2, CAST(a.y2 AS FLOAT) AS y2, CAST(l.label AS BIGINT) AS label_bg1,
+       CAST(l.label - 1 AS BIGINT) AS label0, l.name AS category
+FROM ann_xyxy a JOIN lab l ON a.category_id = l.category_id""", extra_ctes=LAB_CTE))
+def _c4(spark, d):
+    lab = ds.attach_labels(ds.xywh_to_xyxy(fx.annotations(spark, d)), ds.dense_labels(fx.categories(spark, d)))
+    return ds.cast_boxes(lab)
+
+
+# fixed parameters of the path queries (any root works; these mirror a mounted dataset)
+DATA_ROOT = "/data/coco/"
+NEW_ROOT = "/mnt/datasets/coco"
+
+
+@register("resolve_image_path", W(f"""
+SELECT *, CASE WHEN starts_with(file_name, '/') THEN file_name
+               ELSE '{DATA_ROOT.rstrip('/')}/' || split || '2017/' || file_name END AS path FROM images"""))
+def _c5(spark, d):
+    return ds.resolve_image_path(fx.images(spark, d), DATA_ROOT, F.concat(F.col("split"), F.lit("2017")))
+
+
+@register("rebase_paths", W(f"""
+SELECT id, file_name, width, height, split,
+       '{NEW_ROOT}/' || split || '2017/' || file_name AS path FROM images"""))
+def _c6(spark, d):
+    p = ds.resolve_image_path(fx.images(spark, d), DATA_ROOT, F.concat(F.col("split"), F.lit("2017")))
+    return ds.rebase_paths(p, DATA_ROOT, NEW_ROOT)
+
+
+@register("round_boxes", W("""
+SELECT id, image_id, CAST(round_even(x, 0) AS INTEGER) AS x_r, CAST(round_even(y, 0) AS INTEGER) AS y_r,
+       CAST(round_even(w, 0) AS INTEGER) AS w_r, CAST(round_even(h, 0) AS INTEGER) AS h_r FROM annotations"""))
+def _c9(spark, d):
+    return ds.round_boxes(fx.annotations(spark, d))
+
+
+@register("draw_rects", W("""
+SELECT id, image_id, CAST(round_even(x, 0) AS INTEGER) AS "left", CAST(round_even(y, 0) AS INTEGER) AS top,
+       CAST(round_even(x, 0) AS INTEGER) + CAST(round_even(w, 0) AS INTEGER) AS "right",
+       CAST(round_even(y, 0) AS INTEGER) + CAST(round_even(h, 0) AS INTEGER) AS bottom FROM annotations"""))
+def _c10(spark, d):
+    return ds.draw_rects(fx.annotations(spark, d))
+
+
+# fixed parameters: web-page suffixes the suffix filter looks for
+PAGE_SUFFIXES = (".html", "/")
+
+
+@register("suffix_filter", """
+SELECT page_id, url AS path FROM pages WHERE ends_with(url, '.html') OR ends_with(url, '/')""")
+def _c14(spark, d):
+    p = fx.table(spark, d, "pages").select("page_id", F.col("url").alias("path"))
+    return ds.suffix_filter(p, PAGE_SUFFIXES)
+
+
+GROUP_SQL = """
+b AS (SELECT a.id, a.image_id, l.label, a.w * a.h AS area FROM annotations a JOIN lab l ON a.category_id = l.category_id),
+g AS (SELECT i.id AS image_id, i.split, i.height AS htot, i.width AS wtot, CAST(count(*) AS BIGINT) AS n_boxes,
+             string_agg(CAST(b.id AS VARCHAR), ',' ORDER BY b.id) AS box_ids,
+             string_agg(CAST(b.label AS VARCHAR), ',' ORDER BY b.id) AS labels, sum(b.area) AS area_sum
+      FROM images i JOIN b ON b.image_id = i.id GROUP BY i.id, i.split, i.height, i.width)"""
+
+
+@register("group_samples", W("SELECT * FROM g", extra_ctes=LAB_CTE + "," + GROUP_SQL))
+def _e2(spark, d):
+    s = ds.group_samples(fx.images(spark, d), fx.annotations(spark, d), ds.dense_labels(fx.categories(spark, d)))
+    return ds.summarize_samples(s)
+
+
+@register("shuffle_samples", W("""
+SELECT id AS image_id, row_number() OVER (ORDER BY md5('9176:' || CAST(id AS VARCHAR)), id) - 1 AS pos
+FROM images WHERE id IN (SELECT image_id FROM annotations)"""))
+def _g1(spark, d):
+    im = q.drop_empty_images(fx.images(spark, d), fx.annotations(spark, d)).select(F.col("id").alias("image_id"))
+    return ds.shuffle_samples(im, seed=9176)
+
+
+@register("union_splits", W("""
+SELECT image_id, split, n_boxes, row_number() OVER (PARTITION BY split ORDER BY
+         CASE WHEN split = 'train' THEN md5('9176:' || CAST(image_id AS VARCHAR))
+              ELSE lpad(CAST(image_id AS VARCHAR), 20, '0') END, image_id) - 1 AS pos
+FROM g""", extra_ctes=LAB_CTE + "," + GROUP_SQL))
+def _g4(spark, d):
+    s = ds.summarize_samples(ds.group_samples(fx.images(spark, d), fx.annotations(spark, d),
+                                              ds.dense_labels(fx.categories(spark, d))))
+    parts = {sp: s.where(F.col("split") == sp).select("image_id", "n_boxes") for sp in ("train", "val")}
+    return ds.order_splits(ds.union_splits(parts))
+
+
+@register("format_sample")
+def _c15(spark, d):
+    s = ds.group_samples(fx.images(spark, d), fx.annotations(spark, d), ds.dense_labels(fx.categories(spark, d)))
+    return ds.format_sample(s)
