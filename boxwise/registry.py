@@ -266,3 +266,154 @@ def _g4(spark, d):
 def _c15(spark, d):
     s = ds.group_samples(fx.images(spark, d), fx.annotations(spark, d), ds.dense_labels(fx.categories(spark, d)))
     return ds.format_sample(s)
+
+# ------------------------------------------------------------- postprocess ---
+
+from boxwise.operators import postprocess as pp  # noqa: E402
+
+DET_COLS = "det_id, image_id, category_id, x1, y1, x2, y2, score"
+# fixed parameters: confidence cut of the inference notebook, model-level NMS
+# thresholds (test 0.65, TTA 0.6), and per-image limits of the model config
+CONF_THR = 0.1
+NMS_THR = 0.5
+TOPK = 10
+
+
+@register("confidence_filter", W(f"SELECT {DET_COLS} FROM detections WHERE score > {CONF_THR}"))
+def _c11(spark, d):
+    return pp.confidence_filter(fx.detections(spark, d), CONF_THR)
+
+
+@register("min_box_filter", W(f"SELECT {DET_COLS} FROM detections WHERE x2 - x1 > 0 AND y2 - y1 > 0"))
+def _c13(spark, d):
+    return pp.min_box_filter(fx.detections(spark, d), 0.0)
+
+
+@register("topk_per_image", W(f"""
+SELECT {DET_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, det_id) AS rk
+                        FROM detections) t WHERE rk <= {TOPK}"""))
+def _f4(spark, d):
+    return pp.topk_per_image(fx.detections(spark, d), TOPK)
+
+
+@register("nms", W(f"SELECT {DET_COLS} FROM n_kept", recursive=True, extra_ctes=f"""
+src AS (SELECT {DET_COLS} FROM detections WHERE score > {CONF_THR}),
+""" + pp.nms_oracle_ctes("src", NMS_THR).strip()))
+def _i2(spark, d):
+    return pp.nms(pp.confidence_filter(fx.detections(spark, d), CONF_THR), iou_thr=NMS_THR)
+
+
+@register("postprocess", W(f"""
+SELECT {DET_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, det_id) AS rk
+                        FROM n_kept) t WHERE rk <= 300""", recursive=True, extra_ctes=f"""
+pre AS (SELECT {DET_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, det_id) AS rk
+        FROM detections WHERE score > 0.001) t WHERE rk <= 30000 AND x2 - x1 > 0 AND y2 - y1 > 0),
+""" + pp.nms_oracle_ctes("pre", 0.65).strip()))
+def _i3(spark, d):
+    return pp.postprocess(fx.detections(spark, d))
+
+# ---------------------------------------------------------------- evaluate ---
+
+from boxwise.operators import evaluate as ev  # noqa: E402
+
+THR_LIST = "[" + ", ".join(repr(t) for t in ev.IOU_THRS) + "]"
+_INTER = ("greatest(0.0, least(d.x2, g.x2) - greatest(d.x1, g.x1)) * "
+          "greatest(0.0, least(d.y2, g.y2) - greatest(d.y1, g.y1))")
+_NC = "list_filter(s.cands, lambda c: c.iscrowd = 0 AND NOT list_contains(m.matched, c.ann_id))"
+_CR = "list_filter(s.cands, lambda c: c.iscrowd = 1)"
+
+
+def _best(lst: str) -> str:
+    return f"list_sort(list_transform({lst}, lambda c: {{'iou': c.iou, 'ann_id': c.ann_id}}), 'DESC')[1].ann_id"
+
+
+EVAL_CTES = f"""
+ev_g AS (SELECT * FROM ann_xyxy WHERE image_id IN (SELECT id FROM images) AND category_id IN (SELECT id FROM categories)),
+ev_d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id, category_id ORDER BY score DESC, det_id) AS rk
+         FROM detections WHERE image_id IN (SELECT id FROM images) AND category_id IN (SELECT id FROM categories)) t
+         WHERE rk <= 100),
+thr AS (SELECT CAST(unnest({THR_LIST}) AS DOUBLE) AS t),
+pairs AS (SELECT d.det_id, g.id AS ann_id, d.image_id, d.category_id, g.iscrowd, d.score, {_INTER} AS inter,
+                 (d.x2 - d.x1) * (d.y2 - d.y1) AS da, (g.x2 - g.x1) * (g.y2 - g.y1) AS ga
+          FROM ev_d d JOIN ev_g g ON d.image_id = g.image_id AND d.category_id = g.category_id),
+iou AS (SELECT det_id, ann_id, image_id, category_id, iscrowd, score,
+               CASE WHEN (CASE WHEN iscrowd = 1 THEN da ELSE da + ga - inter END) > 0
+                    THEN inter / (CASE WHEN iscrowd = 1 THEN da ELSE da + ga - inter END) ELSE 0.0 END AS iou
+        FROM pairs WHERE inter > 0),
+cands AS (SELECT i.image_id, i.category_id, t.t, i.det_id, i.score,
+                 list({{'iscrowd': i.iscrowd, 'iou': i.iou, 'ann_id': i.ann_id}}) AS cands
+          FROM iou i JOIN thr t ON i.iou >= t.t GROUP BY ALL),
+seq AS (SELECT *, row_number() OVER (PARTITION BY image_id, category_id, t ORDER BY score DESC, det_id) AS rn FROM cands),
+m AS (
+  SELECT DISTINCT image_id, category_id, t, 0 AS rn, CAST([] AS BIGINT[]) AS matched,
+         CAST(NULL AS BIGINT) AS det_id, CAST(NULL AS BIGINT) AS ann_id, CAST(NULL AS INTEGER) AS crowd FROM seq
+  UNION ALL
+  SELECT s.image_id, s.category_id, s.t, s.rn,
+         CASE WHEN len({_NC}) > 0 THEN list_append(m.matched, {_best(_NC)}) ELSE m.matched END,
+         s.det_id,
+         CASE WHEN len({_NC}) > 0 THEN {_best(_NC)} WHEN len({_CR}) > 0 THEN {_best(_CR)} END,
+         CASE WHEN len({_NC}) > 0 THEN 0 WHEN len({_CR}) > 0 THEN 1 END
+  FROM m JOIN seq s ON s.image_id = m.image_id AND s.category_id = m.category_id AND s.t = m.t AND s.rn = m.rn + 1),
+res AS (SELECT det_id, t, ann_id, crowd FROM m WHERE rn > 0 AND crowd IS NOT NULL),
+st AS (SELECT d.det_id, d.category_id, t.t, d.score, d.rk, r.crowd
+       FROM ev_d d CROSS JOIN thr t LEFT JOIN res r ON r.det_id = d.det_id AND r.t = t.t),
+ni AS (SELECT *, row_number() OVER (PARTITION BY category_id, t ORDER BY score DESC, det_id) AS k
+       FROM st WHERE crowd IS NULL OR crowd = 0),
+tpr AS (SELECT *, row_number() OVER (PARTITION BY category_id, t ORDER BY score DESC, det_id) AS mm FROM ni WHERE crowd = 0),
+npig AS (SELECT category_id, count(*) AS npig FROM ev_g WHERE iscrowd = 0 GROUP BY category_id),
+band AS (SELECT tpr.category_id, tpr.t, least(100, (100 * mm) // npig) AS b, max(mm / k) AS mp
+         FROM tpr JOIN npig USING (category_id) GROUP BY ALL),
+pr AS (SELECT c.category_id, t.t AS iou_thr, r.i AS recall_idx, coalesce(max(b.mp), 0.0) AS precision
+       FROM npig c CROSS JOIN thr t CROSS JOIN (SELECT range AS i FROM range(0, 101)) r
+       LEFT JOIN band b ON b.category_id = c.category_id AND b.t = t.t AND b.b >= r.i GROUP BY ALL),
+ap AS (SELECT category_id, iou_thr, sum(precision) / 101.0 AS ap FROM pr GROUP BY ALL),
+rec AS (SELECT c.category_id, t.t, md.n AS max_det,
+               coalesce((SELECT count(*) FROM st WHERE st.category_id = c.category_id AND st.t = t.t
+                         AND st.crowd = 0 AND st.rk <= md.n), 0) / c.npig AS recall
+        FROM npig c CROSS JOIN thr t CROSS JOIN (SELECT unnest([100, 1, 10]) AS n) md)"""
+
+
+def _eval_inputs(spark, d):
+    return (fx.detections(spark, d), fx.as_xyxy(fx.annotations(spark, d)),
+            fx.images(spark, d), fx.categories(spark, d))
+
+
+@register("iou_join", W("SELECT det_id, ann_id, iou FROM iou", extra_ctes=EVAL_CTES, recursive=True))
+def _d9(spark, d):
+    det, gt, im, ca = _eval_inputs(spark, d)
+    dd, gg = ev.eval_sets(det, gt, im, ca)
+    return ev.iou_join(dd, gg).select("det_id", "ann_id", "iou")
+
+
+@register("coco_match", W("SELECT det_id, t AS iou_thr, ann_id, crowd FROM res", extra_ctes=EVAL_CTES, recursive=True))
+def _k3(spark, d):
+    det, gt, im, ca = _eval_inputs(spark, d)
+    dd, gg = ev.eval_sets(det, gt, im, ca)
+    return ev.match(ev.iou_join(dd, gg).where(F.col("iou") >= 0.5))
+
+
+@register("pr_curve", W("SELECT category_id, iou_thr, CAST(recall_idx AS INTEGER) AS recall_idx, precision FROM pr",
+                        extra_ctes=EVAL_CTES, recursive=True))
+def _f6(spark, d):
+    det, gt, im, ca = _eval_inputs(spark, d)
+    _, g, scored = ev.evaluate_inputs(det, gt, im, ca)
+    return ev.pr_curve(scored, ev.npig(g))
+
+
+@register("coco_ap", W("""
+SELECT 'AP' AS metric, iou_thr, category_id, round(ap, 6) AS value FROM ap
+UNION ALL SELECT 'AP', CAST(-1 AS DOUBLE), category_id, round(avg(ap), 6) FROM ap GROUP BY category_id
+UNION ALL SELECT 'mAP', CAST(-1 AS DOUBLE), CAST(-1 AS BIGINT), round(avg(ap), 6) FROM ap
+UNION ALL SELECT 'mAP', iou_thr, CAST(-1 AS BIGINT), round(avg(ap), 6) FROM ap WHERE iou_thr IN (0.5, 0.75) GROUP BY iou_thr""",
+                       extra_ctes=EVAL_CTES, recursive=True))
+def _e7(spark, d):
+    return ev.coco_ap(*_eval_inputs(spark, d))
+
+
+@register("coco_ar", W("""
+SELECT 'AR@' || CAST(max_det AS VARCHAR) AS metric, CAST(-1 AS DOUBLE) AS iou_thr, category_id, round(avg(recall), 6) AS value
+FROM rec GROUP BY category_id, max_det
+UNION ALL SELECT 'AR@' || CAST(max_det AS VARCHAR), CAST(-1 AS DOUBLE), CAST(-1 AS BIGINT), round(avg(recall), 6) FROM rec GROUP BY max_det""",
+                       extra_ctes=EVAL_CTES, recursive=True))
+def _e8(spark, d):
+    return ev.coco_ar(*_eval_inputs(spark, d))
