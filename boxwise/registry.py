@@ -417,3 +417,140 @@ UNION ALL SELECT 'AR@' || CAST(max_det AS VARCHAR), CAST(-1 AS DOUBLE), CAST(-1
                        extra_ctes=EVAL_CTES, recursive=True))
 def _e8(spark, d):
     return ev.coco_ar(*_eval_inputs(spark, d))
+
+# -------------------------------------------------------------------- feed ---
+
+from boxwise.operators import feed as fd  # noqa: E402
+from boxwise.plans import shards as sh  # noqa: E402
+from boxwise.session import scratch_path  # noqa: E402
+
+SAMPLES_CTE = "smp AS (SELECT id AS image_id FROM images WHERE id IN (SELECT image_id FROM annotations))"
+# fixed parameters of the feeding queries: one node with 2 devices and 2 loader
+# workers each, batch 32, default canonical nodes (64 per node), seed 9176
+PLAN = dict(seed=9176, epoch=0, nodes=1, ranks=2, workers=2, batch_size=32)
+
+
+def _samples(spark, d):
+    return q.drop_empty_images(fx.images(spark, d), fx.annotations(spark, d)).select(F.col("id").alias("image_id"))
+
+
+EPOCH_CTES = SAMPLES_CTE + """,
+ep AS (SELECT image_id, row_number() OVER (ORDER BY md5('9176:0:' || CAST(image_id AS VARCHAR)), image_id) - 1 AS pos,
+              count(*) OVER () AS n FROM smp),
+ec AS (SELECT *, CAST(floor(pos * 64 / n) AS BIGINT) AS canonical_node FROM ep),
+ej AS (SELECT *, pos - (canonical_node * n + 63) // 64 AS j FROM ec),
+ea AS (SELECT image_id, pos, canonical_node, CAST(canonical_node % 1 AS INTEGER) AS node,
+              CAST(j % 2 AS INTEGER) AS rank, CAST(floor(j / 2) % 2 AS INTEGER) AS worker FROM ej),
+eb AS (SELECT *, row_number() OVER (PARTITION BY node, rank, worker ORDER BY pos) - 1 AS idx FROM ea)"""
+
+
+@register("epoch_plan", W("SELECT *, idx // 32 AS batch_id FROM eb", extra_ctes=EPOCH_CTES))
+def _f3(spark, d):
+    return fd.epoch_plan(_samples(spark, d), **PLAN)
+
+
+@register("collate_batches")
+def _m4(spark, d):
+    p = fd.epoch_plan(_samples(spark, d), **PLAN)
+    return fd.collate_batches(p, batch_cols=("node", "rank", "worker", "batch_id"), cols=["idx", "image_id"])
+
+
+SHUF_CTE = """
+sp0 AS (SELECT i.id AS image_id, i.width, i.height,
+               row_number() OVER (ORDER BY md5('9176:' || CAST(i.id AS VARCHAR)), i.id) - 1 AS pos FROM images i)"""
+
+
+@register("aspect_ratio_batches", W("""
+SELECT image_id, bucket, (row_number() OVER (PARTITION BY bucket ORDER BY pos) - 1) // 2 AS batch_id
+FROM (SELECT *, CASE WHEN width < height THEN 0 ELSE 1 END AS bucket FROM sp0) t""", extra_ctes=SHUF_CTE))
+def _f2(spark, d):
+    im = fx.images(spark, d).select(F.col("id").alias("image_id"), "width", "height")
+    return fd.aspect_ratio_batches(ds.shuffle_samples(im), batch_size=2).select("image_id", "bucket", "batch_id")
+
+
+@register("first_batch", W("SELECT image_id, pos FROM sp0 ORDER BY pos LIMIT 32", extra_ctes=SHUF_CTE))
+def _g2(spark, d):
+    im = fx.images(spark, d).select(F.col("id").alias("image_id"))
+    return fd.first_batch(ds.shuffle_samples(im), 32)
+
+
+EPOCH_SIZE = 20000
+
+
+@register("epoch_sample", W(f"""
+SELECT p.image_id, p.pos, r.rep, r.rep * p.n + p.pos AS sample_idx
+FROM (SELECT image_id, pos, count(*) OVER () AS n FROM sp0) p
+JOIN (SELECT range AS rep FROM range(0, 1000)) r
+  ON r.rep < {EPOCH_SIZE} // p.n + CASE WHEN p.pos < {EPOCH_SIZE} % p.n THEN 1 ELSE 0 END""", extra_ctes=SHUF_CTE))
+def _g3(spark, d):
+    im = fx.images(spark, d).select(F.col("id").alias("image_id"))
+    out = fd.epoch_sample(ds.shuffle_samples(im), EPOCH_SIZE)
+    return out.select("image_id", "pos", F.col("rep").cast("bigint").alias("rep"), "sample_idx")
+
+
+# ------------------------------------------------------------------ shards ---
+
+# fixed parameters: the payload stand-in is small, so the limit is 64 KiB
+# (not the 32 MiB default) and a lane holds 8 shards' worth of bytes
+SHARD_LIMIT = 65536
+SHARDS_PER_LANE = 8
+
+SHARD_CTES = f"""
+so AS (SELECT sample_id, split, nbytes, row_number() OVER (PARTITION BY split ORDER BY
+              CASE WHEN split = 'train' THEN md5('9176:' || CAST(sample_id AS VARCHAR))
+                   ELSE lpad(CAST(sample_id AS VARCHAR), 20, '0') END, sample_id) - 1 AS pos FROM documents_s),
+nl AS (SELECT greatest(1, CAST(ceil(sum(nbytes) / {SHARD_LIMIT * SHARDS_PER_LANE}) AS BIGINT)) AS lanes FROM documents_s),
+sl AS (SELECT so.*, CAST(pos % lanes AS INTEGER) AS lane, lanes,
+              row_number() OVER (PARTITION BY split, pos % lanes ORDER BY pos) AS rn FROM so, nl),
+spk AS (
+  SELECT split, lane, rn, sample_id, pos, nbytes, lanes, CAST(0 AS BIGINT) AS cur, nbytes AS used FROM sl WHERE rn = 1
+  UNION ALL
+  SELECT l.split, l.lane, l.rn, l.sample_id, l.pos, l.nbytes, l.lanes,
+         CASE WHEN k.used > 0 AND k.used + l.nbytes > {SHARD_LIMIT} THEN k.cur + 1 ELSE k.cur END,
+         CASE WHEN k.used > 0 AND k.used + l.nbytes > {SHARD_LIMIT} THEN l.nbytes ELSE k.used + l.nbytes END
+  FROM spk k JOIN sl l ON l.split = k.split AND l.lane = k.lane AND l.rn = k.rn + 1),
+plan AS (SELECT sample_id, split, lane, pos, nbytes, cur * lanes + lane AS shard FROM spk)"""
+
+
+def _write(spark, d, codec=None):
+    root = scratch_path(spark, "shards")
+    sh.write_shards(fx.documents(spark, d), root, size_limit=SHARD_LIMIT,
+                    shards_per_lane=SHARDS_PER_LANE, codec=codec)
+    return root
+
+
+@register("shard_plan", W("SELECT * FROM plan", recursive=True, extra_ctes=SHARD_CTES))
+def _k4(spark, d):
+    return sh.shard_plan(fx.documents(spark, d), size_limit=SHARD_LIMIT, shards_per_lane=SHARDS_PER_LANE)
+
+
+SHARD_COUNT_SQL = W("""
+SELECT split, shard, count(*) AS n_samples, CAST(sum(nbytes) AS BIGINT) AS n_bytes FROM plan GROUP BY split, shard""",
+                    recursive=True, extra_ctes=SHARD_CTES)
+
+
+@register("write_shards", SHARD_COUNT_SQL)
+def _b3(spark, d):
+    return sh.shard_counts(spark, _write(spark, d))
+
+
+@register("write_compressed", SHARD_COUNT_SQL)
+def _b6(spark, d):
+    return sh.shard_counts(spark, _write(spark, d, codec="zstd"))
+
+
+@register("shard_manifest")
+def _b4(spark, d):
+    return sh.shard_manifest(spark, _write(spark, d))
+
+
+@register("read_split", W("SELECT sample_id, shard, pos, nbytes FROM plan WHERE split = 'val'",
+                          recursive=True, extra_ctes=SHARD_CTES))
+def _a7(spark, d):
+    return sh.read_split(spark, _write(spark, d), "val").select("sample_id", "shard", "pos", "nbytes")
+
+
+@register("validate_hashes")
+def _b5(spark, d):
+    root = _write(spark, d)
+    return sh.validate_hashes(spark, root, sh.shard_manifest(spark, root))
