@@ -554,3 +554,123 @@ def _a7(spark, d):
 def _b5(spark, d):
     root = _write(spark, d)
     return sh.validate_hashes(spark, root, sh.shard_manifest(spark, root))
+
+# ----------------------------------------------------------------- augment ---
+
+from boxwise.functions.draws import uniform_sql  # noqa: E402
+from boxwise.operators import augment as ag  # noqa: E402
+
+
+def _aug_frame(spark, d):
+    b = fx.as_xyxy(fx.annotations(spark, d)).select("image_id", F.col("id").alias("box_id"), "category_id",
+                                                   "x1", "y1", "x2", "y2")
+    return ag.frame(fx.images(spark, d), b)
+
+
+FRAME_CTE = """
+fr AS (SELECT a.image_id, a.id AS box_id, a.category_id, a.x1, a.y1, a.x2, a.y2, i.width AS w, i.height AS h
+       FROM ann_xyxy a JOIN images i ON a.image_id = i.id)"""
+
+
+def _clip(c: str, lim: str) -> str:
+    return f"least(greatest({c}, 0.0), CAST({lim} AS DOUBLE))"
+
+
+def _resize_sql(src: str, name: str, long_e: str, short_e: str) -> str:
+    """Keep-ratio resize of frame ``src`` (edges are SQL expressions)."""
+    return f"""
+{name}_a AS (SELECT *, least({long_e} / greatest(w, h), {short_e} / least(w, h)) AS s_ FROM {src}),
+{name}_b AS (SELECT *, CAST(floor(w * s_ + 0.5) AS INTEGER) AS nw_, CAST(floor(h * s_ + 0.5) AS INTEGER) AS nh_ FROM {name}_a),
+{name} AS (SELECT image_id, box_id, category_id, nw_ AS w, nh_ AS h,
+           {_clip('x1 * (nw_ / w)', 'nw_')} AS x1, {_clip('y1 * (nh_ / h)', 'nh_')} AS y1,
+           {_clip('x2 * (nw_ / w)', 'nw_')} AS x2, {_clip('y2 * (nh_ / h)', 'nh_')} AS y2 FROM {name}_b)"""
+
+
+RR_R = f"(0.1 + {uniform_sql('image_id', 'random_resize')} * {2.0 - 0.1!r})"
+RR_CTES = f"""
+rr0 AS (SELECT *, floor(1280.0 * {RR_R}) AS tl_ FROM fr),""" + _resize_sql("rr0", "rr", "tl_", "tl_")
+
+_OX = f"floor({uniform_sql('image_id', 'random_crop', salt='x')} * (greatest(w - 640, 0) + 1))"
+_OY = f"floor({uniform_sql('image_id', 'random_crop', salt='y')} * (greatest(h - 640, 0) + 1))"
+RC_CTES = RR_CTES + f""",
+rc0 AS (SELECT *, {_OX} AS ox_, {_OY} AS oy_, least(w, 640) AS nw_, least(h, 640) AS nh_ FROM rr),
+rc AS (SELECT * FROM (SELECT image_id, box_id, category_id, nw_ AS w, nh_ AS h,
+              {_clip('x1 - ox_', 'nw_')} AS x1, {_clip('y1 - oy_', 'nh_')} AS y1,
+              {_clip('x2 - ox_', 'nw_')} AS x2, {_clip('y2 - oy_', 'nh_')} AS y2 FROM rc0) t WHERE x2 > x1 AND y2 > y1)"""
+
+AUG_COLS = "image_id, box_id, category_id, w, h, x1, y1, x2, y2"
+
+
+@register("resize_keep_ratio", W(f"SELECT {AUG_COLS} FROM rs",
+                                 extra_ctes=FRAME_CTE + "," + _resize_sql("fr", "rs", "640.0", "640.0")))
+def _j1(spark, d):
+    return ag.resize_keep_ratio(_aug_frame(spark, d), (640, 640))
+
+
+@register("random_resize", W(f"SELECT {AUG_COLS} FROM rr", extra_ctes=FRAME_CTE + "," + RR_CTES))
+def _j2(spark, d):
+    return ag.random_resize(_aug_frame(spark, d), scale=(1280, 1280), ratio_range=(0.1, 2.0))
+
+
+@register("random_crop", W(f"SELECT {AUG_COLS} FROM rc", extra_ctes=FRAME_CTE + "," + RC_CTES))
+def _j3(spark, d):
+    x = ag.random_resize(_aug_frame(spark, d), scale=(1280, 1280), ratio_range=(0.1, 2.0))
+    return ag.random_crop(x, (640, 640))
+
+
+_FLIP = f"{uniform_sql('image_id', 'random_flip')} < 0.5"
+
+
+@register("random_flip", W(f"""
+SELECT image_id, box_id, category_id, w, h, CASE WHEN {_FLIP} THEN w - x2 ELSE x1 END AS x1, y1,
+       CASE WHEN {_FLIP} THEN w - x1 ELSE x2 END AS x2, y2 FROM fr""", extra_ctes=FRAME_CTE))
+def _j4(spark, d):
+    return ag.random_flip(_aug_frame(spark, d), 0.5)
+
+
+@register("pad", W(f"""
+SELECT image_id, box_id, category_id, greatest(w, 640) AS w, greatest(h, 640) AS h, x1, y1, x2, y2 FROM rc""",
+                   extra_ctes=FRAME_CTE + "," + RC_CTES))
+def _j5(spark, d):
+    x = ag.random_crop(ag.random_resize(_aug_frame(spark, d), scale=(1280, 1280), ratio_range=(0.1, 2.0)), (640, 640))
+    return ag.pad(x, (640, 640))
+
+
+# fixed parameters: mosaic cache 40 images / 3 partners, needs more than 4 cached
+_PU = uniform_sql("CAST(image_id AS VARCHAR) || ':' || CAST(slot AS VARCHAR)", "mosaic_partner")
+
+
+@register("sample_cache_partners", W(f"""
+SELECT cu.image_id, CAST(cu.slot AS INTEGER) AS slot, e.image_id AS partner_id
+FROM (SELECT *, idx - c + 1 + floor({_PU} * c) AS pidx
+      FROM (SELECT node, rank, worker, idx, image_id, least(40, idx + 1) AS c FROM eb WHERE least(40, idx + 1) >= 5) cp
+      CROSS JOIN (SELECT unnest([1, 2, 3]) AS slot) s) cu
+JOIN eb e ON e.node = cu.node AND e.rank = cu.rank AND e.worker = cu.worker AND e.idx = cu.pidx""",
+                                     extra_ctes=EPOCH_CTES))
+def _f7(spark, d):
+    p = fd.epoch_plan(_samples(spark, d), **PLAN)
+    return ag.sample_cache_partners(p, cache=40, k=3, min_cache=5, op="mosaic")
+
+
+@register("mosaic_compose")
+def _j6(spark, d):
+    p = fd.epoch_plan(_samples(spark, d), **PLAN)
+    mp = ag.sample_cache_partners(p, cache=40, k=3, min_cache=5, op="mosaic")
+    fb = _aug_frame(spark, d)
+    return ag.mosaic_compose(ag.frame(fx.images(spark, d)), fb.drop("w", "h"), mp)
+
+
+@register("mixup_compose")
+def _j7(spark, d):
+    p = fd.epoch_plan(_samples(spark, d), **PLAN)
+    xp = ag.sample_cache_partners(p, cache=20, k=1, min_cache=2, op="mixup")
+    fb = _aug_frame(spark, d)
+    return ag.mixup_compose(fb, fb, xp)
+
+
+@register("augment_plan")
+def _j8(spark, d):
+    p = fd.epoch_plan(_samples(spark, d), **PLAN)
+    b = fx.as_xyxy(fx.annotations(spark, d)).select("image_id", F.col("id").alias("box_id"), "category_id",
+                                                   "x1", "y1", "x2", "y2")
+    return ag.augment_plan(fx.images(spark, d), b, p, epoch=0)
