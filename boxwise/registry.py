@@ -674,3 +674,67 @@ def _j8(spark, d):
     b = fx.as_xyxy(fx.annotations(spark, d)).select("image_id", F.col("id").alias("box_id"), "category_id",
                                                    "x1", "y1", "x2", "y2")
     return ag.augment_plan(fx.images(spark, d), b, p, epoch=0)
+
+# --------------------------------------------------------------------- tta ---
+
+from boxwise.operators import tta  # noqa: E402
+
+_VROWS = ", ".join(f"({i * 2 + j}, {float(max(s))!r}, {float(min(s))!r}, {str(f).upper()})"
+                   for i, s in enumerate(tta.TTA_SCALES) for j, f in enumerate(tta.TTA_FLIPS))
+TTA_CTES = f"""
+vv AS (SELECT * FROM (VALUES {_VROWS}) v(variant, le, se, flip)),
+va AS (SELECT i.id AS image_id, CAST(v.variant AS INTEGER) AS variant, i.width AS ori_w, i.height AS ori_h, v.flip,
+              least(v.le / greatest(i.width, i.height), v.se / least(i.width, i.height)) AS s_
+       FROM images i CROSS JOIN vv v),
+vb AS (SELECT *, CAST(floor(ori_w * s_ + 0.5) AS INTEGER) AS img_w, CAST(floor(ori_h * s_ + 0.5) AS INTEGER) AS img_h FROM va),
+variants AS (SELECT image_id, variant, ori_w, ori_h, flip, img_w, img_h, img_w / ori_w AS scale_x, img_h / ori_h AS scale_y,
+                    greatest(img_w, 960) AS pad_w, greatest(img_h, 960) AS pad_h,
+                    CASE WHEN flip THEN 'horizontal' ELSE 'none' END AS flip_direction FROM vb),
+dv AS (SELECT d.det_id * 8 + v.variant AS det_id, d.image_id, v.variant, d.category_id,
+              CASE WHEN v.flip THEN v.img_w - d.x2 * v.scale_x ELSE d.x1 * v.scale_x END AS x1, d.y1 * v.scale_y AS y1,
+              CASE WHEN v.flip THEN v.img_w - d.x1 * v.scale_x ELSE d.x2 * v.scale_x END AS x2, d.y2 * v.scale_y AS y2, d.score
+       FROM detections d JOIN variants v ON d.image_id = v.image_id WHERE d.score > {CONF_THR}),
+ub AS (SELECT d.det_id, d.image_id, d.variant, d.category_id,
+              (CASE WHEN v.flip THEN v.img_w - d.x2 ELSE d.x1 END) / v.scale_x AS x1, d.y1 / v.scale_y AS y1,
+              (CASE WHEN v.flip THEN v.img_w - d.x1 ELSE d.x2 END) / v.scale_x AS x2, d.y2 / v.scale_y AS y2, d.score
+       FROM dv d JOIN variants v ON d.image_id = v.image_id AND d.variant = v.variant),
+ubm AS (SELECT {DET_COLS} FROM ub)"""
+
+
+def _tta_inputs(spark, d):
+    v = tta.tta_variants(fx.images(spark, d))
+    dv = tta.to_variant_frame(pp.confidence_filter(fx.detections(spark, d), CONF_THR), v)
+    return v, dv
+
+
+@register("tta_variants", W("SELECT * FROM variants", extra_ctes=TTA_CTES))
+def _d10(spark, d):
+    return tta.tta_variants(fx.images(spark, d))
+
+
+@register("pack_meta", W("""
+SELECT image_id AS img_id, ori_h AS ori_shape_h, ori_w AS ori_shape_w, img_h AS img_shape_h, img_w AS img_shape_w,
+       scale_x AS scale_factor_x, scale_y AS scale_factor_y, flip, flip_direction FROM variants""", extra_ctes=TTA_CTES))
+def _c16(spark, d):
+    v = tta.tta_variants(fx.images(spark, d))
+    m = v.select(F.col("image_id").alias("img_id"), F.col("ori_h").alias("ori_shape_h"), F.col("ori_w").alias("ori_shape_w"),
+                 F.col("img_h").alias("img_shape_h"), F.col("img_w").alias("img_shape_w"),
+                 F.col("scale_x").alias("scale_factor_x"), F.col("scale_y").alias("scale_factor_y"),
+                 "flip", "flip_direction", "pad_w", "variant")
+    return ds.pack_meta(m)
+
+
+@register("union_variants", W("SELECT * FROM ub", extra_ctes=TTA_CTES))
+def _g5(spark, d):
+    v, dv = _tta_inputs(spark, d)
+    parts = [tta.undo_variant(dv.where(F.col("variant") == i), v) for i in range(len(tta.TTA_SCALES) * len(tta.TTA_FLIPS))]
+    return tta.union_variants(parts)
+
+
+@register("tta_merge", W(f"""
+SELECT {DET_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, det_id) AS rk
+                        FROM t_kept) t WHERE rk <= 100""", recursive=True,
+                         extra_ctes=TTA_CTES + ",\n" + pp.nms_oracle_ctes("ubm", 0.6, prefix="t").strip()))
+def _i4(spark, d):
+    v, dv = _tta_inputs(spark, d)
+    return tta.tta_merge(dv, v)
