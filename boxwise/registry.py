@@ -738,3 +738,147 @@ SELECT {DET_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER
 def _i4(spark, d):
     v, dv = _tta_inputs(spark, d)
     return tta.tta_merge(dv, v)
+
+# ------------------------------------------------------------------- files ---
+
+from boxwise.sinks import coco_json as cj_out  # noqa: E402
+from boxwise.sinks import files as fo  # noqa: E402
+from boxwise.sinks import tables as tb  # noqa: E402
+from boxwise.sources import coco_json as cj  # noqa: E402
+from boxwise.sources import files as fi  # noqa: E402
+
+
+def _tree(spark, d) -> str:
+    """Write an image-file tree derived from ``images``: ``<split>2017/<name>``
+    (every 97th missing, every 89th empty), copies in a hidden ``.thumbs``
+    directory (every 101st) and hidden files (every 103rd)."""
+    root = scratch_path(spark, "tree")
+    im = fx.images(spark, d)
+    i = F.col("id")
+    sd = F.concat(F.lit(root + "/"), F.col("split"), F.lit("2017/"))
+    body = F.concat_ws("", i.cast("string"), F.lit(":"), F.col("width").cast("string"), F.lit("x"),
+                       F.col("height").cast("string"))
+    main = im.where(i % 97 != 0).select(F.concat(sd, F.col("file_name")).alias("path"),
+                                        F.when(i % 89 == 0, F.lit("")).otherwise(body).alias("content"))
+    thumbs = im.where(i % 101 == 0).select(F.concat(sd, F.lit(".thumbs/"), F.col("file_name")).alias("path"),
+                                           F.concat(F.lit("thumb:"), i.cast("string")).alias("content"))
+    hidden = im.where(i % 103 == 0).select(F.concat(sd, F.lit("."), F.col("file_name")).alias("path"),
+                                           F.lit("hidden").alias("content"))
+    fo.put_files(main.unionByName(thumbs).unionByName(hidden)).count()
+    return root
+
+
+TREE_CTES = """
+tmain AS (SELECT id, split || '2017/' || file_name AS rel_path,
+                 CASE WHEN id % 89 = 0 THEN '' ELSE CAST(id AS VARCHAR) || ':' || CAST(width AS VARCHAR) || 'x'
+                      || CAST(height AS VARCHAR) END AS content, file_name, split FROM images WHERE id % 97 <> 0),
+tthumb AS (SELECT id, split || '2017/.thumbs/' || file_name AS rel_path, 'thumb:' || CAST(id AS VARCHAR) AS content,
+                  file_name, split FROM images WHERE id % 101 = 0),
+thid AS (SELECT id, split || '2017/.' || file_name AS rel_path, 'hidden' AS content, file_name, split
+         FROM images WHERE id % 103 = 0),
+tall AS (SELECT * FROM tmain UNION ALL SELECT * FROM tthumb UNION ALL SELECT * FROM thid)"""
+
+
+def _rel(col: str, root: str):
+    from boxwise.sources.fsutil import strip_file_scheme
+    r = strip_file_scheme(root)
+    return F.regexp_replace(F.substring(F.regexp_replace(F.col(col), "^file:(//)?", ""), len(r) + 1, 1 << 30), "^/+", "")
+
+
+@register("put_files", W("SELECT rel_path, CAST(strlen(content) AS BIGINT) AS nbytes FROM tall", extra_ctes=TREE_CTES))
+def _b7(spark, d):
+    root = scratch_path(spark, "put")
+    im = fx.images(spark, d)
+    i = F.col("id")
+    sd = F.concat(F.lit(root + "/"), F.col("split"), F.lit("2017/"))
+    body = F.concat_ws("", i.cast("string"), F.lit(":"), F.col("width").cast("string"), F.lit("x"),
+                       F.col("height").cast("string"))
+    rows = (im.where(i % 97 != 0).select(F.concat(sd, F.col("file_name")).alias("path"),
+                                         F.when(i % 89 == 0, F.lit("")).otherwise(body).alias("content"))
+              .unionByName(im.where(i % 101 == 0).select(F.concat(sd, F.lit(".thumbs/"), F.col("file_name")).alias("path"),
+                                                         F.concat(F.lit("thumb:"), i.cast("string")).alias("content")))
+              .unionByName(im.where(i % 103 == 0).select(F.concat(sd, F.lit("."), F.col("file_name")).alias("path"),
+                                                         F.lit("hidden").alias("content"))))
+    out = fo.put_files(rows)
+    return out.select(_rel("path", root).alias("rel_path"), "nbytes")
+
+
+@register("list_files", W("""
+SELECT rel_path, false AS is_dir FROM tmain UNION ALL SELECT rel_path, false FROM tthumb
+UNION ALL SELECT DISTINCT split || '2017', true FROM tall
+UNION ALL SELECT DISTINCT split || '2017/.thumbs', true FROM tthumb""", extra_ctes=TREE_CTES))
+def _a4(spark, d):
+    return fi.list_files(spark, _tree(spark, d), recursive=True).select("rel_path", "is_dir")
+
+
+@register("list_prefix", W("""
+SELECT substr(rel_path, 11) AS rel_path, CAST(strlen(content) AS BIGINT) AS length FROM tall WHERE split = 'train'""",
+                          extra_ctes=TREE_CTES))
+def _a5(spark, d):
+    return fi.list_prefix(spark, _tree(spark, d), "train2017").select("rel_path", "length")
+
+
+@register("scan_images", W("""
+SELECT rel_path, CAST(strlen(content) AS BIGINT) AS length FROM tmain
+UNION ALL SELECT rel_path, CAST(strlen(content) AS BIGINT) FROM tthumb""", extra_ctes=TREE_CTES))
+def _a2(spark, d):
+    return fi.scan_images(spark, _tree(spark, d)).select("rel_path", "length")
+
+
+@register("read_text_files", W("""
+SELECT rel_path, content AS text FROM tmain UNION ALL SELECT rel_path, content FROM tthumb""", extra_ctes=TREE_CTES))
+def _a3(spark, d):
+    return fi.read_text_files(spark, _tree(spark, d)).select("rel_path", "text")
+
+
+@register("attach_image_bytes", W("""
+SELECT i.id AS image_id, CAST(strlen(t.content) AS BIGINT) AS length, md5(t.content) AS md5
+FROM images i JOIN tmain t ON t.id = i.id""", extra_ctes=TREE_CTES))
+def _d7(spark, d):
+    root = _tree(spark, d)
+    im = ds.resolve_image_path(fx.images(spark, d), root, F.concat(F.col("split"), F.lit("2017")))
+    j = fi.attach_image_bytes(im, fi.scan_images(spark, root))
+    return j.select(F.col("id").alias("image_id"), "length", F.md5("content").alias("md5"))
+
+
+@register("empty_or_missing_files", W("""
+SELECT file_name, 'missing' AS issue FROM images WHERE id % 97 = 0
+UNION ALL SELECT file_name, 'empty' FROM tmain WHERE content = ''""", extra_ctes=TREE_CTES))
+def _d8(spark, d):
+    root = _tree(spark, d)
+    im = ds.resolve_image_path(fx.images(spark, d), root, F.concat(F.col("split"), F.lit("2017")))
+    return fi.empty_or_missing_files(im, fi.list_files(spark, root, list_dir=False, recursive=True))
+
+
+@register("copy_tree", W("SELECT rel_path, CAST(strlen(content) AS BIGINT) AS nbytes, 'ok' AS status FROM tall",
+                        extra_ctes=TREE_CTES))
+def _b8(spark, d):
+    root = _tree(spark, d)
+    return fo.copy_tree(spark, root, scratch_path(spark, "copy"), parallelism=10)
+
+
+@register("path_check")
+def _a9(spark, d):
+    root = _tree(spark, d)
+    return fi.path_check(spark, {"train_images": (root + "/train2017", "dir"), "val_images": (root + "/val2017", "dir"),
+                                 "annotations": (root + "/annotations/instances_train2017.json", "file")},
+                         raise_missing=False)
+
+
+ANN_COLS = "id, image_id, category_id, x, y, w, h, iscrowd"
+
+
+@register("read_coco_json", W(f"SELECT {ANN_COLS} FROM annotations"))
+def _a1(spark, d):
+    root = scratch_path(spark, "coco_json")
+    cj_out.write_coco_json(fx.images(spark, d), fx.annotations(spark, d), fx.categories(spark, d), root, parts=16)
+    _, ann, _ = cj.read_coco_json(spark, root)
+    return ann
+
+
+@register("save_table", W(f"SELECT {ANN_COLS} FROM annotations"))
+def _b1(spark, d):
+    tb.ensure_schema(spark, "boxwise_db")
+    name = "boxwise_db.bbox_annotations_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    tb.save_table(fx.annotations(spark, d), name, path=scratch_path(spark, "table"))
+    return tb.table_scan(spark, name).select(*ANN_COLS.split(", "))
