@@ -882,3 +882,132 @@ def _b1(spark, d):
     name = "boxwise_db.bbox_annotations_" + scratch_path(spark, "t").rsplit("-", 1)[1]
     tb.save_table(fx.annotations(spark, d), name, path=scratch_path(spark, "table"))
     return tb.table_scan(spark, name).select(*ANN_COLS.split(", "))
+
+# --------------------------------------------------------- scoring and UDFs ---
+
+import pandas as pd  # noqa: E402
+
+from boxwise.operators import metrics as mt  # noqa: E402
+from boxwise.operators import score as sc  # noqa: E402
+from boxwise.streaming import metrics as smx  # noqa: E402
+from boxwise.streaming import shards as ssh  # noqa: E402
+
+SCORE_SCHEMA = "det_id long, image_id long, category_id long, x1 double, y1 double, x2 double, y2 double, score double"
+
+
+def stub_loader():
+    """Stand-in model: a fixed geometry (no weights are available here)."""
+    return {"box": 0.5, "margin": 0.25}
+
+
+def stub_predict(model, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Two centred boxes per image; class and score from the image id."""
+    out = []
+    for k in (0, 1):
+        x1 = pdf["width"] * model["margin"] + k
+        y1 = pdf["height"] * model["margin"]
+        out.append(pd.DataFrame({
+            "det_id": pdf["id"] * 10 + k, "image_id": pdf["id"], "category_id": (pdf["id"] % 24) * 4 + 1,
+            "x1": x1, "y1": y1, "x2": x1 + pdf["width"] * model["box"], "y2": y1 + pdf["height"] * model["box"],
+            "score": ((pdf["id"] * 31 + k * 7) % 100) / 100.0}))
+    return pd.concat(out, ignore_index=True)
+
+
+@register("batch_score", W("""
+SELECT id * 10 + k AS det_id, id AS image_id, (id % 24) * 4 + 1 AS category_id,
+       width * 0.25::DOUBLE + k AS x1, height * 0.25::DOUBLE AS y1, (width * 0.25::DOUBLE + k) + width * 0.5::DOUBLE AS x2,
+       height * 0.25::DOUBLE + height * 0.5::DOUBLE AS y2, CAST((id * 31 + k * 7) % 100 AS DOUBLE) / 100.0::DOUBLE AS score
+FROM images CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1) kk"""))
+def _i1(spark, d):
+    return sc.batch_score(fx.images(spark, d), stub_loader, stub_predict, SCORE_SCHEMA, key="stub")
+
+
+def xyxy_pandas(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"id": pdf["id"], "image_id": pdf["image_id"], "category_id": pdf["category_id"],
+                         "x1": pdf["x"], "y1": pdf["y"], "x2": pdf["x"] + pdf["w"], "y2": pdf["y"] + pdf["h"],
+                         "iscrowd": pdf["iscrowd"]})
+
+
+@register("sample_transform", W("SELECT * FROM ann_xyxy"))
+def _m1(spark, d):
+    return sc.sample_transform(fx.annotations(spark, d), xyxy_pandas,
+                               "id long, image_id long, category_id long, x1 double, y1 double, x2 double, "
+                               "y2 double, iscrowd int")
+
+
+@sc.requires("x1", "y1", "x2", "y2")
+def with_area(df):
+    return df.withColumn("area", (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")))
+
+
+@register("compose_transforms", W("""
+SELECT id, image_id, category_id, iscrowd, x1, y1, x2, y2, (x2 - x1) * (y2 - y1) AS area FROM ann_xyxy WHERE iscrowd = 0"""))
+def _m2(spark, d):
+    chain = sc.compose(ds.xywh_to_xyxy, lambda x: x.where(F.col("iscrowd") == 0), with_area)
+    return chain(fx.annotations(spark, d))
+
+
+@register("smooth_metrics", """
+WITH it AS (SELECT run, metric, value, row_number() OVER (PARTITION BY run, metric ORDER BY ts, event_id) AS iter
+            FROM (SELECT event_type AS run, 'loss' AS metric, ts, event_id, value FROM events) e),
+sm AS (SELECT run, metric, iter, avg(value) OVER (PARTITION BY run, metric ORDER BY iter
+                                                 ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS v FROM it)
+SELECT run, metric, iter, round(v, 6) AS value FROM sm WHERE iter % 50 = 0""")
+def _f5(spark, d):
+    return mt.smooth_metrics(fx.metric_log(spark, d), window=50, every=50)
+
+
+# --------------------------------------------------------------- streaming ---
+
+def _run_stream(q):
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
+def _annotation_shards(spark, d) -> str:
+    root = scratch_path(spark, "ann_shards")
+    fx.annotations(spark, d).repartition(8, "image_id").write.parquet(root)
+    return root
+
+
+@register("stream_shards", W(f"SELECT {ANN_COLS} FROM annotations"))
+def _a8(spark, d):
+    root = _annotation_shards(spark, d)
+    schema = spark.read.parquet(root).schema
+    out, ck = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ck")
+    q = ssh.stream_shards(spark, root, schema, max_files=1).writeStream.format("parquet") \
+        .option("path", out).option("checkpointLocation", ck).start()
+    _run_stream(q)
+    return spark.read.parquet(out).select(*ANN_COLS.split(", "))
+
+
+@register("stream_validate", W("""
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE image_id NOT IN (SELECT id FROM images)) AS BIGINT) AS n_orphans,
+       CAST(count(*) FILTER (WHERE category_id NOT IN (SELECT id FROM categories)) AS BIGINT) AS n_unknown
+FROM annotations"""))
+def _l1(spark, d):
+    root = _annotation_shards(spark, d)
+    schema = spark.read.parquet(root).schema
+    out, ck = scratch_path(spark, "validate_out"), scratch_path(spark, "validate_ck")
+    _run_stream(ssh.stream_validate(ssh.stream_shards(spark, root, schema, max_files=2),
+                                    fx.images(spark, d), fx.categories(spark, d), out, ck))
+    return spark.read.parquet(out).agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_rows", "n_orphans", "n_unknown")])
+
+
+@register("stream_metrics", """
+WITH it AS (SELECT run, metric, value, row_number() OVER (PARTITION BY run, metric ORDER BY ts, event_id) AS iter
+            FROM (SELECT event_type AS run, 'loss' AS metric, ts, event_id, value FROM events) e)
+SELECT run, metric, CAST(floor((iter - 1) / 50) AS BIGINT) AS block, count(*) AS n, round(avg(value), 6) AS mean
+FROM it GROUP BY ALL""")
+def _l2(spark, d):
+    root = scratch_path(spark, "metric_log")
+    mt.iterations(fx.metric_log(spark, d)).repartition(6).write.parquet(root)
+    schema = spark.read.parquet(root).schema
+    out, ck = scratch_path(spark, "metrics_out"), scratch_path(spark, "metrics_ck")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(root)
+    _run_stream(smx.start_metrics(smx.stream_metrics(src, every=50), out, ck))
+    r = smx.latest(spark, out)
+    return r.select("run", "metric", "block", "n", F.round("mean", 6).alias("mean"))
