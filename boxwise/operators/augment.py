@@ -49,17 +49,33 @@ def _apply(df: DataFrame, *, w: Column, h: Column, boxes: dict | None = None, dr
         out = out.select(*[(F.least(F.greatest(F.col(c), F.lit(0.0)), F.col("w" if c in ("x1", "x2") else "h")
                                      .cast("double")).alias(c) if c in BOX else F.col(c)) for c in out.columns])
     if _has_boxes(out) and drop_invalid:
-        out = out.where((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")))
+        out = _keep(out, (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")))
     return out
 
 
+def _keep(df: DataFrame, cond: Column) -> DataFrame:
+    """Drop rows failing ``cond`` with a generator instead of a Filter: a Filter
+    would be pushed below the projections and inline their (md5-heavy)
+    expressions into the join condition; a generator stays where it is."""
+    one = F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return df.select("*", F.explode(one).alias("_keep")).drop("_keep")
+
+
+def _with_params(df: DataFrame, **params: Column) -> DataFrame:
+    """Per-image parameters as columns, computed once per row: Catalyst does
+    not inline a non-trivial expression that is used several times."""
+    return df.select("*", *[v.alias(k) for k, v in params.items()])
+
+
 def _resize_to(df: DataFrame, long_edge: Column, short_edge: Column) -> DataFrame:
-    s = F.least(long_edge / F.greatest("w", "h"), short_edge / F.least("w", "h"))
-    nw = F.floor(F.col("w") * s + 0.5).cast("int")
-    nh = F.floor(F.col("h") * s + 0.5).cast("int")
-    sx, sy = nw / F.col("w"), nh / F.col("h")
-    return _apply(df, w=nw, h=nh, boxes={"x1": F.col("x1") * sx, "y1": F.col("y1") * sy,
-                                         "x2": F.col("x2") * sx, "y2": F.col("y2") * sy})
+    cols = df.columns
+    d = _with_params(df, _s=F.least(long_edge / F.greatest("w", "h"), short_edge / F.least("w", "h")))
+    d = _with_params(d, _nw=F.floor(F.col("w") * F.col("_s") + 0.5).cast("int"),
+                     _nh=F.floor(F.col("h") * F.col("_s") + 0.5).cast("int"))
+    sx, sy = F.col("_nw") / F.col("w"), F.col("_nh") / F.col("h")
+    d = _apply(d, w=F.col("_nw"), h=F.col("_nh"), boxes={"x1": F.col("x1") * sx, "y1": F.col("y1") * sy,
+                                                          "x2": F.col("x2") * sx, "y2": F.col("y2") * sy})
+    return d.select(*cols)
 
 
 def resize_keep_ratio(df: DataFrame, scale=(640, 640)) -> DataFrame:
@@ -72,23 +88,27 @@ def resize_keep_ratio(df: DataFrame, scale=(640, 640)) -> DataFrame:
 def random_resize(df: DataFrame, *, scale=(1280, 1280), ratio_range=(0.1, 2.0), seed: int = DEFAULT_SEED,
                   epoch: int = 0) -> DataFrame:
     """``ratio ~ U(ratio_range)``; target ``(int(sw * ratio), int(sh * ratio))``; then keep-ratio resize."""
-    r = uniform_range(uniform("image_id", "random_resize", seed=seed, epoch=epoch), *ratio_range)
-    tw = F.floor(F.lit(float(scale[0])) * r)
-    th = F.floor(F.lit(float(scale[1])) * r)
-    return _resize_to(df, F.greatest(tw, th).cast("double"), F.least(tw, th).cast("double"))
+    cols = df.columns
+    d = _with_params(df, _r=uniform_range(uniform("image_id", "random_resize", seed=seed, epoch=epoch), *ratio_range))
+    d = _with_params(d, _tw=F.floor(F.lit(float(scale[0])) * F.col("_r")), _th=F.floor(F.lit(float(scale[1])) * F.col("_r")))
+    out = _resize_to(d, F.greatest("_tw", "_th").cast("double"), F.least("_tw", "_th").cast("double"))
+    return out.select(*cols)
 
 
 def random_crop(df: DataFrame, crop_size=(640, 640), *, seed: int = DEFAULT_SEED, epoch: int = 0) -> DataFrame:
     """Offsets ``floor(u * (margin + 1))`` with ``margin = max(size - crop, 0)``;
     boxes shift, clip, and empty ones are dropped."""
     cw, ch = crop_size
-    ox = F.floor(uniform("image_id", "random_crop", seed=seed, epoch=epoch, salt="x")
-                 * (F.greatest(F.col("w") - cw, F.lit(0)) + 1))
-    oy = F.floor(uniform("image_id", "random_crop", seed=seed, epoch=epoch, salt="y")
-                 * (F.greatest(F.col("h") - ch, F.lit(0)) + 1))
-    return _apply(df, w=F.least(F.col("w"), F.lit(cw)), h=F.least(F.col("h"), F.lit(ch)),
-                  boxes={"x1": F.col("x1") - ox, "y1": F.col("y1") - oy, "x2": F.col("x2") - ox, "y2": F.col("y2") - oy},
-                  drop_invalid=True)
+    cols = df.columns
+    d = _with_params(df, _ox=F.floor(uniform("image_id", "random_crop", seed=seed, epoch=epoch, salt="x")
+                                     * (F.greatest(F.col("w") - cw, F.lit(0)) + 1)),
+                     _oy=F.floor(uniform("image_id", "random_crop", seed=seed, epoch=epoch, salt="y")
+                                 * (F.greatest(F.col("h") - ch, F.lit(0)) + 1)))
+    ox, oy = F.col("_ox"), F.col("_oy")
+    out = _apply(d, w=F.least(F.col("w"), F.lit(cw)), h=F.least(F.col("h"), F.lit(ch)),
+                 boxes={"x1": F.col("x1") - ox, "y1": F.col("y1") - oy, "x2": F.col("x2") - ox, "y2": F.col("y2") - oy},
+                 drop_invalid=True)
+    return out.select(*cols)
 
 
 def flip_boxes(df: DataFrame, flipped: Column) -> DataFrame:
@@ -100,7 +120,8 @@ def flip_boxes(df: DataFrame, flipped: Column) -> DataFrame:
 
 def random_flip(df: DataFrame, prob: float = 0.5, *, seed: int = DEFAULT_SEED, epoch: int = 0) -> DataFrame:
     """Horizontal flip when ``u < prob``: ``x1' = W - x2``, ``x2' = W - x1``."""
-    return flip_boxes(df, coin(uniform("image_id", "random_flip", seed=seed, epoch=epoch), prob))
+    d = _with_params(df, _f=coin(uniform("image_id", "random_flip", seed=seed, epoch=epoch), prob))
+    return flip_boxes(d, F.col("_f")).drop("_f")
 
 
 def pad(df: DataFrame, size=(640, 640)) -> DataFrame:
