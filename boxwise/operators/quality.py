@@ -111,8 +111,8 @@ def label_count(categories: DataFrame, images: DataFrame, ann: DataFrame) -> Dat
     cats = categories.select(F.lit(1).alias("c"), F.lit(0).alias("s"))
     samples = drop_empty_images(images, ann).select(F.lit(0).alias("c"), F.lit(1).alias("s"))
     return cats.unionByName(samples).agg(
-        (F.sum("c") + 1).cast("bigint").alias("n_labels"),
-        F.sum("s").cast("bigint").alias("n_samples"))
+        (F.coalesce(F.sum("c"), F.lit(0)) + 1).cast("bigint").alias("n_labels"),
+        F.coalesce(F.sum("s"), F.lit(0)).cast("bigint").alias("n_samples"))
 
 
 def split_summary(images: DataFrame, ann: DataFrame) -> DataFrame:
