@@ -16,6 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_MATERIALIZED: dict[tuple, str] = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Derive a stand-in view once per application and table directory, write
+    it as Parquet under the shared checkpoint folder and read it from there
+    (the "convert once, then work from Parquet" rule for derived inputs)."""
+    from boxwise.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"view-{name}")
+        build().write.parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id BIGINT, name STRING``; one nation left out so a category is unknown."""
     n = table(spark, sf_dir, "nation")
@@ -37,7 +54,13 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, image_id, category_id, x, y, w, h, iscrowd`` (COCO ``[x,y,w,h]`` boxes).
+    """``id, image_id, category_id, x, y, w, h, iscrowd`` (COCO ``[x,y,w,h]`` boxes),
+    materialized once (see :func:`materialized`)."""
+    return materialized(spark, sf_dir, "annotations", lambda: build_annotations(spark, sf_dir))
+
+
+def build_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The annotation view from ``lineitem``.
 
     ``(l_orderkey, l_linenumber)`` is not unique, so the id uses a row number
     inside the order; the window is partitioned by order key (at most a few
@@ -81,7 +104,7 @@ def detections_from(ann: DataFrame) -> DataFrame:
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detections_from(annotations(spark, sf_dir))
+    return materialized(spark, sf_dir, "detections", lambda: detections_from(annotations(spark, sf_dir)))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from boxwise.functions.geometry import area, intersection
 from boxwise.operators.postprocess import topk_per_image
 from boxwise.plans.ranking import ranked
+from boxwise.session import checkpoint_root
 
 # fixed values: IoU thresholds .50:.05:.95 and detections-per-image limits
 IOU_THRS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
@@ -70,32 +71,46 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame) -> DataFrame:
 
 def match(pairs: DataFrame, thrs=IOU_THRS) -> DataFrame:
     """Greedy matching; returns ``det_id, iou_thr, ann_id, crowd`` for every
-    detection that matched something (``crowd = 1``: ignored detection)."""
+    detection that matched something (``crowd = 1``: ignored detection).
+
+    One walk per (image, category) serves all thresholds: the state holds one
+    matched-truth list per threshold, so pairs are grouped once instead of once
+    per threshold.
+    """
     t_arr = F.array(*[F.lit(float(t)) for t in thrs])
-    c = pairs.withColumn("iou_thr", F.explode(F.filter(t_arr, lambda t: F.col("iou") >= t)))
-    per_det = c.groupBy("image_id", "category_id", "iou_thr", "det_id", "score").agg(
+    per_det = pairs.groupBy("image_id", "category_id", "det_id", "score").agg(
         F.collect_list(F.struct("iscrowd", "iou", "ann_id")).alias("cands"))
-    grp = per_det.groupBy("image_id", "category_id", "iou_thr").agg(
+    grp = per_det.groupBy("image_id", "category_id").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("ns"), "det_id", "cands"))).alias("ds"))
 
-    res_t = "array<struct<det_id:bigint,ann_id:bigint,crowd:int>>"
-    init = F.struct(F.array().cast("array<bigint>").alias("matched"), F.array().cast(res_t).alias("out"))
+    res_t = "array<struct<det_id:bigint,iou_thr:double,ann_id:bigint,crowd:int>>"
+    empty_ids = F.array().cast("array<bigint>")
+    init = F.struct(F.array(*[empty_ids for _ in thrs]).alias("m"), F.array().cast(res_t).alias("out"))
+
+    def best(lst):
+        return F.array_max(F.transform(lst, lambda x: F.struct(x["iou"].alias("iou"), x["ann_id"].alias("ann_id"))))
 
     def step(acc, d):
-        nc = F.filter(d["cands"], lambda x: (x["iscrowd"] == 0) & ~F.array_contains(acc["matched"], x["ann_id"]))
-        cr = F.filter(d["cands"], lambda x: x["iscrowd"] == 1)
-        best_nc = F.array_max(F.transform(nc, lambda x: F.struct(x["iou"].alias("iou"), x["ann_id"].alias("ann_id"))))
-        best_cr = F.array_max(F.transform(cr, lambda x: F.struct(x["iou"].alias("iou"), x["ann_id"].alias("ann_id"))))
-        has_nc, has_cr = F.size(nc) > 0, F.size(cr) > 0
-        rec = F.struct(d["det_id"].alias("det_id"),
-                       F.when(has_nc, best_nc["ann_id"]).otherwise(best_cr["ann_id"]).alias("ann_id"),
-                       F.when(has_nc, F.lit(0)).otherwise(F.lit(1)).alias("crowd"))
-        matched = F.when(has_nc, F.concat(acc["matched"], F.array(best_nc["ann_id"]))).otherwise(acc["matched"])
-        out = F.when(has_nc | has_cr, F.concat(acc["out"], F.array(rec))).otherwise(acc["out"])
-        return F.struct(matched.alias("matched"), out.alias("out"))
-
-    r = grp.select("iou_thr", F.explode(F.aggregate("ds", init, step)["out"]).alias("m"))
-    return r.select("m.det_id", "iou_thr", "m.ann_id", "m.crowd")
+        # per threshold: best available non-crowd truth, else best crowd truth
+        per_t = F.transform(t_arr, lambda t, i: F.struct(
+            t.alias("t"),
+            best(F.filter(d["cands"], lambda x: (x["iscrowd"] == 0) & (x["iou"] >= t)
+                          & ~F.array_contains(acc["m"][i], x["ann_id"])))["ann_id"].alias("nc"),
+            best(F.filter(d["cands"], lambda x: (x["iscrowd"] == 1) & (x["iou"] >= t)))["ann_id"].alias("cr")))
+
+        def advance(res):  # ``res`` is evaluated once (bound by the one-element transform)
+            m = F.transform(acc["m"], lambda mi, i: F.when(res[i]["nc"].isNotNull(),
+                                                          F.concat(mi, F.array(res[i]["nc"]))).otherwise(mi))
+            hit = F.filter(res, lambda r: r["nc"].isNotNull() | r["cr"].isNotNull())
+            rec = F.transform(hit, lambda r: F.struct(d["det_id"].alias("det_id"), r["t"].alias("iou_thr"),
+                                                      F.coalesce(r["nc"], r["cr"]).alias("ann_id"),
+                                                      F.when(r["nc"].isNotNull(), 0).otherwise(1).alias("crowd")))
+            return F.struct(m.alias("m"), F.concat(acc["out"], rec).alias("out"))
+
+        return F.transform(F.array(per_t), advance)[0]
+
+    r = grp.select(F.explode(F.aggregate("ds", init, step)["out"]).alias("r"))
+    return r.select("r.det_id", "r.iou_thr", "r.ann_id", "r.crowd")
 
 
 def _scored(det_top: DataFrame, matches: DataFrame, thrs=IOU_THRS) -> DataFrame:
@@ -118,10 +133,10 @@ def pr_curve(scored: DataFrame, n_pos: DataFrame, thrs=IOU_THRS) -> DataFrame:
     """``category_id, iou_thr, recall_idx (0..100), precision`` (101-point curve)."""
     order = [F.col("score").desc(), F.col("det_id")]
     live = scored.where(~F.coalesce(F.col("ignored"), F.lit(False))).select("det_id", "category_id", "iou_thr", "score", "tp")
-    k = ranked(live, order, group=["category_id", "iou_thr"], name="k0")
-    tps = ranked(k.where(F.col("tp") == 1), order, group=["category_id", "iou_thr"], name="m0")
-    tps = tps.join(n_pos, "category_id")
-    m, kk = F.col("m0") + 1, F.col("k0") + 1
+    # one pass: position k and the running true-positive count m
+    k = ranked(live, order, group=["category_id", "iou_thr"], name="k0", sums=["tp"])
+    tps = k.where(F.col("tp") == 1).join(n_pos, "category_id")
+    m, kk = F.col("tp_cum"), F.col("k0") + 1
     bands = (tps.withColumn("b", F.least(F.lit(N_RECALL - 1), F.floor((m * (N_RECALL - 1)) / F.col("npig")).cast("int")))
                 .groupBy("category_id", "iou_thr", "b").agg(F.max(m / kk).alias("mp")))
     w_suffix = Window.partitionBy("category_id", "iou_thr").orderBy(F.col("b").desc()) \
@@ -144,9 +159,15 @@ def pr_curve(scored: DataFrame, n_pos: DataFrame, thrs=IOU_THRS) -> DataFrame:
 
 def evaluate_inputs(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
                     max_det: int = 100, thrs=IOU_THRS):
+    """``(detections, truths, scored)``.  The scored table (one narrow row per
+    detection and threshold) is checkpointed to the shared checkpoint folder:
+    the PR curve reads it several times (range-bound sampling, the ranking
+    shuffle, the band aggregation), and the matching must not run again."""
     d, g = eval_sets(det, gt_xyxy, images, categories, max_det=max_det)
     pairs = iou_join(d, g).where(F.col("iou") >= min(thrs))
-    return d, g, _scored(d, match(pairs, thrs), thrs)
+    checkpoint_root(det.sparkSession)
+    scored = _scored(d, match(pairs, thrs), thrs).checkpoint(eager=True)
+    return d, g, scored
 
 
 def coco_ap(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
@@ -160,14 +181,15 @@ def coco_ap(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: D
     d, g, scored = evaluate_inputs(det, gt_xyxy, images, categories, max_det=max_det, thrs=thrs)
     ap = pr_curve(scored, npig(g), thrs).groupBy("category_id", "iou_thr").agg(
         (F.sum("precision") / F.lit(float(N_RECALL))).alias("ap"))
-    per_t = ap.select(F.lit("AP").alias("metric"), "iou_thr", "category_id", F.col("ap").alias("value"))
-    per_c = ap.groupBy("category_id").agg(F.avg("ap").alias("value")) \
-              .select(F.lit("AP").alias("metric"), F.lit(-1.0).alias("iou_thr"), "category_id", "value")
-    mean_all = ap.agg(F.avg("ap").alias("value")) \
-                 .select(F.lit("mAP").alias("metric"), F.lit(-1.0).alias("iou_thr"), F.lit(-1).cast("bigint").alias("category_id"), "value")
-    mean_t = ap.where(F.col("iou_thr").isin(0.5, 0.75)).groupBy("iou_thr").agg(F.avg("ap").alias("value")) \
-               .select(F.lit("mAP").alias("metric"), "iou_thr", F.lit(-1).cast("bigint").alias("category_id"), "value")
-    out = per_t.unionByName(per_c).unionByName(mean_all).unionByName(mean_t)
+    # every summary in one pass: (threshold, category), category, all, threshold
+    t, c = F.col("iou_thr"), F.col("category_id")
+    sets = ap.groupingSets([[t, c], [c], [], [t]], t, c).agg(
+        F.avg("ap").alias("value"), F.grouping_id().alias("_g"))
+    g = F.col("_g")  # bit 1: threshold rolled up, bit 0: category rolled up
+    out = sets.where((g != 1) | t.isin(0.5, 0.75)).select(
+        F.when(g.isin(0, 2), F.lit("AP")).otherwise(F.lit("mAP")).alias("metric"),
+        F.coalesce(t, F.lit(-1.0)).alias("iou_thr"),
+        F.coalesce(c, F.lit(-1).cast("bigint")).alias("category_id"), "value")
     return out.withColumn("value", F.round("value", digits))
 
 

@@ -21,10 +21,14 @@ and number rows differently.  The checkpoint also cuts the lineage, so a lost
 executor does not re-run the upstream plan.  Rank narrow tables (ids and order
 keys), then join wide payloads to the positions.
 
-Use ``group`` for a bounded number of groups (categories x thresholds, splits,
-streams).  For many small groups a plain partitioned window is the right tool.
-The order must be total (end it with a unique id) so positions are stable when
-a task is retried.
+Only *hot* groups take that path.  Rows are first counted per group (one
+aggregate with map-side combine, one row per group); groups of at most
+``hot_rows`` rows - a bound one task sorts comfortably - are ranked with a
+plain partitioned ``row_number`` window, and only the hot groups are range
+split.  Without a group the whole input is one group.  Use ``group`` for a
+bounded number of groups (categories x thresholds, splits, streams); for many
+small groups call a plain window directly.  The order must be total (end it
+with a unique id) so positions are stable when a task is retried.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ from pyspark.sql import functions as F
 from boxwise.session import checkpoint_root, default_parallelism
 
 _LOW = (1 << 33) - 1
+# rows one task may rank on its own (a sort of a few narrow columns)
+HOT_ROWS = 2_000_000
 
 
 def _col(c) -> Column:
@@ -45,10 +51,41 @@ def _col(c) -> Column:
 
 
 def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: str = "pos",
-           partitions: int | None = None) -> DataFrame:
-    """Add ``name``: the 0-based position of each row inside ``group`` in ``order``."""
+           partitions: int | None = None, hot_rows: int | None = HOT_ROWS, sums: Sequence[str] = ()) -> DataFrame:
+    """Add ``name``: the 0-based position of each row inside ``group`` in ``order``,
+    and ``<c>_cum`` (running sum, current row included) for each column in ``sums``.
+
+    ``hot_rows=None`` sends every group through the range-split path."""
+    group, sums = list(group), list(sums)
+    if hot_rows is None:
+        return _range_ranked(df, order, group, name, partitions, sums)
+    if not group:
+        if df.limit(hot_rows + 1).count() <= hot_rows:
+            return _window_ranked(df, order, group, name, sums)
+        return _range_ranked(df, order, group, name, partitions, sums)
+    hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*group)
+    if not hot.limit(1).count():
+        return _window_ranked(df, order, group, name, sums)
+    # the hot-key table has at most (rows / hot_rows) entries: a proven bound
+    hot = F.broadcast(hot)
+    cold = _window_ranked(df.join(hot, group, "left_anti"), order, group, name, sums)
+    warm = _range_ranked(df.join(hot, group, "left_semi"), order, group, name, partitions, sums)
+    return cold.unionByName(warm)
+
+
+def _window_ranked(df: DataFrame, order: Sequence, group: list, name: str, sums: list) -> DataFrame:
+    w = Window.partitionBy(*group).orderBy(*[_col(o) for o in order]) if group else \
+        Window.orderBy(*[_col(o) for o in order])
+    out = df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for c in sums:
+        out = out.withColumn(f"{c}_cum", F.sum(c).over(run))
+    return out
+
+
+def _range_ranked(df: DataFrame, order: Sequence, group: list, name: str, partitions: int | None,
+                  sums: list = ()) -> DataFrame:
     n = partitions or default_parallelism(df.sparkSession)
-    group = list(group)
     keys = [F.col(g) for g in group] + [_col(o) for o in order]
     r = (df.repartitionByRange(n, *keys)
            .sortWithinPartitions(*keys)
@@ -58,13 +95,22 @@ def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: s
           .drop("_mid"))
     checkpoint_root(df.sparkSession)
     r = r.checkpoint(eager=True)
-    seg = r.groupBy("_pid", *group).agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    seg = r.groupBy("_pid", *group).agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"),
+                                        *[F.sum(c).alias(f"_t{c}") for c in sums])
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) \
         if group else Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    for c in sums:
+        seg = seg.withColumn(f"_o{c}", F.coalesce(F.sum(f"_t{c}").over(w), F.lit(0))).drop(f"_t{c}")
     seg = seg.select([F.col(c).alias(f"_s{c}") if c in group else F.col(c) for c in seg.columns])
     conds = [F.col("_pid") == F.col("_spid")] + [F.col(g).eqNullSafe(F.col(f"_s{g}")) for g in group]
     seg = seg.withColumnRenamed("_pid", "_spid")
     out = r.join(F.broadcast(seg), reduce(lambda a, b: a & b, conds), "inner")
     out = out.withColumn(name, F.col("_off") + F.col("_i") - F.col("_first"))
-    return out.drop("_pid", "_i", "_spid", "_first", "_off", *[f"_s{g}" for g in group])
+    if sums:
+        # running sums inside each (range partition, group) segment: every
+        # segment is at most one range partition, so this window is balanced
+        loc = Window.partitionBy("_pid", *group).orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        for c in sums:
+            out = out.withColumn(f"{c}_cum", F.col(f"_o{c}") + F.sum(c).over(loc))
+    return out.drop("_pid", "_i", "_spid", "_first", "_off", *[f"_s{g}" for g in group], *[f"_o{c}" for c in sums])
