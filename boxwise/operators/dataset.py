@@ -123,15 +123,18 @@ BOX_STRUCT = ["id", "x1", "y1", "x2", "y2", "label"]
 
 
 def group_samples(images: DataFrame, ann: DataFrame, labels: DataFrame, *,
-                  drop_empty: bool = True, drop_crowd: bool = False) -> DataFrame:
+                  drop_empty: bool = True, drop_crowd: bool = False, split: str | None = None) -> DataFrame:
     """One row per image: ``image_id, file_name, split, htot, wtot, boxes``.
 
     ``boxes`` is ``array<struct<id, x1, y1, x2, y2, label>>`` in file (annotation
     id) order; ``collect_list`` alone has no defined order, hence the sort.
     Annotations of missing images or unknown categories are left out (see the
     quality checks).  The grouping key is the image, so a group is one image's
-    boxes and the aggregate is partial (map-side) before the shuffle.
+    boxes and the aggregate is partial (map-side) before the shuffle.  ``split``
+    names the split when ``images`` carries none.
     """
+    if split is not None:
+        images = images.withColumn("split", F.lit(split))
     a = ann.where(F.col("iscrowd") == 0) if drop_crowd else ann
     lab = labels.where(F.col("label") > 0).select("category_id", "label")
     a = xywh_to_xyxy(a).join(lab, "category_id")

@@ -256,9 +256,12 @@ SELECT image_id, split, n_boxes, row_number() OVER (PARTITION BY split ORDER BY
               ELSE lpad(CAST(image_id AS VARCHAR), 20, '0') END, image_id) - 1 AS pos
 FROM g""", extra_ctes=LAB_CTE + "," + GROUP_SQL))
 def _g4(spark, d):
-    s = ds.summarize_samples(ds.group_samples(fx.images(spark, d), fx.annotations(spark, d),
-                                              ds.dense_labels(fx.categories(spark, d))))
-    parts = {sp: s.where(F.col("split") == sp).select("image_id", "n_boxes") for sp in ("train", "val")}
+    # each split is built from its own images (as a converter does per split), then unioned
+    im, ann = fx.images(spark, d), fx.annotations(spark, d)
+    labels = ds.dense_labels(fx.categories(spark, d))
+    parts = {sp: ds.summarize_samples(ds.group_samples(im.where(F.col("split") == sp).drop("split"), ann, labels,
+                                                       split=sp)).select("image_id", "n_boxes")
+             for sp in ("train", "val")}
     return ds.order_splits(ds.union_splits(parts))
 
 
@@ -636,23 +639,73 @@ def _j5(spark, d):
     return ag.pad(x, (640, 640))
 
 
-# fixed parameters: mosaic cache 40 images / 3 partners, needs more than 4 cached
-_PU = uniform_sql("CAST(image_id AS VARCHAR) || ':' || CAST(slot AS VARCHAR)", "mosaic_partner")
+def partner_sql(*, cache: int, k: int, min_cache: int, op: str) -> str:
+    """SQL of :func:`augment.sample_cache_partners` over the epoch plan ``eb``."""
+    u = uniform_sql("CAST(image_id AS VARCHAR) || ':' || CAST(slot AS VARCHAR)", f"{op}_partner")
+    slots = ", ".join(str(i) for i in range(1, k + 1))
+    return f"""
+SELECT cu.image_id, CAST(cu.slot AS INTEGER) AS slot, e.image_id AS partner_id
+FROM (SELECT *, idx - c + 1 + floor({u} * c) AS pidx
+      FROM (SELECT node, rank, worker, idx, image_id, least({cache}, idx + 1) AS c FROM eb
+            WHERE least({cache}, idx + 1) >= {min_cache}) cp
+      CROSS JOIN (SELECT unnest([{slots}]) AS slot) s) cu
+JOIN eb e ON e.node = cu.node AND e.rank = cu.rank AND e.worker = cu.worker AND e.idx = cu.pidx"""
 
 
-@register("sample_cache_partners", W(f"""
-SELECT cu.image_id, CAST(cu.slot AS INTEGER) AS slot, e.image_id AS partner_id
-FROM (SELECT *, idx - c + 1 + floor({_PU} * c) AS pidx
-      FROM (SELECT node, rank, worker, idx, image_id, least(40, idx + 1) AS c FROM eb WHERE least(40, idx + 1) >= 5) cp
-      CROSS JOIN (SELECT unnest([1, 2, 3]) AS slot) s) cu
-JOIN eb e ON e.node = cu.node AND e.rank = cu.rank AND e.worker = cu.worker AND e.idx = cu.pidx""",
-                                     extra_ctes=EPOCH_CTES))
+# fixed parameters: mosaic cache 40 images / 3 partners, needs more than 4 cached;
+# mixup cache 20 images / 1 partner, needs at least 2 cached
+@register("sample_cache_partners", W(partner_sql(cache=40, k=3, min_cache=5, op="mosaic"), extra_ctes=EPOCH_CTES))
 def _f7(spark, d):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
     return ag.sample_cache_partners(p, cache=40, k=3, min_cache=5, op="mosaic")
 
 
-@register("mosaic_compose")
+def _u(op, salt, ident="image_id"):
+    return uniform_sql(ident, op, salt=salt)
+
+
+MOSAIC_CTES = EPOCH_CTES + "," + FRAME_CTE + f""",
+mpart AS ({partner_sql(cache=40, k=3, min_cache=5, op="mosaic")}),
+mfull AS (SELECT image_id FROM mpart WHERE slot BETWEEN 1 AND 3 GROUP BY image_id HAVING count(*) = 3),
+mtiles AS (SELECT image_id, 0 AS tile, image_id AS src_id FROM mfull
+           UNION ALL SELECT image_id, slot, partner_id FROM mpart
+           WHERE slot BETWEEN 1 AND 3 AND image_id IN (SELECT image_id FROM mfull)),
+mt AS (SELECT t.*, i.width AS sw, i.height AS sh,
+              floor((0.5 + {_u('mosaic', 'cx')} * 1.0) * 640) AS cx, floor((0.5 + {_u('mosaic', 'cy')} * 1.0) * 640) AS cy,
+              least(640.0 / i.height, 640.0 / i.width) AS r
+       FROM mtiles t JOIN images i ON i.id = t.src_id),
+mt2 AS (SELECT *, floor(sw * r) AS tw, floor(sh * r) AS th FROM mt),
+mt3 AS (SELECT *, CASE WHEN tile IN (0, 2) THEN greatest(cx - tw, 0) ELSE cx END AS px1,
+                  CASE WHEN tile IN (0, 1) THEN greatest(cy - th, 0) ELSE cy END AS py1,
+                  CASE WHEN tile IN (0, 2) THEN cx ELSE least(cx + tw, 1280) END AS px2,
+                  CASE WHEN tile IN (0, 1) THEN cy ELSE least(cy + th, 1280) END AS py2 FROM mt2),
+mt4 AS (SELECT image_id, tile, src_id, r,
+               px1 - CASE WHEN tile IN (0, 2) THEN tw - (px2 - px1) ELSE 0 END AS padw,
+               py1 - CASE WHEN tile IN (0, 1) THEN th - (py2 - py1) ELSE 0 END AS padh FROM mt3),
+mb AS (SELECT t.image_id, t.tile, t.src_id, f.box_id, f.category_id, 1280 AS w, 1280 AS h,
+              {_clip('f.x1 * t.r + t.padw', '1280')} AS x1, {_clip('f.y1 * t.r + t.padh', '1280')} AS y1,
+              {_clip('f.x2 * t.r + t.padw', '1280')} AS x2, {_clip('f.y2 * t.r + t.padh', '1280')} AS y2
+       FROM mt4 t JOIN fr f ON f.image_id = t.src_id)"""
+
+MIXUP_CTES = EPOCH_CTES + "," + FRAME_CTE + f""",
+xpart AS ({partner_sql(cache=20, k=1, min_cache=2, op="mixup")}),
+xp AS (SELECT p.image_id, p.partner_id AS src, t.tw, t.th
+       FROM xpart p JOIN (SELECT DISTINCT image_id, w AS tw, h AS th FROM fr) t ON t.image_id = p.image_id
+       WHERE p.slot = 1 AND {_u('mixup', 'p', 'p.image_id')} < 1.0),
+xj AS (SELECT p.image_id, p.tw, p.th, f.box_id, f.category_id, f.x1, f.y1, f.x2, f.y2,
+              least(640.0 / f.h, 640.0 / f.w) * (1.0 + {_u('mixup', 'jit', 'p.image_id')} * 0.0) AS r,
+              {_u('mixup', 'flip', 'p.image_id')} > 0.5 AS flip,
+              floor({_u('mixup', 'x', 'p.image_id')} * greatest(640 - p.tw, 0)) AS ox,
+              floor({_u('mixup', 'y', 'p.image_id')} * greatest(640 - p.th, 0)) AS oy
+       FROM xp p JOIN fr f ON f.image_id = p.src),
+xm AS (SELECT image_id, box_id, category_id, tw AS w, th AS h,
+              (CASE WHEN flip THEN 640.0 - x2 * r ELSE x1 * r END) - ox AS x1, y1 * r - oy AS y1,
+              (CASE WHEN flip THEN 640.0 - x1 * r ELSE x2 * r END) - ox AS x2, y2 * r - oy AS y2 FROM xj),
+xc AS (SELECT image_id, box_id, category_id, w, h, {_clip('x1', 'w')} AS x1, {_clip('y1', 'h')} AS y1,
+              {_clip('x2', 'w')} AS x2, {_clip('y2', 'h')} AS y2 FROM xm)"""
+
+
+@register("mosaic_compose", W("SELECT * FROM mb WHERE x2 > x1 AND y2 > y1", extra_ctes=MOSAIC_CTES))
 def _j6(spark, d):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
     mp = ag.sample_cache_partners(p, cache=40, k=3, min_cache=5, op="mosaic")
@@ -660,7 +713,8 @@ def _j6(spark, d):
     return ag.mosaic_compose(ag.frame(fx.images(spark, d)), fb.drop("w", "h"), mp)
 
 
-@register("mixup_compose")
+@register("mixup_compose", W(f"""
+SELECT {AUG_COLS} FROM fr UNION ALL SELECT {AUG_COLS} FROM xc WHERE x2 > x1 AND y2 > y1""", extra_ctes=MIXUP_CTES))
 def _j7(spark, d):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
     xp = ag.sample_cache_partners(p, cache=20, k=1, min_cache=2, op="mixup")
@@ -871,7 +925,9 @@ ANN_COLS = "id, image_id, category_id, x, y, w, h, iscrowd"
 @register("read_coco_json", W(f"SELECT {ANN_COLS} FROM annotations"))
 def _a1(spark, d):
     root = scratch_path(spark, "coco_json")
-    cj_out.write_coco_json(fx.images(spark, d), fx.annotations(spark, d), fx.categories(spark, d), root, parts=16)
+    # ~1000 images per document here, so the fixture is split into several documents
+    cj_out.write_coco_json(fx.images(spark, d), fx.annotations(spark, d), fx.categories(spark, d), root,
+                           images_per_doc=1000)
     _, ann, _ = cj.read_coco_json(spark, root)
     return ann
 
