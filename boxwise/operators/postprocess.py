@@ -12,10 +12,14 @@ map-side ``WindowGroupLimit``) before any group is formed.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxwise.functions.geometry import iou_above
+from boxwise.functions.geometry import area, iou_above
+from boxwise.plans.ranking import ranked
+from boxwise.session import checkpoint_root
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -42,9 +46,32 @@ def topk_per_image(det: DataFrame, k: int, *, by=("image_id",)) -> DataFrame:
     return det.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
 
 
-def nms(det: DataFrame, *, iou_thr: float, class_agnostic: bool = False) -> DataFrame:
-    """Greedy non-maximum suppression (contract K1); returns the kept rows."""
+# groups up to this size are resolved in one array walk (the detector's
+# pre-NMS limit); larger ones take the exact distributed path
+NMS_MAX_GROUP = 30000
+
+
+def nms(det: DataFrame, *, iou_thr: float, class_agnostic: bool = False,
+        max_group: int | None = NMS_MAX_GROUP) -> DataFrame:
+    """Greedy non-maximum suppression (contract K1); returns the kept rows.
+
+    Groups of at most ``max_group`` detections are walked as one sorted array;
+    larger (hot) groups are resolved exactly by :func:`nms_distributed`, so
+    no group is ever gathered into one task and nothing is cut.
+    """
     grp = ["image_id"] if class_agnostic else ["image_id", "category_id"]
+    if max_group is None:
+        return _nms_arrays(det, iou_thr, grp)
+    hot = det.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group).select(*grp)
+    if not hot.limit(1).count():
+        return _nms_arrays(det, iou_thr, grp)
+    hot = F.broadcast(hot)  # at most rows / max_group keys
+    cold = _nms_arrays(det.join(hot, grp, "left_anti"), iou_thr, grp)
+    warm = nms_distributed(det.join(hot, grp, "left_semi"), iou_thr=iou_thr, group=grp)
+    return cold.unionByName(warm.select(*cold.columns))
+
+
+def _nms_arrays(det: DataFrame, iou_thr: float, grp: list) -> DataFrame:
     rest = [c for c in det.columns if c not in grp and c not in ("det_id", "score", *BOX)]
     item = F.struct((-F.col("score")).alias("ns"), F.col("det_id"), *[F.col(c) for c in BOX],
                     F.col("score"), *[F.col(c) for c in rest])
@@ -59,6 +86,79 @@ def nms(det: DataFrame, *, iou_thr: float, class_agnostic: bool = False) -> Data
                       *[F.col(f"d.{c}") for c in rest])
 
 
+def _conflicts(r: DataFrame, thr: float, grp: list, cell: float) -> DataFrame:
+    """Pairs ``(a, b)`` of one group with ``rank a < rank b`` and IoU > ``thr``.
+
+    IoU > t implies the smaller area is at least t times the larger one, so a
+    box only meets boxes of nearby scale.  Boxes are binned by scale level
+    ``L = floor(log2(sqrt(area) / cell))`` and registered in the grid cells of
+    size ``cell * 2^L`` they cover; each box probes the levels that can hold a
+    partner.  Equi-joins on (group, level, cell) give the candidate pairs, which
+    overlapping boxes must produce (they share a cell of the level probed).
+    """
+    span = max(1, math.ceil(-math.log2(max(thr, 1e-6)) / 2) + 1)
+    a = F.greatest(area(""), F.lit(1e-12))
+    lvl = F.greatest(F.lit(0), F.floor(F.log2(F.sqrt(a) / F.lit(float(cell))))).cast("int")
+    b = r.select(*grp, "det_id", "rk", *BOX, lvl.alias("lvl"))
+
+    def cells(level):
+        size = F.lit(float(cell)) * F.pow(F.lit(2.0), level)
+        return (F.sequence(F.floor(F.col("x1") / size).cast("long"), F.floor(F.col("x2") / size).cast("long")),
+                F.sequence(F.floor(F.col("y1") / size).cast("long"), F.floor(F.col("y2") / size).cast("long")))
+
+    cx, cy = cells(F.col("lvl"))
+    reg = (b.select(*grp, "det_id", "rk", *BOX, "lvl", F.explode(cx).alias("cx"), cy.alias("_cy"))
+            .select(*grp, "det_id", "rk", *BOX, "lvl", "cx", F.explode("_cy").alias("cy")))
+    probe = b.withColumn("plvl", F.explode(F.sequence(F.greatest(F.col("lvl") - span, F.lit(0)), F.col("lvl") + span)))
+    pcx, pcy = cells(F.col("plvl"))
+    probe = (probe.select(*grp, "det_id", "rk", *BOX, "plvl", F.explode(pcx).alias("cx"), pcy.alias("_cy"))
+                  .select(*grp, F.col("det_id").alias("b_id"), F.col("rk").alias("b_rk"),
+                          *[F.col(c).alias(f"b{c}") for c in BOX], F.col("plvl").alias("lvl"), "cx",
+                          F.explode("_cy").alias("cy")))
+    j = reg.join(probe, [*grp, "lvl", "cx", "cy"]).where(F.col("rk") < F.col("b_rk"))
+    j = j.where(iou_above("", "b", thr))
+    return j.select(*grp, F.col("det_id").alias("a_id"), "b_id").distinct()
+
+
+def nms_distributed(det: DataFrame, *, iou_thr: float, group=("image_id", "category_id"),
+                    cell: float | None = None, max_rounds: int = 10_000) -> DataFrame:
+    """Exact greedy NMS for groups too large for one task.
+
+    Rank inside each group (distributed ranking), build the conflict pairs
+    (:func:`_conflicts`), then decide in rounds: an undecided box with no
+    undecided better-ranked conflict is kept, and its worse-ranked conflicts
+    are suppressed.  This is the greedy result: a box is kept exactly when
+    every better-ranked conflict was suppressed.  Each round's state is
+    checkpointed to the shared checkpoint folder.
+    """
+    grp = list(group)
+    spark = det.sparkSession
+    checkpoint_root(spark)
+    r = ranked(det, [F.col("score").desc(), F.col("det_id")], group=grp, name="rk")
+    if cell is None:
+        med = r.agg(F.percentile_approx(F.sqrt(F.greatest(area(""), F.lit(1e-12))), 0.5)).first()[0]
+        cell = max(float(med or 1.0), 1.0)
+    edges = _conflicts(r, iou_thr, grp, cell).checkpoint(eager=True)
+    und = r.select("det_id").checkpoint(eager=True)
+    kept = None
+    for _ in range(max_rounds):
+        if not und.limit(1).count():
+            break
+        live = edges.join(und.select(F.col("det_id").alias("a_id")), "a_id", "left_semi") \
+                    .join(und.select(F.col("det_id").alias("b_id")), "b_id", "left_semi")
+        blocked = live.select(F.col("b_id").alias("det_id")).distinct()
+        new = und.join(blocked, "det_id", "left_anti").checkpoint(eager=True)
+        supp = edges.join(new.select(F.col("det_id").alias("a_id")), "a_id", "left_semi") \
+                    .select(F.col("b_id").alias("det_id"))
+        und = und.join(new, "det_id", "left_anti").join(supp, "det_id", "left_anti").checkpoint(eager=True)
+        kept = new if kept is None else kept.unionByName(new)
+    else:
+        raise RuntimeError("NMS did not converge within max_rounds")
+    if kept is None:
+        return det.limit(0)
+    return det.join(kept, "det_id", "left_semi")
+
+
 def postprocess(det: DataFrame, *, score_thr: float = 0.001, nms_pre: int = 30000, min_size: float = 0.0,
                 iou_thr: float = 0.65, max_per_img: int = 300) -> DataFrame:
     """score filter -> pre-NMS top-k per image -> size filter -> class-wise NMS -> top-k."""

@@ -77,3 +77,28 @@ def test_topk_and_postprocess(spark, sf):
     out = pp.postprocess(det, max_per_img=5)
     assert out.groupBy("image_id").count().agg(F.max("count")).first()[0] <= 5
     assert out.where("score <= 0.001").count() == 0
+
+
+def test_distributed_path_equals_greedy(spark, sf):
+    det = pp.confidence_filter(fx.detections(spark, sf), 0.1)
+    rows = [r.asDict() for r in det.collect()]
+    want = greedy_nms(rows, 0.5, agnostic=True)
+    # class-agnostic groups are whole images; max_group=5 sends the larger ones
+    # through the rounds, the rest through the array walk
+    got = {r["det_id"] for r in pp.nms(det, iou_thr=0.5, class_agnostic=True, max_group=5).collect()}
+    assert got == want
+
+
+def test_distributed_one_hot_group(spark):
+    # one dense group: overlapping chains, nested boxes, ties, boxes of many scales
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(400):
+        s = rnd.choice([4, 8, 16, 64, 200])
+        x, y = rnd.uniform(0, 300), rnd.uniform(0, 300)
+        rows.append((i, 1, 1, x, y, x + s * rnd.uniform(0.5, 2), y + s * rnd.uniform(0.5, 2), float(rnd.randint(0, 20))))
+    det = spark.createDataFrame(rows, SCHEMA)
+    want = greedy_nms([r.asDict() for r in det.collect()], 0.3)
+    got = {r["det_id"] for r in pp.nms_distributed(det, iou_thr=0.3).collect()}
+    assert got == want
