@@ -165,7 +165,8 @@ def postprocess(det: DataFrame, *, score_thr: float = 0.001, nms_pre: int = 3000
     return (det.transform(lambda d: confidence_filter(d, score_thr))
                .transform(lambda d: topk_per_image(d, nms_pre))
                .transform(lambda d: min_box_filter(d, min_size))
-               .transform(lambda d: nms(d, iou_thr=iou_thr))
+               # nms_pre already bounds every group: no hot-group check needed
+               .transform(lambda d: nms(d, iou_thr=iou_thr, max_group=None if nms_pre <= NMS_MAX_GROUP else NMS_MAX_GROUP))
                .transform(lambda d: topk_per_image(d, max_per_img)))
 
 
