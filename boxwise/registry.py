@@ -265,10 +265,21 @@ def _g4(spark, d):
     return ds.order_splits(ds.union_splits(parts))
 
 
-@register("format_sample")
+@register("format_sample", W("""
+SELECT i.id AS img_id, i.height AS h, i.width AS w, CAST(count(*) AS BIGINT) AS n_boxes,
+       sum(a.x + a.y + (a.x + a.w) + (a.y + a.h)) AS coord_sum,
+       string_agg(CAST(l.label AS VARCHAR), ',' ORDER BY a.id) AS labels
+FROM images i JOIN annotations a ON a.image_id = i.id JOIN lab l ON a.category_id = l.category_id
+GROUP BY i.id, i.height, i.width""", extra_ctes=LAB_CTE))
 def _c15(spark, d):
     s = ds.group_samples(fx.images(spark, d), fx.annotations(spark, d), ds.dense_labels(fx.categories(spark, d)))
-    return ds.format_sample(s)
+    f = ds.format_sample(s)
+    # scalar view of the nested reader layout (box coordinates summed exactly, labels in order)
+    return f.select("img_id", F.col("img_shape.h").alias("h"), F.col("img_shape.w").alias("w"),
+                    F.size("instances.bbox").cast("bigint").alias("n_boxes"),
+                    F.aggregate("instances.bbox", F.lit(0.0),
+                                lambda acc, b: acc + b[0] + b[1] + b[2] + b[3]).alias("coord_sum"),
+                    F.array_join(F.col("instances.bbox_label").cast("array<string>"), ",").alias("labels"))
 
 # ------------------------------------------------------------- postprocess ---
 
@@ -452,10 +463,15 @@ def _f3(spark, d):
     return fd.epoch_plan(_samples(spark, d), **PLAN)
 
 
-@register("collate_batches")
+@register("collate_batches", W("""
+SELECT node, rank, worker, idx // 32 AS batch_id, CAST(count(*) AS BIGINT) AS n,
+       string_agg(CAST(image_id AS VARCHAR), ',' ORDER BY idx) AS image_ids
+FROM eb GROUP BY ALL""", extra_ctes=EPOCH_CTES))
 def _m4(spark, d):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
-    return fd.collate_batches(p, batch_cols=("node", "rank", "worker", "batch_id"), cols=["idx", "image_id"])
+    b = fd.collate_batches(p, batch_cols=("node", "rank", "worker", "batch_id"), cols=["idx", "image_id"])
+    return b.select("node", "rank", "worker", "batch_id", F.size("samples").cast("bigint").alias("n"),
+                    F.array_join(F.transform("samples", lambda x: x["image_id"].cast("string")), ",").alias("image_ids"))
 
 
 SHUF_CTE = """
@@ -553,7 +569,9 @@ def _a7(spark, d):
     return sh.read_split(spark, _write(spark, d), "val").select("sample_id", "shard", "pos", "nbytes")
 
 
-@register("validate_hashes")
+@register("validate_hashes", """
+SELECT * FROM (SELECT 'p' AS path, 's' AS split, CAST(0 AS BIGINT) AS shard, 'h' AS sha1, 'h' AS xxh64,
+                      'h' AS sha1_now, 'h' AS xxh64_now) t WHERE 1 = 0""")
 def _b5(spark, d):
     root = _write(spark, d)
     return sh.validate_hashes(spark, root, sh.shard_manifest(spark, root))
