@@ -597,12 +597,12 @@ def _clip(c: str, lim: str) -> str:
     return f"least(greatest({c}, 0.0), CAST({lim} AS DOUBLE))"
 
 
-def _resize_sql(src: str, name: str, long_e: str, short_e: str) -> str:
+def _resize_sql(src: str, name: str, long_e: str, short_e: str, keep: str = "image_id, box_id, category_id") -> str:
     """Keep-ratio resize of frame ``src`` (edges are SQL expressions)."""
     return f"""
 {name}_a AS (SELECT *, least({long_e} / greatest(w, h), {short_e} / least(w, h)) AS s_ FROM {src}),
 {name}_b AS (SELECT *, CAST(floor(w * s_ + 0.5) AS INTEGER) AS nw_, CAST(floor(h * s_ + 0.5) AS INTEGER) AS nh_ FROM {name}_a),
-{name} AS (SELECT image_id, box_id, category_id, nw_ AS w, nh_ AS h,
+{name} AS (SELECT {keep}, nw_ AS w, nh_ AS h,
            {_clip('x1 * (nw_ / w)', 'nw_')} AS x1, {_clip('y1 * (nh_ / h)', 'nh_')} AS y1,
            {_clip('x2 * (nw_ / w)', 'nw_')} AS x2, {_clip('y2 * (nh_ / h)', 'nh_')} AS y2 FROM {name}_b)"""
 
@@ -1085,3 +1085,47 @@ def _l2(spark, d):
     _run_stream(smx.start_metrics(smx.stream_metrics(src, every=50), out, ck))
     r = smx.latest(spark, out)
     return r.select("run", "metric", "block", "n", F.round("mean", 6).alias("mean"))
+
+
+# --------------------------------------------------- augment_plan oracle (J8) ---
+
+def _rr_sql(src, name, keep, scale):
+    r = f"(0.1 + {uniform_sql('image_id', 'random_resize')} * {2.0 - 0.1!r})"
+    return f"{name}_0 AS (SELECT *, floor({float(scale)!r} * {r}) AS tl_ FROM {src})," + \
+        _resize_sql(f"{name}_0", name, "tl_", "tl_", keep)
+
+
+def _rc_sql(src, name, keep):
+    return f"""
+{name}_0 AS (SELECT *, {_OX} AS ox_, {_OY} AS oy_, least(w, 640) AS nw_, least(h, 640) AS nh_ FROM {src}),
+{name} AS (SELECT * FROM (SELECT {keep}, nw_ AS w, nh_ AS h,
+              {_clip('x1 - ox_', 'nw_')} AS x1, {_clip('y1 - oy_', 'nh_')} AS y1,
+              {_clip('x2 - ox_', 'nw_')} AS x2, {_clip('y2 - oy_', 'nh_')} AS y2 FROM {name}_0) t
+           WHERE x2 > x1 AND y2 > y1)"""
+
+
+_KEEP = "image_id, tile, src_id, box_id, category_id"
+AUGPLAN_CTES = MOSAIC_CTES + ",\nmos AS (SELECT * FROM mb WHERE x2 > x1 AND y2 > y1)," + \
+    _rr_sql("mos", "ar", _KEEP, 1280) + "," + _rc_sql("ar", "ac", _KEEP) + f""",
+af AS (SELECT {_KEEP}, w, h, CASE WHEN {_FLIP} THEN w - x2 ELSE x1 END AS x1, y1,
+              CASE WHEN {_FLIP} THEN w - x1 ELSE x2 END AS x2, y2 FROM ac),
+ap AS (SELECT {_KEEP}, greatest(w, 640) AS w, greatest(h, 640) AS h, x1, y1, x2, y2 FROM af),
+ypart AS ({partner_sql(cache=20, k=1, min_cache=2, op="mixup")}),
+yp AS (SELECT p.image_id, p.partner_id AS src, t.tw, t.th
+       FROM ypart p JOIN (SELECT DISTINCT image_id, w AS tw, h AS th FROM ap) t ON t.image_id = p.image_id
+       WHERE p.slot = 1 AND {_u('mixup', 'p', 'p.image_id')} < 1.0),
+yj AS (SELECT p.image_id, p.tw, p.th, f.tile, f.src_id, f.box_id, f.category_id, f.x1, f.y1, f.x2, f.y2,
+              least(640.0 / f.h, 640.0 / f.w) * (1.0 + {_u('mixup', 'jit', 'p.image_id')} * 0.0) AS r,
+              {_u('mixup', 'flip', 'p.image_id')} > 0.5 AS flip,
+              floor({_u('mixup', 'x', 'p.image_id')} * greatest(640 - p.tw, 0)) AS ox,
+              floor({_u('mixup', 'y', 'p.image_id')} * greatest(640 - p.th, 0)) AS oy
+       FROM yp p JOIN ap f ON f.image_id = p.src),
+ym AS (SELECT {_KEEP}, tw AS w, th AS h,
+              (CASE WHEN flip THEN 640.0 - x2 * r ELSE x1 * r END) - ox AS x1, y1 * r - oy AS y1,
+              (CASE WHEN flip THEN 640.0 - x1 * r ELSE x2 * r END) - ox AS x2, y2 * r - oy AS y2 FROM yj),
+yc AS (SELECT {_KEEP}, w, h, {_clip('x1', 'w')} AS x1, {_clip('y1', 'h')} AS y1,
+              {_clip('x2', 'w')} AS x2, {_clip('y2', 'h')} AS y2 FROM ym)"""
+
+ORACLE["augment_plan"] = W(f"""
+SELECT {_KEEP}, w, h, x1, y1, x2, y2 FROM ap
+UNION ALL SELECT {_KEEP}, w, h, x1, y1, x2, y2 FROM yc WHERE x2 > x1 AND y2 > y1""", extra_ctes=AUGPLAN_CTES)
