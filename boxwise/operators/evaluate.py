@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from boxwise.functions.geometry import area, intersection
 from boxwise.operators.postprocess import topk_per_image
 from boxwise.plans.ranking import ranked
-from boxwise.session import checkpoint_root
+from boxwise.session import materialize
 
 # fixed values: IoU thresholds .50:.05:.95 and detections-per-image limits
 IOU_THRS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
@@ -59,8 +59,10 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame) -> DataFrame:
     """Detection x truth pairs of the same image and category with ``inter > 0``."""
     g = gt_xyxy.select(F.col("id").alias("ann_id"), "image_id", "category_id",
                        *[F.col(c).alias(f"g{c}") for c in ("x1", "y1", "x2", "y2")], "iscrowd")
+    # both sides grow with the data: always a shuffle join (a compressed-file
+    # size estimate is no bound on the in-memory size of either side)
     j = det.select("det_id", "image_id", "category_id", "x1", "y1", "x2", "y2", "score") \
-           .join(g, ["image_id", "category_id"])
+           .join(g.hint("merge"), ["image_id", "category_id"])
     inter = intersection("", "g")
     da, ga = area(""), area("g")
     uni = F.when(F.col("iscrowd") == 1, da).otherwise(da + ga - inter)
@@ -78,25 +80,27 @@ def match(pairs: DataFrame, thrs=IOU_THRS) -> DataFrame:
     per threshold.
     """
     t_arr = F.array(*[F.lit(float(t)) for t in thrs])
+    # candidates per detection, best first (IoU desc, ties: the later truth),
+    # split into non-crowd and crowd lists once, outside the sequential walk
+    cand = F.struct("iou", "ann_id")
     per_det = pairs.groupBy("image_id", "category_id", "det_id", "score").agg(
-        F.collect_list(F.struct("iscrowd", "iou", "ann_id")).alias("cands"))
+        F.sort_array(F.collect_list(F.when(F.col("iscrowd") == 0, cand)), asc=False).alias("nc"),
+        F.sort_array(F.collect_list(F.when(F.col("iscrowd") == 1, cand)), asc=False).alias("cr"))
     grp = per_det.groupBy("image_id", "category_id").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("ns"), "det_id", "cands"))).alias("ds"))
+        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("ns"), "det_id", "nc", "cr"))).alias("ds"))
 
     res_t = "array<struct<det_id:bigint,iou_thr:double,ann_id:bigint,crowd:int>>"
     empty_ids = F.array().cast("array<bigint>")
     init = F.struct(F.array(*[empty_ids for _ in thrs]).alias("m"), F.array().cast(res_t).alias("out"))
 
-    def best(lst):
-        return F.array_max(F.transform(lst, lambda x: F.struct(x["iou"].alias("iou"), x["ann_id"].alias("ann_id"))))
-
     def step(acc, d):
-        # per threshold: best available non-crowd truth, else best crowd truth
+        # per threshold: first available non-crowd truth, else the best crowd truth
+        top_cr = F.get(d["cr"], 0)
         per_t = F.transform(t_arr, lambda t, i: F.struct(
             t.alias("t"),
-            best(F.filter(d["cands"], lambda x: (x["iscrowd"] == 0) & (x["iou"] >= t)
-                          & ~F.array_contains(acc["m"][i], x["ann_id"])))["ann_id"].alias("nc"),
-            best(F.filter(d["cands"], lambda x: (x["iscrowd"] == 1) & (x["iou"] >= t)))["ann_id"].alias("cr")))
+            F.get(F.filter(d["nc"], lambda x: (x["iou"] >= t) & ~F.array_contains(acc["m"][i], x["ann_id"])), 0)
+             ["ann_id"].alias("nc"),
+            F.when(top_cr["iou"] >= t, top_cr["ann_id"]).alias("cr")))
 
         def advance(res):  # ``res`` is evaluated once (bound by the one-element transform)
             m = F.transform(acc["m"], lambda mi, i: F.when(res[i]["nc"].isNotNull(),
@@ -113,30 +117,28 @@ def match(pairs: DataFrame, thrs=IOU_THRS) -> DataFrame:
     return r.select("r.det_id", "r.iou_thr", "r.ann_id", "r.crowd")
 
 
-def _scored(det_top: DataFrame, matches: DataFrame, thrs=IOU_THRS) -> DataFrame:
-    """Every evaluated detection per threshold with ``tp`` / ``ignored`` flags."""
-    d = det_top.select("det_id", "category_id", "score", "rk") \
-               .withColumn("iou_thr", F.explode(F.array(*[F.lit(float(t)) for t in thrs])))
-    j = d.join(matches, ["det_id", "iou_thr"], "left")
-    return j.select("det_id", "category_id", "iou_thr", "score", "rk",
-                    (F.col("crowd") == 0).cast("int").alias("_tp0"),
-                    (F.col("crowd") == 1).alias("ignored")) \
-            .withColumn("tp", F.coalesce("_tp0", F.lit(0))).drop("_tp0")
-
-
 def npig(gt: DataFrame) -> DataFrame:
     """Non-crowd truths per category (only categories that have some)."""
     return gt.where(F.col("iscrowd") == 0).groupBy("category_id").agg(F.count(F.lit(1)).alias("npig"))
 
 
-def pr_curve(scored: DataFrame, n_pos: DataFrame, thrs=IOU_THRS) -> DataFrame:
-    """``category_id, iou_thr, recall_idx (0..100), precision`` (101-point curve)."""
+def pr_curve(det_top: DataFrame, matches: DataFrame, n_pos: DataFrame, thrs=IOU_THRS) -> DataFrame:
+    """``category_id, iou_thr, recall_idx (0..100), precision`` (101-point curve).
+
+    Only match rows are ranked per (category, threshold); unmatched
+    detections (false positives at every threshold) enter through one
+    threshold-free position per category: at a true positive, ``k = (position
+    among all detections of the category) + 1 - (ignored detections so far)``
+    and ``m`` is the running true-positive count.
+    """
     order = [F.col("score").desc(), F.col("det_id")]
-    live = scored.where(~F.coalesce(F.col("ignored"), F.lit(False))).select("det_id", "category_id", "iou_thr", "score", "tp")
-    # one pass: position k and the running true-positive count m
-    k = ranked(live, order, group=["category_id", "iou_thr"], name="k0", sums=["tp"])
-    tps = k.where(F.col("tp") == 1).join(n_pos, "category_id")
-    m, kk = F.col("tp_cum"), F.col("k0") + 1
+    pos = ranked(det_top.select("det_id", "category_id", "score"), order, group=["category_id"], name="r0")
+    mt = (matches.join(pos.hint("merge"), "det_id")
+                 .select("det_id", "category_id", "iou_thr", "score", "r0",
+                         (F.col("crowd") == 0).cast("int").alias("tp"), (F.col("crowd") == 1).cast("int").alias("ig")))
+    run = ranked(mt, order, group=["category_id", "iou_thr"], name="_q", sums=["tp", "ig"])
+    tps = run.where(F.col("tp") == 1).join(n_pos, "category_id")
+    m, kk = F.col("tp_cum"), F.col("r0") + 1 - F.col("ig_cum")
     bands = (tps.withColumn("b", F.least(F.lit(N_RECALL - 1), F.floor((m * (N_RECALL - 1)) / F.col("npig")).cast("int")))
                 .groupBy("category_id", "iou_thr", "b").agg(F.max(m / kk).alias("mp")))
     w_suffix = Window.partitionBy("category_id", "iou_thr").orderBy(F.col("b").desc()) \
@@ -159,15 +161,15 @@ def pr_curve(scored: DataFrame, n_pos: DataFrame, thrs=IOU_THRS) -> DataFrame:
 
 def evaluate_inputs(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
                     max_det: int = 100, thrs=IOU_THRS):
-    """``(detections, truths, scored)``.  The scored table (one narrow row per
-    detection and threshold) is checkpointed to the shared checkpoint folder:
-    the PR curve reads it several times (range-bound sampling, the ranking
-    shuffle, the band aggregation), and the matching must not run again."""
+    """``(detections, truths, matches)``.  The evaluated detections (best
+    ``max_det`` per image and category) and the match table are checkpointed
+    to the shared checkpoint folder: both are read several times below and
+    the matching must not run again."""
     d, g = eval_sets(det, gt_xyxy, images, categories, max_det=max_det)
+    d = materialize(d, "eval-dets")
     pairs = iou_join(d, g).where(F.col("iou") >= min(thrs))
-    checkpoint_root(det.sparkSession)
-    scored = _scored(d, match(pairs, thrs), thrs).checkpoint(eager=True)
-    return d, g, scored
+    m = materialize(match(pairs, thrs), "eval-matches")
+    return d, g, m
 
 
 def coco_ap(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
@@ -178,8 +180,8 @@ def coco_ap(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: D
     (mean over thresholds); ``mAP`` with ``category_id = -1`` for all
     thresholds (``iou_thr = -1``), 0.5 and 0.75.
     """
-    d, g, scored = evaluate_inputs(det, gt_xyxy, images, categories, max_det=max_det, thrs=thrs)
-    ap = pr_curve(scored, npig(g), thrs).groupBy("category_id", "iou_thr").agg(
+    d, g, m = evaluate_inputs(det, gt_xyxy, images, categories, max_det=max_det, thrs=thrs)
+    ap = pr_curve(d, m, npig(g), thrs).groupBy("category_id", "iou_thr").agg(
         (F.sum("precision") / F.lit(float(N_RECALL))).alias("ap"))
     # every summary in one pass: (threshold, category), category, all, threshold
     t, c = F.col("iou_thr"), F.col("category_id")
@@ -201,11 +203,12 @@ def coco_ar(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: D
     Greedy matching of a score-sorted prefix does not depend on later
     detections, so one matching at the largest limit serves every limit.
     """
-    d, g, scored = evaluate_inputs(det, gt_xyxy, images, categories, max_det=max(max_dets), thrs=thrs)
+    d, g, mt = evaluate_inputs(det, gt_xyxy, images, categories, max_det=max(max_dets), thrs=thrs)
     n_pos = npig(g)
     lim = F.explode(F.array(*[F.lit(int(m)) for m in max_dets])).alias("max_det")
-    s = scored.select("category_id", "iou_thr", "rk", "tp", lim).where(F.col("rk") <= F.col("max_det"))
-    tp = s.groupBy("category_id", "iou_thr", "max_det").agg(F.sum("tp").alias("ntp"))
+    hits = mt.where(F.col("crowd") == 0).join(d.select("det_id", "category_id", "rk").hint("merge"), "det_id")
+    s = hits.select("category_id", "iou_thr", "rk", lim).where(F.col("rk") <= F.col("max_det"))
+    tp = s.groupBy("category_id", "iou_thr", "max_det").agg(F.count(F.lit(1)).alias("ntp"))
     base = (n_pos.withColumn("iou_thr", F.explode(F.array(*[F.lit(float(t)) for t in thrs])))
                  .withColumn("max_det", F.explode(F.array(*[F.lit(int(m)) for m in max_dets]))))
     rec = base.join(tp, ["category_id", "iou_thr", "max_det"], "left") \

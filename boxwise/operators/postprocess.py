@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from boxwise.functions.geometry import area, iou_above
 from boxwise.plans.ranking import ranked
-from boxwise.session import checkpoint_root
+from boxwise.session import materialize
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -132,31 +132,31 @@ def nms_distributed(det: DataFrame, *, iou_thr: float, group=("image_id", "categ
     checkpointed to the shared checkpoint folder.
     """
     grp = list(group)
-    spark = det.sparkSession
-    checkpoint_root(spark)
     r = ranked(det, [F.col("score").desc(), F.col("det_id")], group=grp, name="rk")
     if cell is None:
         med = r.agg(F.percentile_approx(F.sqrt(F.greatest(area(""), F.lit(1e-12))), 0.5)).first()[0]
         cell = max(float(med or 1.0), 1.0)
-    edges = _conflicts(r, iou_thr, grp, cell).checkpoint(eager=True)
-    und = r.select("det_id").checkpoint(eager=True)
+    edges = materialize(_conflicts(r, iou_thr, grp, cell), "nms-edges")
+    und = materialize(r.select("det_id"), "nms-undecided")
     kept = None
     for _ in range(max_rounds):
         if not und.limit(1).count():
             break
-        live = edges.join(und.select(F.col("det_id").alias("a_id")), "a_id", "left_semi") \
-                    .join(und.select(F.col("det_id").alias("b_id")), "b_id", "left_semi")
+        # edges and undecided boxes both grow with the group: shuffle joins only
+        live = edges.join(und.select(F.col("det_id").alias("a_id")).hint("merge"), "a_id", "left_semi") \
+                    .join(und.select(F.col("det_id").alias("b_id")).hint("merge"), "b_id", "left_semi")
         blocked = live.select(F.col("b_id").alias("det_id")).distinct()
-        new = und.join(blocked, "det_id", "left_anti").checkpoint(eager=True)
-        supp = edges.join(new.select(F.col("det_id").alias("a_id")), "a_id", "left_semi") \
+        new = materialize(und.join(blocked.hint("merge"), "det_id", "left_anti"), "nms-kept")
+        supp = edges.join(new.select(F.col("det_id").alias("a_id")).hint("merge"), "a_id", "left_semi") \
                     .select(F.col("b_id").alias("det_id"))
-        und = und.join(new, "det_id", "left_anti").join(supp, "det_id", "left_anti").checkpoint(eager=True)
+        und = materialize(und.join(new.hint("merge"), "det_id", "left_anti")
+                             .join(supp.hint("merge"), "det_id", "left_anti"), "nms-undecided")
         kept = new if kept is None else kept.unionByName(new)
     else:
         raise RuntimeError("NMS did not converge within max_rounds")
     if kept is None:
         return det.limit(0)
-    return det.join(kept, "det_id", "left_semi")
+    return det.join(kept.hint("merge"), "det_id", "left_semi")
 
 
 def postprocess(det: DataFrame, *, score_thr: float = 0.001, nms_pre: int = 30000, min_size: float = 0.0,

@@ -39,7 +39,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxwise.session import checkpoint_root, default_parallelism
+from boxwise.session import default_parallelism, materialize
 
 _LOW = (1 << 33) - 1
 # rows one task may rank on its own (a sort of a few narrow columns)
@@ -93,8 +93,7 @@ def _range_ranked(df: DataFrame, order: Sequence, group: list, name: str, partit
     r = (r.withColumn("_pid", F.shiftright("_mid", 33))
           .withColumn("_i", F.col("_mid").bitwiseAND(F.lit(_LOW)))
           .drop("_mid"))
-    checkpoint_root(df.sparkSession)
-    r = r.checkpoint(eager=True)
+    r = materialize(r, "ranked")
     seg = r.groupBy("_pid", *group).agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"),
                                         *[F.sum(c).alias(f"_t{c}") for c in sums])
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) \

@@ -410,8 +410,8 @@ def _k3(spark, d):
                         extra_ctes=EVAL_CTES, recursive=True))
 def _f6(spark, d):
     det, gt, im, ca = _eval_inputs(spark, d)
-    _, g, scored = ev.evaluate_inputs(det, gt, im, ca)
-    return ev.pr_curve(scored, ev.npig(g))
+    dd, g, m = ev.evaluate_inputs(det, gt, im, ca)
+    return ev.pr_curve(dd, m, ev.npig(g))
 
 
 @register("coco_ap", W("""

@@ -79,3 +79,14 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover
         return os.cpu_count() or 8
+
+
+def materialize(df, name: str):
+    """Cut the lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back: the plan runs once, the copy is columnar and
+    compressed, and a lost executor re-reads files instead of re-running the
+    upstream plan.  (``Dataset.checkpoint`` serialises rows and may compute the
+    plan a second time for its write.)"""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
