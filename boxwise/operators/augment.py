@@ -148,7 +148,9 @@ def sample_cache_partners(plan: DataFrame, *, cache: int, k: int, min_cache: int
                 f"{op}_partner", seed=seed, epoch=epoch)
     d = d.withColumn("_pidx", F.col("idx") - F.col("_c") + 1 + F.floor(u * F.col("_c")))
     src = plan.select(*stream, F.col("idx").alias("_pidx"), F.col("image_id").alias("partner_id"))
-    return d.join(src, [*stream, "_pidx"]).select("image_id", F.col("slot").cast("int").alias("slot"), "partner_id")
+    # both sides are as large as the plan: a shuffle join, never a broadcast
+    return d.join(src.hint("merge"), [*stream, "_pidx"]).select("image_id", F.col("slot").cast("int").alias("slot"),
+                                                                "partner_id")
 
 
 # ------------------------------------------------------------------ mosaic --
@@ -190,7 +192,7 @@ def mosaic_compose(canvas: DataFrame, boxes: DataFrame, partners: DataFrame, *,
     cy1 = F.when(top, F.col("th") - (py2 - py1)).otherwise(F.lit(0))
     t = t.withColumn("padw", px1 - cx1).withColumn("padh", py1 - cy1)
     b = boxes.withColumnRenamed("image_id", "src_id")
-    j = t.select("image_id", "tile", "src_id", "r", "padw", "padh").join(b, "src_id")
+    j = t.select("image_id", "tile", "src_id", "r", "padw", "padh").join(b.hint("merge"), "src_id")
     out = j.select("image_id", "tile", "src_id", *[c for c in b.columns if c not in ("src_id", *BOX, "w", "h")],
                    (F.col("x1") * F.col("r") + F.col("padw")).alias("x1"), (F.col("y1") * F.col("r") + F.col("padh")).alias("y1"),
                    (F.col("x2") * F.col("r") + F.col("padw")).alias("x2"), (F.col("y2") * F.col("r") + F.col("padh")).alias("y2"),
@@ -223,7 +225,7 @@ def mixup_compose(target: DataFrame, pool: DataFrame, partners: DataFrame, *, im
     flip = uniform("image_id", "mixup", seed=seed, epoch=epoch, salt="flip") > F.lit(float(flip_ratio))
     payload = [c for c in target.columns if c not in ("image_id", *BOX, "w", "h")]
     src = pool.select(F.col("image_id").alias("_src"), *payload, *BOX, "w", "h")
-    j = p.join(src, "_src")
+    j = p.join(src.hint("merge"), "_src")
     r = F.least(F.lit(float(H)) / F.col("h"), F.lit(float(W)) / F.col("w")) * jit
     ox = F.floor(uniform("image_id", "mixup", seed=seed, epoch=epoch, salt="x")
                  * F.greatest(F.lit(W) - F.col("tw"), F.lit(0)))
