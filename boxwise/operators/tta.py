@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxwise.operators.postprocess import nms, topk_per_image
+from boxwise.session import materialize
 
 # fixed values: TTA scales (w, h), flip choices and pad size
 TTA_SCALES = ((640, 640), (320, 320), (960, 960))
@@ -73,6 +74,9 @@ def union_variants(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def tta_merge(det_v: DataFrame, variants: DataFrame, *, iou_thr: float = 0.6, max_per_img: int = 100) -> DataFrame:
-    """Undo each variant, union, class-wise NMS, best ``max_per_img`` per image."""
-    back = undo_variant(det_v, variants).drop("variant")
+    """Undo each variant, union, class-wise NMS, best ``max_per_img`` per image.
+
+    The merged detections are written once to the shared checkpoint folder:
+    NMS reads them twice (group-size check, then the suppression itself)."""
+    back = materialize(undo_variant(det_v, variants).drop("variant"), "tta-merged")
     return topk_per_image(nms(back, iou_thr=iou_thr), max_per_img)
