@@ -90,3 +90,15 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder (materialized intermediates,
+    written views) through the Hadoop filesystem.  Call it at the end of a job:
+    DataFrames that still read from the folder become invalid afterwards."""
+    d = spark.sparkContext.getCheckpointDir()
+    if not d:
+        return
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(d)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
