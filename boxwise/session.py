@@ -102,3 +102,7 @@ def release_scratch(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(d)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    from boxwise import fixtures  # forget views written into the deleted folder
+    app = spark.sparkContext.applicationId
+    for key in [k for k in fixtures._MATERIALIZED if k[0] == app]:
+        del fixtures._MATERIALIZED[key]
