@@ -57,6 +57,8 @@ def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: s
 
     ``hot_rows=None`` sends every group through the range-split path."""
     group, sums = list(group), list(sums)
+    if hot_rows is not None:
+        hot_rows = min(int(hot_rows), 2_000_000_000)  # DataFrame.limit takes an int
     if hot_rows is None:
         return _range_ranked(df, order, group, name, partitions, sums)
     if not group:
