@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from boxwise.functions.geometry import area, intersection
 from boxwise.operators.postprocess import topk_per_image
 from boxwise.plans.ranking import ranked
+from boxwise.plans.spatial import grid_pairs
 from boxwise.session import materialize
 
 # fixed values: IoU thresholds .50:.05:.95 and detections-per-image limits
@@ -55,14 +56,12 @@ def eval_sets(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories:
     return d, gt
 
 
-def iou_join(det: DataFrame, gt_xyxy: DataFrame) -> DataFrame:
-    """Detection x truth pairs of the same image and category with ``inter > 0``."""
-    g = gt_xyxy.select(F.col("id").alias("ann_id"), "image_id", "category_id",
-                       *[F.col(c).alias(f"g{c}") for c in ("x1", "y1", "x2", "y2")], "iscrowd")
-    # both sides grow with the data: always a shuffle join (a compressed-file
-    # size estimate is no bound on the in-memory size of either side)
-    j = det.select("det_id", "image_id", "category_id", "x1", "y1", "x2", "y2", "score") \
-           .join(g.hint("merge"), ["image_id", "category_id"])
+# truths per (image, class) above which the IoU join pairs boxes through a
+# spatial grid instead of pairing every detection of the key with every truth
+HOT_TRUTHS = 100_000
+
+
+def _pair_iou(j: DataFrame) -> DataFrame:
     inter = intersection("", "g")
     da, ga = area(""), area("g")
     uni = F.when(F.col("iscrowd") == 1, da).otherwise(da + ga - inter)
@@ -71,6 +70,45 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame) -> DataFrame:
                      F.when(uni > 0, F.col("inter") / uni).otherwise(F.lit(0.0)).alias("iou")))
 
 
+def iou_join(det: DataFrame, gt_xyxy: DataFrame, *, min_iou: float | None = None,
+             hot_truths: int | None = HOT_TRUTHS) -> DataFrame:
+    """Detection x truth pairs of the same image and category with ``inter > 0``
+    (and ``iou >= min_iou`` when given).
+
+    With ``min_iou``, an (image, class) with more than ``hot_truths`` truths
+    pairs its non-crowd truths through the scale-bucketed grid
+    (:mod:`boxwise.plans.spatial`) instead of with every detection of the key.
+    Crowd truths keep the plain join, since their IoU uses the detection area.
+    """
+    key = ["image_id", "category_id"]
+    g = gt_xyxy.select(F.col("id").alias("ann_id"), "image_id", "category_id",
+                       *[F.col(c).alias(f"g{c}") for c in ("x1", "y1", "x2", "y2")], "iscrowd")
+    dsel = det.select("det_id", "image_id", "category_id", "x1", "y1", "x2", "y2", "score")
+
+    def plain(dd, gg):
+        # both sides grow with the data: always a shuffle join (a compressed-file
+        # size estimate is no bound on the in-memory size of either side)
+        return _pair_iou(dd.join(gg.hint("merge"), key))
+
+    if min_iou is None or hot_truths is None:
+        return plain(dsel, g)
+    hot = g.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_truths).select(*key)
+    if not hot.limit(1).count():
+        return plain(dsel, g).where(F.col("iou") >= min_iou)
+    hot = F.broadcast(hot)  # at most truths / hot_truths keys
+    cold = plain(dsel.join(hot, key, "left_anti"), g.join(hot, key, "left_anti"))
+    hd, hg = dsel.join(hot, key, "left_semi"), g.join(hot, key, "left_semi")
+    crowd = plain(hd, hg.where(F.col("iscrowd") == 1))
+    nc = hg.where(F.col("iscrowd") == 0)
+    med = nc.agg(F.percentile_approx(F.sqrt(F.greatest(area("g"), F.lit(1e-12))), 0.5)).first()[0]
+    cell = max(float(med or 1.0), 1.0)
+    cand = grid_pairs(hd.select(*key, "det_id", "x1", "y1", "x2", "y2"),
+                      nc.select(*key, "ann_id", *[F.col(f"g{c}").alias(c) for c in ("x1", "y1", "x2", "y2")]),
+                      keys=key, left_id="det_id", right_id="ann_id", thr=min_iou, cell=cell)
+    spatial = _pair_iou(cand.join(hd.hint("merge"), key + ["det_id"]).join(nc.hint("merge"), key + ["ann_id"]))
+    return cold.unionByName(crowd).unionByName(spatial).where(F.col("iou") >= min_iou)
+
+
 def match(pairs: DataFrame, thrs=IOU_THRS) -> DataFrame:
     """Greedy matching; returns ``det_id, iou_thr, ann_id, crowd`` for every
     detection that matched something (``crowd = 1``: ignored detection).
@@ -167,7 +205,7 @@ def evaluate_inputs(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categ
     the matching must not run again."""
     d, g = eval_sets(det, gt_xyxy, images, categories, max_det=max_det)
     d = materialize(d, "eval-dets")
-    pairs = iou_join(d, g).where(F.col("iou") >= min(thrs))
+    pairs = iou_join(d, g, min_iou=min(thrs))
     m = materialize(match(pairs, thrs), "eval-matches")
     return d, g, m
 

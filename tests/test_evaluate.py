@@ -91,3 +91,12 @@ def test_crowd_match_is_ignored(spark):
     assert ap == 1.0  # the crowd hit (score 0.9) is not a false positive
     vals = [r["value"] for r in ev.coco_ap(det, gt, im, ca).collect()]
     assert all(0.0 <= v <= 1.0 for v in vals)
+
+
+def test_hot_keys_take_the_spatial_grid(spark, sf):
+    det, gt = fx.detections(spark, sf), fx.as_xyxy(fx.annotations(spark, sf))
+    d, g = ev.eval_sets(det, gt, fx.images(spark, sf), fx.categories(spark, sf))
+    cols = ["det_id", "ann_id", "iou"]
+    plain = {tuple(r) for r in ev.iou_join(d, g).where("iou >= 0.5").select(*cols).collect()}
+    grid = {tuple(r) for r in ev.iou_join(d, g, min_iou=0.5, hot_truths=0).select(*cols).collect()}
+    assert grid == plain and len(plain) > 1000
