@@ -4,23 +4,25 @@ Steps
 1. ``eval_sets``: ground truth and detections restricted to known images and
    categories; detections cut to the best ``max_det`` per (image, category).
 2. ``iou_join``: equi-join on ``(image_id, category_id)`` with the IoU as an
-   expression (crowd truths use the detection area as the union).  The join
-   key is one image's class, so a pair group is bounded by ``max_det`` times
-   that image's boxes of the class.
-3. ``match``: per (image, category, threshold) the detections, by ``score
-   DESC, det_id``, take the best-IoU unmatched non-crowd truth with ``IoU >=
-   t`` (ties: the later truth); failing that a crowd truth makes the detection
-   *ignored*; otherwise it is a false positive.  A greedy walk in one
-   higher-order ``aggregate`` - JVM only.
+   expression (crowd truths use the detection area as the union).  A pair
+   group is bounded by ``max_det`` times that image's truths of the class;
+   keys with very many truths pair through a scale-bucketed spatial grid.
+3. ``match``: per (image, category) the detections, by ``score DESC,
+   det_id``, take for every threshold t the best-IoU unmatched non-crowd truth
+   with ``IoU >= t`` (ties: the later truth); failing that a crowd truth makes
+   the detection *ignored*; otherwise it is a false positive.  One
+   higher-order ``aggregate`` walk per group serves all thresholds - JVM only.
 4. ``pr_curve``: precision sampled at 101 recall points, monotone from the
-   right.  Positions inside a category come from the distributed ranking
-   (``plans.ranking.ranked``), so a category holding most detections is still
-   spread over all tasks.  Precision at the m-th true positive is ``m / k``;
-   the envelope only needs the maximum per *recall band*
-   ``b = floor(100 m / npig)``, an aggregation with map-side combine, followed
-   by a suffix maximum over at most 101 bands per (category, threshold).
-   Recall point ``i`` is reached when ``100 * tp >= i * npig`` (exact integer
-   test, where the reference library compares against float ``linspace``).
+   right.  Only match rows are ranked per (category, threshold); unmatched
+   detections enter through one threshold-free position per category, so
+   ``k = position + 1 - ignored so far`` and ``m`` is the running true-positive
+   count (distributed ranking, ``plans.ranking.ranked``: a category holding
+   most detections is still spread over all tasks).  Precision at the m-th
+   true positive is ``m / k``; the envelope only needs the maximum per *recall
+   band* ``b = floor(100 m / npig)``, an aggregation with map-side combine,
+   followed by a suffix maximum over at most 101 bands.  Recall point ``i`` is
+   reached when ``100 * tp >= i * npig`` (exact integer test, where the
+   reference library compares against float ``linspace``).
 5. ``coco_ap`` / ``coco_ar`` aggregate the curve and the per-threshold recall.
 Categories without non-crowd truth are left out of the means.  Area ranges
 other than "all" are not computed.
