@@ -202,8 +202,8 @@ def pr_curve(det_top: DataFrame, matches: DataFrame, n_pos: DataFrame, thrs=IOU_
 def evaluate_inputs(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
                     max_det: int = 100, thrs=IOU_THRS):
     """``(detections, truths, matches)``.  The evaluated detections (best
-    ``max_det`` per image and category) and the match table are checkpointed
-    to the shared checkpoint folder: both are read several times below and
+    ``max_det`` per image and category) and the match table are written as
+    Parquet to the shared checkpoint folder: both are read several times below and
     the matching must not run again."""
     d, g = eval_sets(det, gt_xyxy, images, categories, max_det=max_det)
     d = materialize(d, "eval-dets")

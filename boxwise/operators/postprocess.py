@@ -129,7 +129,7 @@ def nms_distributed(det: DataFrame, *, iou_thr: float, group=("image_id", "categ
     undecided better-ranked conflict is kept, and its worse-ranked conflicts
     are suppressed.  This is the greedy result: a box is kept exactly when
     every better-ranked conflict was suppressed.  Each round's state is
-    checkpointed to the shared checkpoint folder.
+    written as Parquet to the shared checkpoint folder.
     """
     grp = list(group)
     r = ranked(det, [F.col("score").desc(), F.col("det_id")], group=grp, name="rk")

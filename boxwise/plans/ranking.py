@@ -14,10 +14,10 @@ the group through one task.  ``ranked`` instead
 4. joins the offsets back (broadcast: the segment table's size is bounded by
    the partition count plus the number of groups).
 
-The numbered rows are checkpointed (reliable checkpoint in the shared
-``spark.checkpoint.dir``) before the two uses: range bounds come from a sample,
+The numbered rows are written as Parquet under the shared
+``spark.checkpoint.dir`` (``session.materialize``) before the two uses: range bounds come from a sample,
 and a second evaluation over a re-run upstream shuffle could draw other bounds
-and number rows differently.  The checkpoint also cuts the lineage, so a lost
+and number rows differently.  The written copy also cuts the lineage, so a lost
 executor does not re-run the upstream plan.  Rank narrow tables (ids and order
 keys), then join wide payloads to the positions.
 
