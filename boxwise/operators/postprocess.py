@@ -7,7 +7,9 @@ with ``IoU > thr`` (strict, tested as ``inter > thr * union``).  The greedy walk
 is a higher-order ``aggregate`` over the group's sorted array, so it stays in
 the JVM with no Python.  Group size is bounded by the detector's per-image
 output; :func:`postprocess` applies the ``nms_pre`` top-k (with Spark's
-map-side ``WindowGroupLimit``) before any group is formed.
+map-side ``WindowGroupLimit``) before any group is formed.  A standalone
+:func:`nms` sends groups above ``NMS_MAX_GROUP`` rows to
+:func:`nms_distributed` (exact, in parallel rounds), never into one task.
 """
 
 from __future__ import annotations
