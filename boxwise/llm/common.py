@@ -1,22 +1,19 @@
-"""Shared helpers: table access, ordered-row conventions, small numeric tools."""
+"""Shared helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxwise.session import ship_package
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
+    """One of the given tables; also makes the operators importable on the workers."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def private(df: DataFrame, columns: dict[str, str], prefix: str = "_llm_") -> DataFrame:
-    """Select only ``columns`` (source name -> role) under private role names, so
-    extra input columns can never clash with an operator's own."""
-    return df.select(*[F.col(f"`{src}`").alias(prefix + role) for src, role in columns.items()])
-
-
 def crc_bucket(column: str, modulus: int):
     """crc32 of the column's decimal text, modulo ``modulus``."""
     return F.crc32(F.col(f"`{column}`").cast("string").cast("binary")) % F.lit(modulus)

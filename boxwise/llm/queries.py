@@ -5,10 +5,11 @@ Each query applies its operator, with production parameters, to the whole table.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from boxwise.llm import exact_dedup, rules, secrets
-from boxwise.llm.common import table
+from boxwise.llm import bpe, exact_dedup, langid, quality_bt, rules, secrets, warc
+from boxwise.llm.common import crc_bucket, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +24,38 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_quality_classifier")
+def _op1(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_bt.fit(docs, labels.filter(crc_bucket("doc_id", 5) != 0))
+    return quality_bt.score(docs, model).select(
+        F.col("id").alias("doc_id"), (crc_bucket("id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@register("op2_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN octet_length(encode(h)) >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN octet_length(encode(h)) >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM g""")
+def _op2(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    records = warc.read(spark, warc.archive(pages), with_payload=False)
+    return records.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+@register("op3_byte_bpe")
+def _op3(spark, sf_dir):
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    return rows.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register("op4_exact_dedup", """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -45,3 +78,11 @@ def _op8(spark, sf_dir):
     return found.selectExpr(
         "doc_id", count.format(0, "n_assign"), count.format(1, "n_access"), count.format(2, "n_hex"),
         f"sha2({secrets.spans_text('base')}, 256) AS base_sha256", f"{secrets.spans_text('found')} AS spans")
+
+
+@register("op10_language_id")
+def _op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(crc_bucket("doc_id", 4) != 2))
+    return langid.predict(docs, model, carry=["doc_id"]).select(
+        "doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
