@@ -25,7 +25,14 @@ from pyspark.sql import functions as F
 
 from boxwise.session import materialize, scratch_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# disk-backed state; many partitions hold little each, so no file space is
+# allocated ahead and a commit writes its changes only
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -41,9 +48,9 @@ def stream_digests(spark: SparkSession, path: str, schema, *, id_col: str = "doc
     return (digest, n_bytes, keep_id, locator, group_size).  A caller that keeps
     ``checkpoint`` can call again when files were added: the state goes on."""
     root = checkpoint or scratch_path(spark, "exact-dedup")
-    key = "spark.sql.streaming.stateStore.providerClass"
-    saved = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    saved = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         # a glob lets the file source take a single file as well as a folder
         src = (spark.readStream.schema(schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger))
@@ -57,7 +64,8 @@ def stream_digests(spark: SparkSession, path: str, schema, *, id_col: str = "doc
         (state.writeStream.outputMode("update").option("checkpointLocation", f"{root}/state")
          .trigger(availableNow=True).foreachBatch(put).start().awaitTermination())
     finally:
-        spark.conf.unset(key) if saved is None else spark.conf.set(key, saved)
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     id_type = schema[id_col].dataType.simpleString()
     written = (f"digest string, n_bytes int, top struct<doc_id:{id_type},file:string>, group_size bigint, batch bigint")
     try:
