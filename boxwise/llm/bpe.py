@@ -25,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 RUN_CHARS = 2_000_000
-CACHE_ENTRIES = 600_000            # cached slices per worker; a full cache starts anew
+CACHE_ENTRIES = 1_000_000           # cached slices per worker; a full cache starts anew
 SENTINEL = 0x110000                # stands between two texts
 
 # code point classes
@@ -65,10 +66,14 @@ def _automaton():
 
 @lru_cache(maxsize=1)
 def _monoid():
+    return monoid(*_automaton())
+
+
+def monoid(step: np.ndarray, begin: np.ndarray):
     """(element of each class, composition table, action on states, begin table)."""
-    step, begin = _automaton()
-    elements = {tuple(range(8)): 0}
-    gens = [tuple(int(x) for x in step[:, c]) for c in range(9)]
+    states, n_classes = step.shape
+    elements = {tuple(range(states)): 0}
+    gens = [tuple(int(x) for x in step[:, c]) for c in range(n_classes)]
     queue = list(elements)
     while queue:
         f = queue.pop()
@@ -87,7 +92,7 @@ def _monoid():
     return of_class, table, act, begin
 
 
-def _scan(x: np.ndarray, table: np.ndarray) -> np.ndarray:
+def scan(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Exclusive products of the monoid elements ``x`` (element 0 is the identity)."""
     n, m = len(x), len(table)
     flat = table.ravel()
@@ -105,7 +110,7 @@ def _scan(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     out = np.zeros((width + 1, blocks), np.uint16)
     for j in range(width):
         np.take(flat, out[j].astype(np.uint32) * m + lanes[j], out=out[j + 1])
-    before = _scan(out[width], table)                       # product of all earlier blocks
+    before = scan(out[width], table)                       # product of all earlier blocks
     full = flat[before.astype(np.uint32)[None, :] * m + out[:width]]
     return np.ascontiguousarray(full.T).ravel()[:n]
 
@@ -141,6 +146,17 @@ def classes(cps: np.ndarray) -> np.ndarray:
     return c
 
 
+def byte_positions(cps: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Byte position of every code point in UTF-8, and the end."""
+    size = np.ones(len(cps), np.uint8)
+    for low in (0x80, 0x800, 0x10000):
+        size += cps >= low
+    size[stops] = 1
+    at = np.zeros(len(cps) + 1, np.int64)
+    np.cumsum(size, out=at[1:])
+    return at
+
+
 def slices(texts: list[str]):
     """(bytes, begins, ends, number of slices per text): the matches of all texts
     as byte ranges of one buffer."""
@@ -150,14 +166,9 @@ def slices(texts: list[str]):
     cps[stops] = SENTINEL
     c = classes(cps)
     of_class, table, act, begin = _monoid()
-    state = act[_scan(of_class[c], table), START]
+    state = act[scan(of_class[c], table), START]
     starts = begin[state, c]
-    size = np.ones(len(cps), np.uint8)
-    for low in (0x80, 0x800, 0x10000):
-        size += cps >= low
-    size[stops] = 1
-    at = np.zeros(len(cps) + 1, np.int64)
-    np.cumsum(size, out=at[1:])
+    at = byte_positions(cps, stops)
     edges = np.flatnonzero(starts)                          # sentinels included: they end the last slice
     is_end = c[edges] == END
     begins = at[edges[:-1]][~is_end[:-1]]
@@ -166,8 +177,34 @@ def slices(texts: list[str]):
     return joined.encode(), begins, ends, counts
 
 
-class Merges(dict):
-    """slice -> index of its ids in the flat arrays; merged on first use."""
+class SliceCache(dict):
+    """slice -> index of its ids in flat arrays; a full cache starts anew."""
+
+    def __init__(self):
+        super().__init__()
+        self.reset()
+
+    def reset(self):
+        self.clear()
+        self.ids, self.ends = array("I"), array("q", [0])
+
+    def put(self, piece: bytes, ids) -> int:
+        self.ids.extend(ids)
+        self[piece] = n = len(self.ends) - 1
+        self.ends.append(len(self.ids))
+        return n
+
+    def expand(self, index: np.ndarray):
+        """(ids, number of ids per slice) of the slices ``index``."""
+        flat, edges = np.array(self.ids, np.uint32), np.array(self.ends, np.int64)
+        low, count = edges[index], edges[index + 1] - edges[index]
+        stop = np.cumsum(count)
+        where = np.repeat(low - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)
+        return flat[where], count
+
+
+class Merges(SliceCache):
+    """Slices are merged on first use."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
@@ -177,19 +214,9 @@ class Merges(dict):
         for k, v in ranks.items():
             self.vocab[v] = k
         self.lengths = np.array([len(v) for v in self.vocab], np.int64)
-        self.reset()
-
-    def reset(self):
-        self.clear()
-        self.ids: list[int] = []
-        self.ends: list[int] = []
-        self.first = (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     def __missing__(self, piece: bytes) -> int:
-        self.ids += self.merge(piece)
-        self[piece] = n = len(self.ends)
-        self.ends.append(len(self.ids))
-        return n
+        return self.put(piece, self.merge(piece))
 
     def merge(self, piece: bytes) -> list[int]:
         ranks = self.ranks
@@ -238,16 +265,6 @@ class Merges(dict):
             i = end[i]
         return out
 
-    def expand(self, index: np.ndarray):
-        """(ids, number of ids per slice) of the slices ``index``."""
-        if len(self.first[1]) != len(self.ends) + 1:
-            self.first = (np.array(self.ids, np.uint32), np.array([0, *self.ends], np.int64))
-        flat, first = self.first
-        low, count = first[index], first[index + 1] - first[index]
-        stop = np.cumsum(count)
-        where = np.repeat(low - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)
-        return flat[where], count
-
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
