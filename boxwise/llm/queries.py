@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boxwise.llm import bpe, exact_dedup, langid, quality_bt, rules, secrets, warc
+from boxwise.llm import bpe, exact_dedup, langid, packing, quality_bt, rules, secrets, warc
 from boxwise.llm.common import crc_bucket, table
 
 QUERIES: dict = {}
@@ -71,6 +71,17 @@ def _op6(spark, sf_dir):
     return rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def _vocabulary(name: str) -> str:
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+@register("op7_best_fit_packing")
+def _op7(spark, sf_dir):
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 @register("op8_secret_scans")
 def _op8(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents"))
