@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boxwise.llm import bpe, exact_dedup, langid, packing, quality_bt, rules, secrets, warc
+from boxwise.llm import bpe, exact_dedup, langid, packing, quality_bt, rules, secrets, token_codec, warc
 from boxwise.llm.common import crc_bucket, table
 
 QUERIES: dict = {}
@@ -91,6 +91,15 @@ def _op8(spark, sf_dir):
         f"sha2({secrets.spans_text('base')}, 256) AS base_sha256", f"{secrets.spans_text('found')} AS spans")
 
 
+@register("op9_token_files")
+def _op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_codec.write(docs, _vocabulary("word_bpe_49k.json"), end_id=2)
+    return token_codec.read(spark, manifest).select(
+        F.col("name").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "start", "n_tokens",
+        F.crc32("ids").alias("ids_crc32"))
+
+
 @register("op10_language_id")
 def _op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
