@@ -188,8 +188,9 @@ def predict_texts(m: Model, texts: list[str], group: int = 64) -> tuple[np.ndarr
     return p.argmax(1), p.max(1)
 
 
-def predict(df: DataFrame, model: Model | None, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """``carry`` columns of ``df`` plus lang_pred and score.  The model (some
+def predict(df: DataFrame, model: Model | None, *, text_col: str = "text", carry: list[str] | None = None,
+            pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """``carry`` columns of ``df`` plus the predicted language and its score.  The model (some
     kilobytes) travels with the task."""
     carry = df.columns if carry is None else carry
     held = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
@@ -217,4 +218,5 @@ def predict(df: DataFrame, model: Model | None, *, text_col: str = "text", carry
     schema = T.StructType([held.schema["row"], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     out = held.mapInArrow(task, schema)
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in carry], "lang_pred", "score")
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in carry], F.col("lang_pred").alias(pred_col),
+                      F.col("score").alias(score_col))

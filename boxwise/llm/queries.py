@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boxwise.llm import bpe, exact_dedup, langid, packing, quality_bt, rules, secrets, token_codec, warc
+from boxwise.llm import bpe, exact_dedup, langid, lsh_forest, packing, quality_bt, rules, secrets, token_codec, warc
 from boxwise.llm.common import crc_bucket, table
 
 QUERIES: dict = {}
@@ -66,6 +66,26 @@ def _op4(spark, sf_dir):
             .select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")))
 
 
+@register("op5_near_dedup", """
+WITH RECURSIVE
+w AS (SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [words]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: words[i:i+4]) END) AS g FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+      GROUP BY 1, 2),
+link AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+         WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)""")
+def _op5(spark, sf_dir):
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op6_quality_rules", rules.rules_oracle())
 def _op6(spark, sf_dir):
     return rules.apply_rules(table(spark, sf_dir, "documents"))
