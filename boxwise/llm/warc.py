@@ -209,9 +209,10 @@ RECORD = T.StructType([
 def read(spark: SparkSession, files: DataFrame, *, range_bytes: int = 32 << 20, with_payload: bool = True) -> DataFrame:
     """Records of the archives in ``files`` (path, n_bytes).  Responses are checked
     against their digest and length; for a revisit both come from its headers."""
+    cuts = files.agg(F.sum(F.ceil(F.col("n_bytes") / range_bytes))).first()[0] or 1
     ranges = (files.select("path", "n_bytes", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.greatest(F.col("n_bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint"))).alias("start"))
-        .repartition(F.col("path"), F.col("start")))
+        .repartition(int(min(cuts, 100_000))))               # the few rows would else be coalesced into one task
 
     def task(batches):
         import pandas as pd
