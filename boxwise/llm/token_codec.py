@@ -304,14 +304,14 @@ def write(docs: DataFrame, vocabulary: str, *, end_id: int, root: str | None = N
         from pyspark import TaskContext
         ctx, lib, out, n = TaskContext.get(), tokens.loaded(shared.value), None, 0
         for batch in batches:
-            names, texts = batch.column("name").to_pylist(), batch.column("text").to_pylist()
-            for low, high in bpe.runs(texts):
+            names = batch.column("name").to_pylist()
+            for low, high, texts in bpe.text_runs(batch.column("text")):
                 if out is None:
                     fs, base = resolve(root)
                     fs.create_dir(base, recursive=True)
                     path = f"{base}/part-{ctx.partitionId():06d}-{ctx.taskAttemptId()}.tok"
                     out = FileWriter(fs.open_output_stream(path, compression=None))
-                ids, per_text = tokens.append_end(*lib.encode(texts[low:high]), end_id)
+                ids, per_text = tokens.append_end(*lib.encode(texts), end_id)
                 out.put(names[low:high], ids, per_text)
                 n += len(ids)
         if out is not None:
@@ -350,4 +350,5 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("start", T.LongType()),
                            T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return manifest.select("path", "n_bytes", "start").repartition("path").mapInPandas(task, schema)
+    files = max(1, manifest.count())                     # a task per file; no coalescing of the few rows
+    return manifest.select("path", "n_bytes", "start").repartition(files).mapInPandas(task, schema)
