@@ -17,7 +17,7 @@ The pattern is the split pattern of the rank files:
 Defined results: null or empty text has no token; any other text round-trips;
 rows are encoded one by one, so repeated rows get equal ids; empty tables give
 empty results; extra columns are not read.  A batch is worked on in runs of
-about RUN_CHARS characters; one text is never split.
+about RUN_BYTES; one text is never split.
 """
 
 from __future__ import annotations
@@ -30,11 +30,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-RUN_CHARS = 2_000_000
-CACHE_ENTRIES = 1_000_000           # cached slices per worker; a full cache starts anew
+RUN_BYTES = 1 << 19
+CACHE_ENTRIES = 400_000           # cached slices per worker; a full cache starts anew
 SENTINEL = 0x110000                # stands between two texts
 
 # code point classes
@@ -281,16 +282,15 @@ def loaded(data: bytes) -> Merges:
     return _LOADED[key]
 
 
-def runs(texts: list, chars: int = RUN_CHARS):
-    """Consecutive index ranges of about ``chars`` characters."""
-    low = total = 0
-    for i, t in enumerate(texts):
-        total += len(t or "")
-        if total >= chars:
-            yield low, i + 1
-            low, total = i + 1, 0
-    if low < len(texts):
-        yield low, len(texts)
+def text_runs(column: pa.Array, size: int = RUN_BYTES):
+    """(low, high, texts) of consecutive rows with about ``size`` bytes of text, so
+    that only one run of a batch exists as Python strings at a time."""
+    edges = np.concatenate([[0], np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))])
+    low, n = 0, len(column)
+    while low < n:
+        high = min(n, max(low + 1, int(np.searchsorted(edges, edges[low] + size, side="right")) - 1))
+        yield low, high, column.slice(low, high - low).to_pylist()
+        low = high
 
 
 def encode_texts(m: Merges, texts: list[str]):
@@ -330,9 +330,8 @@ def encode(df: DataFrame, ranks: bytes, *, id_col: str = "doc_id", text_col: str
     def task(batches):
         m = loaded(data.value)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for low, high in runs(texts):
-                ids, offsets, per_text = encode_texts(m, texts[low:high])
+            for low, high, texts in text_runs(batch.column("text")):
+                ids, offsets, per_text = encode_texts(m, texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(low, high - low),
                      _small(_binary(ids.astype("<u4"), per_text, 4)),
@@ -360,8 +359,8 @@ def decode(df: DataFrame, ranks: bytes) -> DataFrame:
     def task(batches):
         m = loaded(data.value)
         for batch in batches:
-            ids, offsets = batch.column("ids").to_pylist(), batch.column("offsets").to_pylist()
-            out = [decode_ids(m, np.frombuffer(i, "<u4"), np.frombuffer(o, "<u4")) for i, o in zip(ids, offsets)]
+            out = [decode_ids(m, np.frombuffer(i.as_buffer(), "<u4"), np.frombuffer(o.as_buffer(), "<u4"))
+                   for i, o in zip(batch.column("ids"), batch.column("offsets"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                              names=[*batch.schema.names, "decoded"])
 

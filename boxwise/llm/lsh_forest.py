@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boxwise.llm.bpe import runs
+from boxwise.llm.bpe import text_runs
 from boxwise.session import materialize
 
 SHINGLE = 5
@@ -120,9 +120,8 @@ def _sign(docs: DataFrame) -> DataFrame:
     """(doc_id, n, node, sig): sig in big-endian, so bytes sort as the values do."""
     def task(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for low, high in runs(texts):
-                sets = shingle_sets(texts[low:high])
+            for low, high, texts in text_runs(batch.column("text")):
+                sets = shingle_sets(texts)
                 full = [s for s in sets if len(s)]
                 sig = iter(signatures(full).astype(">u4"))
                 node = [node_key(s) if len(s) else None for s in sets]
@@ -255,10 +254,9 @@ def _confirm_groups(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFra
     """(node, root): true components of each cluster.  ``texts`` (cluster, node,
     text), ``pairs`` (cluster, a, b, agree)."""
     def task(left, right):
-        t = left.to_pydict()
-        sets, names = {}, t["node"]
-        for low, high in runs(t["text"]):
-            for node, s in zip(names[low:high], shingle_sets(t["text"][low:high])):
+        sets, names = {}, left.column("node").to_pylist()
+        for low, high, texts in text_runs(left.column("text").combine_chunks()):
+            for node, s in zip(names[low:high], shingle_sets(texts)):
                 if node_key(s) == node:                      # another row may have the same id
                     sets[node] = s
         parent = {n: n for n in sets}
