@@ -28,10 +28,6 @@ def intersection(a, b) -> Column:
     return iw * ih
 
 
-def union_area(a, b) -> Column:
-    return area(a) + area(b) - intersection(a, b)
-
-
 def iou(a, b) -> Column:
     """Intersection over union; 0 when the union is 0."""
     inter = intersection(a, b)
@@ -48,9 +44,3 @@ def iou_above(a, b, thr: float) -> Column:
 def round_half_even(c: Column) -> Column:
     """Python's ``int(round(v))``: banker's rounding, then an integer."""
     return F.bround(c, 0).cast("int")
-
-
-def iou_sql(a: str, b: str) -> str:
-    """The same intersection expression as SQL text (oracle helper)."""
-    return (f"greatest(0.0, least({a}x2, {b}x2) - greatest({a}x1, {b}x1)) * "
-            f"greatest(0.0, least({a}y2, {b}y2) - greatest({a}y1, {b}y1))")

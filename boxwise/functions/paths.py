@@ -38,10 +38,6 @@ def basename(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
-def dirname(path: Column) -> Column:
-    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
-
-
 def relative_to(path: Column, root: str) -> Column:
     """Path relative to ``root`` with leading slashes stripped (``lstrip('/')``)."""
     r = root.rstrip("/")
@@ -55,8 +51,3 @@ def ends_with_any(path: Column, suffixes: str | Iterable[str]) -> Column:
     for s in suffixes:
         cond = cond | path.endswith(s)
     return cond
-
-
-def padded_image_name(id_col: Column, width: int = 12, ext: str = ".jpg") -> Column:
-    """``000000458705.jpg`` style file names."""
-    return F.concat(F.lpad(id_col.cast("string"), width, "0"), F.lit(ext))

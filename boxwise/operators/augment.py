@@ -155,7 +155,7 @@ def sample_cache_partners(plan: DataFrame, *, cache: int, k: int, min_cache: int
 
 # ------------------------------------------------------------------ mosaic --
 
-def mosaic_compose(canvas: DataFrame, boxes: DataFrame, partners: DataFrame, *, img_scale=(640, 640),
+def mosaic_compose(canvas: DataFrame, boxes: DataFrame, partners: DataFrame, *, samples: DataFrame | None = None, img_scale=(640, 640),
                    center_ratio_range=(0.5, 1.5), seed: int = DEFAULT_SEED, epoch: int = 0) -> DataFrame:
     """Four images on a ``2W x 2H`` canvas around a random centre.
 
@@ -166,7 +166,8 @@ def mosaic_compose(canvas: DataFrame, boxes: DataFrame, partners: DataFrame, *,
     Boxes scale by ``r``, shift by the paste offset, are clipped to the whole
     canvas and empty ones dropped.  ``canvas``: ``image_id, w, h``; ``boxes``:
     box rows with ``image_id``; returns box rows (``tile``, ``src_id`` added)
-    on the mosaic canvas.  Images without three partners are not in the output.
+    on the mosaic canvas.  An image of ``samples`` (``image_id``) without three
+    partners is not mixed and passes as it is, on its own canvas, as tile 0.
     """
     W, H = img_scale
     tiles = partners.where(F.col("slot").between(1, 3)).select("image_id", F.col("slot").alias("tile"),
@@ -197,7 +198,13 @@ def mosaic_compose(canvas: DataFrame, boxes: DataFrame, partners: DataFrame, *,
                    (F.col("x1") * F.col("r") + F.col("padw")).alias("x1"), (F.col("y1") * F.col("r") + F.col("padh")).alias("y1"),
                    (F.col("x2") * F.col("r") + F.col("padw")).alias("x2"), (F.col("y2") * F.col("r") + F.col("padh")).alias("y2"),
                    F.lit(2 * W).alias("w"), F.lit(2 * H).alias("h"))
-    return _apply(out, w=F.col("w"), h=F.col("h"), boxes={}, drop_invalid=True)
+    out = _apply(out, w=F.col("w"), h=F.col("h"), boxes={}, drop_invalid=True)
+    if samples is None:
+        return out
+    alone = samples.select("image_id").join(full.hint("merge"), "image_id", "left_anti")
+    own = (boxes.join(alone.hint("merge"), "image_id").join(canvas.select("image_id", "w", "h").hint("merge"), "image_id")
+           .withColumns({"tile": F.lit(0), "src_id": F.col("image_id")}))
+    return out.unionByName(own.select(*out.columns))
 
 
 # ------------------------------------------------------------------- mixup --
@@ -246,24 +253,27 @@ def mixup_compose(target: DataFrame, pool: DataFrame, partners: DataFrame, *, im
 
 def augment_plan(images: DataFrame, boxes: DataFrame, plan: DataFrame, *, epoch: int, switch_epoch: int = 280,
                  seed: int = DEFAULT_SEED, mosaic_cache: int = 40, mixup_cache: int = 20,
-                 scale=(640, 640)) -> DataFrame:
+                 scale=(640, 640), ratio_range=(0.1, 2.0), mixup_prob: float = 1.0) -> DataFrame:
     """The training chain for one epoch, chosen by epoch (stage 2 from ``switch_epoch``).
 
-    Stage 1: mosaic -> random resize (2x scale, ratio 0.1-2.0) -> crop -> flip
-    -> pad -> mixup with a cached, already-augmented partner.  Stage 2: random
-    resize (scale, ratio 0.1-2.0) -> crop -> flip -> pad.  ``boxes``: box rows
-    ``image_id, box_id, x1..y2, label``; ``plan``: the epoch plan (stream, idx).
+    Stage 1: mosaic -> random resize (2x scale, ``ratio_range``) -> crop -> flip
+    -> pad -> mixup (``mixup_prob``) with a cached, already-augmented partner; a
+    sample without mosaic partners goes on unmixed.  Stage 2: random resize
+    (scale, ``ratio_range``) -> crop -> flip -> pad.  The defaults are the settings
+    of the large models; the tiny ones use ratios 0.5-2.0 and mixup 0.5.
+    ``boxes``: box rows ``image_id, box_id, x1..y2, label``; ``plan``: the epoch
+    plan (stream, idx).
     """
     cv = frame(images)
     fb = frame(images, boxes)
     if epoch >= switch_epoch:
-        x = random_resize(fb, scale=scale, ratio_range=(0.1, 2.0), seed=seed, epoch=epoch)
+        x = random_resize(fb, scale=scale, ratio_range=ratio_range, seed=seed, epoch=epoch)
         x = random_crop(x, scale, seed=seed, epoch=epoch)
         return pad(random_flip(x, 0.5, seed=seed, epoch=epoch), scale)
     mp = sample_cache_partners(plan, cache=mosaic_cache, k=3, min_cache=5, seed=seed, epoch=epoch, op="mosaic")
-    x = mosaic_compose(cv, fb.drop("w", "h"), mp, img_scale=scale, seed=seed, epoch=epoch)
-    x = random_resize(x, scale=(2 * scale[0], 2 * scale[1]), ratio_range=(0.1, 2.0), seed=seed, epoch=epoch)
+    x = mosaic_compose(cv, fb.drop("w", "h"), mp, samples=plan, img_scale=scale, seed=seed, epoch=epoch)
+    x = random_resize(x, scale=(2 * scale[0], 2 * scale[1]), ratio_range=ratio_range, seed=seed, epoch=epoch)
     x = random_crop(x, scale, seed=seed, epoch=epoch)
     x = pad(random_flip(x, 0.5, seed=seed, epoch=epoch), scale)
     xp = sample_cache_partners(plan, cache=mixup_cache, k=1, min_cache=2, seed=seed, epoch=epoch, op="mixup")
-    return mixup_compose(x, x, xp, img_scale=scale, seed=seed, epoch=epoch)
+    return mixup_compose(x, x, xp, img_scale=scale, prob=mixup_prob, seed=seed, epoch=epoch)

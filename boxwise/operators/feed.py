@@ -62,9 +62,9 @@ def aspect_ratio_batches(images: DataFrame, *, batch_size: int, order_col: str =
     return d.withColumn("batch_id", F.floor(F.col("_r") / batch_size).cast("bigint")).drop("_r")
 
 
-def first_batch(df: DataFrame, batch_size: int, *, order_col: str = "pos") -> DataFrame:
+def first_batch(df: DataFrame, batch_size: int, *, order_col: str | list = "pos") -> DataFrame:
     """Take one batch and stop (a distributed top-k: per-task limit, then merge)."""
-    return df.orderBy(order_col).limit(batch_size)
+    return df.orderBy(*([order_col] if isinstance(order_col, str) else order_col)).limit(batch_size)
 
 
 def epoch_sample(df: DataFrame, epoch_size: int, *, order_col: str = "pos") -> DataFrame:

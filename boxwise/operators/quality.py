@@ -94,13 +94,12 @@ def check_counts(report: DataFrame) -> None:
     bad = report.where(~F.col("ok")).collect()  # one row per split: bounded
     if bad:
         r = bad[0]
-        raise ValueError(f"Number of samples in split {r['split']} doesn't match. "
-                         f"Expected {r['expected']}, but got {r['n_samples']}")
+        raise ValueError(f"split {r['split']}: {r['n_samples']} samples, {r['expected']} expected")
 
 
 def check_unique_images(images: DataFrame) -> None:
     if duplicate_images(images).limit(1).count():
-        raise ValueError("duplicated image record")
+        raise ValueError("an image id occurs in more than one record")
 
 
 def label_count(categories: DataFrame, images: DataFrame, ann: DataFrame) -> DataFrame:

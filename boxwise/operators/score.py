@@ -8,25 +8,40 @@ opens them on the executor.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 from typing import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-_MODELS: dict[str, object] = {}
+from boxwise.session import ship_package
+
+_MODELS: dict[tuple, object] = {}
+
+
+def _model(key: tuple, loader: Callable[[], object]) -> object:
+    """The worker's model under ``key``, loaded at its first use."""
+    if key not in _MODELS:
+        _MODELS[key] = loader()
+    return _MODELS[key]
+
+
+def _scorer(key: tuple, loader, predict, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    model = _model(key, loader)
+    for pdf in batches:
+        yield predict(model, pdf)
 
 
 def batch_score(images: DataFrame, loader: Callable[[], object], predict: Callable[[object, pd.DataFrame], pd.DataFrame],
-                schema: str, *, key: str = "default") -> DataFrame:
-    """Detections for every image: ``predict(model, batch) -> DataFrame(schema)``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _MODELS.get(key)
-        if model is None:
-            model = _MODELS[key] = loader()
-        for pdf in batches:
-            yield predict(model, pdf)
-    return images.mapInPandas(run, schema)
+                schema: str, *, key: str | None = None) -> DataFrame:
+    """Detections for every image: ``predict(model, batch) -> DataFrame(schema)``.
+
+    Workers find the cache by importing this module, so a model is loaded once
+    per Python worker and application.  Models are told apart by the loader's
+    module and name; give ``key`` where one loader stands for several models."""
+    ship_package(images.sparkSession)
+    own = (images.sparkSession.sparkContext.applicationId, loader.__module__, loader.__qualname__, key)
+    return images.mapInPandas(partial(_scorer, own, loader, predict), schema)
 
 
 def sample_transform(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

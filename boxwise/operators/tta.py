@@ -10,6 +10,7 @@ NMS (IoU 0.6) and a per-image top-k (100).
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -66,11 +67,10 @@ def undo_variant(det_v: DataFrame, variants: DataFrame) -> DataFrame:
 
 
 def union_variants(frames: Sequence[DataFrame]) -> DataFrame:
-    """Merge per-variant detection tables (by column name)."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """Merge per-variant detection tables (by column name).  Where the variants
+    are rows of one table, ``undo_variant`` over its ``variant`` column gives the
+    same union in one pass."""
+    return reduce(DataFrame.unionByName, frames)
 
 
 def tta_merge(det_v: DataFrame, variants: DataFrame, *, iou_thr: float = 0.6, max_per_img: int = 100) -> DataFrame:

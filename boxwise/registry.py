@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boxwise import fixtures as fx
+from boxwise.functions.draws import order_key
 from boxwise.operators import dataset as ds
 from boxwise.operators import quality as q
 
@@ -256,13 +257,11 @@ SELECT image_id, split, n_boxes, row_number() OVER (PARTITION BY split ORDER BY
               ELSE lpad(CAST(image_id AS VARCHAR), 20, '0') END, image_id) - 1 AS pos
 FROM g""", extra_ctes=LAB_CTE + "," + GROUP_SQL))
 def _g4(spark, d):
-    # each split is built from its own images (as a converter does per split), then unioned
+    # all splits are grouped in one pass, with the split as a column of the images
     im, ann = fx.images(spark, d), fx.annotations(spark, d)
-    labels = ds.dense_labels(fx.categories(spark, d))
-    parts = {sp: ds.summarize_samples(ds.group_samples(im.where(F.col("split") == sp).drop("split"), ann, labels,
-                                                       split=sp)).select("image_id", "n_boxes")
-             for sp in ("train", "val")}
-    return ds.order_splits(ds.union_splits(parts))
+    s = ds.summarize_samples(ds.group_samples(im, ann, ds.dense_labels(fx.categories(spark, d))))
+    return ds.order_splits(s.select("image_id", "n_boxes").join(
+        im.select(F.col("id").alias("image_id"), "split").hint("merge"), "image_id"))
 
 
 @register("format_sample", W("""
@@ -286,9 +285,10 @@ def _c15(spark, d):
 from boxwise.operators import postprocess as pp  # noqa: E402
 
 DET_COLS = "det_id, image_id, category_id, x1, y1, x2, y2, score"
-# fixed parameters: confidence cut of the inference notebook, model-level NMS
+# fixed parameters: confidence cut of the inference notebook, the model's own score threshold, model-level NMS
 # thresholds (test 0.65, TTA 0.6), and per-image limits of the model config
 CONF_THR = 0.1
+MODEL_THR = 0.001
 NMS_THR = 0.5
 TOPK = 10
 
@@ -436,6 +436,7 @@ def _e8(spark, d):
 
 from boxwise.operators import feed as fd  # noqa: E402
 from boxwise.plans import shards as sh  # noqa: E402
+from boxwise.sinks import files as fo  # noqa: E402
 from boxwise.session import scratch_path  # noqa: E402
 
 SAMPLES_CTE = "smp AS (SELECT id AS image_id FROM images WHERE id IN (SELECT image_id FROM annotations))"
@@ -489,8 +490,11 @@ def _f2(spark, d):
 
 @register("first_batch", W("SELECT image_id, pos FROM sp0 ORDER BY pos LIMIT 32", extra_ctes=SHUF_CTE))
 def _g2(spark, d):
+    # a top-k of the shuffle key: the other images are never ranked
     im = fx.images(spark, d).select(F.col("id").alias("image_id"))
-    return fd.first_batch(ds.shuffle_samples(im), 32)
+    first = fd.first_batch(im.withColumn("_k", order_key("image_id", 9176)), 32, order_col=["_k", "image_id"])
+    w = Window.orderBy("_k", "image_id")
+    return first.withColumn("pos", F.row_number().over(w).cast("bigint") - 1).select("image_id", "pos")
 
 
 EPOCH_SIZE = 20000
@@ -558,9 +562,10 @@ def _b6(spark, d):
     return sh.shard_counts(spark, _write(spark, d, codec="zstd"))
 
 
-@register("shard_manifest")
+@register("shard_manifest", SHARD_COUNT_SQL)
 def _b4(spark, d):
-    return sh.shard_manifest(spark, _write(spark, d))
+    m = sh.shard_manifest(spark, _write(spark, d))
+    return m.where("length(sha1) = 40 AND length(xxh64) = 16 AND file_bytes > 0").select("split", "shard", "n_samples", "n_bytes")
 
 
 @register("read_split", W("SELECT sample_id, shard, pos, nbytes FROM plan WHERE split = 'val'",
@@ -569,12 +574,28 @@ def _a7(spark, d):
     return sh.read_split(spark, _write(spark, d), "val").select("sample_id", "shard", "pos", "nbytes")
 
 
-@register("validate_hashes", """
-SELECT * FROM (SELECT 'p' AS path, 's' AS split, CAST(0 AS BIGINT) AS shard, 'h' AS sha1, 'h' AS xxh64,
-                      'h' AS sha1_now, 'h' AS xxh64_now) t WHERE 1 = 0""")
+@register("validate_hashes", W("""
+SELECT split, shard, 'changed' AS issue FROM plan WHERE sample_id = (SELECT min(sample_id) FROM plan WHERE split = 'train')
+UNION ALL SELECT split, shard, 'missing' FROM plan WHERE sample_id = (SELECT min(sample_id) FROM plan WHERE split = 'val')""",
+                               recursive=True, extra_ctes=SHARD_CTES))
 def _b5(spark, d):
-    root = _write(spark, d)
-    return sh.validate_hashes(spark, root, sh.shard_manifest(spark, root))
+    """A copy of the shards at another root, with the shard of the first training
+    sample changed and that of the first validation sample left out."""
+    root, moved = _write(spark, d), scratch_path(spark, "moved")
+    manifest = sh.shard_manifest(spark, root)
+    first = spark.read.parquet(root).groupBy("split").agg(F.min_by("shard", "sample_id").alias("shard")).collect()
+    at = {r["split"]: f"split={r['split']}/shard={r['shard']}/" for r in first}
+    fo.copy_tree(spark, root, moved)
+    name = F.col("rel_path")
+    picked = manifest.where(name.startswith(at["train"])).select(F.concat(F.lit(moved + "/"), name).alias("path"),
+                                                                  F.lit("changed").alias("content"))
+    fo.put_files(picked)
+    # the left-out shard: validated under a manifest row that no file of this name has
+    manifest = manifest.withColumn("rel_path", F.when(name.startswith(at["val"]), F.concat(name, F.lit(".gone")))
+                                   .otherwise(name))
+    bad = sh.validate_hashes(spark, moved, manifest)
+    return bad.where("sha1 IS NOT NULL").select("split", "shard", F.when(F.col("sha1_now").isNull(), F.lit("missing"))
+                                                .otherwise(F.lit("changed")).alias("issue"))
 
 # ----------------------------------------------------------------- augment ---
 
@@ -703,7 +724,11 @@ mt4 AS (SELECT image_id, tile, src_id, r,
 mb AS (SELECT t.image_id, t.tile, t.src_id, f.box_id, f.category_id, 1280 AS w, 1280 AS h,
               {_clip('f.x1 * t.r + t.padw', '1280')} AS x1, {_clip('f.y1 * t.r + t.padh', '1280')} AS y1,
               {_clip('f.x2 * t.r + t.padw', '1280')} AS x2, {_clip('f.y2 * t.r + t.padh', '1280')} AS y2
-       FROM mt4 t JOIN fr f ON f.image_id = t.src_id)"""
+       FROM mt4 t JOIN fr f ON f.image_id = t.src_id),
+mos AS (SELECT * FROM mb WHERE x2 > x1 AND y2 > y1
+        UNION ALL SELECT f.image_id, 0, f.image_id, f.box_id, f.category_id, f.w, f.h, f.x1, f.y1, f.x2, f.y2
+        FROM fr f JOIN eb ON eb.image_id = f.image_id
+        WHERE f.image_id NOT IN (SELECT image_id FROM mfull))"""
 
 MIXUP_CTES = EPOCH_CTES + "," + FRAME_CTE + f""",
 xpart AS ({partner_sql(cache=20, k=1, min_cache=2, op="mixup")}),
@@ -723,12 +748,12 @@ xc AS (SELECT image_id, box_id, category_id, w, h, {_clip('x1', 'w')} AS x1, {_c
               {_clip('x2', 'w')} AS x2, {_clip('y2', 'h')} AS y2 FROM xm)"""
 
 
-@register("mosaic_compose", W("SELECT * FROM mb WHERE x2 > x1 AND y2 > y1", extra_ctes=MOSAIC_CTES))
+@register("mosaic_compose", W("SELECT * FROM mos", extra_ctes=MOSAIC_CTES))
 def _j6(spark, d):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
     mp = ag.sample_cache_partners(p, cache=40, k=3, min_cache=5, op="mosaic")
     fb = _aug_frame(spark, d)
-    return ag.mosaic_compose(ag.frame(fx.images(spark, d)), fb.drop("w", "h"), mp)
+    return ag.mosaic_compose(ag.frame(fx.images(spark, d)), fb.drop("w", "h"), mp, samples=p)
 
 
 @register("mixup_compose", W(f"""
@@ -740,12 +765,26 @@ def _j7(spark, d):
     return ag.mixup_compose(fb, fb, xp)
 
 
-@register("augment_plan")
-def _j8(spark, d):
+def _augment(spark, d, **options):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
     b = fx.as_xyxy(fx.annotations(spark, d)).select("image_id", F.col("id").alias("box_id"), "category_id",
                                                    "x1", "y1", "x2", "y2")
-    return ag.augment_plan(fx.images(spark, d), b, p, epoch=0)
+    return ag.augment_plan(fx.images(spark, d), b, p, **options)
+
+
+@register("augment_plan")
+def _j8(spark, d):
+    return _augment(spark, d, epoch=0)
+
+
+@register("augment_plan_tiny")
+def _j8_tiny(spark, d):
+    return _augment(spark, d, epoch=0, ratio_range=(0.5, 2.0), mixup_prob=0.5)
+
+
+@register("augment_plan_stage2")
+def _j8_stage2(spark, d):
+    return _augment(spark, d, epoch=280)
 
 # --------------------------------------------------------------------- tta ---
 
@@ -765,7 +804,7 @@ variants AS (SELECT image_id, variant, ori_w, ori_h, flip, img_w, img_h, img_w /
 dv AS (SELECT d.det_id * 8 + v.variant AS det_id, d.image_id, v.variant, d.category_id,
               CASE WHEN v.flip THEN v.img_w - d.x2 * v.scale_x ELSE d.x1 * v.scale_x END AS x1, d.y1 * v.scale_y AS y1,
               CASE WHEN v.flip THEN v.img_w - d.x1 * v.scale_x ELSE d.x2 * v.scale_x END AS x2, d.y2 * v.scale_y AS y2, d.score
-       FROM detections d JOIN variants v ON d.image_id = v.image_id WHERE d.score > {CONF_THR}),
+       FROM detections d JOIN variants v ON d.image_id = v.image_id WHERE d.score > {MODEL_THR}),
 ub AS (SELECT d.det_id, d.image_id, d.variant, d.category_id,
               (CASE WHEN v.flip THEN v.img_w - d.x2 ELSE d.x1 END) / v.scale_x AS x1, d.y1 / v.scale_y AS y1,
               (CASE WHEN v.flip THEN v.img_w - d.x1 ELSE d.x2 END) / v.scale_x AS x2, d.y2 / v.scale_y AS y2, d.score
@@ -775,7 +814,7 @@ ubm AS (SELECT {DET_COLS} FROM ub)"""
 
 def _tta_inputs(spark, d):
     v = tta.tta_variants(fx.images(spark, d))
-    dv = tta.to_variant_frame(pp.confidence_filter(fx.detections(spark, d), CONF_THR), v)
+    dv = tta.to_variant_frame(pp.confidence_filter(fx.detections(spark, d), MODEL_THR), v)
     return v, dv
 
 
@@ -799,8 +838,7 @@ def _c16(spark, d):
 @register("union_variants", W("SELECT * FROM ub", extra_ctes=TTA_CTES))
 def _g5(spark, d):
     v, dv = _tta_inputs(spark, d)
-    parts = [tta.undo_variant(dv.where(F.col("variant") == i), v) for i in range(len(tta.TTA_SCALES) * len(tta.TTA_FLIPS))]
-    return tta.union_variants(parts)
+    return tta.undo_variant(dv, v)
 
 
 @register("tta_merge", W(f"""
@@ -814,36 +852,40 @@ def _i4(spark, d):
 # ------------------------------------------------------------------- files ---
 
 from boxwise.sinks import coco_json as cj_out  # noqa: E402
-from boxwise.sinks import files as fo  # noqa: E402
 from boxwise.sinks import tables as tb  # noqa: E402
 from boxwise.sources import coco_json as cj  # noqa: E402
 from boxwise.sources import files as fi  # noqa: E402
 
 
-def _tree(spark, d) -> str:
-    """Write an image-file tree derived from ``images``: ``<split>2017/<name>``
-    (every 97th missing, every 89th empty), copies in a hidden ``.thumbs``
-    directory (every 101st) and hidden files (every 103rd)."""
-    root = scratch_path(spark, "tree")
-    im = fx.images(spark, d)
+def _tree_rows(spark, d, root: str):
+    """Rows (path, content) of an image-file tree: ``<split>2017/<name>`` for every
+    image with the text of a document as content (every 89th empty), copies in a
+    hidden ``.thumbs`` directory (every 101st) and hidden files (every 103rd)."""
+    im, docs = fx.images(spark, d), fx.table(spark, d, "documents")
+    n = docs.count()
     i = F.col("id")
     sd = F.concat(F.lit(root + "/"), F.col("split"), F.lit("2017/"))
-    body = F.concat_ws("", i.cast("string"), F.lit(":"), F.col("width").cast("string"), F.lit("x"),
-                       F.col("height").cast("string"))
-    main = im.where(i % 97 != 0).select(F.concat(sd, F.col("file_name")).alias("path"),
-                                        F.when(i % 89 == 0, F.lit("")).otherwise(body).alias("content"))
+    bodies = docs.select(F.col("doc_id").alias("_doc"), F.coalesce("text", F.lit("")).alias("body"))
+    main = (im.withColumn("_doc", i % F.lit(max(n, 1))).join(bodies.hint("merge"), "_doc", "left")
+            .select(F.concat(sd, F.col("file_name")).alias("path"),
+                    F.when(i % 89 == 0, F.lit("")).otherwise(F.coalesce("body", F.lit(""))).alias("content")))
     thumbs = im.where(i % 101 == 0).select(F.concat(sd, F.lit(".thumbs/"), F.col("file_name")).alias("path"),
                                            F.concat(F.lit("thumb:"), i.cast("string")).alias("content"))
     hidden = im.where(i % 103 == 0).select(F.concat(sd, F.lit("."), F.col("file_name")).alias("path"),
                                            F.lit("hidden").alias("content"))
-    fo.put_files(main.unionByName(thumbs).unionByName(hidden)).count()
+    return main.unionByName(thumbs).unionByName(hidden)
+
+
+def _tree(spark, d) -> str:
+    root = scratch_path(spark, "tree")
+    fo.put_files(_tree_rows(spark, d, root))
     return root
 
 
 TREE_CTES = """
-tmain AS (SELECT id, split || '2017/' || file_name AS rel_path,
-                 CASE WHEN id % 89 = 0 THEN '' ELSE CAST(id AS VARCHAR) || ':' || CAST(width AS VARCHAR) || 'x'
-                      || CAST(height AS VARCHAR) END AS content, file_name, split FROM images WHERE id % 97 <> 0),
+tmain AS (SELECT i.id, i.split || '2017/' || i.file_name AS rel_path,
+                 CASE WHEN i.id % 89 = 0 THEN '' ELSE coalesce(b.text, '') END AS content, i.file_name, i.split
+          FROM images i LEFT JOIN documents b ON b.doc_id = i.id % (SELECT count(*) FROM documents)),
 tthumb AS (SELECT id, split || '2017/.thumbs/' || file_name AS rel_path, 'thumb:' || CAST(id AS VARCHAR) AS content,
                   file_name, split FROM images WHERE id % 101 = 0),
 thid AS (SELECT id, split || '2017/.' || file_name AS rel_path, 'hidden' AS content, file_name, split
@@ -860,18 +902,7 @@ def _rel(col: str, root: str):
 @register("put_files", W("SELECT rel_path, CAST(strlen(content) AS BIGINT) AS nbytes FROM tall", extra_ctes=TREE_CTES))
 def _b7(spark, d):
     root = scratch_path(spark, "put")
-    im = fx.images(spark, d)
-    i = F.col("id")
-    sd = F.concat(F.lit(root + "/"), F.col("split"), F.lit("2017/"))
-    body = F.concat_ws("", i.cast("string"), F.lit(":"), F.col("width").cast("string"), F.lit("x"),
-                       F.col("height").cast("string"))
-    rows = (im.where(i % 97 != 0).select(F.concat(sd, F.col("file_name")).alias("path"),
-                                         F.when(i % 89 == 0, F.lit("")).otherwise(body).alias("content"))
-              .unionByName(im.where(i % 101 == 0).select(F.concat(sd, F.lit(".thumbs/"), F.col("file_name")).alias("path"),
-                                                         F.concat(F.lit("thumb:"), i.cast("string")).alias("content")))
-              .unionByName(im.where(i % 103 == 0).select(F.concat(sd, F.lit("."), F.col("file_name")).alias("path"),
-                                                         F.lit("hidden").alias("content"))))
-    out = fo.put_files(rows)
+    out = fo.put_files(_tree_rows(spark, d, root))
     return out.select(_rel("path", root).alias("rel_path"), "nbytes")
 
 
@@ -914,11 +945,15 @@ def _d7(spark, d):
 
 
 @register("empty_or_missing_files", W("""
-SELECT file_name, 'missing' AS issue FROM images WHERE id % 97 = 0
-UNION ALL SELECT file_name, 'empty' FROM tmain WHERE content = ''""", extra_ctes=TREE_CTES))
+SELECT file_name || CASE WHEN id % 97 = 0 THEN '.lost' ELSE '' END AS file_name,
+       CASE WHEN id % 97 = 0 THEN 'missing' ELSE 'empty' END AS issue FROM tmain WHERE id % 97 = 0 OR content = ''""",
+                                     extra_ctes=TREE_CTES))
 def _d8(spark, d):
     root = _tree(spark, d)
-    im = ds.resolve_image_path(fx.images(spark, d), root, F.concat(F.col("split"), F.lit("2017")))
+    # every 97th record names a file that nobody wrote
+    im = fx.images(spark, d).withColumn("file_name", F.when(
+        F.col("id") % 97 == 0, F.concat("file_name", F.lit(".lost"))).otherwise(F.col("file_name")))
+    im = ds.resolve_image_path(im, root, F.concat(F.col("split"), F.lit("2017")))
     return fi.empty_or_missing_files(im, fi.list_files(spark, root, list_dir=False, recursive=True))
 
 
@@ -926,15 +961,7 @@ def _d8(spark, d):
                         extra_ctes=TREE_CTES))
 def _b8(spark, d):
     root = _tree(spark, d)
-    return fo.copy_tree(spark, root, scratch_path(spark, "copy"), parallelism=10)
-
-
-@register("path_check")
-def _a9(spark, d):
-    root = _tree(spark, d)
-    return fi.path_check(spark, {"train_images": (root + "/train2017", "dir"), "val_images": (root + "/val2017", "dir"),
-                                 "annotations": (root + "/annotations/instances_train2017.json", "file")},
-                         raise_missing=False)
+    return fo.copy_tree(spark, root, scratch_path(spark, "copy"))
 
 
 ANN_COLS = "id, image_id, category_id, x, y, w, h, iscrowd"
@@ -954,8 +981,13 @@ def _a1(spark, d):
 def _b1(spark, d):
     tb.ensure_schema(spark, "boxwise_db")
     name = "boxwise_db.bbox_annotations_" + scratch_path(spark, "t").rsplit("-", 1)[1]
-    tb.save_table(fx.annotations(spark, d), name, path=scratch_path(spark, "table"))
-    return tb.table_scan(spark, name).select(*ANN_COLS.split(", "))
+    path = scratch_path(spark, "table")
+    tb.save_table(fx.annotations(spark, d), name, path=path)
+    rows = tb.table_scan(spark, name).select(*ANN_COLS.split(", ")).count()
+    spark.sql("DROP DATABASE boxwise_db CASCADE")        # the table is external: its files stay
+    back = spark.read.parquet(path).select(*ANN_COLS.split(", "))
+    assert rows == back.count()
+    return back
 
 # --------------------------------------------------------- scoring and UDFs ---
 
@@ -1089,15 +1121,18 @@ def _l2(spark, d):
 
 # --------------------------------------------------- augment_plan oracle (J8) ---
 
-def _rr_sql(src, name, keep, scale):
-    r = f"(0.1 + {uniform_sql('image_id', 'random_resize')} * {2.0 - 0.1!r})"
+def _rr_sql(src, name, keep, scale, ratio=(0.1, 2.0), epoch=0):
+    u = uniform_sql('image_id', 'random_resize', epoch=epoch)
+    r = f"({ratio[0]!r} + {u} * {ratio[1] - ratio[0]!r})"
     return f"{name}_0 AS (SELECT *, floor({float(scale)!r} * {r}) AS tl_ FROM {src})," + \
         _resize_sql(f"{name}_0", name, "tl_", "tl_", keep)
 
 
-def _rc_sql(src, name, keep):
+def _rc_sql(src, name, keep, epoch=0):
+    ox, oy = (f"floor({uniform_sql('image_id', 'random_crop', salt=a, epoch=epoch)} * (greatest({e} - 640, 0) + 1))"
+              for a, e in (("x", "w"), ("y", "h")))
     return f"""
-{name}_0 AS (SELECT *, {_OX} AS ox_, {_OY} AS oy_, least(w, 640) AS nw_, least(h, 640) AS nh_ FROM {src}),
+{name}_0 AS (SELECT *, {ox} AS ox_, {oy} AS oy_, least(w, 640) AS nw_, least(h, 640) AS nh_ FROM {src}),
 {name} AS (SELECT * FROM (SELECT {keep}, nw_ AS w, nh_ AS h,
               {_clip('x1 - ox_', 'nw_')} AS x1, {_clip('y1 - oy_', 'nh_')} AS y1,
               {_clip('x2 - ox_', 'nw_')} AS x2, {_clip('y2 - oy_', 'nh_')} AS y2 FROM {name}_0) t
@@ -1105,15 +1140,17 @@ def _rc_sql(src, name, keep):
 
 
 _KEEP = "image_id, tile, src_id, box_id, category_id"
-AUGPLAN_CTES = MOSAIC_CTES + ",\nmos AS (SELECT * FROM mb WHERE x2 > x1 AND y2 > y1)," + \
-    _rr_sql("mos", "ar", _KEEP, 1280) + "," + _rc_sql("ar", "ac", _KEEP) + f""",
+
+
+def _augment_sql(ratio, mixup_prob):
+    return MOSAIC_CTES + "," + _rr_sql("mos", "ar", _KEEP, 1280, ratio) + "," + _rc_sql("ar", "ac", _KEEP) + f""",
 af AS (SELECT {_KEEP}, w, h, CASE WHEN {_FLIP} THEN w - x2 ELSE x1 END AS x1, y1,
               CASE WHEN {_FLIP} THEN w - x1 ELSE x2 END AS x2, y2 FROM ac),
 ap AS (SELECT {_KEEP}, greatest(w, 640) AS w, greatest(h, 640) AS h, x1, y1, x2, y2 FROM af),
 ypart AS ({partner_sql(cache=20, k=1, min_cache=2, op="mixup")}),
 yp AS (SELECT p.image_id, p.partner_id AS src, t.tw, t.th
        FROM ypart p JOIN (SELECT DISTINCT image_id, w AS tw, h AS th FROM ap) t ON t.image_id = p.image_id
-       WHERE p.slot = 1 AND {_u('mixup', 'p', 'p.image_id')} < 1.0),
+       WHERE p.slot = 1 AND {_u('mixup', 'p', 'p.image_id')} < {mixup_prob!r}),
 yj AS (SELECT p.image_id, p.tw, p.th, f.tile, f.src_id, f.box_id, f.category_id, f.x1, f.y1, f.x2, f.y2,
               least(640.0 / f.h, 640.0 / f.w) * (1.0 + {_u('mixup', 'jit', 'p.image_id')} * 0.0) AS r,
               {_u('mixup', 'flip', 'p.image_id')} > 0.5 AS flip,
@@ -1126,6 +1163,17 @@ ym AS (SELECT {_KEEP}, tw AS w, th AS h,
 yc AS (SELECT {_KEEP}, w, h, {_clip('x1', 'w')} AS x1, {_clip('y1', 'h')} AS y1,
               {_clip('x2', 'w')} AS x2, {_clip('y2', 'h')} AS y2 FROM ym)"""
 
-ORACLE["augment_plan"] = W(f"""
+
+for _name, _ratio, _prob in (("augment_plan", (0.1, 2.0), 1.0), ("augment_plan_tiny", (0.5, 2.0), 0.5)):
+    ORACLE[_name] = W(f"""
 SELECT {_KEEP}, w, h, x1, y1, x2, y2 FROM ap
-UNION ALL SELECT {_KEEP}, w, h, x1, y1, x2, y2 FROM yc WHERE x2 > x1 AND y2 > y1""", extra_ctes=AUGPLAN_CTES)
+UNION ALL SELECT {_KEEP}, w, h, x1, y1, x2, y2 FROM yc WHERE x2 > x1 AND y2 > y1""",
+                      extra_ctes=_augment_sql(_ratio, _prob))
+
+_K2 = "image_id, box_id, category_id"
+_FLIP2 = f"{uniform_sql('image_id', 'random_flip', epoch=280)} < 0.5"
+ORACLE["augment_plan_stage2"] = W(f"""
+SELECT {_K2}, greatest(w, 640) AS w, greatest(h, 640) AS h, CASE WHEN {_FLIP2} THEN w - x2 ELSE x1 END AS x1, y1,
+       CASE WHEN {_FLIP2} THEN w - x1 ELSE x2 END AS x2, y2 FROM bc""",
+                                  extra_ctes=FRAME_CTE + "," + _rr_sql("fr", "br", _K2, 640, epoch=280) + ","
+                                  + _rc_sql("br", "bc", _K2, epoch=280))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -67,8 +68,9 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a
-    private temporary folder is created and registered.
+    Read from the session.  Only where it is unset and the master is local (tests,
+    single-machine runs) a private temporary folder is created and registered; on
+    a cluster that would be a folder of one machine, so it raises instead.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -76,6 +78,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         d = spark.conf.get("spark.checkpoint.dir", None) or \
             sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
+            if not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             d = tempfile.mkdtemp(prefix="boxwise-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

@@ -3,15 +3,15 @@
 Spark's ``binaryFile`` source skips hidden entries and zero-byte files, while
 reading by path (what a converter does) returns both, and the reference's
 listing skips hidden *files* but lists and descends hidden *directories*.  So
-``list_files`` has its own lister, run inside Spark tasks (one task lists the
-root, subdirectories are listed in parallel), and ``read_files`` reads the
-listed paths inside tasks.  ``binary_files`` is the plain Spark source for
-trees where those differences do not matter.
+``list_files`` has its own lister, run inside Spark tasks (level by level, the
+folders of a level in parallel), and ``read_files`` reads the listed paths inside
+tasks.
 """
 
 from __future__ import annotations
 
 import posixpath
+from functools import reduce
 from typing import Iterator
 
 import pandas as pd
@@ -19,80 +19,85 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxwise.functions import paths
-from boxwise.session import default_parallelism
-from boxwise.sources.fsutil import resolve, uri_prefix
+from boxwise.session import default_parallelism, materialize
+from boxwise.sources.fsutil import as_uri, resolve
 
 LIST_SCHEMA = "path string, is_dir boolean, length long, mtime timestamp"
 
 
-def binary_files(spark: SparkSession, root: str, *, recursive: bool = True, glob: str | None = None) -> DataFrame:
-    """Spark's ``binaryFile`` source: ``path, modificationTime, length, content``
-    (hidden entries and empty files are not listed by Spark)."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.load(root)
+READ_BYTES = 64 << 20              # a batch of read files holds about this much
 
 
 def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["path", "rel_path", "length", "content"]
     for pdf in batches:
-        out = []
-        for path in pdf["path"]:
+        out, held = [], 0
+        for path, rel in zip(pdf["path"], pdf["rel_path"]):
             fs, p = resolve(path)
-            with fs.open_input_stream(p) as f:
+            with fs.open_input_file(p) as f:
                 data = f.read()
-            out.append((path, len(data), data))
-        yield pd.DataFrame(out, columns=["path", "length", "content"])
+            out.append((path, rel, len(data), data))
+            held += len(data)
+            if held >= READ_BYTES:
+                yield pd.DataFrame(out, columns=names)
+                out, held = [], 0
+        yield pd.DataFrame(out, columns=names)
 
 
 def read_files(listing: DataFrame) -> DataFrame:
-    """Bytes of every listed ``path`` (read inside the tasks): ``path, length, content``."""
-    n = listing.sparkSession.sparkContext.defaultParallelism
-    return listing.select("path").repartition(n, "path").mapInPandas(_reader, "path string, length long, content binary")
+    """Bytes of every listed file, read inside the tasks in batches bounded by
+    size: ``path, rel_path, length, content``.  Only paths are shuffled."""
+    n = default_parallelism(listing.sparkSession)
+    return listing.select("path", "rel_path").repartition(n, "path").mapInPandas(
+        _reader, "path string, rel_path string, length long, content binary")
 
 
 def scan_images(spark: SparkSession, root: str, *, suffixes=(".jpg", ".jpeg", ".png"),
                 recursive: bool = True) -> DataFrame:
     """``path, rel_path, length, content`` of image files under ``root``
     (listing rule of :func:`list_files`; empty files included)."""
-    lst = list_files(spark, root, list_dir=False, suffix=tuple(suffixes), recursive=recursive)
-    return read_files(lst).join(lst.select("path", "rel_path"), "path")
+    return read_files(list_files(spark, root, list_dir=False, suffix=tuple(suffixes), recursive=recursive))
 
 
 def read_text_files(spark: SparkSession, root: str, *, encoding: str = "utf-8", recursive: bool = True,
                     suffix=None) -> DataFrame:
     """Whole-file text: ``path, rel_path, text`` decoded with ``encoding``."""
     lst = list_files(spark, root, list_dir=False, suffix=suffix, recursive=recursive)
-    return read_files(lst).join(lst.select("path", "rel_path"), "path") \
-                          .select("path", "rel_path", F.decode("content", encoding.upper()).alias("text"))
-
-
-def _lister(recursive: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as pafs
-        for pdf in batches:
-            rows = []
-            for d in pdf["dir"]:
-                fs, p = resolve(d)
-                prefix = uri_prefix(d).split("://")[0] + "://" if uri_prefix(d) else ""
-                for info in fs.get_file_info(pafs.FileSelector(p, recursive=recursive, allow_not_found=True)):
+    return read_files(lst).select("path", "rel_path", F.decode("content", encoding.upper()).alias("text"))
+
+
+def _lister(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs as pafs
+    for pdf in batches:
+        for d in pdf["dir"]:
+            fs, p = resolve(d)
+            found = fs.get_file_info(pafs.FileSelector(p))        # a folder that is missing raises
+            for low in range(0, max(len(found), 1), 10_000):
+                rows = []
+                for info in found[low:low + 10_000]:
                     is_dir = info.type == pafs.FileType.Directory
-                    rows.append((prefix + info.path, is_dir, None if is_dir else info.size,
+                    rows.append((as_uri(d, info.path), is_dir, None if is_dir else info.size,
                                  pd.Timestamp(info.mtime) if info.mtime is not None else None))
-            yield pd.DataFrame(rows, columns=["path", "is_dir", "length", "mtime"])
-    return run
+                yield pd.DataFrame(rows, columns=["path", "is_dir", "length", "mtime"])
 
 
 def list_entries(spark: SparkSession, root: str, *, recursive: bool = True) -> DataFrame:
-    """Every entry under ``root`` (hidden ones included): ``path, is_dir, length, mtime``."""
-    seed = spark.createDataFrame([(root,)], "dir string")
-    top = seed.mapInPandas(_lister(False), LIST_SCHEMA)
-    if not recursive:
-        return top
-    sub = (top.where(F.col("is_dir")).select(F.col("path").alias("dir"))
-              .repartition(default_parallelism(spark), "dir")
-              .mapInPandas(_lister(True), LIST_SCHEMA))
-    return top.unionByName(sub)
+    """Every entry under ``root`` (hidden ones included): ``path, is_dir, length,
+    mtime``.  Breadth first: the folders of a level are listed side by side, each
+    once, and the level is stored, so a listing is read as often as needed but made
+    once.  A missing ``root`` raises ``FileNotFoundError``."""
+    if not isdir(spark, root):
+        raise FileNotFoundError(f"no such folder to list: {root}")
+    n = default_parallelism(spark)
+    todo = spark.createDataFrame([(root,)], "dir string")
+    levels = []
+    while True:
+        level = materialize(todo.mapInPandas(_lister, LIST_SCHEMA), "listing")
+        levels.append(level)
+        dirs = level.where("is_dir").select(F.col("path").alias("dir"))
+        if not recursive or dirs.isEmpty():
+            return reduce(DataFrame.unionByName, levels)
+        todo = dirs.repartition(n, "dir")
 
 
 def list_files(spark: SparkSession, root: str, *, list_dir: bool = True, list_file: bool = True,
@@ -104,9 +109,9 @@ def list_files(spark: SparkSession, root: str, *, list_dir: bool = True, list_fi
     tuple) filters files and must be None when directories are listed.
     """
     if list_dir and suffix is not None:
-        raise TypeError("`suffix` should be None when `list_dir` is True")
+        raise TypeError("a suffix filters files only: list directories without one")
     if suffix is not None and not isinstance(suffix, (str, tuple)):
-        raise TypeError("`suffix` must be a string or tuple of strings")
+        raise TypeError(f"suffix: expected str or tuple of str, got {type(suffix).__name__}")
     e = list_entries(spark, root, recursive=recursive)
     rel = paths.relative_to(F.col("path"), _strip_scheme(root))
     e = e.withColumn("rel_path", rel)
@@ -169,8 +174,7 @@ def path_check(spark: SparkSession, expected: dict[str, tuple[str, str]], *, rai
     if raise_missing:
         for name, path, kind, ok in rows:
             if not ok:
-                what = "Images path" if kind == "dir" else "Annotations file"
-                raise FileNotFoundError(f"{what} does not exist: {path}")
+                raise FileNotFoundError(f"input {name!r}: no {'folder' if kind == 'dir' else 'file'} at {path}")
     return spark.createDataFrame(rows, "name string, path string, kind string, ok boolean")
 
 

@@ -9,7 +9,9 @@ from pyarrow import fs as pafs
 def resolve(path: str):
     """``(filesystem, path)`` for a URI or a local absolute path."""
     if "://" in path and not path.startswith("file://"):
-        return pafs.FileSystem.from_uri(path)
+        scheme, rest = path.split("://", 1)
+        # Hadoop's names of the same stores
+        return pafs.FileSystem.from_uri(f"{ {'s3a': 's3', 's3n': 's3', 'abfss': 'abfs'}.get(scheme, scheme)}://{rest}")
     return pafs.LocalFileSystem(), strip_file_scheme(path)
 
 
@@ -21,6 +23,15 @@ def strip_file_scheme(path: str) -> str:
     return path
 
 
+def as_uri(root: str, found: str) -> str:
+    """``found``, a path in the filesystem of ``root``, as a URI of the same form:
+    stores whose paths begin with the bucket keep the scheme, others (hdfs) the
+    authority as well."""
+    if "://" not in root or root.startswith("file://"):
+        return found
+    return (uri_prefix(root) if found.startswith("/") else root.split("://", 1)[0] + "://") + found
+
+
 def uri_prefix(path: str) -> str:
     """Scheme and authority of ``path`` (empty for local paths)."""
     if "://" in path and not path.startswith("file://"):

@@ -48,7 +48,7 @@ def test_path_check(spark, tmp_path):
     root = _tree(tmp_path)
     rep = fi.path_check(spark, {"imgs": (root + "/a", "dir")})
     assert rep.first()["ok"]
-    with pytest.raises(FileNotFoundError, match="Annotations file does not exist"):
+    with pytest.raises(FileNotFoundError, match="no file at"):
         fi.path_check(spark, {"ann": (root + "/missing.json", "file")})
     assert fi.exists(spark, root + "/top.txt") and fi.isfile(spark, root + "/top.txt") and fi.isdir(spark, root + "/a")
 
