@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from boxwise.functions.geometry import area, intersection
 from boxwise.operators.postprocess import topk_per_image
 from boxwise.plans.ranking import ranked
-from boxwise.plans.spatial import grid_pairs
+from boxwise.plans.spatial import cell_size, grid_pairs
 from boxwise.session import materialize
 
 # fixed values: IoU thresholds .50:.05:.95 and detections-per-image limits
@@ -95,15 +95,14 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame, *, min_iou: float | None = None
     if min_iou is None or hot_truths is None:
         return plain(dsel, g)
     hot = g.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_truths).select(*key)
-    if not hot.limit(1).count():
+    hot = materialize(hot, "iou-hot")
+    if hot.isEmpty():
         return plain(dsel, g).where(F.col("iou") >= min_iou)
-    hot = F.broadcast(hot)  # at most truths / hot_truths keys
     cold = plain(dsel.join(hot, key, "left_anti"), g.join(hot, key, "left_anti"))
     hd, hg = dsel.join(hot, key, "left_semi"), g.join(hot, key, "left_semi")
     crowd = plain(hd, hg.where(F.col("iscrowd") == 1))
     nc = hg.where(F.col("iscrowd") == 0)
-    med = nc.agg(F.percentile_approx(F.sqrt(F.greatest(area("g"), F.lit(1e-12))), 0.5)).first()[0]
-    cell = max(float(med or 1.0), 1.0)
+    cell = cell_size(nc, "g")
     cand = grid_pairs(hd.select(*key, "det_id", "x1", "y1", "x2", "y2"),
                       nc.select(*key, "ann_id", *[F.col(f"g{c}").alias(c) for c in ("x1", "y1", "x2", "y2")]),
                       keys=key, left_id="det_id", right_id="ann_id", thr=min_iou, cell=cell)

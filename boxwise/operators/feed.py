@@ -11,7 +11,7 @@ the distributed ranking, never from a single-task window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxwise.functions.draws import DEFAULT_SEED, order_key
@@ -37,17 +37,25 @@ def epoch_plan(df: DataFrame, *, seed: int = DEFAULT_SEED, epoch: int = 0, nodes
                block_size: int | None = None, id_col: str = "image_id") -> DataFrame:
     """Per sample: ``pos, canonical_node, node, rank, worker, idx, batch_id``."""
     d = epoch_order(df, seed=seed, epoch=epoch, shuffle=shuffle, block_size=block_size, id_col=id_col)
-    n = d.count()  # one scalar; the plan depends on the dataset length
+    n = d.count()  # one scalar, of the stored positions; the plan depends on the dataset length
     ncn = num_canonical_nodes or 64 * nodes
-    cn = F.floor(F.col("pos") * ncn / F.lit(n)).cast("bigint")
-    start = F.expr(f"(canonical_node * {n} + {ncn - 1}) div {ncn}")
-    d = (d.withColumn("canonical_node", cn)
-          .withColumn("_j", F.col("pos") - start)
+    lanes = ranks * workers
+    d = (d.withColumn("canonical_node", F.floor(F.col("pos") * ncn / F.lit(n)).cast("bigint"))
+          .withColumn("_j", F.col("pos") - F.expr(f"(canonical_node * {n} + {ncn - 1}) div {ncn}"))
           .withColumn("node", (F.col("canonical_node") % nodes).cast("int"))
           .withColumn("rank", (F.col("_j") % ranks).cast("int"))
-          .withColumn("worker", (F.floor(F.col("_j") / ranks) % workers).cast("int"))
-          .drop("_j"))
-    d = ranked(d, ["pos"], group=["node", "rank", "worker"], name="idx")
+          .withColumn("worker", (F.floor(F.col("_j") / ranks) % workers).cast("int")))
+    # the place in a stream needs no second ranking: the samples of earlier canonical
+    # nodes of the same node are counted by arithmetic (a table of ncn * lanes rows)
+    before = Window.partitionBy("_node", "_q").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    held = (df.sparkSession.range(ncn * lanes).select(F.expr(f"id div {lanes}").alias("_c"), (F.col("id") % lanes).alias("_q"))
+            .withColumn("_node", F.col("_c") % nodes)
+            .withColumn("_size", F.expr(f"((_c + 1) * {n} + {ncn - 1}) div {ncn} - (_c * {n} + {ncn - 1}) div {ncn}"))
+            .withColumn("_held", F.greatest(F.lit(0), F.expr(f"(_size - _q + {lanes - 1}) div {lanes}")))
+            .select("_c", "_q", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before")))
+    d = (d.join(held, (F.col("canonical_node") == F.col("_c")) & (F.col("_j") % lanes == F.col("_q")))
+          .withColumn("idx", (F.col("_before") + F.expr(f"_j div {lanes}")).cast("bigint"))
+          .drop("_j", "_c", "_before", "_q"))
     d = d.withColumn("batch_id", F.floor(F.col("idx") / batch_size).cast("bigint"))
     if drop_last:
         full = d.groupBy("node", "rank", "worker").agg(F.floor(F.count(F.lit(1)) / batch_size).alias("_full"))

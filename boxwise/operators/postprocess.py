@@ -9,19 +9,21 @@ the JVM with no Python.  Group size is bounded by the detector's per-image
 output; :func:`postprocess` applies the ``nms_pre`` top-k (with Spark's
 map-side ``WindowGroupLimit``) before any group is formed.  A standalone
 :func:`nms` sends groups above ``NMS_MAX_GROUP`` rows to
-:func:`nms_distributed` (exact, in parallel rounds), never into one task.
+:func:`nms_distributed` (exact, over conflict pairs from a spatial grid).
 """
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from boxwise.functions.geometry import area, iou_above
+from boxwise.functions.geometry import iou_above
 from boxwise.plans.ranking import ranked
-from boxwise.session import materialize
+from boxwise.plans.spatial import cell_size, grid_pairs
+from boxwise.session import materialize, scratch_path
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -48,9 +50,11 @@ def topk_per_image(det: DataFrame, k: int, *, by=("image_id",)) -> DataFrame:
     return det.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
 
 
-# groups up to this size are resolved in one array walk (the detector's
-# pre-NMS limit); larger ones take the exact distributed path
-NMS_MAX_GROUP = 30000
+# groups up to this size are walked as one array (the walk is quadratic in the
+# boxes kept); larger ones go through conflict pairs
+NMS_MAX_GROUP = 2000
+# conflict pairs one task resolves for a group; a group with more is thinned first
+EDGES_PER_GROUP = 5_000_000
 
 
 def nms(det: DataFrame, *, iou_thr: float, class_agnostic: bool = False,
@@ -59,15 +63,15 @@ def nms(det: DataFrame, *, iou_thr: float, class_agnostic: bool = False,
 
     Groups of at most ``max_group`` detections are walked as one sorted array;
     larger (hot) groups are resolved exactly by :func:`nms_distributed`, so
-    no group is ever gathered into one task and nothing is cut.
+    no group's boxes are compared all with all in one task and nothing is cut.
     """
     grp = ["image_id"] if class_agnostic else ["image_id", "category_id"]
     if max_group is None:
         return _nms_arrays(det, iou_thr, grp)
-    hot = det.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group).select(*grp)
-    if not hot.limit(1).count():
+    hot = materialize(det.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group).select(*grp),
+                      "nms-hot")
+    if hot.isEmpty():
         return _nms_arrays(det, iou_thr, grp)
-    hot = F.broadcast(hot)  # at most rows / max_group keys
     cold = _nms_arrays(det.join(hot, grp, "left_anti"), iou_thr, grp)
     warm = nms_distributed(det.join(hot, grp, "left_semi"), iou_thr=iou_thr, group=grp)
     return cold.unionByName(warm.select(*cold.columns))
@@ -89,76 +93,73 @@ def _nms_arrays(det: DataFrame, iou_thr: float, grp: list) -> DataFrame:
 
 
 def _conflicts(r: DataFrame, thr: float, grp: list, cell: float) -> DataFrame:
-    """Pairs ``(a, b)`` of one group with ``rank a < rank b`` and IoU > ``thr``.
-
-    IoU > t implies the smaller area is at least t times the larger one, so a
-    box only meets boxes of nearby scale.  Boxes are binned by scale level
-    ``L = floor(log2(sqrt(area) / cell))`` and registered in the grid cells of
-    size ``cell * 2^L`` they cover; each box probes the levels that can hold a
-    partner.  Equi-joins on (group, level, cell) give the candidate pairs, which
-    overlapping boxes must produce (they share a cell of the level probed).
-    """
-    span = max(1, math.ceil(-math.log2(max(thr, 1e-6)) / 2) + 1)
-    a = F.greatest(area(""), F.lit(1e-12))
-    lvl = F.greatest(F.lit(0), F.floor(F.log2(F.sqrt(a) / F.lit(float(cell))))).cast("int")
-    b = r.select(*grp, "det_id", "rk", *BOX, lvl.alias("lvl"))
-
-    def cells(level):
-        size = F.lit(float(cell)) * F.pow(F.lit(2.0), level)
-        return (F.sequence(F.floor(F.col("x1") / size).cast("long"), F.floor(F.col("x2") / size).cast("long")),
-                F.sequence(F.floor(F.col("y1") / size).cast("long"), F.floor(F.col("y2") / size).cast("long")))
-
-    cx, cy = cells(F.col("lvl"))
-    reg = (b.select(*grp, "det_id", "rk", *BOX, "lvl", F.explode(cx).alias("cx"), cy.alias("_cy"))
-            .select(*grp, "det_id", "rk", *BOX, "lvl", "cx", F.explode("_cy").alias("cy")))
-    probe = b.withColumn("plvl", F.explode(F.sequence(F.greatest(F.col("lvl") - span, F.lit(0)), F.col("lvl") + span)))
-    pcx, pcy = cells(F.col("plvl"))
-    probe = (probe.select(*grp, "det_id", "rk", *BOX, "plvl", F.explode(pcx).alias("cx"), pcy.alias("_cy"))
-                  .select(*grp, F.col("det_id").alias("b_id"), F.col("rk").alias("b_rk"),
-                          *[F.col(c).alias(f"b{c}") for c in BOX], F.col("plvl").alias("lvl"), "cx",
-                          F.explode("_cy").alias("cy")))
-    j = reg.join(probe, [*grp, "lvl", "cx", "cy"]).where(F.col("rk") < F.col("b_rk"))
-    j = j.where(iou_above("", "b", thr))
-    return j.select(*grp, F.col("det_id").alias("a_id"), "b_id").distinct()
+    """Pairs ``(a, b)`` of ranks of one group with ``a < b`` and IoU > ``thr``."""
+    left = r.select(*grp, F.col("rk").alias("a"), *BOX)
+    right = r.select(*grp, F.col("rk").alias("b"), *BOX)
+    cand = grid_pairs(left, right, keys=grp, left_id="a", right_id="b", thr=thr, cell=cell).where("a < b")
+    wide = right.select(*grp, "b", *[F.col(c).alias(f"b{c}") for c in BOX])
+    return (cand.join(left.hint("merge"), grp + ["a"]).join(wide.hint("merge"), grp + ["b"])
+            .where(iou_above("", "b", thr)).select(*grp, "a", "b"))
+
+
+def _greedy(grp: list):
+    """Ranks that the greedy walk suppresses, from a group's conflict pairs."""
+    def walk(pdf):
+        a, b = pdf["a"].to_numpy(), pdf["b"].to_numpy()
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        nodes = np.unique(np.concatenate([a, b]))
+        a, b = np.searchsorted(nodes, a), np.searchsorted(nodes, b)
+        gone = np.zeros(len(nodes), bool)
+        first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+        for low, high in zip(first, np.append(first[1:], len(a))):
+            if not gone[a[low]]:
+                gone[b[low:high]] = True
+        out = pd.DataFrame({"rk": nodes[gone]})
+        for c in grp:
+            out[c] = pdf[c].iloc[0]
+        return out[[*grp, "rk"]]
+    return walk
 
 
 def nms_distributed(det: DataFrame, *, iou_thr: float, group=("image_id", "category_id"),
-                    cell: float | None = None, max_rounds: int = 10_000) -> DataFrame:
-    """Exact greedy NMS for groups too large for one task.
-
-    Rank inside each group (distributed ranking), build the conflict pairs
-    (:func:`_conflicts`), then decide in rounds: an undecided box with no
-    undecided better-ranked conflict is kept, and its worse-ranked conflicts
-    are suppressed.  This is the greedy result: a box is kept exactly when
-    every better-ranked conflict was suppressed.  Each round's state is
-    written as Parquet to the shared checkpoint folder.
+                    cell: float | None = None, edges_per_group: int = EDGES_PER_GROUP) -> DataFrame:
+    """Exact greedy NMS for large groups.
+
+    Rank inside each group (distributed ranking), find the conflict pairs by a
+    scale-bucketed grid, and let one walk over a group's pairs, sorted by rank,
+    decide it.  A group with more than ``edges_per_group`` pairs is thinned first:
+    a box without an undecided better-ranked conflict is kept and suppresses its
+    conflicts, round by round, until its undecided pairs are few enough.  Every
+    round adds its suppressed boxes to one stored table, so the plan does not grow,
+    and each round decides at least the best undecided box of every group.
     """
     grp = list(group)
+    spark = det.sparkSession
     r = ranked(det, [F.col("score").desc(), F.col("det_id")], group=grp, name="rk")
-    if cell is None:
-        med = r.agg(F.percentile_approx(F.sqrt(F.greatest(area(""), F.lit(1e-12))), 0.5)).first()[0]
-        cell = max(float(med or 1.0), 1.0)
-    edges = materialize(_conflicts(r, iou_thr, grp, cell), "nms-edges")
-    und = materialize(r.select("det_id"), "nms-undecided")
-    kept = None
-    for _ in range(max_rounds):
-        if not und.limit(1).count():
+    live = materialize(_conflicts(r, iou_thr, grp, cell or cell_size(r)), "nms-pairs")
+    root, k = scratch_path(spark, "nms-suppressed"), 0
+    schema = T.StructType([*[r.schema[c] for c in grp], T.StructField("rk", T.LongType())])
+    while True:
+        many = live.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > edges_per_group).select(*grp)
+        many = materialize(many, "nms-many")
+        few = live.join(many, grp, "left_anti")
+        few.groupBy(*grp).applyInPandas(_greedy(grp), schema).write.parquet(f"{root}/round={k}")
+        if many.isEmpty():
             break
-        # edges and undecided boxes both grow with the group: shuffle joins only
-        live = edges.join(und.select(F.col("det_id").alias("a_id")).hint("merge"), "a_id", "left_semi") \
-                    .join(und.select(F.col("det_id").alias("b_id")).hint("merge"), "b_id", "left_semi")
-        blocked = live.select(F.col("b_id").alias("det_id")).distinct()
-        new = materialize(und.join(blocked.hint("merge"), "det_id", "left_anti"), "nms-kept")
-        supp = edges.join(new.select(F.col("det_id").alias("a_id")).hint("merge"), "a_id", "left_semi") \
-                    .select(F.col("b_id").alias("det_id"))
-        und = materialize(und.join(new.hint("merge"), "det_id", "left_anti")
-                             .join(supp.hint("merge"), "det_id", "left_anti"), "nms-undecided")
-        kept = new if kept is None else kept.unionByName(new)
-    else:
-        raise RuntimeError("NMS did not converge within max_rounds")
-    if kept is None:
-        return det.limit(0)
-    return det.join(kept.hint("merge"), "det_id", "left_semi")
+        live = live.join(many, grp, "left_semi")
+        blocked = live.select(*grp, F.col("b").alias("a")).distinct()
+        kept = materialize(live.select(*grp, "a").distinct().join(blocked.hint("merge"), grp + ["a"], "left_anti"), "nms-kept")
+        gone = materialize(live.join(kept.hint("merge"), grp + ["a"], "left_semi").select(*grp, F.col("b").alias("rk"))
+                           .distinct(), "nms-gone")
+        k += 1
+        gone.write.parquet(f"{root}/round={k}")
+        out_a, out_b = (gone.withColumnRenamed("rk", c).hint("merge") for c in "ab")
+        live = materialize(live.join(kept.hint("merge"), grp + ["a"], "left_anti").join(out_a, grp + ["a"], "left_anti")
+                           .join(out_b, grp + ["b"], "left_anti"), "nms-pairs")
+        k += 1
+    gone = spark.read.schema(schema).parquet(*[f"{root}/round={i}" for i in range(k + 1)])
+    return r.join(gone.hint("merge"), grp + ["rk"], "left_anti").select(*det.columns)
 
 
 def postprocess(det: DataFrame, *, score_thr: float = 0.001, nms_pre: int = 30000, min_size: float = 0.0,
@@ -167,7 +168,7 @@ def postprocess(det: DataFrame, *, score_thr: float = 0.001, nms_pre: int = 3000
     return (det.transform(lambda d: confidence_filter(d, score_thr))
                .transform(lambda d: topk_per_image(d, nms_pre))
                .transform(lambda d: min_box_filter(d, min_size))
-               # nms_pre already bounds every group: no hot-group check needed
+               # where nms_pre already bounds every group, no hot-group check is needed
                .transform(lambda d: nms(d, iou_thr=iou_thr, max_group=None if nms_pre <= NMS_MAX_GROUP else NMS_MAX_GROUP))
                .transform(lambda d: topk_per_image(d, max_per_img)))
 

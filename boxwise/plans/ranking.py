@@ -14,21 +14,18 @@ the group through one task.  ``ranked`` instead
 4. joins the offsets back (broadcast: the segment table's size is bounded by
    the partition count plus the number of groups).
 
-The numbered rows are written as Parquet under the shared
-``spark.checkpoint.dir`` (``session.materialize``) before the two uses: range bounds come from a sample,
+The numbered rows are written as Parquet under the shared ``spark.checkpoint.dir``
+(``session.materialize``) before the two uses: range bounds come from a sample,
 and a second evaluation over a re-run upstream shuffle could draw other bounds
 and number rows differently.  The written copy also cuts the lineage, so a lost
-executor does not re-run the upstream plan.  Rank narrow tables (ids and order
-keys), then join wide payloads to the positions.
-
-Only *hot* groups take that path.  Rows are first counted per group (one
-aggregate with map-side combine, one row per group); groups of at most
-``hot_rows`` rows - a bound one task sorts comfortably - are ranked with a
-plain partitioned ``row_number`` window, and only the hot groups are range
-split.  Without a group the whole input is one group.  Use ``group`` for a
-bounded number of groups (categories x thresholds, splits, streams); for many
-small groups call a plain window directly.  The order must be total (end it
-with a unique id) so positions are stable when a task is retried.
+executor does not re-run the upstream plan, and the order is evaluated once.
+Rank narrow tables (ids and order keys), then join wide payloads to the positions.
+
+There is one path for every size: no probe decides it, and no group meets one
+task.  Use ``group`` for a bounded number of groups (categories x thresholds,
+splits, streams); for many small groups call a plain window directly.  The order
+must be total (end it with a unique id) so positions are stable when a task is
+retried.
 """
 
 from __future__ import annotations
@@ -42,51 +39,15 @@ from pyspark.sql import functions as F
 from boxwise.session import default_parallelism, materialize
 
 _LOW = (1 << 33) - 1
-# rows one task may rank on its own (a sort of a few narrow columns)
-HOT_ROWS = 2_000_000
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: str = "pos",
-           partitions: int | None = None, hot_rows: int | None = HOT_ROWS, sums: Sequence[str] = ()) -> DataFrame:
+           partitions: int | None = None, sums: Sequence[str] = ()) -> DataFrame:
     """Add ``name``: the 0-based position of each row inside ``group`` in ``order``,
-    and ``<c>_cum`` (running sum, current row included) for each column in ``sums``.
-
-    ``hot_rows=None`` sends every group through the range-split path."""
+    and ``<c>_cum`` (running sum, current row included) for each column in ``sums``."""
     group, sums = list(group), list(sums)
-    if hot_rows is not None:
-        hot_rows = min(int(hot_rows), 2_000_000_000)  # DataFrame.limit takes an int
-    if hot_rows is None:
-        return _range_ranked(df, order, group, name, partitions, sums)
-    if not group:
-        if df.limit(hot_rows + 1).count() <= hot_rows:
-            return _window_ranked(df, order, group, name, sums)
-        return _range_ranked(df, order, group, name, partitions, sums)
-    hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*group)
-    if not hot.limit(1).count():
-        return _window_ranked(df, order, group, name, sums)
-    # the hot-key table has at most (rows / hot_rows) entries: a proven bound
-    hot = F.broadcast(hot)
-    cold = _window_ranked(df.join(hot, group, "left_anti"), order, group, name, sums)
-    warm = _range_ranked(df.join(hot, group, "left_semi"), order, group, name, partitions, sums)
-    return cold.unionByName(warm)
-
-
-def _window_ranked(df: DataFrame, order: Sequence, group: list, name: str, sums: list) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(*[_col(o) for o in order]) if group else \
-        Window.orderBy(*[_col(o) for o in order])
-    out = df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for c in sums:
-        out = out.withColumn(f"{c}_cum", F.sum(c).over(run))
-    return out
-
-
-def _range_ranked(df: DataFrame, order: Sequence, group: list, name: str, partitions: int | None,
-                  sums: list = ()) -> DataFrame:
     n = partitions or default_parallelism(df.sparkSession)
     keys = [F.col(g) for g in group] + [_col(o) for o in order]
     r = (df.repartitionByRange(n, *keys)

@@ -3,8 +3,8 @@
 IoU >= t > 0 implies the smaller area is at least t times the larger one, so
 boxes only pair with boxes of nearby scale.  Each right-side box is registered
 in the grid cells it covers at its own scale level ``L = floor(log2(sqrt(area)
-/ cell))`` (cell size ``cell * 2^L``); each left-side box probes the levels
-that can hold a partner.  Two boxes that overlap share a cell of the probed
+/ cell))`` (cell size ``cell * 2^L``); boxes of the other side probe their own
+and coarser levels.  Two boxes that overlap share a cell of the coarser one's
 level, so every pair with IoU >= t is produced; the caller applies the exact
 IoU test.  Cells per box grow with its aspect ratio, not with the group size.
 """
@@ -36,11 +36,36 @@ def _cells(df: DataFrame, level_col: str, cell: float, keep: list) -> DataFrame:
 def grid_pairs(left: DataFrame, right: DataFrame, *, keys: Sequence[str], left_id: str, right_id: str,
                thr: float, cell: float) -> DataFrame:
     """``keys, left_id, right_id`` for every left/right pair of a key group that
-    could have IoU >= ``thr`` (a superset; exact test left to the caller)."""
+    could have IoU >= ``thr`` (a superset; exact test left to the caller).
+
+    Each side probes its own and coarser levels of the other, where a box covers a
+    few cells.  A positive ``thr`` bounds how much coarser a partner can be; with
+    ``thr`` 0 every coarser level present is probed."""
     keys = list(keys)
-    span = max(1, math.ceil(-math.log2(max(thr, 1e-6)) / 2) + 1)
-    reg = _cells(right.withColumn("_l", _level(cell)), "_l", cell, keys + [right_id])
-    probe = left.withColumn("_l0", _level(cell)).withColumn(
-        "_l", F.explode(F.sequence(F.greatest(F.col("_l0") - span, F.lit(0)), F.col("_l0") + span)))
-    probe = _cells(probe, "_l", cell, keys + [left_id])
-    return probe.join(reg, keys + ["lvl", "cx", "cy"]).select(*keys, left_id, right_id).distinct()
+    if thr > 0:
+        span = max(1, math.ceil(-math.log2(thr) / 2) + 1)
+    else:
+        span = int(left.select(_level(cell).alias("l")).unionByName(right.select(_level(cell).alias("l")))
+                   .agg(F.max("l")).first()[0] or 0)
+
+    def own(df, ident):
+        return _cells(df.withColumn("_l", _level(cell)), "_l", cell, keys + [ident])
+
+    def coarser(df, ident, first):
+        p = df.withColumn("_l0", _level(cell)).withColumn(
+            "_l", F.explode(F.sequence(F.col("_l0") + first, F.col("_l0") + max(span, first))))
+        return _cells(p, "_l", cell, keys + [ident])
+
+    on = keys + ["lvl", "cx", "cy"]
+    up = coarser(left, left_id, 0).join(own(right, right_id).hint("merge"), on)
+    pairs = up.select(*keys, left_id, right_id)
+    if span:
+        down = own(left, left_id).join(coarser(right, right_id, 1).hint("merge"), on)
+        pairs = pairs.unionByName(down.select(*keys, left_id, right_id))
+    return pairs.distinct()
+
+
+def cell_size(df: DataFrame, prefix: str = "") -> float:
+    """Median box side: the cell of level 0, whatever the boxes' unit."""
+    side = df.where(area(prefix) > 0).agg(F.percentile_approx(F.sqrt(area(prefix)), 0.5)).first()[0]
+    return float(side or 1.0)

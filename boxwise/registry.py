@@ -93,18 +93,23 @@ def _d5(spark, d):
     return q.drop_empty_images(fx.images(spark, d), fx.annotations(spark, d))
 
 
-@register("duplicate_images", W("SELECT id, count(*) AS n FROM images GROUP BY id HAVING count(*) > 1"))
+@register("duplicate_images", W("""
+SELECT id, count(*) AS n FROM (SELECT id FROM images UNION ALL SELECT id FROM images WHERE split = 'val') t
+GROUP BY id HAVING count(*) > 1"""))
 def _e3(spark, d):
-    return q.duplicate_images(fx.images(spark, d))
+    # the validation images are listed a second time, as by two overlapping documents
+    im = fx.images(spark, d)
+    return q.duplicate_images(im.unionByName(im.where("split = 'val'")))
 
 
 @register("expect_counts", W("""
 SELECT e.split, coalesce(g.n, 0) AS n_samples, e.expected, coalesce(g.n, 0) = e.expected AS ok
-FROM (VALUES ('train', CAST(117266 AS BIGINT)), ('val', CAST(4952 AS BIGINT))) e(split, expected)
+FROM (VALUES ('train', CAST(117266 AS BIGINT)), ('val', CAST(4952 AS BIGINT)),
+             ('test', CAST(0 AS BIGINT))) e(split, expected)
 LEFT JOIN (SELECT split, count(*) AS n FROM images WHERE id IN (SELECT image_id FROM annotations)
            GROUP BY split) g ON e.split = g.split"""))
 def _e4(spark, d):
-    return q.expect_counts(fx.images(spark, d), fx.annotations(spark, d), q.COCO_EXPECTED_SAMPLES)
+    return q.expect_counts(fx.images(spark, d), fx.annotations(spark, d), {**q.COCO_EXPECTED_SAMPLES, "test": 0})
 
 
 @register("label_count", W("""
@@ -298,9 +303,9 @@ def _c11(spark, d):
     return pp.confidence_filter(fx.detections(spark, d), CONF_THR)
 
 
-@register("min_box_filter", W(f"SELECT {DET_COLS} FROM detections WHERE x2 - x1 > 0 AND y2 - y1 > 0"))
+@register("min_box_filter", W(f"SELECT {DET_COLS} FROM detections WHERE x2 - x1 > 32 AND y2 - y1 > 32"))
 def _c13(spark, d):
-    return pp.min_box_filter(fx.detections(spark, d), 0.0)
+    return pp.min_box_filter(fx.detections(spark, d), 32.0)
 
 
 @register("topk_per_image", W(f"""
@@ -967,14 +972,53 @@ def _b8(spark, d):
 ANN_COLS = "id, image_id, category_id, x, y, w, h, iscrowd"
 
 
-@register("read_coco_json", W(f"SELECT {ANN_COLS} FROM annotations"))
-def _a1(spark, d):
+def _coco_root(spark, d) -> str:
     root = scratch_path(spark, "coco_json")
     # ~1000 images per document here, so the fixture is split into several documents
     cj_out.write_coco_json(fx.images(spark, d), fx.annotations(spark, d), fx.categories(spark, d), root,
                            images_per_doc=1000)
-    _, ann, _ = cj.read_coco_json(spark, root)
-    return ann
+    return root
+
+
+@register("read_coco_json", W(f"SELECT {ANN_COLS} FROM annotations"))
+def _a1(spark, d):
+    return cj.read_coco_json(spark, _coco_root(spark, d))[1]
+
+
+@register("read_coco_json_images", W("SELECT id, file_name, height, width FROM images"))
+def _a1_images(spark, d):
+    return cj.read_coco_json(spark, _coco_root(spark, d))[0]
+
+
+@register("read_coco_json_categories", W("""
+SELECT id, name, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS pos FROM categories"""))
+def _a1_categories(spark, d):
+    return cj.read_coco_json(spark, _coco_root(spark, d))[2]
+
+
+@register("convert_dataset", W("""
+SELECT i.id AS img_id, i.split, i.height AS htot, i.width AS wtot, CAST(count(*) AS BIGINT) AS n_boxes,
+       sum(a.x + a.y + (a.x + a.w) + (a.y + a.h)) AS coord_sum,
+       string_agg(CAST(l.label AS VARCHAR), ',' ORDER BY a.id) AS labels, md5(any_value(t.content)) AS md5
+FROM images i JOIN annotations a ON a.image_id = i.id JOIN lab l ON a.category_id = l.category_id
+JOIN tmain t ON t.id = i.id GROUP BY i.id, i.split, i.height, i.width""", extra_ctes=LAB_CTE + "," + TREE_CTES))
+def _convert(spark, d):
+    from boxwise.plans.convert import convert_dataset
+    tree, out = _tree(spark, d), scratch_path(spark, "converted")
+    im, ann = fx.images(spark, d), fx.annotations(spark, d)
+    inputs = {}
+    for split in ("train", "val"):
+        part, docs = im.where(F.col("split") == split), scratch_path(spark, f"instances-{split}")
+        own = ann.join(part.select(F.col("id").alias("image_id")).hint("merge"), "image_id", "left_semi")
+        if split == "train":             # orphans come with the training documents
+            own = own.unionByName(ann.join(im.select(F.col("id").alias("image_id")).hint("merge"), "image_id", "left_anti"))
+        cj_out.write_coco_json(part, own, fx.categories(spark, d), docs, images_per_doc=1000)
+        inputs[split] = (docs, f"{tree}/{split}2017")
+    convert_dataset(spark, inputs, out, size_limit=1 << 20, shards_per_lane=SHARDS_PER_LANE)
+    return spark.read.parquet(out).select(
+        "img_id", "split", "htot", "wtot", F.size("bbox_labels").cast("bigint").alias("n_boxes"),
+        F.aggregate("bbox_sizes", F.lit(0.0), lambda acc, b: acc + b[0] + b[1] + b[2] + b[3]).alias("coord_sum"),
+        F.array_join(F.col("bbox_labels").cast("array<string>"), ",").alias("labels"), F.md5("image").alias("md5"))
 
 
 @register("save_table", W(f"SELECT {ANN_COLS} FROM annotations"))

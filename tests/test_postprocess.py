@@ -84,7 +84,7 @@ def test_distributed_path_equals_greedy(spark, sf):
     rows = [r.asDict() for r in det.collect()]
     want = greedy_nms(rows, 0.5, agnostic=True)
     # class-agnostic groups are whole images; max_group=5 sends the larger ones
-    # through the rounds, the rest through the array walk
+    # through the conflict pairs, the rest through the array walk
     got = {r["det_id"] for r in pp.nms(det, iou_thr=0.5, class_agnostic=True, max_group=5).collect()}
     assert got == want
 
@@ -100,5 +100,34 @@ def test_distributed_one_hot_group(spark):
         rows.append((i, 1, 1, x, y, x + s * rnd.uniform(0.5, 2), y + s * rnd.uniform(0.5, 2), float(rnd.randint(0, 20))))
     det = spark.createDataFrame(rows, SCHEMA)
     want = greedy_nms([r.asDict() for r in det.collect()], 0.3)
-    got = {r["det_id"] for r in pp.nms_distributed(det, iou_thr=0.3).collect()}
-    assert got == want
+    for edges in (10 ** 6, 50):
+        got = {r["det_id"] for r in pp.nms_distributed(det, iou_thr=0.3, edges_per_group=edges).collect()}
+        assert got == want
+
+
+def test_long_chain_and_ids_unique_per_image_only(spark):
+    # a chain of boxes, each overlapping the next; the same ids in two images
+    rows = [(i, im, 1, 10.0 * i, 0.0, 10.0 * i + 18, 10.0, 1.0 - i / 1000) for im in (1, 2) for i in range(200)]
+    rows += [(i, 3, 1, float(j), 0.0, float(j) + 0.5, 0.5, 0.5) for i, j in enumerate(range(0, 400, 2))]
+    det = spark.createDataFrame(rows, SCHEMA)
+    got = {(r["image_id"], r["det_id"]) for r in pp.nms_distributed(det, iou_thr=0.2).collect()}
+    assert got == {(im, i) for im in (1, 2) for i in range(0, 200, 2)} | {(3, i) for i in range(200)}
+    # thinned by rounds first
+    short = det.where("image_id < 3 AND det_id < 16")
+    got = {(r["image_id"], r["det_id"]) for r in pp.nms_distributed(short, iou_thr=0.2, edges_per_group=9).collect()}
+    assert got == {(im, i) for im in (1, 2) for i in range(0, 16, 2)}
+
+
+def test_threshold_zero_meets_any_scale(spark):
+    det = spark.createDataFrame([(1, 1, 1, 0.0, 0.0, 1.0, 1.0, 0.9), (2, 1, 1, 0.0, 0.0, 5000.0, 5000.0, 0.8),
+                                 (3, 1, 1, 9000.0, 9000.0, 9001.0, 9001.0, 0.1)], SCHEMA)
+    assert {r["det_id"] for r in pp.nms_distributed(det, iou_thr=0.0).collect()} == {1, 3}
+
+
+def test_thirty_thousand_disjoint_boxes(spark):
+    n = 30_000
+    det = spark.range(n).selectExpr("id AS det_id", "1L AS image_id", "1L AS category_id",
+                                    "0.001D * (id % 200) AS x1", "0.001D * (id div 200) AS y1",
+                                    "0.001D * (id % 200) + 0.0009 AS x2", "0.001D * (id div 200) + 0.0009 AS y2",
+                                    "(id * 7919 % 30011) / 30011D AS score")
+    assert pp.nms(det, iou_thr=0.5).count() == n
