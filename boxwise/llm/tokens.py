@@ -23,6 +23,8 @@ from boxwise.llm import bpe
 END, LETTER, NUMBER, OTHER, QUOTE2, QUOTE3, SPACE = range(7)
 START, IN_L, IN_O, IN_S, NEED1, NEED2 = range(6)
 
+CACHE_ENTRIES = 1_000_000          # cached slices per worker; a full cache starts anew
+
 
 def _word_automaton():
     step = np.zeros((6, 7), np.uint8)
@@ -95,7 +97,7 @@ class Library(bpe.SliceCache):
             for i in odd:
                 plain[i] = ""
         buf, begins, ends, counts = self.slices(plain)
-        if len(self) > bpe.CACHE_ENTRIES:
+        if len(self) > CACHE_ENTRIES:
             self.reset()
         pieces = [buf[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
         index = np.fromiter(map(self.get, pieces, repeat(-1)), np.int64, len(pieces))
