@@ -8,41 +8,50 @@ Steps
    group is bounded by ``max_det`` times that image's truths of the class;
    keys with very many truths pair through a scale-bucketed spatial grid.
 3. ``match``: per (image, category) the detections, by ``score DESC,
-   det_id``, take for every threshold t the best-IoU unmatched non-crowd truth
-   with ``IoU >= t`` (ties: the later truth); failing that a crowd truth makes
-   the detection *ignored*; otherwise it is a false positive.  One
-   higher-order ``aggregate`` walk per group serves all thresholds - JVM only.
+   det_id``, take for every threshold t and area range the best-IoU unmatched truth
+   with ``IoU >= t`` that counts (ties: the later truth); failing that, a truth that
+   is ignored (a crowd, or one whose area is outside the range) makes the detection
+   *ignored*; otherwise it is a false positive, or ignored where its own area is
+   outside the range.  Pairs are sorted by key inside each partition and walked as
+   a stream, one group at a time; a detection's results are two bit masks over the
+   thresholds per area range.
 4. ``pr_curve``: precision sampled at 101 recall points, monotone from the
-   right.  Only match rows are ranked per (category, threshold); unmatched
-   detections enter through one threshold-free position per category, so
-   ``k = position + 1 - ignored so far`` and ``m`` is the running true-positive
-   count (distributed ranking, ``plans.ranking.ranked``: a category holding
-   most detections is still spread over all tasks).  Precision at the m-th
-   true positive is ``m / k``; the envelope only needs the maximum per *recall
-   band* ``b = floor(100 m / npig)``, an aggregation with map-side combine,
-   followed by a suffix maximum over at most 101 bands.  Recall point ``i`` is
-   reached when ``100 * tp >= i * npig`` (exact integer test, where the
-   reference library compares against float ``linspace``).
-5. ``coco_ap`` / ``coco_ar`` aggregate the curve and the per-threshold recall.
-Categories without non-crowd truth are left out of the means.  Area ranges
-other than "all" are not computed.
+   right.  One distributed ranking per category (``plans.ranking.ranked``: a
+   category holding most detections is still spread over all tasks) carries the
+   running sums of every threshold and range.  Precision at the m-th true positive
+   is ``m / k``; the envelope only needs the maximum per *recall band*
+   ``b = floor(100 m / npig)``, an aggregation with map-side combine, followed by a
+   suffix maximum over at most 101 bands.  Recall point ``i`` is reached when
+   ``100 * tp >= i * npig`` (exact integer test, where the reference library
+   compares against float ``linspace``).
+5. ``coco_ap`` / ``coco_ar`` aggregate the curve and the per-threshold recall, also
+   by area range.  Categories without a counting truth are left out of the means.
+   A truth's area is its ``area`` column (segmentation area), where it has none
+   that of its box.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boxwise.functions.geometry import area, intersection
 from boxwise.operators.postprocess import topk_per_image
 from boxwise.plans.ranking import ranked
 from boxwise.plans.spatial import cell_size, grid_pairs
-from boxwise.session import materialize
+from boxwise.session import materialize, ship_package
 
 # fixed values: IoU thresholds .50:.05:.95 and detections-per-image limits
 IOU_THRS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 MAX_DETS = (1, 10, 100)
 N_RECALL = 101
+# fixed values: area ranges (both bounds included)
+AREA_RANGES = (("all", 0.0, 1e10), ("small", 0.0, 1024.0), ("medium", 1024.0, 9216.0), ("large", 9216.0, 1e10))
 
 
 def eval_sets(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
@@ -63,12 +72,16 @@ def eval_sets(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories:
 HOT_TRUTHS = 100_000
 
 
+def _truth_area(gt: DataFrame):
+    return F.col("area") if "area" in gt.columns else area("")
+
+
 def _pair_iou(j: DataFrame) -> DataFrame:
     inter = intersection("", "g")
     da, ga = area(""), area("g")
     uni = F.when(F.col("iscrowd") == 1, da).otherwise(da + ga - inter)
     return (j.withColumn("inter", inter).where(F.col("inter") > 0)
-             .select("det_id", "ann_id", "image_id", "category_id", "iscrowd", "score",
+             .select("det_id", "ann_id", "image_id", "category_id", "iscrowd", "score", "gt_area",
                      F.when(uni > 0, F.col("inter") / uni).otherwise(F.lit(0.0)).alias("iou")))
 
 
@@ -84,7 +97,8 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame, *, min_iou: float | None = None
     """
     key = ["image_id", "category_id"]
     g = gt_xyxy.select(F.col("id").alias("ann_id"), "image_id", "category_id",
-                       *[F.col(c).alias(f"g{c}") for c in ("x1", "y1", "x2", "y2")], "iscrowd")
+                       *[F.col(c).alias(f"g{c}") for c in ("x1", "y1", "x2", "y2")], "iscrowd",
+                       _truth_area(gt_xyxy).alias("gt_area"))
     dsel = det.select("det_id", "image_id", "category_id", "x1", "y1", "x2", "y2", "score")
 
     def plain(dd, gg):
@@ -110,152 +124,228 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame, *, min_iou: float | None = None
     return cold.unionByName(crowd).unionByName(spatial).where(F.col("iou") >= min_iou)
 
 
+KEY = ["image_id", "category_id"]
+
+
+def _groups(batches):
+    """Complete (image, category) groups out of sorted batches, as lists of columns."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        im, ca = pdf["image_id"].to_numpy(), pdf["category_id"].to_numpy()
+        edges = [0, *(np.flatnonzero((im[1:] != im[:-1]) | (ca[1:] != ca[:-1])) + 1).tolist()]
+        rest = pdf.iloc[edges[-1]:]
+        cols = [pdf[c].tolist() for c in pdf.columns]
+        for a, b in zip(edges, edges[1:]):
+            yield [c[a:b] for c in cols]
+    if rest is not None and len(rest):
+        yield [rest[c].tolist() for c in rest.columns]
+
+
+def _match_group(dets: list, thrs, lo: float, hi: float) -> list:
+    """(threshold index, detection index, truth, ignored) of one group and range.
+    ``dets``: per detection its candidates (iou, truth, crowd, area), best first."""
+    out = []
+    for i, t in enumerate(thrs):
+        taken = set()
+        for k, cands in enumerate(dets):
+            best = spare = None
+            for iou, ann, crowd, size in cands:
+                if iou < t:
+                    break
+                if not crowd and lo <= size <= hi:
+                    if ann not in taken:
+                        best = ann
+                        break
+                elif spare is None and (crowd or ann not in taken):
+                    spare = ann
+            if best is not None:
+                taken.add(best)
+                out.append((i, k, best, 0))
+            elif spare is not None:
+                taken.add(spare)
+                out.append((i, k, spare, 1))
+    return out
+
+
+def _walk(thrs, ranges, masks: bool, batches):
+    names = [f.name for f in (_mask_schema(ranges) if masks else MATCH_SCHEMA).fields]
+    rows = []
+    for im, ca, _, det, iou, ann, crowd, size in _groups(batches):
+        ids, dets = [], []
+        for d, *c in zip(det, iou, ann, crowd, size):
+            if not ids or ids[-1] != d:
+                ids.append(d)
+                dets.append([])
+            dets[-1].append(c)
+        known = {}
+        result = []
+        for _, lo, hi in ranges:
+            inside = tuple(lo <= x <= hi for x in size)
+            if inside not in known:
+                known[inside] = _match_group(dets, thrs, lo, hi)
+            result.append(known[inside])
+        if masks:
+            bits = [[0] * (2 * len(ranges)) for _ in ids]
+            for r, found in enumerate(result):
+                for i, k, _, ignored in found:
+                    bits[k][2 * r + ignored] |= 1 << i
+            rows += [(im[0], ca[0], d, *b) for d, b in zip(ids, bits) if any(b)]
+        else:
+            rows += [(ids[k], thrs[i], truth, ignored) for i, k, truth, ignored in result[0]]
+        if len(rows) > 50_000:
+            yield pd.DataFrame(rows, columns=names)
+            rows = []
+    yield pd.DataFrame(rows, columns=names)
+
+
+MATCH_SCHEMA = T.StructType([T.StructField("det_id", T.LongType()), T.StructField("iou_thr", T.DoubleType()),
+                             T.StructField("ann_id", T.LongType()), T.StructField("crowd", T.IntegerType())])
+
+
+def _mask_schema(ranges) -> T.StructType:
+    return T.StructType([*[T.StructField(c, T.LongType()) for c in (*KEY, "det_id")],
+                         *[T.StructField(f"{kind}_{name}", T.IntegerType()) for name, _, _ in ranges
+                           for kind in ("tp", "ig")]])
+
+
+def _walked(pairs: DataFrame, thrs, ranges, masks: bool) -> DataFrame:
+    ship_package(pairs.sparkSession)
+    p = pairs.select(*KEY, (-F.col("score")).alias("ns"), "det_id", "iou", "ann_id", "iscrowd", "gt_area")
+    p = p.repartition(*KEY).sortWithinPartitions(*KEY, "ns", "det_id", F.desc("iou"), F.desc("ann_id"))
+    return p.mapInPandas(partial(_walk, tuple(thrs), tuple(ranges), masks), _mask_schema(ranges) if masks else MATCH_SCHEMA)
+
+
 def match(pairs: DataFrame, thrs=IOU_THRS) -> DataFrame:
     """Greedy matching; returns ``det_id, iou_thr, ann_id, crowd`` for every
-    detection that matched something (``crowd = 1``: ignored detection).
+    detection that matched something (``crowd = 1``: ignored detection)."""
+    return _walked(pairs, thrs, AREA_RANGES[:1], False)
 
-    One walk per (image, category) serves all thresholds: the state holds one
-    matched-truth list per threshold, so pairs are grouped once instead of once
-    per threshold.
-    """
-    t_arr = F.array(*[F.lit(float(t)) for t in thrs])
-    # candidates per detection, best first (IoU desc, ties: the later truth),
-    # split into non-crowd and crowd lists once, outside the sequential walk
-    cand = F.struct("iou", "ann_id")
-    per_det = pairs.groupBy("image_id", "category_id", "det_id", "score").agg(
-        F.sort_array(F.collect_list(F.when(F.col("iscrowd") == 0, cand)), asc=False).alias("nc"),
-        F.sort_array(F.collect_list(F.when(F.col("iscrowd") == 1, cand)), asc=False).alias("cr"))
-    grp = per_det.groupBy("image_id", "category_id").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("ns"), "det_id", "nc", "cr"))).alias("ds"))
-
-    res_t = "array<struct<det_id:bigint,iou_thr:double,ann_id:bigint,crowd:int>>"
-    empty_ids = F.array().cast("array<bigint>")
-    init = F.struct(F.array(*[empty_ids for _ in thrs]).alias("m"), F.array().cast(res_t).alias("out"))
-
-    def step(acc, d):
-        # per threshold: first available non-crowd truth, else the best crowd truth
-        top_cr = F.get(d["cr"], 0)
-        per_t = F.transform(t_arr, lambda t, i: F.struct(
-            t.alias("t"),
-            F.get(F.filter(d["nc"], lambda x: (x["iou"] >= t) & ~F.array_contains(acc["m"][i], x["ann_id"])), 0)
-             ["ann_id"].alias("nc"),
-            F.when(top_cr["iou"] >= t, top_cr["ann_id"]).alias("cr")))
-
-        def advance(res):  # ``res`` is evaluated once (bound by the one-element transform)
-            m = F.transform(acc["m"], lambda mi, i: F.when(res[i]["nc"].isNotNull(),
-                                                          F.concat(mi, F.array(res[i]["nc"]))).otherwise(mi))
-            hit = F.filter(res, lambda r: r["nc"].isNotNull() | r["cr"].isNotNull())
-            rec = F.transform(hit, lambda r: F.struct(d["det_id"].alias("det_id"), r["t"].alias("iou_thr"),
-                                                      F.coalesce(r["nc"], r["cr"]).alias("ann_id"),
-                                                      F.when(r["nc"].isNotNull(), 0).otherwise(1).alias("crowd")))
-            return F.struct(m.alias("m"), F.concat(acc["out"], rec).alias("out"))
-
-        return F.transform(F.array(per_t), advance)[0]
-
-    r = grp.select(F.explode(F.aggregate("ds", init, step)["out"]).alias("r"))
-    return r.select("r.det_id", "r.iou_thr", "r.ann_id", "r.crowd")
-
-
-def npig(gt: DataFrame) -> DataFrame:
-    """Non-crowd truths per category (only categories that have some)."""
-    return gt.where(F.col("iscrowd") == 0).groupBy("category_id").agg(F.count(F.lit(1)).alias("npig"))
-
-
-def pr_curve(det_top: DataFrame, matches: DataFrame, n_pos: DataFrame, thrs=IOU_THRS) -> DataFrame:
-    """``category_id, iou_thr, recall_idx (0..100), precision`` (101-point curve).
-
-    Only match rows are ranked per (category, threshold); unmatched
-    detections (false positives at every threshold) enter through one
-    threshold-free position per category: at a true positive, ``k = (position
-    among all detections of the category) + 1 - (ignored detections so far)``
-    and ``m`` is the running true-positive count.
+
+def match_masks(pairs: DataFrame, thrs=IOU_THRS, ranges=AREA_RANGES) -> DataFrame:
+    """The same matching for every area range, one row per matched detection:
+    ``tp_<range>`` and ``ig_<range>`` have bit ``i`` set where the detection is a
+    true positive, or ignored, at the i-th threshold."""
+    return _walked(pairs, thrs, ranges, True)
+
+
+def npig(gt: DataFrame, ranges=AREA_RANGES) -> DataFrame:
+    """Counting truths per area range and category (only those that have some)."""
+    size = _truth_area(gt)
+    g = gt.where(F.col("iscrowd") == 0).select("category_id", F.explode(F.array(*[
+        F.when(size.between(lo, hi), F.lit(name)) for name, lo, hi in ranges])).alias("area")).where("area IS NOT NULL")
+    return g.groupBy("area", "category_id").agg(F.count(F.lit(1)).alias("npig"))
+
+
+def _bit(column: str, i: int):
+    return F.coalesce(F.shiftright(F.col(column), i).bitwiseAND(F.lit(1)), F.lit(0))
+
+
+def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_THRS, ranges=AREA_RANGES) -> DataFrame:
+    """``area, category_id, iou_thr, recall_idx (0..100), precision`` (101-point curve).
+
+    At a true positive, ``m`` is the running count of true positives and ``k`` that
+    of all detections that count: those whose area is in the range, less ignored
+    ones among them, plus true positives outside it.
     """
-    order = [F.col("score").desc(), F.col("det_id")]
-    pos = ranked(det_top.select("det_id", "category_id", "score"), order, group=["category_id"], name="r0")
-    mt = (matches.join(pos.hint("merge"), "det_id")
-                 .select("det_id", "category_id", "iou_thr", "score", "r0",
-                         (F.col("crowd") == 0).cast("int").alias("tp"), (F.col("crowd") == 1).cast("int").alias("ig")))
-    run = ranked(mt, order, group=["category_id", "iou_thr"], name="_q", sums=["tp", "ig"])
-    tps = run.where(F.col("tp") == 1).join(n_pos, "category_id")
-    m, kk = F.col("tp_cum"), F.col("r0") + 1 - F.col("ig_cum")
-    bands = (tps.withColumn("b", F.least(F.lit(N_RECALL - 1), F.floor((m * (N_RECALL - 1)) / F.col("npig")).cast("int")))
-                .groupBy("category_id", "iou_thr", "b").agg(F.max(m / kk).alias("mp")))
-    w_suffix = Window.partitionBy("category_id", "iou_thr").orderBy(F.col("b").desc()) \
-                     .rowsBetween(Window.unboundedPreceding, 0)
-    w_prev = Window.partitionBy("category_id", "iou_thr").orderBy("b")
+    order = [F.col("score").desc(), F.col("image_id"), F.col("det_id")]
+    d = det_top.select(*KEY, "det_id", "score", area("").alias("size")).join(masks.hint("merge"), [*KEY, "det_id"], "left")
+    cols, names = {}, []
+    for name, lo, hi in ranges:
+        inside = F.col("size").between(lo, hi).cast("int")
+        cols[f"in_{name}"] = inside
+        for i in range(len(thrs)):
+            tp, ig = _bit(f"tp_{name}", i), _bit(f"ig_{name}", i)
+            cols[f"t_{name}_{i}"] = tp
+            cols[f"a_{name}_{i}"] = tp * (1 - inside) - ig * inside
+    d = d.select(*KEY, "det_id", "score", *[v.alias(k) for k, v in cols.items()])
+    run = ranked(d, order, group=["category_id"], name="_r", sums=list(cols))
+    points = F.array(*[F.struct(F.lit(name).alias("area"), F.lit(float(t)).alias("iou_thr"), F.col(f"t_{name}_{i}").alias("tp"),
+                                F.col(f"t_{name}_{i}_cum").alias("m"),
+                                (F.col(f"in_{name}_cum") + F.col(f"a_{name}_{i}_cum")).alias("k"))
+                       for name, _, _ in ranges for i, t in enumerate(thrs)])
+    tps = (run.select("category_id", F.explode(F.filter(points, lambda x: x["tp"] == 1)).alias("p"))
+              .select("category_id", "p.area", "p.iou_thr", "p.m", "p.k").join(n_pos, ["area", "category_id"]))
+    key = ["area", "category_id", "iou_thr"]
+    bands = (tps.withColumn("b", F.least(F.lit(N_RECALL - 1), F.floor((F.col("m") * (N_RECALL - 1)) / F.col("npig")).cast("int")))
+                .groupBy(*key, "b").agg(F.max(F.col("m") / F.col("k")).alias("mp")))
+    w_suffix = Window.partitionBy(*key).orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    w_prev = Window.partitionBy(*key).orderBy("b")
     bands = (bands.withColumn("s", F.max("mp").over(w_suffix))
                   .withColumn("p", F.coalesce(F.lag("b").over(w_prev), F.lit(-1))))
-    covered = bands.select("category_id", "iou_thr", F.explode(F.sequence(F.col("p") + 1, F.col("b"))).alias("recall_idx"),
+    covered = bands.select(*key, F.explode(F.sequence(F.col("p") + 1, F.col("b"))).alias("recall_idx"),
                            F.col("s").alias("precision"))
     # recall points past the last band (or every point, without true positives) get 0
-    top = bands.groupBy("category_id", "iou_thr").agg(F.max("b").alias("mb"))
-    base = n_pos.select("category_id").withColumn("iou_thr", F.explode(F.array(*[F.lit(float(t)) for t in thrs])))
-    tail = (base.join(top, ["category_id", "iou_thr"], "left")
+    top = bands.groupBy(*key).agg(F.max("b").alias("mb"))
+    base = n_pos.select("area", "category_id").withColumn("iou_thr", F.explode(F.array(*[F.lit(float(t)) for t in thrs])))
+    tail = (base.join(top, key, "left")
                 .withColumn("mb", F.coalesce("mb", F.lit(-1)))
                 .where(F.col("mb") < N_RECALL - 1)
-                .select("category_id", "iou_thr", F.explode(F.sequence(F.col("mb") + 1, F.lit(N_RECALL - 1))).alias("recall_idx"),
+                .select(*key, F.explode(F.sequence(F.col("mb") + 1, F.lit(N_RECALL - 1))).alias("recall_idx"),
                         F.lit(0.0).alias("precision")))
     return covered.unionByName(tail)
 
 
 def evaluate_inputs(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
-                    max_det: int = 100, thrs=IOU_THRS):
-    """``(detections, truths, matches)``.  The evaluated detections (best
-    ``max_det`` per image and category) and the match table are written as
-    Parquet to the shared checkpoint folder: both are read several times below and
-    the matching must not run again."""
+                    max_det: int = 100, thrs=IOU_THRS, ranges=AREA_RANGES):
+    """``(detections, truths, match masks)``.  The evaluated detections (best
+    ``max_det`` per image and category) and the masks are written as Parquet to the
+    shared checkpoint folder.  ``coco_ap`` and ``coco_ar`` both take the triple as
+    ``evaluated``, so one matching serves both."""
     d, g = eval_sets(det, gt_xyxy, images, categories, max_det=max_det)
     d = materialize(d, "eval-dets")
     pairs = iou_join(d, g, min_iou=min(thrs))
-    m = materialize(match(pairs, thrs), "eval-matches")
-    return d, g, m
+    return d, g, materialize(match_masks(pairs, thrs, ranges), "eval-masks")
 
 
-def coco_ap(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
-            thrs=IOU_THRS, max_det: int = 100, digits: int = 6) -> DataFrame:
+def coco_ap(det: DataFrame = None, gt_xyxy: DataFrame = None, images: DataFrame = None, categories: DataFrame = None, *,
+            thrs=IOU_THRS, max_det: int = 100, digits: int = 6, ranges=AREA_RANGES, evaluated=None) -> DataFrame:
     """Long table ``metric, iou_thr, category_id, value``.
 
     ``AP`` per (threshold, category); ``AP`` with ``iou_thr = -1`` per category
     (mean over thresholds); ``mAP`` with ``category_id = -1`` for all
-    thresholds (``iou_thr = -1``), 0.5 and 0.75.
+    thresholds (``iou_thr = -1``), 0.5 and 0.75; ``mAP_small``, ``mAP_medium`` and
+    ``mAP_large`` over all thresholds.
     """
-    d, g, m = evaluate_inputs(det, gt_xyxy, images, categories, max_det=max_det, thrs=thrs)
-    ap = pr_curve(d, m, npig(g), thrs).groupBy("category_id", "iou_thr").agg(
+    d, g, m = evaluated or evaluate_inputs(det, gt_xyxy, images, categories, max_det=max_det, thrs=thrs, ranges=ranges)
+    ap = pr_curve(d, m, npig(g, ranges), thrs, ranges).groupBy("area", "category_id", "iou_thr").agg(
         (F.sum("precision") / F.lit(float(N_RECALL))).alias("ap"))
-    # every summary in one pass: (threshold, category), category, all, threshold
-    t, c = F.col("iou_thr"), F.col("category_id")
-    sets = ap.groupingSets([[t, c], [c], [], [t]], t, c).agg(
+    # every summary in one pass: (threshold, category), category, all, threshold - by area range
+    t, c, a = F.col("iou_thr"), F.col("category_id"), F.col("area")
+    sets = ap.groupingSets([[a, t, c], [a, c], [a], [a, t]], a, t, c).agg(
         F.avg("ap").alias("value"), F.grouping_id().alias("_g"))
     g = F.col("_g")  # bit 1: threshold rolled up, bit 0: category rolled up
-    out = sets.where((g != 1) | t.isin(0.5, 0.75)).select(
-        F.when(g.isin(0, 2), F.lit("AP")).otherwise(F.lit("mAP")).alias("metric"),
+    out = sets.where(((a == "all") & ((g != 1) | t.isin(0.5, 0.75))) | ((a != "all") & (g == 3))).select(
+        F.when(a != "all", F.concat(F.lit("mAP_"), a)).when(g.isin(0, 2), F.lit("AP")).otherwise(F.lit("mAP")).alias("metric"),
         F.coalesce(t, F.lit(-1.0)).alias("iou_thr"),
         F.coalesce(c, F.lit(-1).cast("bigint")).alias("category_id"), "value")
     return out.withColumn("value", F.round("value", digits))
 
 
-def coco_ar(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
-            thrs=IOU_THRS, max_dets=(100, 1, 10), digits: int = 6) -> DataFrame:
+def coco_ar(det: DataFrame = None, gt_xyxy: DataFrame = None, images: DataFrame = None, categories: DataFrame = None, *,
+            thrs=IOU_THRS, max_dets=(100, 1, 10), digits: int = 6, ranges=AREA_RANGES, evaluated=None) -> DataFrame:
     """Average recall for each detections-per-image limit: ``metric = AR@n``,
-    per category (mean over thresholds) and overall (``category_id = -1``).
+    per category (mean over thresholds) and overall (``category_id = -1``);
+    ``AR_small``, ``AR_medium`` and ``AR_large`` overall at the largest limit.
 
     Greedy matching of a score-sorted prefix does not depend on later
     detections, so one matching at the largest limit serves every limit.
     """
-    d, g, mt = evaluate_inputs(det, gt_xyxy, images, categories, max_det=max(max_dets), thrs=thrs)
-    n_pos = npig(g)
-    lim = F.explode(F.array(*[F.lit(int(m)) for m in max_dets])).alias("max_det")
-    hits = mt.where(F.col("crowd") == 0).join(d.select("det_id", "category_id", "rk").hint("merge"), "det_id")
-    s = hits.select("category_id", "iou_thr", "rk", lim).where(F.col("rk") <= F.col("max_det"))
-    tp = s.groupBy("category_id", "iou_thr", "max_det").agg(F.count(F.lit(1)).alias("ntp"))
-    base = (n_pos.withColumn("iou_thr", F.explode(F.array(*[F.lit(float(t)) for t in thrs])))
-                 .withColumn("max_det", F.explode(F.array(*[F.lit(int(m)) for m in max_dets]))))
-    rec = base.join(tp, ["category_id", "iou_thr", "max_det"], "left") \
-              .withColumn("recall", F.coalesce("ntp", F.lit(0)) / F.col("npig"))
-    metric = F.concat(F.lit("AR@"), F.col("max_det").cast("string"))
-    per_c = rec.groupBy("category_id", "max_det").agg(F.avg("recall").alias("value")) \
-               .select(metric.alias("metric"), F.lit(-1.0).alias("iou_thr"), "category_id", "value")
-    overall = rec.groupBy("max_det").agg(F.avg("recall").alias("value")) \
-                 .select(metric.alias("metric"), F.lit(-1.0).alias("iou_thr"),
-                         F.lit(-1).cast("bigint").alias("category_id"), "value")
+    d, g, m = evaluated or evaluate_inputs(det, gt_xyxy, images, categories, max_det=max(max_dets), thrs=thrs, ranges=ranges)
+    hits = m.join(d.select(*KEY, "det_id", "rk").hint("merge"), [*KEY, "det_id"])
+    wanted = [(ranges[0][0], n) for n in max_dets] + [(name, max(max_dets)) for name, _, _ in ranges[1:]]
+    # true positives of all thresholds together: the mean over thresholds needs their sum only
+    counts = [F.sum(F.when(F.col("rk") <= n, F.bit_count(F.col(f"tp_{name}"))).otherwise(0)).alias(f"n{i}")
+              for i, (name, n) in enumerate(wanted)]
+    per = hits.groupBy("category_id").agg(*counts).select("category_id", F.explode(F.array(*[F.struct(
+        F.lit(name).alias("area"), F.lit(n).alias("max_det"), F.col(f"n{i}").alias("hits"))
+        for i, (name, n) in enumerate(wanted)])).alias("x")).select("category_id", "x.*")
+    base = npig(g, ranges).join(hits.sparkSession.createDataFrame(wanted, "area string, max_det int"), "area")
+    rec = base.join(per, ["area", "category_id", "max_det"], "left").withColumn(
+        "recall", F.coalesce("hits", F.lit(0)) / (F.col("npig") * len(thrs)))
+    whole = F.col("area") == ranges[0][0]
+    metric = F.when(whole, F.concat(F.lit("AR@"), F.col("max_det").cast("string"))).otherwise(F.concat(F.lit("AR_"), F.col("area")))
+    per_c = rec.where(whole).select(metric.alias("metric"), F.lit(-1.0).alias("iou_thr"), "category_id", F.col("recall").alias("value"))
+    overall = rec.groupBy("area", "max_det").agg(F.avg("recall").alias("value")).select(
+        metric.alias("metric"), F.lit(-1.0).alias("iou_thr"), F.lit(-1).cast("bigint").alias("category_id"), "value")
     return per_c.unionByName(overall).withColumn("value", F.round("value", digits))

@@ -62,8 +62,9 @@ def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: s
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) \
         if group else Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    for c in sums:
-        seg = seg.withColumn(f"_o{c}", F.coalesce(F.sum(f"_t{c}").over(w), F.lit(0))).drop(f"_t{c}")
+    if sums:
+        seg = seg.withColumns({f"_o{c}": F.coalesce(F.sum(f"_t{c}").over(w), F.lit(0)) for c in sums}) \
+            .drop(*[f"_t{c}" for c in sums])
     seg = seg.select([F.col(c).alias(f"_s{c}") if c in group else F.col(c) for c in seg.columns])
     conds = [F.col("_pid") == F.col("_spid")] + [F.col(g).eqNullSafe(F.col(f"_s{g}")) for g in group]
     seg = seg.withColumnRenamed("_pid", "_spid")
@@ -73,6 +74,5 @@ def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: s
         # running sums inside each (range partition, group) segment: every
         # segment is at most one range partition, so this window is balanced
         loc = Window.partitionBy("_pid", *group).orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        for c in sums:
-            out = out.withColumn(f"{c}_cum", F.col(f"_o{c}") + F.sum(c).over(loc))
+        out = out.withColumns({f"{c}_cum": F.col(f"_o{c}") + F.sum(c).over(loc) for c in sums})
     return out.drop("_pid", "_i", "_spid", "_first", "_off", *[f"_s{g}" for g in group], *[f"_o{c}" for c in sums])

@@ -338,8 +338,8 @@ from boxwise.operators import evaluate as ev  # noqa: E402
 THR_LIST = "[" + ", ".join(repr(t) for t in ev.IOU_THRS) + "]"
 _INTER = ("greatest(0.0, least(d.x2, g.x2) - greatest(d.x1, g.x1)) * "
           "greatest(0.0, least(d.y2, g.y2) - greatest(d.y1, g.y1))")
-_NC = "list_filter(s.cands, lambda c: c.iscrowd = 0 AND NOT list_contains(m.matched, c.ann_id))"
-_CR = "list_filter(s.cands, lambda c: c.iscrowd = 1)"
+_NC = "list_filter(s.cands, lambda c: c.ign = 0 AND NOT list_contains(m.matched, c.ann_id))"
+_CR = "list_filter(s.cands, lambda c: c.ign = 1 AND (c.iscrowd = 1 OR NOT list_contains(m.matched, c.ann_id)))"
 
 
 def _best(lst: str) -> str:
@@ -355,41 +355,50 @@ thr AS (SELECT CAST(unnest({THR_LIST}) AS DOUBLE) AS t),
 pairs AS (SELECT d.det_id, g.id AS ann_id, d.image_id, d.category_id, g.iscrowd, d.score, {_INTER} AS inter,
                  (d.x2 - d.x1) * (d.y2 - d.y1) AS da, (g.x2 - g.x1) * (g.y2 - g.y1) AS ga
           FROM ev_d d JOIN ev_g g ON d.image_id = g.image_id AND d.category_id = g.category_id),
-iou AS (SELECT det_id, ann_id, image_id, category_id, iscrowd, score,
+iou AS (SELECT det_id, ann_id, image_id, category_id, iscrowd, score, ga,
                CASE WHEN (CASE WHEN iscrowd = 1 THEN da ELSE da + ga - inter END) > 0
                     THEN inter / (CASE WHEN iscrowd = 1 THEN da ELSE da + ga - inter END) ELSE 0.0 END AS iou
         FROM pairs WHERE inter > 0),
-cands AS (SELECT i.image_id, i.category_id, t.t, i.det_id, i.score,
-                 list({{'iscrowd': i.iscrowd, 'iou': i.iou, 'ann_id': i.ann_id}}) AS cands
-          FROM iou i JOIN thr t ON i.iou >= t.t GROUP BY ALL),
-seq AS (SELECT *, row_number() OVER (PARTITION BY image_id, category_id, t ORDER BY score DESC, det_id) AS rn FROM cands),
+rng AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {lo!r}::DOUBLE, {hi!r}::DOUBLE)" for n, lo, hi in ev.AREA_RANGES)}) v(area, lo, hi)),
+cands AS (SELECT i.image_id, i.category_id, r.area, t.t, i.det_id, i.score,
+                 list({{'iscrowd': i.iscrowd, 'ign': CASE WHEN i.iscrowd = 1 OR i.ga < r.lo OR i.ga > r.hi THEN 1 ELSE 0 END,
+                       'iou': i.iou, 'ann_id': i.ann_id}}) AS cands
+          FROM iou i JOIN thr t ON i.iou >= t.t CROSS JOIN rng r GROUP BY ALL),
+seq AS (SELECT *, row_number() OVER (PARTITION BY image_id, category_id, area, t ORDER BY score DESC, det_id) AS rn FROM cands),
 m AS (
-  SELECT DISTINCT image_id, category_id, t, 0 AS rn, CAST([] AS BIGINT[]) AS matched,
+  SELECT DISTINCT image_id, category_id, area, t, 0 AS rn, CAST([] AS BIGINT[]) AS matched,
          CAST(NULL AS BIGINT) AS det_id, CAST(NULL AS BIGINT) AS ann_id, CAST(NULL AS INTEGER) AS crowd FROM seq
   UNION ALL
-  SELECT s.image_id, s.category_id, s.t, s.rn,
-         CASE WHEN len({_NC}) > 0 THEN list_append(m.matched, {_best(_NC)}) ELSE m.matched END,
+  SELECT s.image_id, s.category_id, s.area, s.t, s.rn,
+         CASE WHEN len({_NC}) > 0 THEN list_append(m.matched, {_best(_NC)})
+              WHEN len({_CR}) > 0 THEN list_append(m.matched, {_best(_CR)}) ELSE m.matched END,
          s.det_id,
          CASE WHEN len({_NC}) > 0 THEN {_best(_NC)} WHEN len({_CR}) > 0 THEN {_best(_CR)} END,
          CASE WHEN len({_NC}) > 0 THEN 0 WHEN len({_CR}) > 0 THEN 1 END
-  FROM m JOIN seq s ON s.image_id = m.image_id AND s.category_id = m.category_id AND s.t = m.t AND s.rn = m.rn + 1),
-res AS (SELECT det_id, t, ann_id, crowd FROM m WHERE rn > 0 AND crowd IS NOT NULL),
-st AS (SELECT d.det_id, d.category_id, t.t, d.score, d.rk, r.crowd
-       FROM ev_d d CROSS JOIN thr t LEFT JOIN res r ON r.det_id = d.det_id AND r.t = t.t),
-ni AS (SELECT *, row_number() OVER (PARTITION BY category_id, t ORDER BY score DESC, det_id) AS k
+  FROM m JOIN seq s ON s.image_id = m.image_id AND s.category_id = m.category_id AND s.area = m.area AND s.t = m.t
+       AND s.rn = m.rn + 1),
+res AS (SELECT det_id, area, t, ann_id, crowd FROM m WHERE rn > 0 AND crowd IS NOT NULL),
+st AS (SELECT d.det_id, d.image_id, d.category_id, g.area, t.t, d.score, d.rk,
+              CASE WHEN r.crowd IS NULL AND ((d.x2 - d.x1) * (d.y2 - d.y1) < g.lo OR (d.x2 - d.x1) * (d.y2 - d.y1) > g.hi)
+                   THEN 1 ELSE r.crowd END AS crowd
+       FROM ev_d d CROSS JOIN thr t CROSS JOIN rng g LEFT JOIN res r ON r.det_id = d.det_id AND r.t = t.t AND r.area = g.area),
+ni AS (SELECT *, row_number() OVER (PARTITION BY category_id, area, t ORDER BY score DESC, image_id, det_id) AS k
        FROM st WHERE crowd IS NULL OR crowd = 0),
-tpr AS (SELECT *, row_number() OVER (PARTITION BY category_id, t ORDER BY score DESC, det_id) AS mm FROM ni WHERE crowd = 0),
-npig AS (SELECT category_id, count(*) AS npig FROM ev_g WHERE iscrowd = 0 GROUP BY category_id),
-band AS (SELECT tpr.category_id, tpr.t, least(100, (100 * mm) // npig) AS b, max(mm / k) AS mp
-         FROM tpr JOIN npig USING (category_id) GROUP BY ALL),
-pr AS (SELECT c.category_id, t.t AS iou_thr, r.i AS recall_idx, coalesce(max(b.mp), 0.0) AS precision
+tpr AS (SELECT *, row_number() OVER (PARTITION BY category_id, area, t ORDER BY score DESC, image_id, det_id) AS mm
+        FROM ni WHERE crowd = 0),
+npig AS (SELECT category_id, area, count(*) AS npig FROM ev_g e JOIN rng g
+         ON (e.x2 - e.x1) * (e.y2 - e.y1) BETWEEN g.lo AND g.hi WHERE iscrowd = 0 GROUP BY category_id, area),
+band AS (SELECT tpr.category_id, tpr.area, tpr.t, least(100, (100 * mm) // npig) AS b, max(mm / k) AS mp
+         FROM tpr JOIN npig USING (category_id, area) GROUP BY ALL),
+pr AS (SELECT c.category_id, c.area, t.t AS iou_thr, r.i AS recall_idx, coalesce(max(b.mp), 0.0) AS precision
        FROM npig c CROSS JOIN thr t CROSS JOIN (SELECT range AS i FROM range(0, 101)) r
-       LEFT JOIN band b ON b.category_id = c.category_id AND b.t = t.t AND b.b >= r.i GROUP BY ALL),
-ap AS (SELECT category_id, iou_thr, sum(precision) / 101.0 AS ap FROM pr GROUP BY ALL),
-rec AS (SELECT c.category_id, t.t, md.n AS max_det,
-               coalesce((SELECT count(*) FROM st WHERE st.category_id = c.category_id AND st.t = t.t
-                         AND st.crowd = 0 AND st.rk <= md.n), 0) / c.npig AS recall
-        FROM npig c CROSS JOIN thr t CROSS JOIN (SELECT unnest([100, 1, 10]) AS n) md)"""
+       LEFT JOIN band b ON b.category_id = c.category_id AND b.area = c.area AND b.t = t.t AND b.b >= r.i GROUP BY ALL),
+ap AS (SELECT category_id, area, iou_thr, sum(precision) / 101.0 AS ap FROM pr GROUP BY ALL),
+hit AS (SELECT category_id, area, t, rk, count(*) AS n FROM st WHERE crowd = 0 GROUP BY ALL),
+rec AS (SELECT c.category_id, c.area, t.t, md.n AS max_det, c.npig, coalesce(sum(h.n), 0) AS tp
+        FROM npig c CROSS JOIN thr t JOIN (SELECT unnest([100, 1, 10]) AS n) md ON c.area = 'all' OR md.n = 100
+        LEFT JOIN hit h ON h.category_id = c.category_id AND h.area = c.area AND h.t = t.t AND h.rk <= md.n GROUP BY ALL),
+rc AS (SELECT category_id, area, max_det, sum(tp) / (any_value(npig) * 10) AS recall FROM rec GROUP BY category_id, area, max_det)"""
 
 
 def _eval_inputs(spark, d):
@@ -404,14 +413,14 @@ def _d9(spark, d):
     return ev.iou_join(dd, gg).select("det_id", "ann_id", "iou")
 
 
-@register("coco_match", W("SELECT det_id, t AS iou_thr, ann_id, crowd FROM res", extra_ctes=EVAL_CTES, recursive=True))
+@register("coco_match", W("SELECT det_id, t AS iou_thr, ann_id, crowd FROM res WHERE area = 'all'", extra_ctes=EVAL_CTES, recursive=True))
 def _k3(spark, d):
     det, gt, im, ca = _eval_inputs(spark, d)
     dd, gg = ev.eval_sets(det, gt, im, ca)
     return ev.match(ev.iou_join(dd, gg).where(F.col("iou") >= 0.5))
 
 
-@register("pr_curve", W("SELECT category_id, iou_thr, CAST(recall_idx AS INTEGER) AS recall_idx, precision FROM pr",
+@register("pr_curve", W("SELECT category_id, iou_thr, CAST(recall_idx AS INTEGER) AS recall_idx, precision, area FROM pr",
                         extra_ctes=EVAL_CTES, recursive=True))
 def _f6(spark, d):
     det, gt, im, ca = _eval_inputs(spark, d)
@@ -420,19 +429,22 @@ def _f6(spark, d):
 
 
 @register("coco_ap", W("""
-SELECT 'AP' AS metric, iou_thr, category_id, round(ap, 6) AS value FROM ap
-UNION ALL SELECT 'AP', CAST(-1 AS DOUBLE), category_id, round(avg(ap), 6) FROM ap GROUP BY category_id
-UNION ALL SELECT 'mAP', CAST(-1 AS DOUBLE), CAST(-1 AS BIGINT), round(avg(ap), 6) FROM ap
-UNION ALL SELECT 'mAP', iou_thr, CAST(-1 AS BIGINT), round(avg(ap), 6) FROM ap WHERE iou_thr IN (0.5, 0.75) GROUP BY iou_thr""",
+SELECT 'AP' AS metric, iou_thr, category_id, round(ap, 6) AS value FROM ap WHERE area = 'all'
+UNION ALL SELECT 'AP', CAST(-1 AS DOUBLE), category_id, round(avg(ap), 6) FROM ap WHERE area = 'all' GROUP BY category_id
+UNION ALL SELECT CASE WHEN area = 'all' THEN 'mAP' ELSE 'mAP_' || area END, CAST(-1 AS DOUBLE), CAST(-1 AS BIGINT), round(avg(ap), 6)
+          FROM ap GROUP BY area
+UNION ALL SELECT 'mAP', iou_thr, CAST(-1 AS BIGINT), round(avg(ap), 6) FROM ap
+          WHERE area = 'all' AND iou_thr IN (0.5, 0.75) GROUP BY iou_thr""",
                        extra_ctes=EVAL_CTES, recursive=True))
 def _e7(spark, d):
     return ev.coco_ap(*_eval_inputs(spark, d))
 
 
 @register("coco_ar", W("""
-SELECT 'AR@' || CAST(max_det AS VARCHAR) AS metric, CAST(-1 AS DOUBLE) AS iou_thr, category_id, round(avg(recall), 6) AS value
-FROM rec GROUP BY category_id, max_det
-UNION ALL SELECT 'AR@' || CAST(max_det AS VARCHAR), CAST(-1 AS DOUBLE), CAST(-1 AS BIGINT), round(avg(recall), 6) FROM rec GROUP BY max_det""",
+SELECT 'AR@' || CAST(max_det AS VARCHAR) AS metric, CAST(-1 AS DOUBLE) AS iou_thr, category_id, round(recall, 6) AS value
+FROM rc WHERE area = 'all'
+UNION ALL SELECT CASE WHEN area = 'all' THEN 'AR@' || CAST(max_det AS VARCHAR) ELSE 'AR_' || area END, CAST(-1 AS DOUBLE),
+                 CAST(-1 AS BIGINT), round(avg(recall), 6) FROM rc GROUP BY area, max_det""",
                        extra_ctes=EVAL_CTES, recursive=True))
 def _e8(spark, d):
     return ev.coco_ar(*_eval_inputs(spark, d))
