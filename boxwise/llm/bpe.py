@@ -27,6 +27,7 @@ import hashlib
 import heapq
 from array import array
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-RUN_BYTES = 1 << 19
+RUN_BYTES = 1 << 20
 CACHE_ENTRIES = 400_000           # cached slices per worker; a full cache starts anew
 SENTINEL = 0x110000                # stands between two texts
 
@@ -178,22 +179,57 @@ def slices(texts: list[str]):
     return joined.encode(), begins, ends, counts
 
 
-class SliceCache(dict):
-    """slice -> index of its ids in flat arrays; a full cache starts anew."""
+class SliceCache:
+    """slice -> its ids, in flat arrays; a full cache starts anew.
 
-    def __init__(self):
-        super().__init__()
+    Slices of up to eight bytes, most of all, are gathered as 64-bit integers and
+    looked up once for each distinct one of a run; longer ones as bytes."""
+
+    def __init__(self, entries: int = CACHE_ENTRIES):
+        self.entries = entries
         self.reset()
 
-    def reset(self):
-        self.clear()
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def reset(self) -> None:
+        self.short: dict[int, int] = {}
+        self.long: dict[bytes, int] = {}
         self.ids, self.ends = array("I"), array("q", [0])
 
-    def put(self, piece: bytes, ids) -> int:
-        self.ids.extend(ids)
-        self[piece] = n = len(self.ends) - 1
-        self.ends.append(len(self.ids))
-        return n
+    def ids_of(self, pieces: list[bytes]):
+        """The ids of each of some new slices."""
+        raise NotImplementedError
+
+    def _find(self, known: dict, keys: list, as_bytes) -> np.ndarray:
+        got = np.fromiter(map(known.get, keys, repeat(-1)), np.int64, len(keys))
+        missing = np.flatnonzero(got < 0)
+        if len(missing):
+            at = missing.tolist()
+            new = list(dict.fromkeys([keys[i] for i in at]))
+            for key, ids in zip(new, self.ids_of([as_bytes(k) for k in new])):
+                known[key] = len(self.ends) - 1
+                self.ids.extend(ids)
+                self.ends.append(len(self.ids))
+            got[missing] = [known[keys[i]] for i in at]
+        return got
+
+    def index(self, buf: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The cache index of every slice of ``buf``."""
+        if len(self) > self.entries:
+            self.reset()
+        out, length = np.empty(len(begins), np.int64), ends - begins
+        # zero bytes fill up short slices, so texts that hold some take the other way
+        short = length <= 8 if b"\0" not in buf else np.zeros(len(begins), bool)
+        at = np.flatnonzero(short)
+        raw = np.frombuffer(buf + bytes(8), np.uint8)
+        eight = np.lib.stride_tricks.as_strided(raw, (len(raw) - 7, 8), (1, 1))
+        words = eight[begins[at]].view("<u8").ravel() & EIGHT[length[at]]
+        distinct, inverse = np.unique(words, return_inverse=True)
+        out[at] = self._find(self.short, distinct.tolist(), lambda k: k.to_bytes(8, "little").rstrip(b"\0"))[inverse]
+        at = np.flatnonzero(~short)
+        out[at] = self._find(self.long, [buf[a:b] for a, b in zip(begins[at].tolist(), ends[at].tolist())], bytes)
+        return out
 
     def expand(self, index: np.ndarray):
         """(ids, number of ids per slice) of the slices ``index``."""
@@ -204,8 +240,12 @@ class SliceCache(dict):
         return flat[where], count
 
 
+#: Masks of the low 0 to 8 bytes.
+EIGHT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
 class Merges(SliceCache):
-    """Slices are merged on first use."""
+    """Slices are merged by a rank file on first use."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
@@ -216,8 +256,8 @@ class Merges(SliceCache):
             self.vocab[v] = k
         self.lengths = np.array([len(v) for v in self.vocab], np.int64)
 
-    def __missing__(self, piece: bytes) -> int:
-        return self.put(piece, self.merge(piece))
+    def ids_of(self, pieces: list[bytes]):
+        return map(self.merge, pieces)
 
     def merge(self, piece: bytes) -> list[int]:
         ranks = self.ranks
@@ -296,11 +336,7 @@ def text_runs(column: pa.Array, size: int = RUN_BYTES):
 def encode_texts(m: Merges, texts: list[str]):
     """(ids, byte offsets within the text, ids per text) of a run of texts."""
     buf, begins, ends, counts = slices(texts)
-    if len(m) > CACHE_ENTRIES:
-        m.reset()
-    index = np.fromiter(map(m.__getitem__, [buf[a:b] for a, b in zip(begins.tolist(), ends.tolist())]),
-                        np.int64, len(begins))
-    ids, per_slice = m.expand(index)
+    ids, per_slice = m.expand(m.index(buf, begins, ends))
     edge = np.concatenate([[0], np.cumsum(per_slice)])
     per_text = np.diff(edge[np.concatenate([[0], np.cumsum(counts)])])
     length = m.lengths[ids]

@@ -12,7 +12,6 @@ from __future__ import annotations
 import hashlib
 import os
 import unicodedata
-from itertools import repeat
 
 import numpy as np
 
@@ -76,7 +75,7 @@ class Library(bpe.SliceCache):
     """A vocabulary file of the tokenizers library."""
 
     def __init__(self, content: str):
-        super().__init__()
+        super().__init__(CACHE_ENTRIES)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(content)
@@ -87,6 +86,10 @@ class Library(bpe.SliceCache):
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def ids_of(self, pieces: list[bytes]):
+        for low in range(0, len(pieces), 20_000):
+            yield from self.whole([p.decode() for p in pieces[low:low + 20_000]])
+
     def encode(self, texts: list[str]):
         """(ids of all texts, number of ids per text)."""
         odd = [i for i, t in enumerate(texts) if not unicodedata.is_normalized("NFC", t) or "İ" in t] \
@@ -97,20 +100,7 @@ class Library(bpe.SliceCache):
             for i in odd:
                 plain[i] = ""
         buf, begins, ends, counts = self.slices(plain)
-        if len(self) > CACHE_ENTRIES:
-            self.reset()
-        pieces = [buf[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
-        index = np.fromiter(map(self.get, pieces, repeat(-1)), np.int64, len(pieces))
-        missing = np.flatnonzero(index < 0)
-        if len(missing):
-            at = missing.tolist()
-            new = list(dict.fromkeys([pieces[i] for i in at]))
-            for low in range(0, len(new), 20_000):
-                part = new[low:low + 20_000]
-                for piece, ids in zip(part, self.whole([p.decode() for p in part])):
-                    self.put(piece, ids)
-            index[missing] = [self[pieces[i]] for i in at]
-        ids, per_slice = self.expand(index)
+        ids, per_slice = self.expand(self.index(buf, begins, ends))
         edge = np.concatenate([[0], np.cumsum(per_slice)])
         per_text = np.diff(edge[np.concatenate([[0], np.cumsum(counts)])])
         if odd:
