@@ -38,6 +38,6 @@ def test_coco_documents_follow_the_data(spark, sf):
     im = fx.images(spark, sf)
     cj_out.write_coco_json(im, fx.annotations(spark, sf), fx.categories(spark, sf), root, images_per_doc=500)
     parts = glob.glob(root.replace("file:", "") + "/part=*")
-    assert len(parts) == 3  # ceil(1470 / 500)
+    assert len(parts) == 3  # ceil(1500 / 500)
     images, ann, cats = cj.read_coco_json(spark, root)
-    assert images.count() == 1470 and ann.count() == 6000 and cats.count() == 24
+    assert images.count() == 1500 and ann.count() == 6000 and cats.count() == 25
