@@ -12,10 +12,11 @@ differs from order to order.
 Candidates whose whole signatures agree in too few values are dropped (fewer than
 half; at a similarity of 0.75 the chance is about one in a million).  Components
 of the remaining candidates are clusters; a cluster's texts meet in one bounded
-group, where links are confirmed on full sets until its true components are known.
-Clusters of more than ``cluster_words`` words are too large for that: there the
-links are confirmed by joins, first each node's best candidate, then all that
-still lie between components.
+group, where links are confirmed on full sets until its true components are known:
+the candidates first, then every node outside the largest component against the
+whole cluster.  Clusters of more than ``cluster_words`` words are too large for
+that: there the links are confirmed by joins, first each node's best candidate, then
+all that still lie between components, then a wide neighbourhood across components.
 
 Chance of missing a link of similarity s in a region of depth d: (1 - s^d)^TREES,
 2e-6 at s = 0.75, d = 2; in denser regions more paths connect a group.
@@ -29,6 +30,7 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -160,40 +162,45 @@ def _regions(orders: DataFrame, depth: int, region_rows: int) -> DataFrame:
 
 
 NEAR, START = 4, 12                      # neighbours of each node; of the first nodes of a region
+FAR = 64                                 # neighbours across the components of a large cluster
 
 
-def _neighbours(rows: DataFrame) -> DataFrame:
-    """(a, b) candidates: in each sorted region, every node with the NEAR before it;
-    the first START + 1 nodes, so all of a small region, with each other."""
-    ordered = rows.repartition("key").sortWithinPartitions("key", "label", "node").select("key", "node", "n")
+def _neighbours(rows: DataFrame, near: int = NEAR, start: int = START, by_root: bool = False) -> DataFrame:
+    """(a, b) candidates: in each sorted region, every node with the ``near`` before
+    it; the first ``start`` + 1 nodes, so all of a small region, with each other.
+    ``by_root``: only between nodes of different ``root``."""
+    ordered = rows.repartition("key").sortWithinPartitions("key", "label", "node").select(
+        "key", "node", "n", F.col("root" if by_root else "node").alias("root"))
 
     def task(batches):
         tail = None
         for batch in batches:
             key = batch.column("key").to_numpy(zero_copy_only=False)
             n = batch.column("n").to_numpy(zero_copy_only=False)
-            node = np.frombuffer(b"".join(batch.column("node").to_pylist()), "V16")
+            node, root = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "V16") for c in ("node", "root"))
             pos = np.zeros(len(key), np.int64)
             known = 0
             if tail is not None:
-                key, n, node = (np.concatenate([t, x]) for t, x in zip(tail[:3], (key, n, node)))
-                pos = np.concatenate([tail[3], pos])
-                known = len(tail[3])
+                key, n, node, root = (np.concatenate([t, x]) for t, x in zip(tail[:4], (key, n, node, root)))
+                pos = np.concatenate([tail[4], pos])
+                known = len(tail[4])
             change = np.concatenate([[True], key[1:] != key[:-1]])
             began = np.maximum.accumulate(np.where(change, np.arange(len(key)), 0))
             shift = pos[0] if known else 0                   # of the region that goes on from the last batch
             pos = np.arange(len(key)) - began + np.where(began == 0, shift, 0)
             a, b = [], []
-            for d in range(1, START + 1):
+            for d in range(1, start + 1):
                 i = np.arange(max(d, known), len(key))
-                ok = (key[i] == key[i - d]) & ((d <= NEAR) | (pos[i] <= START))
+                ok = (key[i] == key[i - d]) & ((d <= near) | (pos[i] <= start))
+                if by_root:
+                    ok &= root[i] != root[i - d]
                 small, large = np.minimum(n[i], n[i - d]), np.maximum(n[i], n[i - d])
                 i = i[ok & (100 * small >= 75 * large)]
                 a.append(node[i])
                 b.append(node[i - d])
             a, b = np.concatenate(a), np.concatenate(b)
             yield pa.RecordBatch.from_arrays([_fixed(a), _fixed(b)], names=["x", "y"])
-            tail = tuple(v[-START:] for v in (key, n, node, pos))
+            tail = tuple(v[-start:] for v in (key, n, node, root, pos))
 
     return (ordered.mapInArrow(task, "x binary, y binary")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
@@ -250,7 +257,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _confirm_groups(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _confirm_groups(texts: DataFrame, pairs: DataFrame, percent: int, least: int) -> DataFrame:
     """(node, root): true components of each cluster.  ``texts`` (cluster, node,
     text), ``pairs`` (cluster, a, b, agree)."""
     def task(left, right):
@@ -267,11 +274,25 @@ def _confirm_groups(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFra
                 x = parent[x]
             return x
 
-        p = right.to_pydict()
-        for _, a, b in sorted(zip([-x for x in p["agree"]], p["a"], p["b"])):
+        def confirm(a, b):
             ra, rb = find(a), find(b)
             if ra != rb and linked(sets[a], sets[b], percent):
                 parent[max(ra, rb)] = min(ra, rb)
+
+        p = right.to_pydict()
+        for _, a, b in sorted(zip([-x for x in p["agree"]], p["a"], p["b"])):
+            confirm(a, b)
+        # what is still apart from the largest component meets the whole cluster: an
+        # outlier of a dense group has many neighbours, few of which it is linked with
+        order = sorted(sets)
+        size = Counter(find(n) for n in order)
+        if len(size) > 1:
+            sig = signatures([sets[n] for n in order])
+            main = max(size, key=lambda k: (size[k], k))
+            for i in [i for i, n in enumerate(order) if find(n) != main]:
+                agree = (sig == sig[i]).sum(1)
+                for j in sorted(np.flatnonzero(agree >= least).tolist(), key=lambda j: -agree[j]):
+                    confirm(order[i], order[j])
         return pa.table({"node": pa.array(list(sets), pa.binary()), "root": pa.array([find(n) for n in sets], pa.binary())})
 
     return (texts.groupBy("cluster").cogroup(pairs.groupBy("cluster"))
@@ -306,7 +327,8 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     signed = materialize(_sign(docs), "forest-signed")
     nodes = materialize(signed.filter("n > 0").groupBy("node").agg(
         F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("doc_id").alias("first_id")), "forest-nodes")
-    pairs = materialize(_neighbours(_regions(_orders(nodes), depth, region_rows)), "forest-pairs")
+    regions = _regions(_orders(nodes), depth, region_rows)
+    pairs = materialize(_neighbours(regions), "forest-pairs")
     close = materialize(_agreeing(pairs, nodes, least_agree), "forest-close")
     # clusters: components of the candidates
     member = materialize(components(close).withColumnRenamed("root", "cluster")
@@ -319,10 +341,11 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                                   .hint("merge"), "doc_id").drop("doc_id"), "forest-texts")
     of = close.join(member.select(F.col("node").alias("a"), "cluster", "large").hint("merge"), "a")
     roots = materialize(_confirm_groups(texts.filter("NOT large").select("cluster", "node", "text"),
-                                        of.filter("NOT large").select("cluster", "a", "b", "agree"), percent), "forest-roots")
+                                        of.filter("NOT large").select("cluster", "a", "b", "agree"), percent, least_agree), "forest-roots")
     big = materialize(of.filter("large").select("a", "b", "agree"), "forest-big")
     if not big.isEmpty():
-        roots = roots.unionByName(_large_clusters(big, texts.filter("large").select("node", "text"), percent))
+        roots = roots.unionByName(_large_clusters(big, texts.filter("large").select("node", "text"), regions, nodes,
+                                                  percent, least_agree))
     # the smallest id of each component
     named = nodes.select("node", "first_id").join(roots.hint("merge"), "node", "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root"))
@@ -335,16 +358,26 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _large_clusters(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(node, root) for clusters too large for one group."""
+def _large_clusters(pairs: DataFrame, texts: DataFrame, regions: DataFrame, nodes: DataFrame, percent: int,
+                    least: int) -> DataFrame:
+    """(node, root) for clusters too large for one group: first each node's best
+    candidate, then all candidates still between components, then the FAR neighbours
+    of nodes in different components."""
+    def between(p, links):
+        root = materialize(components(links), "forest-linked")
+        ra = root.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+        rb = root.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        return root, (p.join(ra.hint("merge"), "a", "left").join(rb.hint("merge"), "b", "left")
+                      .filter("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b"))
+
     ends = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("node"))
     best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("agree", "a", "b")).alias("p")) \
         .select("p.a", "p.b").distinct()
-    first = materialize(_confirm_joined(best, texts, percent), "forest-links")
-    root = materialize(components(first), "forest-linked")
-    ra = root.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    rb = root.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    between = (pairs.select("a", "b").join(ra.hint("merge"), "a", "left").join(rb.hint("merge"), "b", "left")
-               .filter("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b"))
-    second = materialize(_confirm_joined(between, texts, percent), "forest-links")
-    return components(first.unionByName(second))
+    links = materialize(_confirm_joined(best, texts, percent), "forest-links")
+    _, left = between(pairs.select("a", "b"), links)
+    links = materialize(links.unionByName(_confirm_joined(left, texts, percent)), "forest-links")
+    root, _ = between(pairs.select("a", "b"), links)
+    inside = regions.join(texts.select("node").hint("merge"), "node").join(root.hint("merge"), "node", "left") \
+        .withColumn("root", F.coalesce("root", "node"))
+    far = _agreeing(_neighbours(inside, FAR, FAR, by_root=True), nodes, least).select("a", "b")
+    return components(links.unionByName(_confirm_joined(far, texts, percent)))
