@@ -54,3 +54,28 @@ def test_tta_inverse_returns_original_boxes(spark, sf):
     j = back.join(det.select(F.col("det_id").alias("o"), F.col("x1").alias("ox1"), F.col("x2").alias("ox2")),
                   F.floor(F.col("det_id") / 8) == F.col("o"))
     assert j.where("abs(x1 - ox1) > 1e-6 OR abs(x2 - ox2) > 1e-6").count() == 0
+
+
+def test_every_planned_sample_passes_the_mosaic(spark, sf):
+    """A sample with boxes in the image is there before the crop, mixed or not."""
+    fb = _frame(spark, sf)
+    inside = fb.where("x1 < w AND y1 < h AND x2 > 0 AND y2 > 0")
+    plan = fd.epoch_plan(inside.select("image_id").distinct(), ranks=2, workers=2)
+    part = ag.sample_cache_partners(plan, cache=40, k=3, min_cache=5)
+    out = ag.mosaic_compose(ag.frame(fx.images(spark, sf)), inside.drop("w", "h"), part, samples=plan)
+    assert plan.join(part.select("image_id").distinct(), "image_id", "left_anti").count() > 0
+    unmixed = out.join(part.select("image_id").distinct(), "image_id", "left_anti")
+    assert unmixed.where("tile <> 0 OR src_id <> image_id").count() == 0
+    alone = plan.join(part.select("image_id").distinct(), "image_id", "left_anti").select("image_id")
+    assert alone.join(out, "image_id", "left_anti").count() == 0
+
+
+def test_stage_two_and_tiny_settings(spark, sf):
+    b = fx.as_xyxy(fx.annotations(spark, sf)).select("image_id", F.col("id").alias("box_id"), "category_id",
+                                                    "x1", "y1", "x2", "y2")
+    plan = fd.epoch_plan(b.select("image_id").distinct())
+    two = ag.augment_plan(fx.images(spark, sf), b, plan, epoch=280)
+    assert "tile" not in two.columns and two.where("w < 640 OR h < 640").count() == 0
+    few = ag.augment_plan(fx.images(spark, sf), b, plan, epoch=0, mixup_prob=0.0)
+    many = ag.augment_plan(fx.images(spark, sf), b, plan, epoch=0, mixup_prob=1.0)
+    assert 0 < few.count() < many.count()

@@ -78,3 +78,35 @@ def test_coco_json_with_mixed_segmentation(spark, tmp_path):
     a = {r["id"]: r for r in ann.collect()}
     assert (a[5]["x"], a[5]["h"], a[6]["iscrowd"]) == (1.0, 4.0, 1)
     assert [r["id"] for r in cats.orderBy("pos").collect()] == [3, 1]
+
+
+def test_missing_root_raises(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        fi.list_files(spark, str(tmp_path / "nowhere"))
+    with pytest.raises(FileNotFoundError):
+        fo.copy_tree(spark, str(tmp_path / "nowhere"), str(tmp_path / "copy"))
+
+
+def test_paths_of_other_stores():
+    from boxwise.sources.fsutil import as_uri
+    assert as_uri("s3a://bucket/data", "bucket/data/x.jpg") == "s3a://bucket/data/x.jpg"
+    assert as_uri("hdfs://name:8020/data", "/data/a/x.jpg") == "hdfs://name:8020/data/a/x.jpg"
+    assert as_uri("/data", "/data/x.jpg") == "/data/x.jpg"
+
+
+def test_compressed_files_are_copied_as_they_are(spark, tmp_path):
+    import gzip
+    (tmp_path / "src").mkdir()
+    body = gzip.compress(b"hello" * 100)
+    (tmp_path / "src" / "a.gz").write_bytes(body)
+    fo.copy_tree(spark, str(tmp_path / "src"), str(tmp_path / "dst"))
+    assert (tmp_path / "dst" / "a.gz").read_bytes() == body
+    assert fi.read_files(fi.list_files(spark, str(tmp_path / "src"), list_dir=False)).first()["length"] == len(body)
+
+
+def test_writes_happen_once(spark, tmp_path):
+    path = str(tmp_path / "once" / "a.txt")
+    report = fo.put_files(spark.createDataFrame([(path, "x")], "path string, content string"))
+    (tmp_path / "once" / "a.txt").write_text("changed")
+    assert report.count() == 1 and report.count() == 1
+    assert (tmp_path / "once" / "a.txt").read_text() == "changed"
