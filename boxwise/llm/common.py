@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxwise.session import ship_package
+from boxwise.session import scratch_path, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``session.materialize`` for payloads: the copy in the shared folder is packed
+    with zstd."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def crc_bucket(column: str, modulus: int):
     """crc32 of the column's decimal text, modulo ``modulus``."""
     return F.crc32(F.col(f"`{column}`").cast("string").cast("binary")) % F.lit(modulus)

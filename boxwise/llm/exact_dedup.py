@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxwise.llm.common import store
 from boxwise.session import materialize, scratch_path
 
 # disk-backed state; many partitions hold little each, so no file space is
@@ -87,7 +88,7 @@ def classify(spark: SparkSession, path: str, *, id_col: str = "doc_id", text_col
     rows = _keyed(scan, id_col, text_col)
     keys = ["digest", "n_bytes"]
     # hits: rows of groups larger than one, with their whole text
-    hits = materialize(rows.join(groups.hint("merge"), keys), "exact-hits")
+    hits = store(rows.join(groups.hint("merge"), keys), "exact-hits")
     content = (hits.filter("doc_id <=> keep_id AND file = locator").dropDuplicates(keys)
                .select(*keys, F.col("t").alias("located")))
     checked = materialize(
@@ -109,7 +110,8 @@ def deduplicate(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     Rows equal in id and text are one document and leave one row."""
     spark = df.sparkSession
     path = scratch_path(spark, "exact-input")
-    df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).write.parquet(path)
+    (df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+     .write.option("compression", "zstd").parquet(path))
     gone = classify(spark, path).filter("NOT kept").select(
         F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
