@@ -17,7 +17,7 @@ length.  Files are written for consecutive ranges of the document id in ascendin
 order; the start of a document is the number of ids before it over all files.
 
 Defined results: null text counts as empty and has its end id alone; rows with
-equal id follow in the order of their text; null ids come first; an empty table
+equal id follow in the order of a hash of their text; null ids come first; an empty table
 gives no file and no row; extra columns are not read.
 """
 
@@ -297,8 +297,9 @@ def write(docs: DataFrame, vocabulary: str, *, end_id: int, root: str | None = N
     shared = spark.sparkContext.broadcast(vocabulary)
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     files = files or max(src.rdd.getNumPartitions(), 1)
-    ranged = (src.repartitionByRange(files, F.asc_nulls_first("doc_id")).sortWithinPartitions(
-        F.asc_nulls_first("doc_id"), "text").select(F.col("doc_id").cast("string").alias("name"), "text"))
+    # a hash of the text is the second key, so that rows with equal id can be split
+    keys = [F.asc_nulls_first("doc_id"), F.xxhash64("text")]
+    ranged = (src.repartitionByRange(files, *keys).sortWithinPartitions(*keys, "text").select(F.col("doc_id").cast("string").alias("name"), "text"))
 
     def task(batches):
         from pyspark import TaskContext
