@@ -48,6 +48,14 @@ def test_secrets_base_spans(docs_of):
     assert got[4].b == "hex:6:38"
 
 
+def test_secrets_in_a_text_full_of_matches(docs_of):
+    text = "".join(f"é{i} {'0123456789abcdef' * 2}{'f' * (i % 3)} " for i in range(3000))
+    want = ",".join(f"hex:{m.start()}:{m.end()}" for m in re.finditer(r"[0-9a-f]{32,}", text))
+    assert want.count("hex") == 3000
+    got = secrets.scan(docs_of([text])).selectExpr(f"{secrets.spans_text('base')} AS b").first().b
+    assert got == want
+
+
 def test_secrets_battery_finds_random_strings_and_leaves_words(docs_of):
     rng = random.Random(4)
     b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
