@@ -16,9 +16,10 @@ Steps
    a stream, one group at a time; a detection's results are two bit masks over the
    thresholds per area range.
 4. ``pr_curve``: precision sampled at 101 recall points, monotone from the
-   right.  One distributed ranking per category (``plans.ranking.ranked``: a
-   category holding most detections is still spread over all tasks) carries the
-   running sums of every threshold and range.  Precision at the m-th true positive
+   right.  Detections are range-partitioned by category and score
+   (``plans.ranking.segmented``: a category holding most detections is still spread
+   over all tasks); every segment carries the running counts of all thresholds and
+   ranges on from the segments before it.  Precision at the m-th true positive
    is ``m / k``; the envelope only needs the maximum per *recall band*
    ``b = floor(100 m / npig)``, an aggregation with map-side combine, followed by a
    suffix maximum over at most 101 bands.  Recall point ``i`` is reached when
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 
 from boxwise.functions.geometry import area, intersection
 from boxwise.operators.postprocess import topk_per_image
-from boxwise.plans.ranking import ranked
+from boxwise.plans.ranking import segmented
 from boxwise.plans.spatial import cell_size, grid_pairs
 from boxwise.session import materialize, ship_package
 
@@ -237,8 +238,40 @@ def npig(gt: DataFrame, ranges=AREA_RANGES) -> DataFrame:
     return g.groupBy("area", "category_id").agg(F.count(F.lit(1)).alias("npig"))
 
 
-def _bit(column: str, i: int):
-    return F.coalesce(F.shiftright(F.col(column), i).bitwiseAND(F.lit(1)), F.lit(0))
+def _counters(pdf: pd.DataFrame, n_thrs: int, ranges) -> np.ndarray:
+    """Per detection and range: counts by its area, then by threshold true positive
+    and correction of the count of detections."""
+    size, bits, out = pdf["size"].to_numpy(), np.arange(n_thrs), []
+    for name, lo, hi in ranges:
+        inside = ((size >= lo) & (size <= hi)).astype(np.int64)[:, None]
+        tp, ig = ((pdf[f"{kind}_{name}"].to_numpy(np.int64)[:, None] >> bits) & 1 for kind in ("tp", "ig"))
+        out += [inside, tp, tp * (1 - inside) - ig * inside]
+    return np.concatenate(out, 1)
+
+
+def _totals(n_thrs: int, ranges, pdf):
+    return pd.DataFrame({"_pid": [pdf["_pid"].iloc[0]], "category_id": [pdf["category_id"].iloc[0]],
+                         "totals": [_counters(pdf, n_thrs, ranges).sum(0).tolist()]})
+
+
+def _bands(thrs, ranges, left, right):
+    """Best precision by recall band of one segment, from its running counters."""
+    n_thrs, rows = len(thrs), []
+    if len(left) and len(right):
+        left = left.sort_values("_i")
+        own = _counters(left, n_thrs, ranges)
+        run = np.cumsum(own, 0) + np.array(right["before"].iloc[0], np.int64)
+        category = left["category_id"].iloc[0]
+        for r, (name, _, _) in enumerate(ranges):
+            n, at = int(right["npig"].iloc[0][r]), r * (1 + 2 * n_thrs)
+            for i, t in enumerate(thrs if n else ()):
+                hit = own[:, at + 1 + i] == 1
+                m = run[hit, at + 1 + i]
+                best = np.zeros(N_RECALL)
+                np.maximum.at(best, np.minimum(N_RECALL - 1, m * (N_RECALL - 1) // n),
+                              m / (run[hit, at] + run[hit, at + 1 + n_thrs + i]))
+                rows += [(name, category, float(t), int(b), best[b]) for b in np.flatnonzero(best)]
+    return pd.DataFrame(rows, columns=["area", "category_id", "iou_thr", "b", "mp"])
 
 
 def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_THRS, ranges=AREA_RANGES) -> DataFrame:
@@ -246,29 +279,30 @@ def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_TH
 
     At a true positive, ``m`` is the running count of true positives and ``k`` that
     of all detections that count: those whose area is in the range, less ignored
-    ones among them, plus true positives outside it.
+    ones among them, plus true positives outside it.  Detections are range-partitioned
+    by category and score (``segmented``); a segment's counters start from the totals of
+    the segments before it, so a hot category is spread over tasks.
     """
+    ship_package(det_top.sparkSession)
     order = [F.col("score").desc(), F.col("image_id"), F.col("det_id")]
+    names = [f"{kind}_{name}" for name, _, _ in ranges for kind in ("tp", "ig")]
     d = det_top.select(*KEY, "det_id", "score", area("").alias("size")).join(masks.hint("merge"), [*KEY, "det_id"], "left")
-    cols, names = {}, []
-    for name, lo, hi in ranges:
-        inside = F.col("size").between(lo, hi).cast("int")
-        cols[f"in_{name}"] = inside
-        for i in range(len(thrs)):
-            tp, ig = _bit(f"tp_{name}", i), _bit(f"ig_{name}", i)
-            cols[f"t_{name}_{i}"] = tp
-            cols[f"a_{name}_{i}"] = tp * (1 - inside) - ig * inside
-    d = d.select(*KEY, "det_id", "score", *[v.alias(k) for k, v in cols.items()])
-    run = ranked(d, order, group=["category_id"], name="_r", sums=list(cols))
-    points = F.array(*[F.struct(F.lit(name).alias("area"), F.lit(float(t)).alias("iou_thr"), F.col(f"t_{name}_{i}").alias("tp"),
-                                F.col(f"t_{name}_{i}_cum").alias("m"),
-                                (F.col(f"in_{name}_cum") + F.col(f"a_{name}_{i}_cum")).alias("k"))
-                       for name, _, _ in ranges for i, t in enumerate(thrs)])
-    tps = (run.select("category_id", F.explode(F.filter(points, lambda x: x["tp"] == 1)).alias("p"))
-              .select("category_id", "p.area", "p.iou_thr", "p.m", "p.k").join(n_pos, ["area", "category_id"]))
+    d = d.select(*KEY, "det_id", "score", "size", *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
+    seg = segmented(d, order, group=["category_id"]).select("_pid", "_i", "category_id", "size", *names)
+    at = ["_pid", "category_id"]
+    totals = seg.groupBy(*at).applyInPandas(partial(_totals, len(thrs), ranges),
+                                            "_pid bigint, category_id bigint, totals array<bigint>")
+    w = Window.partitionBy("category_id", "c").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = (totals.select(*at, F.posexplode("totals").alias("c", "v"))
+              .withColumn("v", F.coalesce(F.sum("v").over(w), F.lit(0)))
+              .groupBy(*at).agg(F.array_sort(F.collect_list(F.struct("c", "v"))).alias("before"))
+              .select(*at, F.col("before.v").alias("before")))
+    wide = n_pos.groupBy("category_id").agg(F.array(*[
+        F.coalesce(F.max(F.when(F.col("area") == name, F.col("npig"))), F.lit(0)) for name, _, _ in ranges]).alias("npig"))
+    parts = seg.groupBy(*at).cogroup(before.join(wide, "category_id").groupBy(*at)).applyInPandas(
+        partial(_bands, tuple(thrs), tuple(ranges)), "area string, category_id bigint, iou_thr double, b int, mp double")
     key = ["area", "category_id", "iou_thr"]
-    bands = (tps.withColumn("b", F.least(F.lit(N_RECALL - 1), F.floor((F.col("m") * (N_RECALL - 1)) / F.col("npig")).cast("int")))
-                .groupBy(*key, "b").agg(F.max(F.col("m") / F.col("k")).alias("mp")))
+    bands = parts.groupBy(*key, "b").agg(F.max("mp").alias("mp"))
     w_suffix = Window.partitionBy(*key).orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)
     w_prev = Window.partitionBy(*key).orderBy("b")
     bands = (bands.withColumn("s", F.max("mp").over(w_suffix))

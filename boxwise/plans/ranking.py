@@ -43,11 +43,9 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: str = "pos",
-           partitions: int | None = None, sums: Sequence[str] = ()) -> DataFrame:
-    """Add ``name``: the 0-based position of each row inside ``group`` in ``order``,
-    and ``<c>_cum`` (running sum, current row included) for each column in ``sums``."""
-    group, sums = list(group), list(sums)
+def segmented(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """The rows in total order, written once: ``_pid`` numbers the range partition,
+    ``_i`` the row inside it."""
     n = partitions or default_parallelism(df.sparkSession)
     keys = [F.col(g) for g in group] + [_col(o) for o in order]
     r = (df.repartitionByRange(n, *keys)
@@ -57,6 +55,15 @@ def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: s
           .withColumn("_i", F.col("_mid").bitwiseAND(F.lit(_LOW)))
           .drop("_mid"))
     r = materialize(r, "ranked")
+    return r
+
+
+def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: str = "pos",
+           partitions: int | None = None, sums: Sequence[str] = ()) -> DataFrame:
+    """Add ``name``: the 0-based position of each row inside ``group`` in ``order``,
+    and ``<c>_cum`` (running sum, current row included) for each column in ``sums``."""
+    group, sums = list(group), list(sums)
+    r = segmented(df, order, group=group, partitions=partitions)
     seg = r.groupBy("_pid", *group).agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"),
                                         *[F.sum(c).alias(f"_t{c}") for c in sums])
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) \
