@@ -14,9 +14,11 @@ half; at a similarity of 0.75 the chance is about one in a million).  Components
 of the remaining candidates are clusters; a cluster's texts meet in one bounded
 group, where links are confirmed on full sets until its true components are known:
 the candidates first, then every node outside the largest component against the
-whole cluster.  Clusters of more than ``cluster_words`` words are too large for
-that: there the links are confirmed by joins, first each node's best candidate, then
-all that still lie between components, then a wide neighbourhood across components.
+whole cluster.  Clusters of more than ``cluster_words`` words are too large for one
+group: there the links are confirmed by joins, first each node's best candidate, then
+all that still lie between components, then a wide neighbourhood across components;
+last, as in the small ones, every node outside the largest component meets the whole
+cluster, block by block, on full sets.
 
 Chance of missing a link of similarity s in a region of depth d: (1 - s^d)^TREES,
 2e-6 at s = 0.75, d = 2; in denser regions more paths connect a group.
@@ -344,8 +346,9 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                                         of.filter("NOT large").select("cluster", "a", "b", "agree"), percent, least_agree), "forest-roots")
     big = materialize(of.filter("large").select("a", "b", "agree"), "forest-big")
     if not big.isEmpty():
-        roots = roots.unionByName(_large_clusters(big, texts.filter("large").select("node", "text"), regions, nodes,
-                                                  percent, least_agree))
+        roots = roots.unionByName(_large_clusters(
+            big, texts.filter("large").select("node", "text"), regions, nodes,
+            member.filter("large").select("cluster", "node", "n"), percent, least_agree, max(1, cluster_words // 2)))
     # the smallest id of each component
     named = nodes.select("node", "first_id").join(roots.hint("merge"), "node", "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root"))
@@ -358,11 +361,12 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _large_clusters(pairs: DataFrame, texts: DataFrame, regions: DataFrame, nodes: DataFrame, percent: int,
-                    least: int) -> DataFrame:
+def _large_clusters(pairs: DataFrame, texts: DataFrame, regions: DataFrame, nodes: DataFrame, member: DataFrame,
+                    percent: int, least: int, block_words: int) -> DataFrame:
     """(node, root) for clusters too large for one group: first each node's best
     candidate, then all candidates still between components, then the FAR neighbours
-    of nodes in different components."""
+    of nodes in different components, then what is still apart with the whole
+    cluster.  ``member`` (cluster, node, n)."""
     def between(p, links):
         root = materialize(components(links), "forest-linked")
         ra = root.select(F.col("node").alias("a"), F.col("root").alias("ra"))
@@ -380,4 +384,88 @@ def _large_clusters(pairs: DataFrame, texts: DataFrame, regions: DataFrame, node
     inside = regions.join(texts.select("node").hint("merge"), "node").join(root.hint("merge"), "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
     far = _agreeing(_neighbours(inside, FAR, FAR, by_root=True), nodes, least).select("a", "b")
-    return components(links.unionByName(_confirm_joined(far, texts, percent)))
+    links = materialize(links.unionByName(_confirm_joined(far, texts, percent)), "forest-links")
+    root = materialize(components(links), "forest-linked")
+    return components(links.unionByName(_apart_links(member, root, texts, percent, block_words)))
+
+
+def _apart_links(member: DataFrame, root: DataFrame, texts: DataFrame, percent: int, block_words: int) -> DataFrame:
+    """(a, b): links that join what lies outside the largest component of its cluster.
+    Both the nodes outside and the cluster are dealt into blocks of about
+    ``block_words`` words; a group is one block of each."""
+    state = materialize(member.join(root.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node")),
+                        "forest-state")
+    main = (state.groupBy("cluster", "root").count().groupBy("cluster")
+            .agg(F.max_by("root", F.struct("count", "root")).alias("main")))
+    state = state.join(main.hint("merge"), "cluster").withColumn("apart", F.col("root") != F.col("main"))
+    blocks = state.groupBy("cluster").agg(
+        F.ceil(F.sum("n") / block_words).alias("every"),
+        F.ceil(F.sum(F.when(F.col("apart"), F.col("n"))) / block_words).alias("outside")).filter("outside > 0")
+    state = state.join(blocks.hint("merge"), "cluster").join(texts.hint("merge"), "node")
+    left = state.filter("apart").selectExpr("cluster", "pmod(xxhash64(node), outside) AS i", "node", "root", "text",
+                                            "explode(sequence(0L, every - 1)) AS j")
+    right = state.selectExpr("cluster", "pmod(xxhash64(node, 1), every) AS j", "node", "root", "text",
+                             "explode(sequence(0L, outside - 1)) AS i").toDF("cluster", "j", "node", "root", "text", "i")
+
+    def load(table):
+        sets, names = {}, table.column("node").to_pylist()
+        for low, high, texts in text_runs(table.column("text").combine_chunks()):
+            for node, s in zip(names[low:high], shingle_sets(texts)):
+                if node_key(s) == node:                      # another row may have the same id
+                    sets[node] = s
+        return sets, dict(zip(names, table.column("root").to_pylist()))
+
+    def task(left, right):
+        (xs, root), (ys, more) = load(left), load(right)
+        root.update(more)
+        a, b = block_links(xs, ys, root, percent) if xs and ys else ([], [])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return (left.groupBy("cluster", "i", "j").cogroup(right.groupBy("cluster", "i", "j"))
+            .applyInArrow(task, "a binary, b binary"))
+
+
+def block_links(xs: dict, ys: dict, root: dict, percent: int) -> tuple[list, list]:
+    """Links between sets of ``xs`` and of ``ys``, as many as join their components
+    (``root`` of each node).  All pairs of different components are decided, by
+    counting equal shingles; a pair without one among the rarest of x, as many as a
+    linked set can't all lack, is no link."""
+    names = list(ys)
+    size = np.array([len(s) for s in ys.values()])
+    vocabulary, place = np.unique(np.concatenate(list(ys.values())), return_inverse=True)
+    owner = np.repeat(np.arange(len(names)), size)[np.argsort(place, kind="stable")]
+    count = np.bincount(place)
+    stop = np.cumsum(count)
+    number: dict = {}
+    part = np.array([number.setdefault(root[n], len(number)) for n in names])       # root of each y, as a number
+    parent = {r: r for r in {root[n] for n in (*xs, *ys)}}
+
+    def find(r):
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    def holders(ids):
+        return [owner[stop[k] - count[k]:stop[k]] for k in ids.tolist()]
+
+    a, b = [], []
+    for x, s in xs.items():
+        at = np.minimum(np.searchsorted(vocabulary, s), len(vocabulary) - 1)
+        at = at[vocabulary[at] == s]
+        rare = len(at) - -(-percent * len(s) // 100) + 1     # shared shingles that can't all be missed
+        if rare < 1:
+            continue
+        at = at[np.argsort(count[at], kind="stable")]
+        met = np.unique(np.concatenate(holders(at[:rare])))
+        known = number.get(root[x], -1)
+        if not (part[met] != known).any():
+            continue
+        both = np.bincount(np.concatenate(holders(at)), minlength=len(names))
+        for j in np.flatnonzero((100 * both >= percent * (len(s) + size - both)) & (part != known)).tolist():
+            rx, ry = find(root[x]), find(root[names[j]])
+            if rx != ry:
+                parent[max(rx, ry)] = min(rx, ry)
+                a.append(x)
+                b.append(names[j])
+    return a, b

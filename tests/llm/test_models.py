@@ -127,6 +127,35 @@ def test_near_dedup_matches_brute_force(docs_of, prose, options):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def test_near_dedup_hub_of_a_large_cluster(docs_of, prose):
+    hub = prose(150, 5, words=10**6)
+    words, rng, texts = hub.split(), random.Random(4), [hub]
+    for i in range(3000):                            # each is linked with the hub, hardly any with another
+        w = list(words)
+        for k in range(4):
+            w[rng.randrange(4 + 36 * k, 36 + 36 * k)] = f"edit{i}x{k}"
+        texts.append(" ".join(w))
+    got = lsh_forest.near_duplicates(docs_of(texts), cluster_words=100_000).collect()
+    assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
+
+
+def test_block_links_decide_all_pairs():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 60, 400, dtype=np.uint64)
+    sets = {bytes([i]): np.unique(rng.choice(base[:60 + 3 * (i % 7)], 50 + i % 9, replace=False)) for i in range(120)}
+    for percent in (60, 75, 90):
+        a, b = lsh_forest.block_links(sets, sets, {n: n for n in sets}, percent)
+        assert all(lsh_forest.linked(sets[x], sets[y], percent) for x, y in zip(a, b))
+
+        def parts(links):
+            of = {n: n for n in sets}
+            for x, y in links:
+                low, high = sorted((of[x], of[y]))
+                of = {n: low if r == high else r for n, r in of.items()}
+            return of
+        assert parts(zip(a, b)) == parts((x, y) for x in sets for y in sets if x < y and lsh_forest.linked(sets[x], sets[y], percent))
+
+
 def test_near_dedup_edges(docs_of, prose):
     t = prose(50, 3)
     d = docs_of([t, t, t, None], ids=[4, 4, None, 9])
