@@ -7,7 +7,10 @@ nodes that share at least the first ``depth`` values are a region, and the
 neighbours in a region, those with the longest common prefix, are candidates.
 Regions adapt their depth: one of more than ``region_rows`` nodes is divided by
 more of the signature, and if even eight values don't divide it, by a hash that
-differs from order to order.
+differs from order to order.  The nodes of a divided region also meet in an exact
+prefix-filter join: linked sets share one of the rarest 100 - ``percent`` percent of
+their shingles.  Holders of such a shingle are candidates; where more than ``FEW``
+nodes hold it, they are put into one cluster instead.
 
 Candidates whose whole signatures agree in too few values are dropped (fewer than
 half; at a similarity of 0.75 the chance is about one in a million).  Components
@@ -21,7 +24,7 @@ last, as in the small ones, every node outside the largest component meets the w
 cluster, block by block, on full sets.
 
 Chance of missing a link of similarity s in a region of depth d: (1 - s^d)^TREES,
-2e-6 at s = 0.75, d = 2; in denser regions more paths connect a group.
+2e-6 at s = 0.75, d = 2; none is missed by dividing a region.
 
 Defined results: null or word-less texts have no shingle and stay alone; rows
 with equal sets, so all repeated rows, are in one component; null ids join
@@ -148,19 +151,67 @@ def _orders(nodes: DataFrame) -> DataFrame:
         "tree", f"substring(s, tree * {step} + 1, {4 * LABEL}) AS label", "node", "n")
 
 
-def _regions(orders: DataFrame, depth: int, region_rows: int) -> DataFrame:
-    """Rows with the key of their region; crowded regions go deeper."""
+def _regions(orders: DataFrame, depth: int, region_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with the key of their region; crowded regions go deeper.  Also the nodes
+    of regions that were divided, if there are any."""
+    dense = None
     rows = orders.withColumn("key", F.xxhash64("tree", F.expr(f"substring(label, 1, {4 * depth})")))
     for deeper in (4, LABEL, None):
         crowded = materialize(rows.groupBy("key").count().filter(F.col("count") > region_rows), "forest-crowded")
         if crowded.isEmpty():
             break
+        if dense is None:
+            dense = materialize(rows.join(crowded, "key").select("node").distinct(), "forest-dense")
         part = F.expr(f"substring(label, 1, {4 * (deeper or LABEL)})")
         new = F.xxhash64("tree", part) if deeper else F.xxhash64(
             "key", F.pmod(F.xxhash64("tree", "node"), F.ceil(F.col("count") / region_rows)))
         rows = rows.join(crowded, "key", "left").withColumn(
             "key", F.when(F.col("count").isNull(), F.col("key")).otherwise(new)).drop("count")
-    return rows
+    return rows, dense
+
+
+FEW = 128                                # holders of a shingle that are paired with each other
+
+
+def _prefix_pairs(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) candidates that hold every link between the nodes of ``texts`` (node,
+    text) with pairs (a, b) of the second result, whose nodes belong in one cluster."""
+    def keyed(batches):
+        for batch in batches:
+            names = batch.column("node").to_pylist()
+            for low, high, run in text_runs(batch.column("text")):
+                own = [(n, s.tobytes()) for n, s in zip(names[low:high], shingle_sets(run)) if node_key(s) == n]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in own], pa.binary()) for k in (0, 1)],
+                                                 names=["node", "shingles"])
+
+    def shingles(batches):
+        for batch in batches:
+            for row in range(0, batch.num_rows, 256):
+                some = batch.slice(row, 256)
+                sets = [np.frombuffer(s, np.int64) for s in some.column("shingles").to_pylist()]
+                size = np.array([len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("node").take(pa.array(np.repeat(np.arange(len(sets)), size))),
+                     pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets))], names=["node", "n", "shingle"])
+
+    sets = materialize(texts.select("node", "text").mapInArrow(keyed, "node binary, shingles binary")
+                       .dropDuplicates(["node"]), "forest-sets")
+    every = sets.mapInArrow(shingles, "node binary, n bigint, shingle bigint")
+    shared = every.groupBy("shingle").count().filter("count > 1")
+    # in ascending frequency; those of one node come first and have no partner
+    prefix = materialize(
+        every.join(shared.hint("merge"), "shingle").groupBy("node", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("s"))
+        .selectExpr("node", "n", f"inline(slice(s, 1, cast(greatest(0, size(s) - ({percent} * n + 99) div 100 + 1) AS int)))"),
+        "forest-prefix")
+    few = prefix.filter(F.col("count") <= FEW)
+    x, y = (few.select("shingle", F.col("node").alias(v), F.col("n").alias(f"n{v}")) for v in "ab")
+    pairs = x.join(y.hint("merge"), "shingle").filter(
+        f"a < b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+    many = prefix.filter(F.col("count") > FEW)
+    least = many.groupBy("shingle").agg(F.min("node").alias("b"))
+    bound = (many.join(least.hint("merge"), "shingle").select(F.col("node").alias("a"), "b").filter("a <> b").distinct())
+    return pairs, bound
 
 
 NEAR, START = 4, 12                      # neighbours of each node; of the first nodes of a region
@@ -321,6 +372,12 @@ def _confirm_joined(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFra
     return both.select("a", "b", "s", "t").mapInArrow(task, "a binary, b binary")
 
 
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes`` (node, first_id, ...) with a text each instead of first_id; rows
+    without an id are found by none, and other rows may have the same id."""
+    return docs.join(nodes.withColumnRenamed("first_id", "doc_id").hint("merge"), "doc_id").drop("doc_id")
+
+
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, depth: int = 2,
                     region_rows: int = 20_000, cluster_words: int = 2_000_000, least_agree: int = HASHES // 2) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row: links have
@@ -329,23 +386,27 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     signed = materialize(_sign(docs), "forest-signed")
     nodes = materialize(signed.filter("n > 0").groupBy("node").agg(
         F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("doc_id").alias("first_id")), "forest-nodes")
-    regions = _regions(_orders(nodes), depth, region_rows)
-    pairs = materialize(_neighbours(regions), "forest-pairs")
+    regions, dense = _regions(_orders(nodes), depth, region_rows)
+    pairs = _neighbours(regions)
+    bound = None
+    if dense is not None:
+        exact, bound = _prefix_pairs(_texts(docs, nodes.join(dense.hint("merge"), "node").select("node", "first_id")), percent)
+        pairs, bound = pairs.unionByName(exact).distinct(), materialize(bound, "forest-bound")
+    pairs = materialize(pairs, "forest-pairs")
     close = materialize(_agreeing(pairs, nodes, least_agree), "forest-close")
     # clusters: components of the candidates
-    member = materialize(components(close).withColumnRenamed("root", "cluster")
+    ties = close.select("a", "b")
+    member = materialize(components(ties if bound is None else ties.unionByName(bound)).withColumnRenamed("root", "cluster")
                          .join(nodes.select("node", "n", "first_id").hint("merge"), "node"), "forest-members")
     weight = member.groupBy("cluster").agg(F.sum("n").alias("words"))
     member = materialize(member.join(weight.hint("merge"), "cluster").withColumn(
         "large", F.col("words") > cluster_words), "forest-weighed")
-    # one text per node; rows without an id are found by none
-    texts = materialize(docs.join(member.select("cluster", "node", "large", F.col("first_id").alias("doc_id"))
-                                  .hint("merge"), "doc_id").drop("doc_id"), "forest-texts")
+    texts = materialize(_texts(docs, member.select("cluster", "node", "large", "first_id")), "forest-texts")
     of = close.join(member.select(F.col("node").alias("a"), "cluster", "large").hint("merge"), "a")
     roots = materialize(_confirm_groups(texts.filter("NOT large").select("cluster", "node", "text"),
                                         of.filter("NOT large").select("cluster", "a", "b", "agree"), percent, least_agree), "forest-roots")
-    big = materialize(of.filter("large").select("a", "b", "agree"), "forest-big")
-    if not big.isEmpty():
+    if not member.filter("large").isEmpty():
+        big = materialize(of.filter("large").select("a", "b", "agree"), "forest-big")
         roots = roots.unionByName(_large_clusters(
             big, texts.filter("large").select("node", "text"), regions, nodes,
             member.filter("large").select("cluster", "node", "n"), percent, least_agree, max(1, cluster_words // 2)))

@@ -139,6 +139,20 @@ def test_near_dedup_hub_of_a_large_cluster(docs_of, prose):
     assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
 
 
+@pytest.mark.parametrize("few", [lsh_forest.FEW, 3])
+def test_near_dedup_divided_regions(docs_of, prose, monkeypatch, few):
+    monkeypatch.setattr(lsh_forest, "FEW", few)
+    texts = []
+    for g in range(150):
+        base = prose(90, 1000 + g, words=10**6)
+        texts += [base, edits(base, 2, g), edits(base, 3, g)]
+    hub = prose(120, 55)
+    texts += [edits(hub, 2, 900 + i) for i in range(40)] + [hub + " " + prose(60, 300 + i) for i in range(20)]
+    n, root = brute_components(texts)
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(docs_of(texts), region_rows=1).collect()}
+    assert [got[i] for i in range(len(texts))] == root
+
+
 def test_block_links_decide_all_pairs():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 60, 400, dtype=np.uint64)
