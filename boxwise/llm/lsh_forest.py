@@ -373,9 +373,19 @@ def _confirm_joined(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFra
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``nodes`` (node, first_id, ...) with a text each instead of first_id; rows
-    without an id are found by none, and other rows may have the same id."""
-    return docs.join(nodes.withColumnRenamed("first_id", "doc_id").hint("merge"), "doc_id").drop("doc_id")
+    """``nodes`` (node, first_id, ...) with a text each instead of first_id.  Other
+    rows may have the same id; a node without an id is found by its key."""
+    def keyed(batches):
+        for batch in batches:
+            for low, high, texts in text_runs(batch.column("text")):
+                own = [(node_key(x), t) for x, t in zip(shingle_sets(texts), texts) if len(x)]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.binary()),
+                                                  pa.array([t for _, t in own], pa.string())], names=["node", "text"])
+
+    named = docs.join(nodes.withColumnRenamed("first_id", "doc_id").hint("merge"), "doc_id").drop("doc_id")
+    nameless = (docs.filter("doc_id IS NULL").select("text").mapInArrow(keyed, "node binary, text string")
+                .dropDuplicates(["node"]))
+    return named.unionByName(nodes.filter("first_id IS NULL").drop("first_id").join(nameless.hint("merge"), "node"))
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, depth: int = 2,

@@ -178,6 +178,14 @@ def test_near_dedup_edges(docs_of, prose):
     assert lsh_forest.near_duplicates(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"cluster_words": 10}, {"region_rows": 1}])
+def test_near_dedup_null_id_near_copy(docs_of, prose, options):
+    t = prose(100, 3)
+    d = docs_of([t, t + " one", t + " two", prose(100, 4), prose(100, 4) + " three"], ids=[4, None, 7, None, None])
+    got = sorted((r.n_shingles, r.doc_id or -1, r.component_id or -1) for r in lsh_forest.near_duplicates(d, **options).collect())
+    assert got == [(96, -1, -1), (96, 4, 4), (97, -1, -1), (97, -1, 4), (97, 7, 4)]
+
+
 def test_components_of_chains_and_stars(spark):
     def key(i):
         return i.to_bytes(16, "big")
