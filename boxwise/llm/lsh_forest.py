@@ -124,7 +124,10 @@ def node_key(s: np.ndarray) -> bytes:
 
 
 def _sign(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, sig): sig in big-endian, so bytes sort as the values do."""
+    """(doc_id, n, node, sig): sig in big-endian, so bytes sort as the values do.
+    Columns besides the text are carried."""
+    carry = [c for c in docs.columns if c != "text"]
+
     def task(batches):
         for batch in batches:
             for low, high, texts in text_runs(batch.column("text")):
@@ -133,13 +136,13 @@ def _sign(docs: DataFrame) -> DataFrame:
                 sig = iter(signatures(full).astype(">u4"))
                 node = [node_key(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(node, pa.binary()),
+                    [*(batch.column(c).slice(low, high - low) for c in carry),
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.binary()),
                      pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    names=["doc_id", "n", "node", "sig"])
+                    names=[*carry, "n", "node", "sig"])
 
     return docs.mapInArrow(task, T.StructType([
-        docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()),
+        *(docs.schema[c] for c in carry), T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()),
         T.StructField("sig", T.BinaryType())]))
 
 
@@ -382,20 +385,27 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.binary()),
                                                   pa.array([t for _, t in own], pa.string())], names=["node", "text"])
 
-    named = docs.join(nodes.withColumnRenamed("first_id", "doc_id").hint("merge"), "doc_id").drop("doc_id")
+    named = docs.select("doc_id", "text").join(nodes.withColumnRenamed("first_id", "doc_id").hint("merge"), "doc_id").drop("doc_id")
     nameless = (docs.filter("doc_id IS NULL").select("text").mapInArrow(keyed, "node binary, text string")
                 .dropDuplicates(["node"]))
     return named.unionByName(nodes.filter("first_id IS NULL").drop("first_id").join(nameless.hint("merge"), "node"))
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, depth: int = 2,
-                    region_rows: int = 20_000, cluster_words: int = 2_000_000, least_agree: int = HASHES // 2) -> DataFrame:
+                    region_rows: int = 20_000, cluster_words: int = 2_000_000, least_agree: int = HASHES // 2,
+                    row_keys: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row: links have
-    100 * intersection >= percent * union of their sets."""
+    100 * intersection >= percent * union of their sets.  ``row_keys`` adds (digest,
+    stays): of each component the rows stay that equal its least one by id, nulls
+    last, and digest of the text; word-less rows stay."""
     docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    row, first_row, last_row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest"), [], []
+    if row_keys:
+        docs = docs.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+        first_row, last_row = [F.min(row).alias("first_row")], [F.min("first_row").alias("least_row")]
     signed = materialize(_sign(docs), "forest-signed")
     nodes = materialize(signed.filter("n > 0").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("doc_id").alias("first_id")), "forest-nodes")
+        F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("doc_id").alias("first_id"), *first_row), "forest-nodes")
     regions, dense = _regions(_orders(nodes), depth, region_rows)
     pairs = _neighbours(regions)
     bound = None
@@ -421,15 +431,15 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             big, texts.filter("large").select("node", "text"), regions, nodes,
             member.filter("large").select("cluster", "node", "n"), percent, least_agree, max(1, cluster_words // 2)))
     # the smallest id of each component
-    named = nodes.select("node", "first_id").join(roots.hint("merge"), "node", "left").select(
-        "node", "first_id", F.coalesce("root", "node").alias("root"))
+    named = nodes.drop("n", "sig").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = materialize(named, "forest-named")
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_node = named.join(least.hint("merge"), "root").select("node", "component_id")
-    out = signed.select("doc_id", "n", "node").join(of_node.hint("merge"), "node", "left")
+    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"), *last_row)
+    of_node = named.select("node", "root").join(least.hint("merge"), "root").drop("root")
+    out = signed.drop("sig").join(of_node.hint("merge"), "node", "left")
+    stays = [F.col("digest"), (F.col("node").isNull() | row.eqNullSafe(F.col("least_row"))).alias("stays")] if row_keys else []
     return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+                      F.coalesce("component_id", "doc_id").alias("component_id"),
+                      F.col("doc_id").eqNullSafe(F.coalesce("component_id", "doc_id")).alias("kept"), *stays)
 
 
 def _large_clusters(pairs: DataFrame, texts: DataFrame, regions: DataFrame, nodes: DataFrame, member: DataFrame,

@@ -25,6 +25,15 @@ def test_stages(spark, docs_of, prose):
     assert "hunter2" not in text[3] and text[6] == texts[6]
 
 
+def test_near_copies_with_equal_or_null_ids(spark, docs_of, prose):
+    a, b, c, d = (prose(120, 20 + k) for k in range(4))
+    texts = [a, a + " more", b, c, c + " more", d, d + " more", None]
+    docs = docs_of(texts + [a, None], ids=[1, 2, 2, 5, 5, None, None, 9, 1, 9])
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert {(1, a), (2, b), (9, None)} <= set(left) and (2, a + " more") not in left
+    assert sum(i == 5 for i, _ in left) == 1 and sum(i is None for i, _ in left) == 1 and sum(i == 1 for i, _ in left) == 1
+
+
 def test_registered_once_for_each_operator():
     from boxwise.llm import queries
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
