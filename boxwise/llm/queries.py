@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boxwise.llm import bpe, exact_dedup, langid, lsh_forest, packing, quality_bt, rules, secrets, token_codec, warc
+from boxwise.llm import bpe, conversation, exact_dedup, langid, lsh_forest, packing, quality_bt, rules, secrets, token_codec, warc
 from boxwise.llm.common import crc_bucket, table
 
 QUERIES: dict = {}
@@ -126,3 +126,52 @@ def _op10(spark, sf_dir):
     model = langid.fit(docs.filter(crc_bucket("doc_id", 4) != 2))
     return langid.predict(docs, model, carry=["doc_id"]).select(
         "doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op11_conversation_repair", r"""
+WITH RECURSIVE
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+          lambda x, z: xor(x >> 1, 3988292384 * (x & 1)), i)) AS t),
+spaced AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(cast(conv_id AS varchar), ' ') || ':' || coalesce(cast(turn AS varchar), ' ') AS k FROM conversations),
+hit AS (SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(list_transform(string_split(k, ''), lambda c: cast(ord(c) AS bigint)),
+          lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)]), 4294967295)) % 20 AS d FROM spaced, crc),
+made AS (SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE d WHEN 3 THEN 2 ELSE 1 END)) AS again FROM hit WHERE d <> 0),
+seq AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM made),
+ends AS (SELECT *, left(role, 1) AS ini, right(rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 1) AS tail,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM seq),
+f AS (SELECT *, CASE WHEN tail = '' THEN 1 WHEN seen THEN 2 WHEN tail NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM ends),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+           count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM f GROUP BY conv_id),
+grow AS (SELECT * FROM (VALUES ('', 0, 0, ''), ('', 1, 1, ''), ('', 2, 2, ''), ('', 3, 3, ''), ('I', 0, 2, 'u'), ('I', 1, 2, 'u'), ('I', 2, 3, 'a'),
+           ('I', 3, 2, 'u'), ('II', 0, 3, 'ua'), ('II', 1, 3, 'ua'), ('II', 2, 2, 'au'), ('II', 3, 3, 'ua')) AS g(letters, s, z, made)),
+edit AS (SELECT * FROM (VALUES ('D', 0, 0, ''), ('D', 1, 1, ''), ('D', 2, 2, ''), ('D', 3, 3, ''), ('K', 0, 1, 's'), ('K', 0, 2, 'u'), ('K', 1, 2, 'u'),
+           ('K', 2, 3, 'a'), ('K', 3, 2, 'u'), ('R', 0, 2, 'user'), ('R', 1, 2, 'user'), ('R', 2, 3, 'assistant'), ('R', 3, 2, 'user')) AS e(letter, s, z, what)),
+walk AS (
+  SELECT conv_id, cast(0 AS bigint) AS i, 0 AS z, cast(0 AS bigint) AS cost, '' AS audit, cast([] AS varchar[]) AS out FROM sums
+  UNION ALL
+  SELECT conv_id, i, z, b.cost, b.audit, b.out FROM (
+    SELECT w.conv_id, f.i, e.z, min(struct_pack(cost := w.cost + 5 * length(g.letters)
+        + CASE e.letter WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN f.fault = 3 AND e.letter <> 'D' THEN 5 ELSE 0 END,
+      audit := w.audit || g.letters || e.letter,
+      out := w.out || list_filter(list_transform(string_split(g.made, ''), lambda c: CASE c WHEN 'u' THEN 'user:' WHEN 'a' THEN 'assistant:' ELSE '' END), lambda c: c <> '')
+        || CASE e.letter WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text] ELSE [e.what || ':' || f.text] END)) AS b
+    FROM walk w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+    JOIN grow g ON g.s = w.z JOIN edit e ON e.s = g.z
+    WHERE (e.letter = 'D' OR f.fault NOT IN (1, 2)) AND (e.letter <> 'K' OR e.what = f.ini)
+    GROUP BY w.conv_id, f.i, e.z)),
+done AS (SELECT w.conv_id, min(struct_pack(cost := w.cost + 5 * length(g.letters), audit := w.audit || g.letters,
+           out := w.out || list_filter(list_transform(string_split(g.made, ''), lambda c: CASE c WHEN 'u' THEN 'user:' WHEN 'a' THEN 'assistant:' ELSE '' END), lambda c: c <> ''))) AS b
+         FROM walk w JOIN sums ON sums.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = sums.n
+         JOIN grow g ON g.s = w.z WHERE g.z IN (0, 3) GROUP BY w.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.cost, 0) AS cost, coalesce(b.audit, '') AS audit,
+       sha256(coalesce(array_to_string(b.out, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM c.conv_id""")
+def _op11(spark, sf_dir):
+    return conversation.audit(conversation.damage(table(spark, sf_dir, "conversations")), copies_col="copies")
