@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boxwise.llm import bpe, conversation, exact_dedup, langid, lsh_forest, packing, quality_bt, rules, secrets, token_codec, warc
+from boxwise.llm import bpe, conversation, exact_dedup, langid, lsh_forest, packing, quality_bt, rules, secrets, token_codec, warc, whitening
 from boxwise.llm.common import crc_bucket, table
 
 QUERIES: dict = {}
@@ -175,3 +175,8 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums ON sums.conv_
 LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM c.conv_id""")
 def _op11(spark, sf_dir):
     return conversation.audit(conversation.damage(table(spark, sf_dir, "conversations")), copies_col="copies")
+
+
+@register("op12_embedding_whitening")
+def _op12(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
