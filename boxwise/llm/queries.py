@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boxwise.llm import bpe, conversation, exact_dedup, langid, lsh_forest, packing, quality_bt, rules, secrets, token_codec, warc, whitening
+from boxwise.llm import automata, bpe, conversation, exact_dedup, langid, lsh_forest, packing, quality_bt, rules, secrets, token_codec, warc, whitening
 from boxwise.llm.common import crc_bucket, table
 
 QUERIES: dict = {}
@@ -180,3 +180,19 @@ def _op11(spark, sf_dir):
 @register("op12_embedding_whitening")
 def _op12(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_substring_dedup", r"""
+WITH w AS (SELECT doc_id, text, list_filter(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+           FROM documents),
+g AS (SELECT doc_id, text, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50),
+h AS (SELECT doc_id, text, i, sha256(array_to_string(words[i:i+49], ' ')) AS k FROM g),
+o AS (SELECT k, min(doc_id) AS low FROM h GROUP BY k HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, text, unnest(range(i, i + 50)) AS at FROM h JOIN o USING (k) WHERE low < doc_id),
+m AS (SELECT doc_id, text, list(at) AS ats FROM gone GROUP BY doc_id, text)
+SELECT w.doc_id, cast(len(words) AS bigint) AS n_words, cast(coalesce(len(ats), 0) AS bigint) AS n_removed,
+       sha256(array_to_string(CASE WHEN ats IS NULL THEN words
+         ELSE list_filter(words, lambda x, i: NOT list_contains(ats, i)) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN m ON m.doc_id = w.doc_id AND m.text = w.text""")
+def _op13(spark, sf_dir):
+    return automata.repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
