@@ -188,8 +188,8 @@ WITH w AS (SELECT doc_id, text, list_filter(regexp_extract_all(coalesce(text, ''
 g AS (SELECT doc_id, text, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50),
 h AS (SELECT doc_id, text, i, sha256(array_to_string(words[i:i+49], ' ')) AS k FROM g),
 o AS (SELECT k, min(doc_id) AS low FROM h GROUP BY k HAVING min(doc_id) < max(doc_id)),
-gone AS (SELECT DISTINCT doc_id, text, unnest(range(i, i + 50)) AS at FROM h JOIN o USING (k) WHERE low < doc_id),
-m AS (SELECT doc_id, text, list(at) AS ats FROM gone GROUP BY doc_id, text)
+gone AS (SELECT DISTINCT doc_id, text, unnest(range(i, i + 50)) AS place FROM h JOIN o USING (k) WHERE low < doc_id),
+m AS (SELECT doc_id, text, list(place) AS ats FROM gone GROUP BY doc_id, text)
 SELECT w.doc_id, cast(len(words) AS bigint) AS n_words, cast(coalesce(len(ats), 0) AS bigint) AS n_removed,
        sha256(array_to_string(CASE WHEN ats IS NULL THEN words
          ELSE list_filter(words, lambda x, i: NOT list_contains(ats, i)) END, ' ')) AS kept_sha256
