@@ -40,6 +40,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +52,7 @@ from boxwise.session import materialize
 WINDOW = 50
 GRAM = 11                                             # words of a seed
 LONGEST_UNIT = 64                                     # windows
+ROWS = 50_000                                         # rows of a result batch
 PIECE = 4096                                          # windows of a dealt stretch
 SEPARATOR = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
@@ -254,9 +256,19 @@ def _profiles(src: DataFrame, window: int, gram: int) -> DataFrame:
     return src.select("doc_id", "h", "text").mapInArrow(task, schema)
 
 
-def _ranges(places: list[int]):
-    for p in places:
-        yield p >> 8, p & 255
+def _opened(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the place, window) of every window of the places."""
+    n = places & 255
+    row = np.repeat(np.arange(len(places)), n)
+    return row, (places >> 8)[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _flat(lists: pa.Array, *fields: str):
+    """(edges, values) of a list column, or (edges, values of each field); null lists are empty."""
+    edge = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
+    flat = lists.flatten()
+    return edge, *((flat.field(f).to_numpy(zero_copy_only=False) for f in fields) if fields else
+                   [flat.to_numpy(zero_copy_only=False)])
 
 
 def _window_rows(held: DataFrame, window: int) -> DataFrame:
@@ -266,26 +278,23 @@ def _window_rows(held: DataFrame, window: int) -> DataFrame:
 
     def task(batches):
         for batch in batches:
-            unsure = batch.column("unsure").to_pylist()
             for low, high, texts in bpe.text_runs(batch.column("text")):
-                mine = [i for i in range(high - low) if unsure[low + i]]
-                if not mine:
-                    continue
-                hashes, counts = word_hashes([texts[i] for i in mine])
-                begin = np.cumsum(counts) - counts
-                row, at = [], []
-                for k, i in enumerate(mine):
-                    for a, n in set(_ranges(unsure[low + i])):
-                        row.append(np.full(n, k))
-                        at.append(np.arange(a, a + n))
-                row, at = np.concatenate(row), np.concatenate(at)
-                start = begin[row] + at
+                unsure = batch.column("unsure").slice(low, high - low)
+                hashes, counts = word_hashes(texts)
+                edge, place = _flat(unsure)
+                # a row that stands twice has its units twice
+                doc, place = np.unique(np.stack([np.repeat(np.arange(len(texts)), np.diff(edge)), place]), axis=1)
+                row, at = _opened(place)
+                row = doc[row]
+                start = (np.cumsum(counts) - counts)[row] + at
                 w1 = Rolling(hashes, WORD_BASE).of(start, start + window)
                 w2 = Rolling(_mixed(hashes ^ U(SECOND_BASE)), SECOND_BASE).of(start, start + window)
-                take = pa.array(low + np.array(mine)[row])
-                yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)),
-                                                  batch.column("doc_id").take(take), batch.column("h").take(take),
-                                                  pa.array(at, pa.int64())], names=schema.names)
+                for k in range(0, len(row), ROWS):
+                    part = slice(k, k + ROWS)
+                    take = pa.array(low + row[part])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(w1[part].view(np.int64)), pa.array(w2[part].view(np.int64)), batch.column("doc_id").take(take),
+                         batch.column("h").take(take), pa.array(at[part], pa.int64())], names=schema.names)
 
     return held.filter("size(unsure) > 0").select(*KEY, "text", "unsure").mapInArrow(task, schema)
 
@@ -299,27 +308,30 @@ def _stretches(held: DataFrame, window: int) -> DataFrame:
 
     def task(batches):
         for batch in batches:
-            id_type, cols = batch.schema.field("doc_id").type, {n: batch.column(n).to_pylist() for n in (*KEY, "sure", "windows")}
+            id_type = batch.schema.field("doc_id").type
             for low, high, texts in bpe.text_runs(batch.column("text")):
+                part = batch.slice(low, high - low)
+                ids, hs = part.column("doc_id").to_pylist(), part.column("h").to_pylist()
+                sure_edge, place, sure_owner = _flat(part.column("sure"), "place", "owner")
+                edge, at, owner = _flat(part.column("windows"), "at", "owner")
                 rows = []
-                for i, text in enumerate(texts, low):
-                    owner = {}
-                    for x in cols["sure"][i] or []:
-                        for a in range(x["place"] >> 8, (x["place"] >> 8) + (x["place"] & 255)):
-                            owner[a] = x["owner"]
-                    for x in cols["windows"][i] or []:
-                        owner[x["at"]] = x["owner"]
-                    if not owner:
+                for i, text in enumerate(texts):
+                    own = slice(sure_edge[i], sure_edge[i + 1])
+                    row, where = _opened(place[own])
+                    where = np.concatenate([where, at[edge[i]:edge[i + 1]]])
+                    who = np.concatenate([sure_owner[own][row], owner[edge[i]:edge[i + 1]]])
+                    if not len(where):
                         continue
-                    words, at = text.encode().split(), sorted(owner)
-                    begin = 0
-                    for k in range(1, len(at) + 1):
-                        if k == len(at) or at[k] != at[k - 1] + 1 or owner[at[k]] != owner[at[begin]] or k - begin == PIECE:
-                            a, b = at[begin], at[k - 1] + window
-                            rows.append((owner[a], cols["doc_id"][i], cols["h"][i], a, b - a, b" ".join(words[a:b]).decode()))
-                            begin = k
+                    where, first = np.unique(where, return_index=True)
+                    who = who[first]
+                    cut = np.flatnonzero(np.concatenate([[True], (np.diff(where) != 1) | (who[1:] != who[:-1])]))
+                    words = text.encode().split()
+                    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(where)]):
+                        for c in range(a, b, PIECE):
+                            start, stop = int(where[c]), int(where[min(b, c + PIECE) - 1]) + window
+                            rows.append((who[c], ids[i], hs[i], start, stop - start, b" ".join(words[start:stop]).decode()))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), (
                         id_type, id_type, pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=schema.names)
 
     return held.select(*KEY, "text", "sure", "windows").mapInArrow(task, schema)
