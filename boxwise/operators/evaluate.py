@@ -37,6 +37,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,7 @@ from pyspark.sql import types as T
 from boxwise.functions.geometry import area, intersection
 from boxwise.operators.postprocess import topk_per_image
 from boxwise.plans.ranking import segmented
+from boxwise.plans.scan import replayed, totals_before
 from boxwise.plans.spatial import cell_size, grid_pairs
 from boxwise.session import materialize, ship_package
 
@@ -238,40 +240,49 @@ def npig(gt: DataFrame, ranges=AREA_RANGES) -> DataFrame:
     return g.groupBy("area", "category_id").agg(F.count(F.lit(1)).alias("npig"))
 
 
-def _counters(pdf: pd.DataFrame, n_thrs: int, ranges) -> np.ndarray:
+def _counters(n_thrs: int, ranges, rows: pa.RecordBatch) -> np.ndarray:
     """Per detection and range: counts by its area, then by threshold true positive
-    and correction of the count of detections."""
-    size, bits, out = pdf["size"].to_numpy(), np.arange(n_thrs), []
+    and correction of the count of detections.  A counter's values lie side by side."""
+    size, bits, out = rows.column("size").to_numpy(), np.arange(n_thrs)[:, None], []
     for name, lo, hi in ranges:
-        inside = ((size >= lo) & (size <= hi)).astype(np.int64)[:, None]
-        tp, ig = ((pdf[f"{kind}_{name}"].to_numpy(np.int64)[:, None] >> bits) & 1 for kind in ("tp", "ig"))
-        out += [inside, tp, tp * (1 - inside) - ig * inside]
-    return np.concatenate(out, 1)
-
-
-def _totals(n_thrs: int, ranges, pdf):
-    return pd.DataFrame({"_pid": [pdf["_pid"].iloc[0]], "category_id": [pdf["category_id"].iloc[0]],
-                         "totals": [_counters(pdf, n_thrs, ranges).sum(0).tolist()]})
-
-
-def _bands(thrs, ranges, left, right):
-    """Best precision by recall band of one segment, from its running counters."""
-    n_thrs, rows = len(thrs), []
-    if len(left) and len(right):
-        left = left.sort_values("_i")
-        own = _counters(left, n_thrs, ranges)
-        run = np.cumsum(own, 0) + np.array(right["before"].iloc[0], np.int64)
-        category = left["category_id"].iloc[0]
-        for r, (name, _, _) in enumerate(ranges):
-            n, at = int(right["npig"].iloc[0][r]), r * (1 + 2 * n_thrs)
-            for i, t in enumerate(thrs if n else ()):
-                hit = own[:, at + 1 + i] == 1
-                m = run[hit, at + 1 + i]
-                best = np.zeros(N_RECALL)
-                np.maximum.at(best, np.minimum(N_RECALL - 1, m * (N_RECALL - 1) // n),
-                              m / (run[hit, at] + run[hit, at + 1 + n_thrs + i]))
-                rows += [(name, category, float(t), int(b), best[b]) for b in np.flatnonzero(best)]
-    return pd.DataFrame(rows, columns=["area", "category_id", "iou_thr", "b", "mp"])
+        inside = ((size >= lo) & (size <= hi)).astype(np.int64)
+        tp, ig = ((rows.column(f"{kind}_{name}").to_numpy().astype(np.int64) >> bits) & 1 for kind in ("tp", "ig"))
+        out += [inside[None], tp, tp * (1 - inside) - ig * inside]
+    return np.concatenate(out).T
+
+
+class _Bands:
+    """Best precision by recall band of one segment: its counters run on from the
+    totals before it, batch by batch."""
+
+    def __init__(self, thrs, ranges, head):
+        self.thrs, self.ranges, self.category, self.npig = thrs, ranges, head["category_id"], head["npig"]
+        self.run = np.array(head["before"], np.int64)
+        self.best = np.zeros((len(ranges), len(thrs), N_RECALL))
+
+    def step(self, rows: pa.RecordBatch) -> None:
+        n_thrs = len(self.thrs)
+        own = _counters(n_thrs, self.ranges, rows).T
+        run = np.cumsum(own, 1) + self.run[:, None]
+        self.run = run[:, -1].copy()
+        for r, n in enumerate(self.npig):
+            at = r * (1 + 2 * n_thrs)
+            for i in range(n_thrs if n else 0):
+                hit = np.flatnonzero(own[at + 1 + i])
+                if not len(hit):
+                    continue
+                m = run[at + 1 + i, hit]
+                band = np.minimum(N_RECALL - 1, m * (N_RECALL - 1) // n)
+                first = np.flatnonzero(np.diff(band, prepend=-1))     # bands rise with m
+                top = np.maximum.reduceat(m / (run[at, hit] + run[at + 1 + n_thrs + i, hit]), first)
+                self.best[r, i, band[first]] = np.maximum(self.best[r, i, band[first]], top)
+
+    def rows(self) -> pa.RecordBatch:
+        r, i, b = np.nonzero(self.best)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([self.ranges[k][0] for k in r], pa.string()), pa.array([self.category] * len(r), pa.int64()),
+             pa.array([float(self.thrs[k]) for k in i], pa.float64()), pa.array(b, pa.int32()), pa.array(self.best[r, i, b])],
+            names=["area", "category_id", "iou_thr", "b", "mp"])
 
 
 def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_THRS, ranges=AREA_RANGES) -> DataFrame:
@@ -280,8 +291,9 @@ def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_TH
     At a true positive, ``m`` is the running count of true positives and ``k`` that
     of all detections that count: those whose area is in the range, less ignored
     ones among them, plus true positives outside it.  Detections are range-partitioned
-    by category and score (``segmented``); a segment's counters start from the totals of
-    the segments before it, so a hot category is spread over tasks.
+    by category and score (``segmented``) and scanned with all counters as state
+    (``plans.scan``): a hot category is spread over tasks, and a task holds the counters
+    of one batch.
     """
     ship_package(det_top.sparkSession)
     order = [F.col("score").desc(), F.col("image_id"), F.col("det_id")]
@@ -289,18 +301,12 @@ def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_TH
     d = det_top.select(*KEY, "det_id", "score", area("").alias("size")).join(masks.hint("merge"), [*KEY, "det_id"], "left")
     d = d.select(*KEY, "det_id", "score", "size", *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
     seg = segmented(d, order, group=["category_id"]).select("_pid", "_i", "category_id", "size", *names)
-    at = ["_pid", "category_id"]
-    totals = seg.groupBy(*at).applyInPandas(partial(_totals, len(thrs), ranges),
-                                            "_pid bigint, category_id bigint, totals array<bigint>")
-    w = Window.partitionBy("category_id", "c").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    before = (totals.select(*at, F.posexplode("totals").alias("c", "v"))
-              .withColumn("v", F.coalesce(F.sum("v").over(w), F.lit(0)))
-              .groupBy(*at).agg(F.array_sort(F.collect_list(F.struct("c", "v"))).alias("before"))
-              .select(*at, F.col("before.v").alias("before")))
+    before = totals_before(seg, "category_id", partial(_counters, len(thrs), tuple(ranges)), ["size", *names])
     wide = n_pos.groupBy("category_id").agg(F.array(*[
         F.coalesce(F.max(F.when(F.col("area") == name, F.col("npig"))), F.lit(0)) for name, _, _ in ranges]).alias("npig"))
-    parts = seg.groupBy(*at).cogroup(before.join(wide, "category_id").groupBy(*at)).applyInPandas(
-        partial(_bands, tuple(thrs), tuple(ranges)), "area string, category_id bigint, iou_thr double, b int, mp double")
+    parts = replayed(seg, before.join(wide, "category_id"), "category_id", ["size", *names],
+                     partial(_Bands, tuple(thrs), tuple(ranges)), _Bands.step, _Bands.rows,
+                     "area string, category_id bigint, iou_thr double, b int, mp double")
     key = ["area", "category_id", "iou_thr"]
     bands = parts.groupBy(*key, "b").agg(F.max("mp").alias("mp"))
     w_suffix = Window.partitionBy(*key).orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)
