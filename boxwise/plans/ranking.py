@@ -11,8 +11,11 @@ the group through one task.  ``ranked`` instead
 3. counts rows per ``(partition, group)`` segment - at most
    ``partitions + groups`` rows - and turns the counts into offsets with a
    window over that small table,
-4. joins the offsets back (broadcast: the segment table's size is bounded by
-   the partition count plus the number of groups).
+4. joins the offsets back.  The segment table is stored and counted: up to
+   ``BROADCAST_SEGMENTS`` rows it is broadcast, a larger one (many groups) takes a
+   merge join.
+
+``as_of`` finds, by the same segments, the last write before each read of a group.
 
 The numbered rows are written as Parquet under the shared ``spark.checkpoint.dir``
 (``session.materialize``) before the two uses: range bounds come from a sample,
@@ -39,6 +42,9 @@ from pyspark.sql import functions as F
 from boxwise.session import default_parallelism, materialize
 
 _LOW = (1 << 33) - 1
+BROADCAST_SEGMENTS = 500_000       # rows of some tens of bytes: about 50 MB at most
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -72,14 +78,42 @@ def ranked(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), name: s
     if sums:
         seg = seg.withColumns({f"_o{c}": F.coalesce(F.sum(f"_t{c}").over(w), F.lit(0)) for c in sums}) \
             .drop(*[f"_t{c}" for c in sums])
-    seg = seg.select([F.col(c).alias(f"_s{c}") if c in group else F.col(c) for c in seg.columns])
-    conds = [F.col("_pid") == F.col("_spid")] + [F.col(g).eqNullSafe(F.col(f"_s{g}")) for g in group]
-    seg = seg.withColumnRenamed("_pid", "_spid")
-    out = r.join(F.broadcast(seg), reduce(lambda a, b: a & b, conds), "inner")
+    out = _with_segments(r, seg, group)
     out = out.withColumn(name, F.col("_off") + F.col("_i") - F.col("_first"))
     if sums:
         # running sums inside each (range partition, group) segment: every
         # segment is at most one range partition, so this window is balanced
         loc = Window.partitionBy("_pid", *group).orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = out.withColumns({f"{c}_cum": F.col(f"_o{c}") + F.sum(c).over(loc) for c in sums})
-    return out.drop("_pid", "_i", "_spid", "_first", "_off", *[f"_s{g}" for g in group], *[f"_o{c}" for c in sums])
+    return out.drop("_pid", "_i", "_first", "_off", *[f"_o{c}" for c in sums])
+
+
+def _with_segments(r: DataFrame, seg: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their segment (``_pid`` and ``group``)."""
+    seg = seg.select([F.col(c).alias(f"_s{c}") if c in ("_pid", *group) else F.col(c) for c in seg.columns])
+    seg = materialize(seg, "segments")
+    seg = F.broadcast(seg) if seg.count() <= BROADCAST_SEGMENTS else seg.hint("merge")
+    conds = [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in ("_pid", *group)]
+    return r.join(seg, reduce(lambda a, b: a & b, conds), "inner").drop(*[f"_s{c}" for c in ("_pid", *group)])
+
+
+def as_of(reads: DataFrame, writes: DataFrame, *, group: Sequence[str], order: str, value: str,
+          partitions: int | None = None) -> DataFrame:
+    """``reads`` with ``value``: that of the last of ``writes`` in the same ``group`` whose
+    ``order`` is not behind the read's; reads before every write of their group get null.
+    Writes of a group must differ in ``order``.
+
+    Reads and writes are range-partitioned together, so a group with many rows is split;
+    the last write of each segment is carried to the segments behind it through the
+    segment table, and a read looks no further back than its own segment's start."""
+    group = list(group)
+    both = (writes.select(*group, order, F.struct(value).alias("_v")).withColumn("_read", F.lit(False))
+            .unionByName(reads.withColumn("_read", F.lit(True)), allowMissingColumns=True))
+    r = segmented(both, [order, "_read"], group=group, partitions=partitions)
+    seg = r.groupBy("_pid", *group).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_i"))).alias("_last"))
+    behind = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.select("_pid", *group, F.last("_last", ignorenulls=True).over(behind).alias("_carried"))
+    inside = Window.partitionBy("_pid", *group).orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = r.withColumn("_v", F.last("_v", ignorenulls=True).over(inside)).where("_read")
+    out = _with_segments(local, seg, group)
+    return out.select(*reads.columns, F.coalesce("_v", "_carried")[value].alias(value))
