@@ -9,11 +9,13 @@ the JVM with no Python.  Group size is bounded by the detector's per-image
 output; :func:`postprocess` applies the ``nms_pre`` top-k (with Spark's
 map-side ``WindowGroupLimit``) before any group is formed.  A standalone
 :func:`nms` sends groups above ``NMS_MAX_GROUP`` rows to
-:func:`nms_distributed` (exact, over conflict pairs from a spatial grid).
+:func:`nms_distributed` (exact, front by front against the boxes already kept).
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 
 from boxwise.functions.geometry import iou_above
 from boxwise.plans.ranking import ranked
-from boxwise.plans.spatial import cell_size, grid_pairs
+from boxwise.plans.spatial import cell_size, grid_pairs, own_cells
 from boxwise.session import materialize, scratch_path
 
 BOX = ["x1", "y1", "x2", "y2"]
@@ -53,8 +55,8 @@ def topk_per_image(det: DataFrame, k: int, *, by=("image_id",)) -> DataFrame:
 # groups up to this size are walked as one array (the walk is quadratic in the
 # boxes kept); larger ones go through conflict pairs
 NMS_MAX_GROUP = 2000
-# conflict pairs one task resolves for a group; a group with more is thinned first
-EDGES_PER_GROUP = 5_000_000
+# conflict pairs one task resolves for a group at a time
+EDGES_PER_GROUP = 1_000_000
 
 
 def nms(det: DataFrame, *, iou_thr: float, class_agnostic: bool = False,
@@ -92,10 +94,11 @@ def _nms_arrays(det: DataFrame, iou_thr: float, grp: list) -> DataFrame:
                       *[F.col(f"d.{c}") for c in rest])
 
 
-def _conflicts(r: DataFrame, thr: float, grp: list, cell: float) -> DataFrame:
-    """Pairs ``(a, b)`` of ranks of one group with ``a < b`` and IoU > ``thr``."""
-    left = r.select(*grp, F.col("rk").alias("a"), *BOX)
-    right = r.select(*grp, F.col("rk").alias("b"), *BOX)
+def _overlapping(early: DataFrame, late: DataFrame, thr: float, grp: list, cell: float) -> DataFrame:
+    """Pairs ``(a, b)`` of ranks of one group, ``a`` of ``early`` before ``b`` of ``late``,
+    with IoU > ``thr``."""
+    left = early.select(*grp, F.col("rk").alias("a"), *BOX)
+    right = late.select(*grp, F.col("rk").alias("b"), *BOX)
     cand = grid_pairs(left, right, keys=grp, left_id="a", right_id="b", thr=thr, cell=cell).where("a < b")
     wide = right.select(*grp, "b", *[F.col(c).alias(f"b{c}") for c in BOX])
     return (cand.join(left.hint("merge"), grp + ["a"]).join(wide.hint("merge"), grp + ["b"])
@@ -122,44 +125,62 @@ def _greedy(grp: list):
     return walk
 
 
+def _front(undecided: DataFrame, pairs: int, grp: list, cell: float) -> DataFrame:
+    """``grp, _until``: each group's front is its undecided ranks below ``_until``, the
+    longest of fractions 1, 1/4, 1/16 ... of its rank span in which boxes that share a
+    grid cell make at most ``pairs`` pairs; the front always holds the best box.  Only
+    counts per cell are shuffled, summed map-side, so a crowded cell costs no more than others."""
+    span = undecided.groupBy(*grp).agg(F.min("rk").alias("_low"), F.max("rk").alias("_high"))
+    span = materialize(span, "nms-span")
+    levels = max(1, math.ceil(math.log((span.agg(F.max(F.col("_high") - F.col("_low"))).first()[0] or 0) + 1, 4)) + 1)
+
+    def until(j):
+        return F.col("_low") + F.ceil((F.col("_high") - F.col("_low") + 1) / F.lit(4 ** j))
+
+    cells = own_cells(undecided, cell, [*grp, "rk"]).join(span.hint("merge"), grp)
+    held = cells.groupBy(*grp, "lvl", "cx", "cy").agg(*[F.sum((F.col("rk") < until(j)).cast("bigint")).alias(f"c{j}")
+                                                        for j in range(levels)])
+    made = held.groupBy(*grp).agg(*[F.sum(F.expr(f"c{j} * (c{j} - 1.0) / 2")).alias(f"p{j}") for j in range(levels)])
+    last = F.col("_low") + 1
+    for j in reversed(range(levels)):
+        last = F.when(F.col(f"p{j}") <= pairs, F.greatest(until(j), F.col("_low") + 1)).otherwise(last)
+    return materialize(made.join(span.hint("merge"), grp).select(*grp, last.alias("_until")), "nms-front")
+
+
 def nms_distributed(det: DataFrame, *, iou_thr: float, group=("image_id", "category_id"),
                     cell: float | None = None, edges_per_group: int = EDGES_PER_GROUP) -> DataFrame:
-    """Exact greedy NMS for large groups.
-
-    Rank inside each group (distributed ranking), find the conflict pairs by a
-    scale-bucketed grid, and let one walk over a group's pairs, sorted by rank,
-    decide it.  A group with more than ``edges_per_group`` pairs is thinned first:
-    a box without an undecided better-ranked conflict is kept and suppresses its
-    conflicts, round by round, until its undecided pairs are few enough.  Every
-    round adds its suppressed boxes to one stored table, so the plan does not grow,
-    and each round decides at least the best undecided box of every group.
+    """Exact greedy NMS for large groups, decided front by front.
+
+    Boxes are ranked inside each group (distributed ranking).  A round takes each
+    group's front, its best undecided boxes up to about ``edges_per_group`` pairs, finds the
+    conflicts in it by a scale-bucketed grid, and one walk over them decides it.  Then
+    every box behind the front meets the boxes just kept, cell by cell: kept boxes
+    overlap little, so a cell holds few of them, and boxes that one of them suppresses are
+    gone before they make pairs among themselves.  So a heap of near-identical boxes
+    costs work in proportion to its size.  Rounds end when nothing is undecided; each decides
+    at least the best box of every group, and in general a front.  What is undecided is
+    stored after each round, so the plan does not grow.
     """
     grp = list(group)
     spark = det.sparkSession
     r = ranked(det, [F.col("score").desc(), F.col("det_id")], group=grp, name="rk")
-    live = materialize(_conflicts(r, iou_thr, grp, cell or cell_size(r)), "nms-pairs")
-    root, k = scratch_path(spark, "nms-suppressed"), 0
+    narrow = r.select(*grp, "rk", *BOX)
+    cell = cell or cell_size(r)
+    root, k = scratch_path(spark, "nms-kept"), 0
     schema = T.StructType([*[r.schema[c] for c in grp], T.StructField("rk", T.LongType())])
-    while True:
-        many = live.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > edges_per_group).select(*grp)
-        many = materialize(many, "nms-many")
-        few = live.join(many, grp, "left_anti")
-        few.groupBy(*grp).applyInPandas(_greedy(grp), schema).write.parquet(f"{root}/round={k}")
-        if many.isEmpty():
-            break
-        live = live.join(many, grp, "left_semi")
-        blocked = live.select(*grp, F.col("b").alias("a")).distinct()
-        kept = materialize(live.select(*grp, "a").distinct().join(blocked.hint("merge"), grp + ["a"], "left_anti"), "nms-kept")
-        gone = materialize(live.join(kept.hint("merge"), grp + ["a"], "left_semi").select(*grp, F.col("b").alias("rk"))
-                           .distinct(), "nms-gone")
-        k += 1
-        gone.write.parquet(f"{root}/round={k}")
-        out_a, out_b = (gone.withColumnRenamed("rk", c).hint("merge") for c in "ab")
-        live = materialize(live.join(kept.hint("merge"), grp + ["a"], "left_anti").join(out_a, grp + ["a"], "left_anti")
-                           .join(out_b, grp + ["b"], "left_anti"), "nms-pairs")
+    undecided = narrow
+    while k == 0 or not undecided.isEmpty():
+        split = undecided.join(_front(undecided, edges_per_group, grp, cell).hint("merge"), grp)
+        split = materialize(split.select(*grp, "rk", *BOX, (F.col("rk") < F.col("_until")).alias("front")), "nms-split")
+        front, rest = split.where("front").drop("front"), split.where("NOT front").drop("front")
+        gone = _overlapping(front, front, iou_thr, grp, cell).groupBy(*grp).applyInPandas(_greedy(grp), schema)
+        front.join(gone.hint("merge"), grp + ["rk"], "left_anti").write.parquet(f"{root}/round={k}")
+        kept = spark.read.schema(front.schema).parquet(f"{root}/round={k}")
+        hit = _overlapping(kept, rest, iou_thr, grp, cell).select(*grp, F.col("b").alias("rk")).distinct()
+        undecided = materialize(rest.join(hit.hint("merge"), grp + ["rk"], "left_anti"), "nms-undecided")
         k += 1
-    gone = spark.read.schema(schema).parquet(*[f"{root}/round={i}" for i in range(k + 1)])
-    return r.join(gone.hint("merge"), grp + ["rk"], "left_anti").select(*det.columns)
+    kept = spark.read.schema(narrow.schema).parquet(*[f"{root}/round={i}" for i in range(k)]).select(*grp, "rk")
+    return r.join(kept.hint("merge"), grp + ["rk"]).select(*det.columns)
 
 
 def postprocess(det: DataFrame, *, score_thr: float = 0.001, nms_pre: int = 30000, min_size: float = 0.0,

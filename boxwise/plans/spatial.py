@@ -33,6 +33,11 @@ def _cells(df: DataFrame, level_col: str, cell: float, keep: list) -> DataFrame:
     return d.select(*keep, "lvl", "cx", F.explode("_ys").alias("cy"))
 
 
+def own_cells(df: DataFrame, cell: float, keep: Sequence[str]) -> DataFrame:
+    """``keep, lvl, cx, cy``: the cells each box covers at its own scale."""
+    return _cells(df.withColumn("_l", _level(cell)), "_l", cell, list(keep))
+
+
 def grid_pairs(left: DataFrame, right: DataFrame, *, keys: Sequence[str], left_id: str, right_id: str,
                thr: float, cell: float) -> DataFrame:
     """``keys, left_id, right_id`` for every left/right pair of a key group that
@@ -49,7 +54,7 @@ def grid_pairs(left: DataFrame, right: DataFrame, *, keys: Sequence[str], left_i
                    .agg(F.max("l")).first()[0] or 0)
 
     def own(df, ident):
-        return _cells(df.withColumn("_l", _level(cell)), "_l", cell, keys + [ident])
+        return own_cells(df, cell, keys + [ident])
 
     def coarser(df, ident, first):
         p = df.withColumn("_l0", _level(cell)).withColumn(

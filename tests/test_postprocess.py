@@ -131,3 +131,28 @@ def test_thirty_thousand_disjoint_boxes(spark):
                                     "0.001D * (id % 200) + 0.0009 AS x2", "0.001D * (id div 200) + 0.0009 AS y2",
                                     "(id * 7919 % 30011) / 30011D AS score")
     assert pp.nms(det, iou_thr=0.5).count() == n
+
+
+def test_near_identical_boxes_against_kept_ones(spark):
+    """A heap of near-identical boxes: equal to the plain loop, and fast at any size."""
+    import random
+    import time
+    rnd = random.Random(3)
+
+    def box(i, spots):
+        x, y = 1000.0 * rnd.randrange(spots) + rnd.uniform(0, 6), rnd.uniform(0, 6)
+        return (i, 1, 1, x, y, x + 60 + rnd.uniform(0, 6), y + 60, rnd.random())
+
+    det = spark.createDataFrame([box(i, 3) for i in range(5000)], SCHEMA)
+    want = greedy_nms([r.asDict() for r in det.collect()], 0.65)
+    for edges in (10 ** 6, 20_000):
+        assert {r["det_id"] for r in pp.nms_distributed(det, iou_thr=0.65, edges_per_group=edges).collect()} == want
+    n = 200_000
+    heap = spark.range(n).selectExpr("id AS det_id", "1L AS image_id", "1L AS category_id", "id * 7919 % 1009 / 500D AS x1",
+                                     "id * 104729 % 1013 / 500D AS y1", "100 + id * 7919 % 1009 / 500D AS x2",
+                                     "100 + id * 104729 % 1013 / 500D AS y2", "(id * 7919 % 200003) / 200003D AS score")
+    start = time.time()
+    kept = pp.nms(heap, iou_thr=0.5).collect()
+    assert time.time() - start < 60
+    best = max((i * 7919 % 200003, -i) for i in range(n))
+    assert [r.det_id for r in kept] == [-best[1]]
