@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from boxwise.functions.draws import DEFAULT_SEED, order_key
 from boxwise.plans.ranking import ranked
+from boxwise.session import materialize
 
 
 def epoch_order(df: DataFrame, *, seed: int = DEFAULT_SEED, epoch: int = 0, shuffle: bool = True,
@@ -31,6 +32,42 @@ def epoch_order(df: DataFrame, *, seed: int = DEFAULT_SEED, epoch: int = 0, shuf
     return ranked(d, ["_k", id_col]).drop("_k")
 
 
+def _canonical(d: DataFrame, n: int, ncn: int) -> DataFrame:
+    """Add ``canonical_node`` and ``_j``, the place in it, by arithmetic on ``pos``."""
+    return (d.withColumn("canonical_node", F.floor(F.col("pos") * ncn / F.lit(n)).cast("bigint"))
+             .withColumn("_j", F.col("pos") - F.expr(f"(canonical_node * {n} + {ncn - 1}) div {ncn}")))
+
+
+def _canonical_sizes(spark, n: int, ncn: int) -> DataFrame:
+    """``_c, _size`` of every canonical node."""
+    return spark.range(ncn).select(F.col("id").alias("_c"), F.expr(
+        f"((id + 1) * {n} + {ncn - 1}) div {ncn} - (id * {n} + {ncn - 1}) div {ncn}").alias("_size"))
+
+
+def _held(sizes: DataFrame, *, nodes: int, lanes: int) -> DataFrame:
+    """``_c, _q, _held, _before``: samples of canonical node ``_c`` in lane ``_q``, and those of
+    the canonical nodes before it in the same stream (a table of canonical nodes x lanes)."""
+    before = Window.partitionBy("_node", "_q").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    return (sizes.select("_c", "_size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(lanes - 1).cast("bigint"))).alias("_q"))
+            .withColumn("_node", F.col("_c") % nodes)
+            .withColumn("_held", F.greatest(F.lit(0), F.expr(f"(_size - _q + {lanes - 1}) div {lanes}")))
+            .select("_c", "_q", "_held", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before")))
+
+
+def _deal(d: DataFrame, sizes: DataFrame, *, nodes: int, ranks: int, workers: int) -> DataFrame:
+    """Add ``node, rank, worker, idx`` to rows with ``canonical_node`` and the place ``_j`` in
+    it.  The place in a stream needs no second ranking: the samples of earlier canonical
+    nodes of the same node are counted by arithmetic."""
+    lanes = ranks * workers
+    d = (d.withColumn("node", (F.col("canonical_node") % nodes).cast("int"))
+          .withColumn("rank", (F.col("_j") % ranks).cast("int"))
+          .withColumn("worker", (F.floor(F.col("_j") / ranks) % workers).cast("int")))
+    held = _held(sizes, nodes=nodes, lanes=lanes).select("_c", "_q", "_before")
+    return (d.join(held, (F.col("canonical_node") == F.col("_c")) & (F.col("_j") % lanes == F.col("_q")))
+             .withColumn("idx", (F.col("_before") + F.expr(f"_j div {lanes}")).cast("bigint"))
+             .drop("_j", "_c", "_before", "_q"))
+
+
 def epoch_plan(df: DataFrame, *, seed: int = DEFAULT_SEED, epoch: int = 0, nodes: int = 1, ranks: int = 1,
                workers: int = 1, batch_size: int = 2, drop_last: bool = False,
                num_canonical_nodes: int | None = None, shuffle: bool = True,
@@ -39,23 +76,7 @@ def epoch_plan(df: DataFrame, *, seed: int = DEFAULT_SEED, epoch: int = 0, nodes
     d = epoch_order(df, seed=seed, epoch=epoch, shuffle=shuffle, block_size=block_size, id_col=id_col)
     n = d.count()  # one scalar, of the stored positions; the plan depends on the dataset length
     ncn = num_canonical_nodes or 64 * nodes
-    lanes = ranks * workers
-    d = (d.withColumn("canonical_node", F.floor(F.col("pos") * ncn / F.lit(n)).cast("bigint"))
-          .withColumn("_j", F.col("pos") - F.expr(f"(canonical_node * {n} + {ncn - 1}) div {ncn}"))
-          .withColumn("node", (F.col("canonical_node") % nodes).cast("int"))
-          .withColumn("rank", (F.col("_j") % ranks).cast("int"))
-          .withColumn("worker", (F.floor(F.col("_j") / ranks) % workers).cast("int")))
-    # the place in a stream needs no second ranking: the samples of earlier canonical
-    # nodes of the same node are counted by arithmetic (a table of ncn * lanes rows)
-    before = Window.partitionBy("_node", "_q").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    held = (df.sparkSession.range(ncn * lanes).select(F.expr(f"id div {lanes}").alias("_c"), (F.col("id") % lanes).alias("_q"))
-            .withColumn("_node", F.col("_c") % nodes)
-            .withColumn("_size", F.expr(f"((_c + 1) * {n} + {ncn - 1}) div {ncn} - (_c * {n} + {ncn - 1}) div {ncn}"))
-            .withColumn("_held", F.greatest(F.lit(0), F.expr(f"(_size - _q + {lanes - 1}) div {lanes}")))
-            .select("_c", "_q", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before")))
-    d = (d.join(held, (F.col("canonical_node") == F.col("_c")) & (F.col("_j") % lanes == F.col("_q")))
-          .withColumn("idx", (F.col("_before") + F.expr(f"_j div {lanes}")).cast("bigint"))
-          .drop("_j", "_c", "_before", "_q"))
+    d = _deal(_canonical(d, n, ncn), _canonical_sizes(df.sparkSession, n, ncn), nodes=nodes, ranks=ranks, workers=workers)
     d = d.withColumn("batch_id", F.floor(F.col("idx") / batch_size).cast("bigint"))
     if drop_last:
         full = d.groupBy("node", "rank", "worker").agg(F.floor(F.count(F.lit(1)) / batch_size).alias("_full"))
@@ -63,6 +84,84 @@ def epoch_plan(df: DataFrame, *, seed: int = DEFAULT_SEED, epoch: int = 0, nodes
     return d
 
 
+def resume_epoch(plan: DataFrame, consumed, *, nodes: int, ranks: int, workers: int, new_nodes: int, new_ranks: int,
+                 new_workers: int, batch_size: int) -> DataFrame:
+    """The rest of an interrupted epoch on another cluster shape, exact to the sample.
+
+    ``plan``: an epoch plan (or what this function returned) for ``nodes`` x ``ranks`` x
+    ``workers`` streams; ``consumed``: the samples every stream has read, one number or a
+    table ``node, rank, worker, consumed`` (streams not named have read none).  What remains
+    of a canonical node keeps its order and is dealt again over the new streams, so
+    samples keep their canonical node and none is read twice or lost.
+
+    Nothing is ranked again: in a canonical node lane ``q`` has read a known prefix of its
+    samples, so the remaining ones before a sample are counted by arithmetic over the lanes.
+    """
+    lanes = ranks * workers
+    sizes = materialize(plan.groupBy(F.col("canonical_node").alias("_c")).agg(F.count(F.lit(1)).alias("_size")), "resume-sizes")
+    if isinstance(consumed, DataFrame):
+        read = consumed.select((F.col("node")).alias("_node"), (F.col("rank") + F.col("worker") * ranks).alias("_lane"),
+                               F.col("consumed").alias("_read"))
+        held = _held(sizes, nodes=nodes, lanes=lanes)
+        held = held.join(read, (held._c % nodes == read._node) & (held._q == read._lane), "left") \
+            .withColumn("_read", F.coalesce("_read", F.lit(0)))
+    else:
+        held = _held(sizes, nodes=nodes, lanes=lanes).withColumn("_read", F.lit(int(consumed)))
+    # what each lane has read of the canonical node: a prefix of its samples there
+    held = held.withColumn("_used", F.greatest(F.lit(0), F.least("_held", F.col("_read") - F.col("_before"))))
+    used = held.groupBy("_c").agg(F.array_sort(F.collect_list(F.struct("_q", "_before", "_used"))).alias("_lanes"))
+    used = materialize(used.select("_c", F.col("_lanes._before").alias("_before"), F.col("_lanes._used").alias("_used")),
+                       "resume-used")
+    q = F.col("rank") + F.col("worker") * ranks
+    d = plan.join(used, F.col("canonical_node") == F.col("_c")).withColumn("_q", q.cast("int"))
+    d = d.withColumn("_k", F.col("idx") - F.get("_before", F.col("_q"))).where(F.col("_k") >= F.get("_used", F.col("_q")))
+    d = d.withColumn("_j", F.expr("aggregate(transform(_used, (u, p) -> greatest(0L, _k + if(p < _q, 1L, 0L) - u)), 0L, "
+                                  "(s, x) -> s + x)"))
+    left = sizes.join(used, "_c").select("_c", F.expr("_size - aggregate(_used, 0L, (s, x) -> s + x)").alias("_size"))
+    kept = [c for c in plan.columns if c not in ("node", "rank", "worker", "idx", "batch_id")]
+    d = _deal(d.select(*kept, "_j"), left, nodes=new_nodes, ranks=new_ranks, workers=new_workers)
+    return d.withColumn("batch_id", F.floor(F.col("idx") / batch_size).cast("bigint"))
+
+
+def shard_epoch_plan(samples: DataFrame, *, seed: int = DEFAULT_SEED, epoch: int = 0, nodes: int = 1, ranks: int = 1,
+                     workers: int = 1, batch_size: int = 2, num_canonical_nodes: int | None = None, block_size: int = 1 << 18,
+                     id_col: str = "sample_id", shard_col: str = "shard", order_col: str = "pos") -> DataFrame:
+    """Epoch plan that keeps a worker to few shards at a time: shards are shuffled
+    (``md5(seed:epoch:shard)``), their samples follow in stored order and are cut evenly into
+    canonical nodes, and inside a canonical node samples are shuffled within spans of
+    ``block_size``.  A worker then holds open the shards of a span (and of the next,
+    while it crosses), where the global order has all of them open.  ``pos`` is the
+    place in the epoch; the rest as in :func:`epoch_plan`."""
+    ncn = num_canonical_nodes or 64 * nodes
+    sizes = samples.groupBy(shard_col).agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", order_key(shard_col, seed, epoch))
+    ahead = ranked(sizes, ["_k", shard_col], name="_r", sums=["_n"]).select(
+        F.col(shard_col).alias("_shard"), (F.col("_n_cum") - F.col("_n")).alias("_ahead"))
+    n = samples.count()
+    inside = Window.partitionBy(shard_col).orderBy(order_col, id_col)       # a shard is bounded by its size limit
+    d = samples.withColumn("_o", F.row_number().over(inside) - 1).join(ahead, F.col(shard_col) == F.col("_shard"))
+    d = _canonical(d.withColumn("pos", F.col("_ahead") + F.col("_o")).drop("_o", "_shard", "_ahead"), n, ncn)
+    span = Window.partitionBy("canonical_node", "_span").orderBy("_k", id_col)   # bounded by block_size
+    d = (d.withColumn("_span", F.expr(f"_j div {block_size}")).withColumn("_k", order_key(id_col, seed, epoch))
+          .withColumn("_first", F.col("pos") - F.col("_j"))
+          .withColumn("_j", F.col("_span") * block_size + F.row_number().over(span) - 1)
+          .withColumn("pos", F.col("_first") + F.col("_j")).drop("_span", "_k", "_first"))
+    d = _deal(d, _canonical_sizes(samples.sparkSession, n, ncn), nodes=nodes, ranks=ranks, workers=workers)
+    return d.withColumn("batch_id", F.floor(F.col("idx") / batch_size).cast("bigint"))
+
+
+def open_shards(plan: DataFrame, *, shard_col: str = "shard") -> DataFrame:
+    """``node, rank, worker, shards, most_open``: how many shards each stream reads, and the
+    most it has open at a time (a shard is open from its first sample to its last)."""
+    stream = ["node", "rank", "worker"]
+    spans = plan.groupBy(*stream, shard_col).agg(F.min("idx").alias("a"), F.max("idx").alias("b"))
+    steps = spans.select(*stream, F.explode(F.array(F.struct(F.col("a").alias("at"), F.lit(1).alias("step")),
+                                                    F.struct((F.col("b") + 1).alias("at"), F.lit(-1).alias("step")))).alias("s"))
+    moves = steps.groupBy(*stream, "s.at").agg(F.sum("s.step").alias("step"))
+    sofar = Window.partitionBy(*stream).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    most = moves.withColumn("open", F.sum("step").over(sofar)).groupBy(*stream).agg(F.max("open").alias("most_open"))
+    return spans.groupBy(*stream).agg(F.count(F.lit(1)).alias("shards")).join(most, stream)
+
+
 def aspect_ratio_batches(images: DataFrame, *, batch_size: int, order_col: str = "pos") -> DataFrame:
     """Batches that hold one orientation only (bucket 0: width < height)."""
     d = images.withColumn("bucket", F.when(F.col("width") < F.col("height"), 0).otherwise(1))

@@ -1,4 +1,5 @@
 """Epoch plans, batches and size-limited shards."""
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -87,3 +88,67 @@ def test_write_validate_and_tamper(spark, sf):
     moved = scratch_path(spark, "test-moved")
     copy_tree(spark, root, moved)
     assert [r["rel_path"] for r in sh.validate_hashes(spark, moved, man).collect()] == [rows[0]["rel_path"]]
+
+
+@pytest.mark.parametrize("old,new", [((1, 2, 2), (3, 1, 3)), ((2, 2, 1), (1, 4, 2)), ((3, 1, 2), (2, 3, 1))])
+def test_resumption_reads_each_sample_once(spark, old, new):
+    n = 1203
+    shape = dict(zip(("nodes", "ranks", "workers"), old))
+    plan = fd.epoch_plan(spark.range(n).withColumnRenamed("id", "image_id"), batch_size=4, num_canonical_nodes=6, **shape)
+    rows = [r.asDict() for r in plan.collect()]
+    streams = sorted({(r["node"], r["rank"], r["worker"]) for r in rows})
+    read = {s: 7 * i + 5 for i, s in enumerate(streams)}
+    table = spark.createDataFrame([(*s, c) for s, c in list(read.items())[1:]], "node int, rank int, worker int, consumed bigint")
+    read[streams[0]] = 0                                     # not named: nothing read
+    again = dict(zip(("new_nodes", "new_ranks", "new_workers"), new))
+    for consumed, of in ((table, read), (37, dict.fromkeys(streams, 37)), (0, dict.fromkeys(streams, 0)), (n, dict.fromkeys(streams, n))):
+        left = [r.asDict() for r in fd.resume_epoch(plan, consumed, **shape, **again, batch_size=5).collect()]
+        gone = {r["image_id"] for r in rows if r["idx"] < of[r["node"], r["rank"], r["worker"]]}
+        assert sorted([r["image_id"] for r in left] + list(gone)) == list(range(n))
+        by = {}
+        for r in sorted(left, key=lambda r: r["pos"]):
+            assert r["node"] == r["canonical_node"] % new[0]
+            by.setdefault(r["canonical_node"], []).append(r)
+        for c in by.values():                                # the rest of a canonical node keeps its order
+            assert [(r["rank"], r["worker"]) for r in c] == [(j % new[1], j // new[1] % new[2]) for j in range(len(c))]
+        stream = {}
+        for r in sorted(left, key=lambda r: (r["canonical_node"], r["pos"])):
+            s = stream.setdefault((r["node"], r["rank"], r["worker"]), [])
+            assert r["idx"] == len(s) and r["batch_id"] == len(s) // 5
+            s.append(r)
+    # interrupted again, on the second shape
+    first = fd.resume_epoch(plan, 37, **shape, **again, batch_size=5)
+    second = fd.resume_epoch(first, 20, **dict(zip(("nodes", "ranks", "workers"), new)), new_nodes=1, new_ranks=1, new_workers=1, batch_size=2)
+    seen = [r["image_id"] for r in rows if r["idx"] < 37] + [r.image_id for r in first.where("idx < 20").collect()]
+    rest = second.orderBy("idx").collect()
+    assert [r.idx for r in rest] == list(range(len(rest))) and sorted(seen + [r.image_id for r in rest]) == list(range(n))
+
+
+def test_shard_aware_order_opens_few_shards(spark):
+    """Spans bound the shards a worker has open; the global order opens them all."""
+    n, per = 4000, 25
+    samples = spark.range(n).selectExpr("id AS sample_id", f"id div {per} AS shard", f"id % {per} AS pos")
+    shape = dict(ranks=2, workers=2, batch_size=8, num_canonical_nodes=2)
+    plan = fd.shard_epoch_plan(samples, block_size=100, **shape)
+    rows = plan.collect()
+    assert sorted(r.pos for r in rows) == list(range(n)) and len({r.sample_id for r in rows}) == n
+    spans = {}
+    for r in rows:
+        spans.setdefault((r.canonical_node, r.pos % (n // 2) // 100), set()).add(r.shard)
+    most = max(len(s) for s in spans.values())
+    assert most <= 100 // per + 1
+    open_ = fd.open_shards(plan).collect()
+    assert len(open_) == 4 and all(r.most_open <= 2 * most for r in open_)
+    # against a plain count at every step
+    for o in open_:
+        mine = sorted((r.idx, r.shard) for r in rows if (r.node, r.rank, r.worker) == (o.node, o.rank, o.worker))
+        ends = {}
+        for i, s in mine:
+            ends[s] = (ends.get(s, (i, i))[0], i)
+        assert o.shards == len(ends)
+        assert o.most_open == max(sum(a <= i <= b for a, b in ends.values()) for i, _ in mine)
+    other = fd.epoch_plan(samples.drop("pos"), id_col="sample_id", **shape)
+    assert min(r.most_open for r in fd.open_shards(other).collect()) > 10 * most
+    again = {r.sample_id: r.pos for r in fd.shard_epoch_plan(samples.repartition(7), block_size=100, **shape).collect()}
+    assert again == {r.sample_id: r.pos for r in rows}
+    assert again != {r.sample_id: r.pos for r in fd.shard_epoch_plan(samples, block_size=100, epoch=1, **shape).collect()}
