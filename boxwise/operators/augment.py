@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxwise.functions.draws import DEFAULT_SEED, coin, uniform, uniform_range
+from boxwise.plans.ranking import as_of
 
 BOX = ("x1", "y1", "x2", "y2")
 
@@ -132,21 +133,37 @@ def pad(df: DataFrame, size=(640, 640)) -> DataFrame:
 # ------------------------------------------------------------ cache partners --
 
 def sample_cache_partners(plan: DataFrame, *, cache: int, k: int, min_cache: int, stream=("node", "rank", "worker"),
-                          seed: int = DEFAULT_SEED, epoch: int = 0, op: str = "mosaic") -> DataFrame:
-    """Partners drawn from a loader's cache of recent samples.
-
-    At stream index ``i`` the cache holds samples ``i-c+1 .. i`` with
-    ``c = min(cache, i + 1)`` (the current one included, oldest out).  When
-    ``c >= min_cache`` each slot ``j < k`` picks ``i - c + 1 + floor(u_j * c)``;
-    otherwise the sample is not mixed.  Partners are found by an equi-join on
-    ``(stream, idx)``; no window is needed.  Returns ``image_id, slot, partner_id``.
+                          random_pop: bool = False, seed: int = DEFAULT_SEED, epoch: int = 0,
+                          op: str = "mosaic") -> DataFrame:
+    """Partners drawn from a loader's cache of recent samples, the current one included.
+
+    At stream index ``i`` the cache holds ``c = min(cache, i + 1)`` samples.  When
+    ``c >= min_cache`` each slot ``j < k`` picks place ``floor(u_j * c)`` of it; otherwise the
+    sample is not mixed.  Returns ``image_id, slot, partner_id``.
+
+    Oldest out (``random_pop=False``): the places hold samples ``i-c+1 .. i``, and partners
+    are found by an equi-join on ``(stream, idx)``.
+
+    Random eviction (``random_pop=True``): sample ``i < cache`` fills place ``i``; a later one
+    draws one of the ``cache + 1`` samples at hand to go, ``floor(u * (cache + 1))``: an old
+    one gives it its place, the last number stands for itself.  A place then holds the
+    last sample that drew it, which an as-of lookup finds for all steps at once: no
+    stream is replayed, and a stream with many samples is split over tasks.
     """
     c = F.least(F.lit(cache), F.col("idx") + 1)
     d = plan.select(*stream, "idx", "image_id", c.alias("_c")).where(F.col("_c") >= min_cache)
     d = d.withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(k))))
     u = uniform(F.concat_ws(":", F.col("image_id").cast("string"), F.col("slot").cast("string")),
                 f"{op}_partner", seed=seed, epoch=epoch)
-    d = d.withColumn("_pidx", F.col("idx") - F.col("_c") + 1 + F.floor(u * F.col("_c")))
+    place = F.floor(u * F.col("_c"))
+    if random_pop:
+        drawn = F.floor(uniform("image_id", f"{op}_evict", seed=seed, epoch=epoch) * (cache + 1))
+        writes = plan.select(*stream, "idx", F.when(F.col("idx") < cache, F.col("idx")).otherwise(drawn).alias("_place"),
+                             F.col("image_id").alias("partner_id")).where(F.col("_place") < cache)
+        reads = d.select(*stream, place.alias("_place"), "idx", "image_id", "slot")
+        found = as_of(reads, writes, group=[*stream, "_place"], order="idx", value="partner_id")
+        return found.select("image_id", F.col("slot").cast("int").alias("slot"), "partner_id")
+    d = d.withColumn("_pidx", F.col("idx") - F.col("_c") + 1 + place)
     src = plan.select(*stream, F.col("idx").alias("_pidx"), F.col("image_id").alias("partner_id"))
     # both sides are as large as the plan: a shuffle join, never a broadcast
     return d.join(src.hint("merge"), [*stream, "_pidx"]).select("image_id", F.col("slot").cast("int").alias("slot"),
@@ -251,16 +268,21 @@ def mixup_compose(target: DataFrame, pool: DataFrame, partners: DataFrame, *, im
 
 # -------------------------------------------------------------- stage plan --
 
+# fixed values: settings of the tiny models; their caches drop the oldest sample
+TINY = {"mosaic_cache": 20, "mixup_cache": 10, "random_pop": False, "ratio_range": (0.5, 2.0), "mixup_prob": 0.5}
+
+
 def augment_plan(images: DataFrame, boxes: DataFrame, plan: DataFrame, *, epoch: int, switch_epoch: int = 280,
                  seed: int = DEFAULT_SEED, mosaic_cache: int = 40, mixup_cache: int = 20,
-                 scale=(640, 640), ratio_range=(0.1, 2.0), mixup_prob: float = 1.0) -> DataFrame:
+                 random_pop: bool = True, scale=(640, 640), ratio_range=(0.1, 2.0), mixup_prob: float = 1.0) -> DataFrame:
     """The training chain for one epoch, chosen by epoch (stage 2 from ``switch_epoch``).
 
     Stage 1: mosaic -> random resize (2x scale, ``ratio_range``) -> crop -> flip
     -> pad -> mixup (``mixup_prob``) with a cached, already-augmented partner; a
     sample without mosaic partners goes on unmixed.  Stage 2: random resize
     (scale, ``ratio_range``) -> crop -> flip -> pad.  The defaults are the settings
-    of the large models; the tiny ones use ratios 0.5-2.0 and mixup 0.5.
+    of the large models, whose caches evict at random (``random_pop``, unset there); the
+    tiny ones use ``TINY``.
     ``boxes``: box rows ``image_id, box_id, x1..y2, label``; ``plan``: the epoch
     plan (stream, idx).
     """
@@ -270,10 +292,12 @@ def augment_plan(images: DataFrame, boxes: DataFrame, plan: DataFrame, *, epoch:
         x = random_resize(fb, scale=scale, ratio_range=ratio_range, seed=seed, epoch=epoch)
         x = random_crop(x, scale, seed=seed, epoch=epoch)
         return pad(random_flip(x, 0.5, seed=seed, epoch=epoch), scale)
-    mp = sample_cache_partners(plan, cache=mosaic_cache, k=3, min_cache=5, seed=seed, epoch=epoch, op="mosaic")
+    mp = sample_cache_partners(plan, cache=mosaic_cache, k=3, min_cache=5, random_pop=random_pop, seed=seed, epoch=epoch,
+                               op="mosaic")
     x = mosaic_compose(cv, fb.drop("w", "h"), mp, samples=plan, img_scale=scale, seed=seed, epoch=epoch)
     x = random_resize(x, scale=(2 * scale[0], 2 * scale[1]), ratio_range=ratio_range, seed=seed, epoch=epoch)
     x = random_crop(x, scale, seed=seed, epoch=epoch)
     x = pad(random_flip(x, 0.5, seed=seed, epoch=epoch), scale)
-    xp = sample_cache_partners(plan, cache=mixup_cache, k=1, min_cache=2, seed=seed, epoch=epoch, op="mixup")
+    xp = sample_cache_partners(plan, cache=mixup_cache, k=1, min_cache=2, random_pop=random_pop, seed=seed, epoch=epoch,
+                               op="mixup")
     return mixup_compose(x, x, xp, img_scale=scale, prob=mixup_prob, seed=seed, epoch=epoch)

@@ -476,6 +476,23 @@ ea AS (SELECT image_id, pos, canonical_node, CAST(canonical_node % 1 AS INTEGER)
 eb AS (SELECT *, row_number() OVER (PARTITION BY node, rank, worker ORDER BY pos) - 1 AS idx FROM ea)"""
 
 
+# the same epoch, interrupted after 5 batches of every stream and resumed on 3 nodes
+RESUMED = dict(new_nodes=3, new_ranks=1, new_workers=3, batch_size=16)
+
+
+@register("resume_epoch", W("""
+SELECT image_id, pos, canonical_node, node, rank, worker, idx, idx // 16 AS batch_id
+FROM (SELECT *, row_number() OVER (PARTITION BY node, rank, worker ORDER BY canonical_node, j) - 1 AS idx
+      FROM (SELECT image_id, pos, canonical_node, j, CAST(canonical_node % 3 AS INTEGER) AS node, CAST(0 AS INTEGER) AS rank,
+                   CAST(j % 3 AS INTEGER) AS worker
+            FROM (SELECT *, row_number() OVER (PARTITION BY canonical_node ORDER BY pos) - 1 AS j
+                  FROM eb WHERE idx >= 5 * 32) a) b) c""", extra_ctes=EPOCH_CTES))
+def _resume(spark, d):
+    p = fd.epoch_plan(_samples(spark, d), **PLAN)
+    old = {k: PLAN[k] for k in ("nodes", "ranks", "workers")}
+    return fd.resume_epoch(p, 5 * PLAN["batch_size"], **old, **RESUMED)
+
+
 @register("epoch_plan", W("SELECT *, idx // 32 AS batch_id FROM eb", extra_ctes=EPOCH_CTES))
 def _f3(spark, d):
     return fd.epoch_plan(_samples(spark, d), **PLAN)
@@ -564,6 +581,48 @@ def _k4(spark, d):
     return sh.shard_plan(fx.documents(spark, d), size_limit=SHARD_LIMIT, shards_per_lane=SHARDS_PER_LANE)
 
 
+# shard-aware order of the training split: spans of 64 samples, 4 canonical nodes
+SHARD_EPOCH = dict(ranks=2, workers=2, batch_size=8, num_canonical_nodes=4, block_size=64)
+SHARD_EPOCH_CTES = SHARD_CTES + """,
+tr AS (SELECT sample_id, shard, pos, nbytes FROM plan WHERE split = 'train'),
+sk AS (SELECT shard, sum(n) OVER (ORDER BY md5('9176:0:' || CAST(shard AS VARCHAR)), shard) - n AS ahead
+       FROM (SELECT shard, count(*) AS n FROM tr GROUP BY shard) g),
+sp AS (SELECT tr.*, ahead + row_number() OVER (PARTITION BY tr.shard ORDER BY pos, sample_id) - 1 AS p, count(*) OVER () AS n
+       FROM tr JOIN sk ON sk.shard = tr.shard),
+scn AS (SELECT *, CAST(floor(p * 4 / n) AS BIGINT) AS canonical_node FROM sp),
+sj0 AS (SELECT *, CAST((canonical_node * n + 3) // 4 AS BIGINT) AS first FROM scn),
+sj AS (SELECT *, (p - first) // 64 * 64 + row_number() OVER (PARTITION BY canonical_node, (p - first) // 64
+              ORDER BY md5('9176:0:' || CAST(sample_id AS VARCHAR)), sample_id) - 1 AS j FROM sj0),
+sq AS (SELECT sample_id, shard, nbytes, CAST(first + j AS BIGINT) AS pos, canonical_node, CAST(0 AS INTEGER) AS node,
+              CAST(j % 2 AS INTEGER) AS rank, CAST(floor(j / 2) % 2 AS INTEGER) AS worker, j FROM sj),
+se AS (SELECT *, row_number() OVER (PARTITION BY node, rank, worker ORDER BY canonical_node, j) - 1 AS idx FROM sq)"""
+
+
+def _shard_epoch(spark, d):
+    p = sh.shard_plan(fx.documents(spark, d), size_limit=SHARD_LIMIT, shards_per_lane=SHARDS_PER_LANE)
+    return fd.shard_epoch_plan(p.where("split = 'train'").select("sample_id", "shard", "pos", "nbytes"), **SHARD_EPOCH)
+
+
+@register("shard_epoch_plan", W("""
+SELECT sample_id, shard, nbytes, pos, canonical_node, node, rank, worker, idx, idx // 8 AS batch_id FROM se""",
+                                recursive=True, extra_ctes=SHARD_EPOCH_CTES))
+def _k5_shards(spark, d):
+    return _shard_epoch(spark, d)
+
+
+@register("open_shards", W("""
+SELECT g.node, g.rank, g.worker, g.shards, o.most_open
+FROM (SELECT node, rank, worker, count(DISTINCT shard) AS shards FROM se GROUP BY node, rank, worker) g
+JOIN (SELECT node, rank, worker, max(held) AS most_open
+      FROM (SELECT x.node, x.rank, x.worker, x.idx, count(*) AS held
+            FROM se x JOIN (SELECT node, rank, worker, shard, min(idx) AS a, max(idx) AS b FROM se GROUP BY ALL) i
+            ON i.node = x.node AND i.rank = x.rank AND i.worker = x.worker AND x.idx BETWEEN i.a AND i.b
+            GROUP BY x.node, x.rank, x.worker, x.idx) c GROUP BY node, rank, worker) o
+ON o.node = g.node AND o.rank = g.rank AND o.worker = g.worker""", recursive=True, extra_ctes=SHARD_EPOCH_CTES))
+def _k5_open(spark, d):
+    return fd.open_shards(_shard_epoch(spark, d))
+
+
 SHARD_COUNT_SQL = W("""
 SELECT split, shard, count(*) AS n_samples, CAST(sum(nbytes) AS BIGINT) AS n_bytes FROM plan GROUP BY split, shard""",
                     recursive=True, extra_ctes=SHARD_CTES)
@@ -695,10 +754,20 @@ def _j5(spark, d):
     return ag.pad(x, (640, 640))
 
 
-def partner_sql(*, cache: int, k: int, min_cache: int, op: str) -> str:
+def partner_sql(*, cache: int, k: int, min_cache: int, op: str, random_pop: bool) -> str:
     """SQL of :func:`augment.sample_cache_partners` over the epoch plan ``eb``."""
     u = uniform_sql("CAST(image_id AS VARCHAR) || ':' || CAST(slot AS VARCHAR)", f"{op}_partner")
     slots = ", ".join(str(i) for i in range(1, k + 1))
+    if random_pop:
+        return f"""
+SELECT r.image_id, CAST(r.slot AS INTEGER) AS slot, w.image_id AS partner_id
+FROM (SELECT *, floor({u} * c) AS place
+      FROM (SELECT node, rank, worker, idx, image_id, least({cache}, idx + 1) AS c FROM eb
+            WHERE least({cache}, idx + 1) >= {min_cache}) cp
+      CROSS JOIN (SELECT unnest([{slots}]) AS slot) s) r
+ASOF JOIN (SELECT node, rank, worker, idx, image_id, CASE WHEN idx < {cache} THEN idx
+             ELSE floor({uniform_sql('image_id', f'{op}_evict')} * {cache + 1}) END AS place FROM eb) w
+ON w.node = r.node AND w.rank = r.rank AND w.worker = r.worker AND w.place = r.place AND r.idx >= w.idx"""
     return f"""
 SELECT cu.image_id, CAST(cu.slot AS INTEGER) AS slot, e.image_id AS partner_id
 FROM (SELECT *, idx - c + 1 + floor({u} * c) AS pidx
@@ -708,20 +777,34 @@ FROM (SELECT *, idx - c + 1 + floor({u} * c) AS pidx
 JOIN eb e ON e.node = cu.node AND e.rank = cu.rank AND e.worker = cu.worker AND e.idx = cu.pidx"""
 
 
-# fixed parameters: mosaic cache 40 images / 3 partners, needs more than 4 cached;
-# mixup cache 20 images / 1 partner, needs at least 2 cached
-@register("sample_cache_partners", W(partner_sql(cache=40, k=3, min_cache=5, op="mosaic"), extra_ctes=EPOCH_CTES))
+# fixed parameters: mosaic takes 3 partners and needs more than 4 cached images, mixup 1
+# and at least 2; the large models cache 40 and 20 and evict at random, the tiny ones
+# 20 and 10 and drop the oldest
+LARGE_MOSAIC = dict(cache=40, k=3, min_cache=5, op="mosaic", random_pop=True)
+LARGE_MIXUP = dict(cache=20, k=1, min_cache=2, op="mixup", random_pop=True)
+TINY_MOSAIC = dict(cache=20, k=3, min_cache=5, op="mosaic", random_pop=False)
+TINY_MIXUP = dict(cache=10, k=1, min_cache=2, op="mixup", random_pop=False)
+
+
+@register("sample_cache_partners", W(partner_sql(**LARGE_MOSAIC), extra_ctes=EPOCH_CTES))
 def _f7(spark, d):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
-    return ag.sample_cache_partners(p, cache=40, k=3, min_cache=5, op="mosaic")
+    return ag.sample_cache_partners(p, **LARGE_MOSAIC)
+
+
+@register("sample_cache_partners_tiny", W(partner_sql(**TINY_MOSAIC), extra_ctes=EPOCH_CTES))
+def _f7_tiny(spark, d):
+    p = fd.epoch_plan(_samples(spark, d), **PLAN)
+    return ag.sample_cache_partners(p, **TINY_MOSAIC)
 
 
 def _u(op, salt, ident="image_id"):
     return uniform_sql(ident, op, salt=salt)
 
 
-MOSAIC_CTES = EPOCH_CTES + "," + FRAME_CTE + f""",
-mpart AS ({partner_sql(cache=40, k=3, min_cache=5, op="mosaic")}),
+def mosaic_ctes(cache: dict) -> str:
+    return EPOCH_CTES + "," + FRAME_CTE + f""",
+mpart AS ({partner_sql(**cache)}),
 mfull AS (SELECT image_id FROM mpart WHERE slot BETWEEN 1 AND 3 GROUP BY image_id HAVING count(*) = 3),
 mtiles AS (SELECT image_id, 0 AS tile, image_id AS src_id FROM mfull
            UNION ALL SELECT image_id, slot, partner_id FROM mpart
@@ -747,8 +830,9 @@ mos AS (SELECT * FROM mb WHERE x2 > x1 AND y2 > y1
         FROM fr f JOIN eb ON eb.image_id = f.image_id
         WHERE f.image_id NOT IN (SELECT image_id FROM mfull))"""
 
+
 MIXUP_CTES = EPOCH_CTES + "," + FRAME_CTE + f""",
-xpart AS ({partner_sql(cache=20, k=1, min_cache=2, op="mixup")}),
+xpart AS ({partner_sql(**LARGE_MIXUP)}),
 xp AS (SELECT p.image_id, p.partner_id AS src, t.tw, t.th
        FROM xpart p JOIN (SELECT DISTINCT image_id, w AS tw, h AS th FROM fr) t ON t.image_id = p.image_id
        WHERE p.slot = 1 AND {_u('mixup', 'p', 'p.image_id')} < 1.0),
@@ -765,10 +849,10 @@ xc AS (SELECT image_id, box_id, category_id, w, h, {_clip('x1', 'w')} AS x1, {_c
               {_clip('x2', 'w')} AS x2, {_clip('y2', 'h')} AS y2 FROM xm)"""
 
 
-@register("mosaic_compose", W("SELECT * FROM mos", extra_ctes=MOSAIC_CTES))
+@register("mosaic_compose", W("SELECT * FROM mos", extra_ctes=mosaic_ctes(LARGE_MOSAIC)))
 def _j6(spark, d):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
-    mp = ag.sample_cache_partners(p, cache=40, k=3, min_cache=5, op="mosaic")
+    mp = ag.sample_cache_partners(p, **LARGE_MOSAIC)
     fb = _aug_frame(spark, d)
     return ag.mosaic_compose(ag.frame(fx.images(spark, d)), fb.drop("w", "h"), mp, samples=p)
 
@@ -777,7 +861,7 @@ def _j6(spark, d):
 SELECT {AUG_COLS} FROM fr UNION ALL SELECT {AUG_COLS} FROM xc WHERE x2 > x1 AND y2 > y1""", extra_ctes=MIXUP_CTES))
 def _j7(spark, d):
     p = fd.epoch_plan(_samples(spark, d), **PLAN)
-    xp = ag.sample_cache_partners(p, cache=20, k=1, min_cache=2, op="mixup")
+    xp = ag.sample_cache_partners(p, **LARGE_MIXUP)
     fb = _aug_frame(spark, d)
     return ag.mixup_compose(fb, fb, xp)
 
@@ -796,7 +880,7 @@ def _j8(spark, d):
 
 @register("augment_plan_tiny")
 def _j8_tiny(spark, d):
-    return _augment(spark, d, epoch=0, ratio_range=(0.5, 2.0), mixup_prob=0.5)
+    return _augment(spark, d, epoch=0, **ag.TINY)
 
 
 @register("augment_plan_stage2")
@@ -829,10 +913,8 @@ ub AS (SELECT d.det_id, d.image_id, d.variant, d.category_id,
 ubm AS (SELECT {DET_COLS} FROM ub)"""
 
 
-def _tta_inputs(spark, d):
-    v = tta.tta_variants(fx.images(spark, d))
-    dv = tta.to_variant_frame(pp.confidence_filter(fx.detections(spark, d), MODEL_THR), v)
-    return v, dv
+def _in_variants(spark, d):
+    return tta.to_variant_frame(pp.confidence_filter(fx.detections(spark, d), MODEL_THR), fx.images(spark, d))
 
 
 @register("tta_variants", W("SELECT * FROM variants", extra_ctes=TTA_CTES))
@@ -854,8 +936,7 @@ def _c16(spark, d):
 
 @register("union_variants", W("SELECT * FROM ub", extra_ctes=TTA_CTES))
 def _g5(spark, d):
-    v, dv = _tta_inputs(spark, d)
-    return tta.undo_variant(dv, v)
+    return tta.undo_variant(_in_variants(spark, d))
 
 
 @register("tta_merge", W(f"""
@@ -863,8 +944,7 @@ SELECT {DET_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER
                         FROM t_kept) t WHERE rk <= 100""", recursive=True,
                          extra_ctes=TTA_CTES + ",\n" + pp.nms_oracle_ctes("ubm", 0.6, prefix="t").strip()))
 def _i4(spark, d):
-    v, dv = _tta_inputs(spark, d)
-    return tta.tta_merge(dv, v)
+    return tta.tta_merge(_in_variants(spark, d))
 
 # ------------------------------------------------------------------- files ---
 
@@ -1054,34 +1134,25 @@ from boxwise.operators import score as sc  # noqa: E402
 from boxwise.streaming import metrics as smx  # noqa: E402
 from boxwise.streaming import shards as ssh  # noqa: E402
 
-SCORE_SCHEMA = "det_id long, image_id long, category_id long, x1 double, y1 double, x2 double, y2 double, score double"
-
-
-def stub_loader():
-    """Stand-in model: a fixed geometry (no weights are available here)."""
-    return {"box": 0.5, "margin": 0.25}
-
-
-def stub_predict(model, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Two centred boxes per image; class and score from the image id."""
-    out = []
-    for k in (0, 1):
-        x1 = pdf["width"] * model["margin"] + k
-        y1 = pdf["height"] * model["margin"]
-        out.append(pd.DataFrame({
-            "det_id": pdf["id"] * 10 + k, "image_id": pdf["id"], "category_id": (pdf["id"] % 24) * 4 + 1,
-            "x1": x1, "y1": y1, "x2": x1 + pdf["width"] * model["box"], "y2": y1 + pdf["height"] * model["box"],
-            "score": ((pdf["id"] * 31 + k * 7) % 100) / 100.0}))
-    return pd.concat(out, ignore_index=True)
-
-
 @register("batch_score", W("""
-SELECT id * 10 + k AS det_id, id AS image_id, (id % 24) * 4 + 1 AS category_id,
-       width * 0.25::DOUBLE + k AS x1, height * 0.25::DOUBLE AS y1, (width * 0.25::DOUBLE + k) + width * 0.5::DOUBLE AS x2,
-       height * 0.25::DOUBLE + height * 0.5::DOUBLE AS y2, CAST((id * 31 + k * 7) % 100 AS DOUBLE) / 100.0::DOUBLE AS score
-FROM images CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1) kk"""))
+SELECT det_id, image_id, category_id, round(x1, 6) AS x1, round(y1, 6) AS y1, round(x1 + w * sx, 6) AS x2,
+       round(y1 + h * sy, 6) AS y2, round(1 / (1 + sqrt(gap) / 100), 6) AS score
+FROM (SELECT *, x * sx AS x1, y * sy AS y1
+      FROM (SELECT id * 10 + row_number() OVER (PARTITION BY id ORDER BY gap, category_id) - 1 AS det_id, id AS image_id, m.*,
+                   iw / width AS sx, ih / height AS sy,
+                   row_number() OVER (PARTITION BY id ORDER BY gap, category_id) AS r
+            FROM (SELECT i.id, i.width AS iw, i.height AS ih, p.*,
+                         (i.width - p.width) * (i.width - p.width) + (i.height - p.height) * (i.height - p.height) AS gap
+                  FROM images i CROSS JOIN proto p) m) n WHERE r <= 2) o""", extra_ctes="""
+proto AS (SELECT a.category_id, avg(i.width) AS width, avg(i.height) AS height, avg(a.x) AS x, avg(a.y) AS y, avg(a.w) AS w, avg(a.h) AS h
+          FROM annotations a JOIN images i ON i.id = a.image_id
+          WHERE a.category_id IN (SELECT id FROM categories) GROUP BY a.category_id)"""))
 def _i1(spark, d):
-    return sc.batch_score(fx.images(spark, d), stub_loader, stub_predict, SCORE_SCHEMA, key="stub")
+    path = scratch_path(spark, "detector")
+    images = fx.images(spark, d)
+    sc.save_weights(sc.fit_prototypes(images, fx.annotations(spark, d), fx.categories(spark, d)), path)
+    found = sc.batch_score(images, sc.PrototypeLoader(path), sc.predict_prototypes, sc.DETECTIONS, key=path)
+    return found.select("det_id", "image_id", "category_id", *[F.round(c, 6).alias(c) for c in ("x1", "y1", "x2", "y2", "score")])
 
 
 def xyxy_pandas(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -1145,18 +1216,48 @@ def _a8(spark, d):
     return spark.read.parquet(out).select(*ANN_COLS.split(", "))
 
 
+def _late_shards(spark, d) -> str:
+    """The annotation shards and one more that repeats every 997th annotation."""
+    root = _annotation_shards(spark, d)
+    fx.annotations(spark, d).where("id % 997 = 0").coalesce(1).write.mode("append").parquet(root)
+    return root
+
+
 @register("stream_validate", W("""
 SELECT CAST(count(*) AS BIGINT) AS n_rows,
        CAST(count(*) FILTER (WHERE image_id NOT IN (SELECT id FROM images)) AS BIGINT) AS n_orphans,
-       CAST(count(*) FILTER (WHERE category_id NOT IN (SELECT id FROM categories)) AS BIGINT) AS n_unknown
-FROM annotations"""))
+       CAST(count(*) FILTER (WHERE category_id NOT IN (SELECT id FROM categories)) AS BIGINT) AS n_unknown,
+       CAST(count(*) FILTER (WHERE again) AS BIGINT) AS n_duplicates,
+       CAST(count(DISTINCT image_id) FILTER (WHERE again) AS BIGINT) AS n_split
+FROM (SELECT *, false AS again FROM annotations UNION ALL SELECT *, true FROM annotations WHERE id % 997 = 0) a"""))
 def _l1(spark, d):
-    root = _annotation_shards(spark, d)
+    root = _late_shards(spark, d)
     schema = spark.read.parquet(root).schema
-    out, ck = scratch_path(spark, "validate_out"), scratch_path(spark, "validate_ck")
-    _run_stream(ssh.stream_validate(ssh.stream_shards(spark, root, schema, max_files=2),
+    out, ck, found, ck2 = (scratch_path(spark, n) for n in ("validate_out", "validate_ck", "identity_out", "identity_ck"))
+    _run_stream(ssh.stream_validate(ssh.stream_shards(spark, root, schema, max_files=3),
                                     fx.images(spark, d), fx.categories(spark, d), out, ck))
-    return spark.read.parquet(out).agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_rows", "n_orphans", "n_unknown")])
+    _run_stream(ssh.stream_identity(ssh.stream_shards(spark, root, schema, max_files=3), found, ck2))
+    counts = spark.read.parquet(out).agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_rows", "n_orphans", "n_unknown")])
+    bad = ssh.findings(spark, found).agg(*[F.count_if(F.col("kind") == k).alias(n) for k, n in (
+        ("record", "n_duplicates"), ("sample", "n_split"))])
+    return counts.withColumns({n: bad.select(n).scalar() for n in ("n_duplicates", "n_split")})
+
+
+@register("stream_smooth_metrics", """
+WITH it AS (SELECT run, metric, value, row_number() OVER (PARTITION BY run, metric ORDER BY ts, event_id) AS iter
+            FROM (SELECT event_type AS run, 'loss' AS metric, ts, event_id, value FROM events) e),
+sm AS (SELECT run, metric, iter, avg(value) OVER (PARTITION BY run, metric ORDER BY iter
+                                                 ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS v FROM it)
+SELECT run, metric, iter, round(v, 6) AS value FROM sm WHERE iter % 20 = 0""")
+def _l2_smooth(spark, d):
+    root = scratch_path(spark, "metric_log")
+    # files in an order that has nothing to do with the iterations
+    mt.iterations(fx.metric_log(spark, d)).repartition(6, F.xxhash64("event_id")).write.parquet(root)
+    schema = spark.read.parquet(root).schema
+    out, ck = scratch_path(spark, "smooth_out"), scratch_path(spark, "smooth_ck")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(root)
+    _run_stream(smx.start_metrics(smx.stream_smooth(src, window=50, every=20), out, ck))
+    return smx.smoothed(spark, out)
 
 
 @register("stream_metrics", """
@@ -1198,12 +1299,12 @@ def _rc_sql(src, name, keep, epoch=0):
 _KEEP = "image_id, tile, src_id, box_id, category_id"
 
 
-def _augment_sql(ratio, mixup_prob):
-    return MOSAIC_CTES + "," + _rr_sql("mos", "ar", _KEEP, 1280, ratio) + "," + _rc_sql("ar", "ac", _KEEP) + f""",
+def _augment_sql(mosaic, mixup, ratio, mixup_prob):
+    return mosaic_ctes(mosaic) + "," + _rr_sql("mos", "ar", _KEEP, 1280, ratio) + "," + _rc_sql("ar", "ac", _KEEP) + f""",
 af AS (SELECT {_KEEP}, w, h, CASE WHEN {_FLIP} THEN w - x2 ELSE x1 END AS x1, y1,
               CASE WHEN {_FLIP} THEN w - x1 ELSE x2 END AS x2, y2 FROM ac),
 ap AS (SELECT {_KEEP}, greatest(w, 640) AS w, greatest(h, 640) AS h, x1, y1, x2, y2 FROM af),
-ypart AS ({partner_sql(cache=20, k=1, min_cache=2, op="mixup")}),
+ypart AS ({partner_sql(**mixup)}),
 yp AS (SELECT p.image_id, p.partner_id AS src, t.tw, t.th
        FROM ypart p JOIN (SELECT DISTINCT image_id, w AS tw, h AS th FROM ap) t ON t.image_id = p.image_id
        WHERE p.slot = 1 AND {_u('mixup', 'p', 'p.image_id')} < {mixup_prob!r}),
@@ -1220,11 +1321,12 @@ yc AS (SELECT {_KEEP}, w, h, {_clip('x1', 'w')} AS x1, {_clip('y1', 'h')} AS y1,
               {_clip('x2', 'w')} AS x2, {_clip('y2', 'h')} AS y2 FROM ym)"""
 
 
-for _name, _ratio, _prob in (("augment_plan", (0.1, 2.0), 1.0), ("augment_plan_tiny", (0.5, 2.0), 0.5)):
+for _name, *_settings in (("augment_plan", LARGE_MOSAIC, LARGE_MIXUP, (0.1, 2.0), 1.0),
+                          ("augment_plan_tiny", TINY_MOSAIC, TINY_MIXUP, (0.5, 2.0), 0.5)):
     ORACLE[_name] = W(f"""
 SELECT {_KEEP}, w, h, x1, y1, x2, y2 FROM ap
 UNION ALL SELECT {_KEEP}, w, h, x1, y1, x2, y2 FROM yc WHERE x2 > x1 AND y2 > y1""",
-                      extra_ctes=_augment_sql(_ratio, _prob))
+                      extra_ctes=_augment_sql(*_settings))
 
 _K2 = "image_id, box_id, category_id"
 _FLIP2 = f"{uniform_sql('image_id', 'random_flip', epoch=280)} < 0.5"

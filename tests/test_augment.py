@@ -79,3 +79,28 @@ def test_stage_two_and_tiny_settings(spark, sf):
     few = ag.augment_plan(fx.images(spark, sf), b, plan, epoch=0, mixup_prob=0.0)
     many = ag.augment_plan(fx.images(spark, sf), b, plan, epoch=0, mixup_prob=1.0)
     assert 0 < few.count() < many.count()
+
+
+def test_random_eviction_equals_a_cache(spark):
+    """Partners from a cache that evicts at random, against a plain cache replayed with the same draws."""
+    import hashlib
+
+    def u(ident, op):
+        return int(hashlib.md5(f"9176:{op}:0:{ident}".encode()).hexdigest()[:8], 16) / 2 ** 32
+
+    plan = fd.epoch_plan(spark.range(700).withColumnRenamed("id", "image_id"), ranks=2, workers=1, batch_size=4)
+    for cache, k, least in ((1, 1, 1), (7, 3, 5), (40, 3, 5)):
+        got = {(r.image_id, r.slot): r.partner_id for r in ag.sample_cache_partners(
+            plan, cache=cache, k=k, min_cache=least, random_pop=True).collect()}
+        want, held = {}, {}
+        for r in sorted(plan.collect(), key=lambda r: r.idx):
+            places = held.setdefault((r.node, r.rank, r.worker), [])
+            if len(places) < cache:
+                places.append(r.image_id)
+            else:
+                goes = int(u(r.image_id, "mosaic_evict") * (cache + 1))
+                if goes < cache:                             # else the new sample itself goes
+                    places[goes] = r.image_id
+            for slot in range(1, k + 1) if len(places) >= least else ():
+                want[r.image_id, slot] = places[int(u(f"{r.image_id}:{slot}", "mosaic_partner") * len(places))]
+        assert got == want
