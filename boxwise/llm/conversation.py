@@ -391,9 +391,10 @@ class _Conversation:
 def _merged(rows: DataFrame, walked: DataFrame) -> DataFrame:
     """Rows and blocks of each conversation in order; a block stands before its first row."""
     r = rows.select(*KEYS, F.lit(1).alias("kind"), "text", "copies", F.lit(None).cast("binary").alias("codes"),
-                    F.lit(None).cast("array<string>").alias("letters"))
+                    F.lit(None).cast("string").alias("letters"))
+    # letters of the states as one text: arrays that are null in nearly every row are slow to transfer
     w = walked.select(*KEYS, F.lit(0).alias("kind"), F.lit("").alias("text"), F.lit(0).cast("bigint").alias("copies"),
-                      "codes", "letters")
+                      "codes", F.array_join("letters", ",").alias("letters"))
     return r.unionByName(w).repartition("conv").sortWithinPartitions(*KEYS, "kind")
 
 
@@ -412,7 +413,7 @@ def _follow(batches):
                         yield now, "end", None
                     now, seen = _Conversation(conv), True
                 if kind == 0:
-                    now.block(codes, letters)
+                    now.block(codes, letters.split(","))
                 else:
                     for made in now.row(turn, role, digest, text, copies):
                         yield now, "row", made
