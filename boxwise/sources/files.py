@@ -15,11 +15,12 @@ from functools import reduce
 from typing import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxwise.functions import paths
-from boxwise.session import default_parallelism, materialize
+from boxwise.session import default_parallelism, materialize, ship_package
 from boxwise.sources.fsutil import as_uri, resolve
 
 LIST_SCHEMA = "path string, is_dir boolean, length long, mtime timestamp"
@@ -52,7 +53,35 @@ def read_files(listing: DataFrame) -> DataFrame:
         _reader, "path string, rel_path string, length long, content binary")
 
 
-def scan_images(spark: SparkSession, root: str, *, suffixes=(".jpg", ".jpeg", ".png"),
+def read_into(df: DataFrame, path_col: str, content_col: str) -> DataFrame:
+    """``df`` with ``content_col``, the bytes of the file each row names, read where the row
+    is: dealt out first, rows pull their payload in and no shuffle carries it.  Batches
+    are bounded by the bytes read."""
+    from pyspark.sql import types as T
+    schema = T.StructType([*df.schema.fields, T.StructField(content_col, T.BinaryType())])
+    ship_package(df.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            paths, low, held = batch.column(path_col).to_pylist(), 0, []
+            size = 0
+            for i, path in enumerate(paths):
+                fs, p = resolve(path)
+                with fs.open_input_file(p) as f:
+                    held.append(f.read())
+                size += len(held[-1])
+                if size >= READ_BYTES or i + 1 == len(paths):
+                    part = batch.slice(low, i + 1 - low)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(held, pa.binary())], names=schema.names)
+                    low, held, size = i + 1, [], 0
+
+    return df.mapInArrow(run, schema)
+
+
+IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png")
+
+
+def scan_images(spark: SparkSession, root: str, *, suffixes=IMAGE_SUFFIXES,
                 recursive: bool = True) -> DataFrame:
     """``path, rel_path, length, content`` of image files under ``root``
     (listing rule of :func:`list_files`; empty files included)."""
@@ -182,6 +211,14 @@ def _plain(c):
     return F.regexp_replace(c, "^file:(//)?", "")
 
 
+def attach_files(images: DataFrame, listing: DataFrame) -> DataFrame:
+    """Image records (with a resolved ``path``) whose file is listed, with its ``length`` and its
+    ``path`` as listed."""
+    f = listing.select(_plain(F.col("path")).alias("_p"), F.col("path").alias("_listed"), "length")
+    j = images.withColumn("_p", _plain(F.col("path"))).join(f.hint("merge"), "_p")
+    return j.withColumn("path", F.col("_listed")).drop("_p", "_listed")
+
+
 def attach_image_bytes(images: DataFrame, files: DataFrame) -> DataFrame:
     """Image records (with a resolved ``path``) joined to their file's bytes.
     Plan on ids first and join the payload last: only this join moves bytes."""

@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,59 @@ def test_put_and_copy(spark, tmp_path):
     assert (tmp_path / "copy" / "d1" / "f7.bin").read_bytes() == bytes([7]) * 7
 
 
+def test_copy_of_mixed_sizes_in_balanced_tasks(spark, tmp_path):
+    """One large file and many small ones: equal tasks, whole files, a rest after a failure."""
+    src, dst = tmp_path / "src", tmp_path / "dst"
+    for d in range(20):
+        (src / f"d{d}").mkdir(parents=True)
+    for i in range(2000):
+        (src / f"d{i % 20}" / f"{i}.bin").write_bytes(bytes([i % 251]) * (i % 90))
+    big = np.random.default_rng(0).integers(0, 256, 64 << 20, dtype=np.uint8).tobytes()
+    (src / "d3" / "big.bin").write_bytes(big)
+    plan = fo.copy_plan(fi.list_prefix(spark, str(src)), tasks=16, part_bytes=1 << 20)
+    load = [r.w for r in plan.groupBy("task").agg(F.sum(F.col("size") + fo.FILE_COST).alias("w")).collect()]
+    mean = sum(load) / len(load)
+    assert len(load) == 16 and max(load) < mean + (1 << 20) + fo.FILE_COST and min(load) > 0.5 * mean
+    report = {r.rel_path: (r.nbytes, r.status) for r in fo.copy_tree(spark, str(src), str(dst), parallelism=16, part_bytes=1 << 20).collect()}
+    assert len(report) == 2001 and all(s == "ok" for _, s in report.values()) and report["d3/big.bin"][0] == len(big)
+    assert (dst / "d3" / "big.bin").read_bytes() == big
+    assert all((dst / f"d{i % 20}" / f"{i}.bin").read_bytes() == bytes([i % 251]) * (i % 90) for i in range(0, 2000, 37))
+    assert sorted(p.name for p in dst.iterdir()) == sorted(f"d{d}" for d in range(20))
+
+
+def test_copy_goes_on_from_a_report(spark, tmp_path):
+    src, dst = tmp_path / "src", tmp_path / "dst"
+    src.mkdir()
+    for i in range(30):
+        (src / f"{i}.bin").write_bytes(b"x" * i)
+    first = fo.copy_tree(spark, str(src), str(dst), parallelism=3)
+    held = first.where("nbytes < 20")
+    for i in range(30):
+        (dst / f"{i}.bin").write_bytes(b"old")
+    (src / "5.bin").write_bytes(b"changed")                  # not the reported size any more
+    rows = fo.copy_tree(spark, str(src), str(dst), parallelism=3, done=held).collect()
+    again = {r.rel_path: r.nbytes for r in rows}
+    assert len(rows) == len(again) == 30 and again["5.bin"] == 7
+    assert (dst / "5.bin").read_bytes() == b"changed" and (dst / "25.bin").read_bytes() == b"x" * 25
+    assert (dst / "3.bin").read_bytes() == b"old"            # reported as copied: left alone
+
+
+def test_killed_attempt_leaves_no_half_file(tmp_path):
+    from pyarrow import fs as pafs
+    fs = pafs.LocalFileSystem()
+
+    def dies(out):
+        out.write(b"half")
+        raise KeyboardInterrupt
+
+    path, aside = str(tmp_path / "to" / "file"), str(tmp_path / "run" / "0-1")
+    with pytest.raises(KeyboardInterrupt):
+        fo.write_whole(fs, path, aside, dies)
+    assert not (tmp_path / "to" / "file").exists()
+    assert fo.write_whole(fs, path, str(tmp_path / "run" / "0-2"), lambda o: o.write(b"whole") or 5) == 5
+    assert (tmp_path / "to" / "file").read_bytes() == b"whole"
+
+
 def test_coco_json_with_mixed_segmentation(spark, tmp_path):
     doc = {"images": [{"id": 1, "file_name": "000000000001.jpg", "height": 10, "width": 20}],
            "annotations": [{"id": 5, "image_id": 1, "category_id": 3, "bbox": [1, 2, 3, 4], "iscrowd": 0,
