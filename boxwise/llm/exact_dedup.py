@@ -13,8 +13,9 @@ with the located content of its group.  Rows that differ in spite of equal
 digests form classes by their whole text.
 
 Defined results: null text counts as empty; null ids sort below all others and
-equal ids in one group count as separate rows; an empty table gives no rows;
-extra columns are not read.
+equal ids in one group count as separate rows; of rows tied for the largest id any
+one's content is compared; very long texts are compared whole, in the JVM; an empty
+table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -89,12 +90,15 @@ def classify(spark: SparkSession, path: str, *, id_col: str = "doc_id", text_col
     keys = ["digest", "n_bytes"]
     # hits: rows of groups larger than one, with their whole text
     hits = store(rows.join(groups.hint("merge"), keys), "exact-hits")
-    content = (hits.filter("doc_id <=> keep_id AND file = locator").dropDuplicates(keys)
-               .select(*keys, F.col("t").alias("located")))
+    # stored, like the classes below: AQE splits a hot key only where the other side of its
+    # join is a plain shuffle, not an aggregate
+    content = store(hits.filter("doc_id <=> keep_id AND file = locator").dropDuplicates(keys)
+                    .select(*keys, F.col("t").alias("located")), "exact-content")
     checked = materialize(
         hits.join(content.hint("merge"), keys)
         .select("doc_id", *keys, F.when(F.col("t") != F.col("located"), F.col("t")).alias("other")), "exact-checked")
-    classes = checked.groupBy(*keys, "other").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    classes = materialize(checked.groupBy(*keys, "other").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
+                          "exact-classes")
     c = classes.select(*[F.col(x).alias(f"_{x}") for x in classes.columns])
     same = ((F.col("digest") == F.col("_digest")) & (F.col("n_bytes") == F.col("_n_bytes"))
             & F.col("other").eqNullSafe(F.col("_other")))
