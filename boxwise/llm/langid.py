@@ -19,10 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boxwise.llm.bpe import text_runs
+
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 EMBED, FILTERS = 8, 16
@@ -141,6 +144,28 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], *, epochs: int = 6
     return m
 
 
+def _least_hashes(rows: DataFrame, per_language: int) -> dict[str, int]:
+    """For each language the ``per_language``-th least distinct hash of its texts (the largest,
+    where there are fewer).  Hashes are spread evenly, so a bound taken from a language's count
+    leaves about twice as many; copies may leave too few, then the bound is raised.  No task
+    sees a whole language."""
+    todo = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    tops, share = {}, 2
+    while todo:
+        below = F.lit(False)
+        for lang, n in todo.items():
+            bound = min((1 << 63) - 1, -(1 << 63) + (1 << 64) * share * per_language // n)
+            below = below | ((F.col("lang") == lang) & (F.col("h") <= bound))
+        found = {}
+        for r in rows.filter(below).select("lang", "h").distinct().collect():
+            found.setdefault(r.lang, []).append(r.h)
+        for lang in [x for x, n in todo.items() if len(found.get(x, ())) >= per_language or share * per_language >= n]:
+            tops[lang] = sorted(found[lang])[:per_language][-1]
+            del todo[lang]
+        share *= 8
+    return tops
+
+
 def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_language: int = 400,
         windows_per_text: int = 6, seed: int = 7) -> Model:
     """Fit on a bounded sample: ``per_language`` texts of each language (a hash
@@ -149,10 +174,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     rows = labelled.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")) \
         .filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
     rows = rows.withColumn("h", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy("h")
-    keys = rows.select("lang", "h").distinct().withColumn("r", F.row_number().over(order)) \
-        .filter(F.col("r") <= per_language).groupBy("lang").agg(F.max("h").alias("top"))
-    tops = {r.lang: r.top for r in keys.collect()}
+    tops = _least_hashes(rows, per_language)
     if not tops:
         return None
     low = F.lit(False)
@@ -190,28 +212,23 @@ def predict_texts(m: Model, texts: list[str], group: int = 64) -> tuple[np.ndarr
 
 def predict(df: DataFrame, model: Model | None, *, text_col: str = "text", carry: list[str] | None = None,
             pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """``carry`` columns of ``df`` plus the predicted language and its score.  The model (some
-    kilobytes) travels with the task."""
-    carry = df.columns if carry is None else carry
+    """``carry`` columns of ``df`` (all by default) plus the predicted language and its score,
+    which take the place of columns of these names.  The model (some kilobytes) travels
+    with the task."""
+    new = {pred_col.lower(), score_col.lower()}
+    carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in new]
     held = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
                      F.when(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.col(f"`{text_col}`")).alias("text"))
 
     def task(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            name, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            low = 0
-            has = [i for i, t in enumerate(texts) if t is not None and model is not None]
-            while low < len(has):
-                high, size = low, 0
-                while high < len(has) and size < 1 << 20:
-                    size += len(texts[has[high]])
-                    high += 1
-                at = has[low:high]
-                best, p = predict_texts(model, [texts[i] for i in at])
-                for i, b, s in zip(at, best, p):
-                    name[i], score[i] = model.languages[b], float(s)
-                low = high
+            name, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+            for low, _, texts in text_runs(pc.fill_null(batch.column("text"), "")) if model is not None else ():
+                at = [i for i, t in enumerate(texts) if t]
+                if at:
+                    best, p = predict_texts(model, [texts[i] for i in at])
+                    for i, b, s in zip(at, best, p):
+                        name[low + i], score[low + i] = model.languages[b], float(s)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(name), pa.array(score)],
                                              names=["row", "lang_pred", "score"])
 
