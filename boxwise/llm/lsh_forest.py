@@ -12,13 +12,14 @@ prefix-filter join: linked sets share one of the rarest 100 - ``percent`` percen
 their shingles.  Holders of such a shingle are candidates; where more than ``FEW``
 nodes hold it, they are put into one cluster instead.
 
-Candidates whose whole signatures agree in too few values are dropped (fewer than
-half; at a similarity of 0.75 the chance is about one in a million).  Components
+Candidates whose whole signatures agree in too few values are dropped
+(``fewest_agreements``: under 32 of 64 at a similarity of 0.75, where the chance to drop a
+link is 4.6e-6; this also holds for candidates of the exact join).  Components
 of the remaining candidates are clusters; a cluster's texts meet in one bounded
 group, where links are confirmed on full sets until its true components are known:
 the candidates first, then every node outside the largest component against the
-whole cluster.  Clusters of more than ``cluster_words`` words are too large for one
-group: there the links are confirmed by joins, first each node's best candidate, then
+whole cluster.  Clusters of more than ``cluster_words`` words or ``cluster_nodes`` nodes are
+too large for one group: there the links are confirmed by joins, first each node's best candidate, then
 all that still lie between components, then a wide neighbourhood across components;
 last, as in the small ones, every node outside the largest component meets the whole
 cluster, block by block, on full sets.
@@ -27,9 +28,10 @@ Chance of missing a link of similarity s in a region of depth d: (1 - s^d)^TREES
 2e-6 at s = 0.75, d = 2; none is missed by dividing a region.
 
 Defined results: null or word-less texts have no shingle and stay alone; rows
-with equal sets, so all repeated rows, are in one component; null ids join
-components but never name one; an empty table gives an empty result; extra
-columns are not read.
+with equal sets, so all repeated rows, are in one component; of ids tied for a
+component's least one either names it, as they are equal; null ids join
+components but never name one; very long texts are one set each, shingled whole in a
+run of their own; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -221,7 +223,7 @@ NEAR, START = 4, 12                      # neighbours of each node; of the first
 FAR = 64                                 # neighbours across the components of a large cluster
 
 
-def _neighbours(rows: DataFrame, near: int = NEAR, start: int = START, by_root: bool = False) -> DataFrame:
+def _neighbours(rows: DataFrame, percent: int, near: int = NEAR, start: int = START, by_root: bool = False) -> DataFrame:
     """(a, b) candidates: in each sorted region, every node with the ``near`` before
     it; the first ``start`` + 1 nodes, so all of a small region, with each other.
     ``by_root``: only between nodes of different ``root``."""
@@ -251,7 +253,7 @@ def _neighbours(rows: DataFrame, near: int = NEAR, start: int = START, by_root:
                 if by_root:
                     ok &= root[i] != root[i - d]
                 small, large = np.minimum(n[i], n[i - d]), np.maximum(n[i], n[i - d])
-                i = i[ok & (100 * small >= 75 * large)]
+                i = i[ok & (100 * small >= percent * large)]
                 a.append(node[i])
                 b.append(node[i - d])
             a, b = np.concatenate(a), np.concatenate(b)
@@ -287,16 +289,18 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): alternating large-star and
     small-star steps until the edges are stars.  Every step is written out; hubs
-    are combined before the shuffle and AQE splits their joins."""
+    are combined before the shuffle, and as the aggregates are stored, AQE splits the
+    joins that give a hub's edges its result."""
     e = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
                     .distinct(), "forest-edges")
     state = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
+                            "forest-least")
         large = both.filter("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.distinct(), "forest-large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "forest-low")
         small = (large.join(low.hint("merge"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))))
         e = materialize(small.distinct(), "forest-small")
@@ -308,6 +312,13 @@ def components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def fewest_agreements(percent: int) -> int:
+    """How many values the signatures of a linked pair share but for a chance of some
+    millionths: 4.6 standard deviations below the mean at a similarity of ``percent``."""
+    s = percent / 100
+    return max(0, int(HASHES * s - 4.6 * (HASHES * s * (1 - s)) ** 0.5))
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both)
@@ -392,12 +403,13 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, depth: int = 2,
-                    region_rows: int = 20_000, cluster_words: int = 2_000_000, least_agree: int = HASHES // 2,
-                    row_keys: bool = False) -> DataFrame:
+                    region_rows: int = 20_000, cluster_words: int = 2_000_000, cluster_nodes: int = 20_000,
+                    least_agree: int | None = None, row_keys: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row: links have
     100 * intersection >= percent * union of their sets.  ``row_keys`` adds (digest,
     stays): of each component the rows stay that equal its least one by id, nulls
     last, and digest of the text; word-less rows stay."""
+    least_agree = fewest_agreements(percent) if least_agree is None else least_agree
     docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     row, first_row, last_row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest"), [], []
     if row_keys:
@@ -407,7 +419,7 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     nodes = materialize(signed.filter("n > 0").groupBy("node").agg(
         F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("doc_id").alias("first_id"), *first_row), "forest-nodes")
     regions, dense = _regions(_orders(nodes), depth, region_rows)
-    pairs = _neighbours(regions)
+    pairs = _neighbours(regions, percent)
     bound = None
     if dense is not None:
         exact, bound = _prefix_pairs(_texts(docs, nodes.join(dense.hint("merge"), "node").select("node", "first_id")), percent)
@@ -418,9 +430,9 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     ties = close.select("a", "b")
     member = materialize(components(ties if bound is None else ties.unionByName(bound)).withColumnRenamed("root", "cluster")
                          .join(nodes.select("node", "n", "first_id").hint("merge"), "node"), "forest-members")
-    weight = member.groupBy("cluster").agg(F.sum("n").alias("words"))
+    weight = materialize(member.groupBy("cluster").agg(F.sum("n").alias("words"), F.count("*").alias("members")), "forest-weights")
     member = materialize(member.join(weight.hint("merge"), "cluster").withColumn(
-        "large", F.col("words") > cluster_words), "forest-weighed")
+        "large", (F.col("words") > cluster_words) | (F.col("members") > cluster_nodes)).drop("members"), "forest-weighed")
     texts = materialize(_texts(docs, member.select("cluster", "node", "large", "first_id")), "forest-texts")
     of = close.join(member.select(F.col("node").alias("a"), "cluster", "large").hint("merge"), "a")
     roots = materialize(_confirm_groups(texts.filter("NOT large").select("cluster", "node", "text"),
@@ -464,7 +476,7 @@ def _large_clusters(pairs: DataFrame, texts: DataFrame, regions: DataFrame, node
     root, _ = between(pairs.select("a", "b"), links)
     inside = regions.join(texts.select("node").hint("merge"), "node").join(root.hint("merge"), "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
-    far = _agreeing(_neighbours(inside, FAR, FAR, by_root=True), nodes, least).select("a", "b")
+    far = _agreeing(_neighbours(inside, percent, FAR, FAR, by_root=True), nodes, least).select("a", "b")
     links = materialize(links.unionByName(_confirm_joined(far, texts, percent)), "forest-links")
     root = materialize(components(links), "forest-linked")
     return components(links.unionByName(_apart_links(member, root, texts, percent, block_words)))
