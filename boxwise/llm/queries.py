@@ -43,7 +43,7 @@ def _op2(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     kind = pages.schema["page_id"].dataType
     records = warc.read(spark, warc.archive(pages), with_payload=False)
-    return records.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+    return records.where("record_type IN ('response', 'revisit')").select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
                           "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 

@@ -10,12 +10,14 @@ files that count, so a lost or repeated attempt leaves nothing behind that is re
 Reader: archives are cut into byte ranges.  A task looks for the gzip magic in
 its range, validates a candidate by decoding its first bytes and their WARC
 version line, and owns the records that start inside the range, reading past its
-end to finish the last one.
+end to finish the last one.  Archives of others are read too (any ``WARC/1.x``); what is
+no whole member is reported as a row, not skipped.
 
 Defined results: null payload counts as empty; rows with equal id and payload are
 written one record each, and of rows with the largest id one is the response; a
 null id is written as an empty id and reads back as null; empty tables give no
-archives and no records; extra columns are not read.
+archives and no records; a very long payload is one member, written and read whole
+by one task, other members in pieces of a megabyte; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +35,8 @@ from boxwise.session import materialize, scratch_path
 from boxwise.sources.fsutil import resolve
 
 MAGIC = b"\x1f\x8b\x08"
-VERSION = b"WARC/1.1\r\n"
+VERSION = b"WARC/"
+DAMAGED = "damaged"                  # record_type of bytes that are no whole member
 DATE = "2000-01-01T00:00:00Z"       # pages carry no date of capture; equal input gives equal archives
 PEEK = 1 << 12
 
@@ -163,28 +166,38 @@ def _member(w: _Window):
         return None, 0
 
 
-def read_range(f, size: int, start: int, stop: int):
-    """Decoded members that start in [start, stop) of an open archive."""
+def scan_range(f, size: int, start: int, stop: int):
+    """(position, data) of the members that start in [start, stop) of an open archive.  Where a
+    member must begin and none does, and for a record that does not decode to its end,
+    data is None: every gap between members belongs to the range in which the member
+    before it began."""
     w = _Window(f, start, size)
-    while w.at < stop:
+    due = start == 0                                         # a member must begin right here
+    while due or w.at < stop:
         w.fill(PEEK)
         if not w.buf:
             return
-        i = w.buf.find(MAGIC)
-        if i < 0:                                            # a magic may straddle the buffer's end
-            w.skip(max(1, len(w.buf) - len(MAGIC) + 1))
-            continue
-        if i:
-            w.skip(i)
-            continue
-        w.fill(PEEK)
-        if _starts_record(w.buf[:PEEK]):
+        record = w.buf.startswith(MAGIC) and _starts_record(w.buf[:PEEK])
+        if record:
+            if w.at >= stop:
+                return
             data, used = _member(w)
             if data is not None:
-                yield data
+                yield w.at, data
                 w.skip(used)
+                due = True
                 continue
-        w.skip(1)
+        if due or record:
+            yield w.at, None
+        due = False
+        i = w.buf.find(MAGIC, 1)
+        # a magic may straddle the buffer's end
+        w.skip(i if i > 0 else max(1, len(w.buf) - len(MAGIC) + 1))
+
+
+def read_range(f, size: int, start: int, stop: int):
+    """Decoded members that start in [start, stop) of an open archive."""
+    return (data for _, data in scan_range(f, size, start, stop) if data is not None)
 
 
 def parse(data: bytes) -> dict:
@@ -206,9 +219,42 @@ RECORD = T.StructType([
     T.StructField("payload", T.BinaryType())])
 
 
+def row_of(data: bytes, where: str) -> tuple:
+    """The row of one decoded record.  Headers that only ``write`` gives (page ids, payload
+    length) are null in archives of others; a digest that is missing or not SHA-1 is
+    computed.  Raises where a payload does not fit its SHA-1 digest."""
+    r = parse(data)
+    h, kind = r["headers"], r["headers"].get("warc-type")
+    if kind not in ("response", "revisit", "resource"):
+        return h.get("x-page-id") or None, h.get("warc-target-uri"), kind, None, None, None, None
+    # a resource's block is its payload; a response's payload follows the HTTP head
+    payload = r["block"] if kind == "resource" else r["payload"]
+    name, _, value = h.get("warc-payload-digest", "").partition(":")
+    digest = _sha1(value) if name.lower() == "sha1" else None
+    length = int(h["x-payload-length"]) if "x-payload-length" in h else None if kind == "revisit" else len(payload)
+    if kind != "revisit":
+        own = hashlib.sha1(payload).hexdigest()
+        if len(payload) != length or digest not in (None, own):
+            raise ValueError(f"record {h.get('warc-record-id')} of {where}: payload does not fit its digest")
+        digest = own
+    return (h.get("x-page-id") or None, h.get("warc-target-uri"), kind, h.get("x-refers-to-page-id"), length, digest,
+            None if kind == "revisit" else payload)
+
+
+def _sha1(value: str) -> str | None:
+    """Lower-case hex of a SHA-1 digest in base 32 or hex."""
+    try:
+        raw = bytes.fromhex(value) if len(value) == 40 else base64.b32decode(value.upper())
+    except ValueError:
+        return None
+    return raw.hex() if len(raw) == 20 else None
+
+
 def read(spark: SparkSession, files: DataFrame, *, range_bytes: int = 32 << 20, with_payload: bool = True) -> DataFrame:
-    """Records of the archives in ``files`` (path, n_bytes).  Responses are checked
-    against their digest and length; for a revisit both come from its headers."""
+    """A row per record of the archives in ``files`` (path, n_bytes).  Responses are checked
+    against their digest and length; for a revisit both come from its headers.  Other
+    record types (warcinfo, request, ...) have their type and no payload; bytes that are no
+    whole member are a row of type ``DAMAGED``, so nothing is passed over without a word."""
     cuts = files.agg(F.sum(F.ceil(F.col("n_bytes") / range_bytes))).first()[0] or 1
     ranges = (files.select("path", "n_bytes", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.greatest(F.col("n_bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint"))).alias("start"))
@@ -217,30 +263,37 @@ def read(spark: SparkSession, files: DataFrame, *, range_bytes: int = 32 << 20,
     def task(batches):
         import pandas as pd
         names = [f.name for f in RECORD.fields]
+
+        def frame(rows):
+            # whole numbers with gaps stay whole
+            return pd.DataFrame(rows, columns=names).astype({"payload_bytes": "Int64"})
+
         for pdf in batches:
             for path, n_bytes, start in zip(pdf["path"], pdf["n_bytes"], pdf["start"]):
                 rows, held = [], 0
                 fs, local = resolve(path)
                 with fs.open_input_file(local) as f:
-                    for data in read_range(f, int(n_bytes), int(start), min(int(start) + range_bytes, int(n_bytes))):
-                        r = parse(data)
-                        h, payload = r["headers"], r["payload"]
-                        digest = base64.b32decode(h["warc-payload-digest"].partition(":")[2]).hex()
-                        revisit, length = h["warc-type"] == "revisit", int(h["x-payload-length"])
-                        if not revisit and (len(payload) != length or hashlib.sha1(payload).hexdigest() != digest):
-                            raise ValueError(f"record {h['warc-record-id']} of {path}: payload does not fit its digest")
-                        rows.append((h["x-page-id"] or None, h["warc-target-uri"], h["warc-type"],
-                                     h.get("x-refers-to-page-id"), length, digest,
-                                     payload if with_payload and not revisit else None))
-                        held += len(payload) if with_payload else 200
+                    for at, data in scan_range(f, int(n_bytes), int(start), min(int(start) + range_bytes, int(n_bytes))):
+                        if data is None:
+                            rows.append((None, f"{path}@{at}", DAMAGED, None, None, None, None))
+                            continue
+                        row = row_of(data, path)
+                        rows.append(row if with_payload else (*row[:-1], None))
+                        held += len(row[-1] or b"") if with_payload else 200
                         if held > 16 << 20:
-                            yield pd.DataFrame(rows, columns=names)
+                            yield frame(rows)
                             rows, held = [], 0
-                yield pd.DataFrame(rows, columns=names)
+                yield frame(rows)
 
     return ranges.mapInPandas(task, RECORD)
 
 
+def missing(files: DataFrame, records: DataFrame) -> int:
+    """Records that the stored report of ``write`` counts and ``records`` (of :func:`read`) has not."""
+    written = files.agg(F.sum("n_records")).first()[0] or 0
+    return written - records.where(F.col("record_type").isin("response", "revisit")).count()
+
+
 def archive(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
             min_revisit: int = 1000, root: str | None = None) -> DataFrame:
     """Mark revisits and write the archives; returns the stored report."""
