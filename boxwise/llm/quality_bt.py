@@ -7,10 +7,12 @@ becomes the threshold, and the score is a logistic curve of the worth that takes
 the value ``cut`` there.  Features are whole-text statistics of bytes, words and
 lines, computed batch-wise in numpy.
 
-Training uses at most ``max_texts`` labelled texts.  Defined results: null counts as empty text, and an empty text gets a
-score like any other; repeated rows get equal scores; without labels of both
-kinds every score is 0.5; an empty table gives an empty result; extra columns
-are not read.
+Training uses at most ``max_texts`` labelled texts.  Defined results: null counts as
+empty text, and an empty text gets a score like any other; very long texts are read
+whole, one run of about a megabyte or one text at a time; repeated rows get equal scores,
+and scores may tie; labels tied in the sample's order follow by id and label; without
+labels of both kinds every score is 0.5; an empty table gives an empty result; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boxwise.llm.bpe import text_runs
+
 GROUPS = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz", "digit": b"0123456789",
           "space": b" \t\r\x0b\x0c", "line": b"\n", "stop": b".", "comma": b",;:", "mark": b"!?", "pipe": b"|",
           "symbol": b"#*$%&<>", "markup": b"{}[]()=/\\_@~^+-", "quote": b"\"'`"}
@@ -121,9 +125,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 def _featured(df: DataFrame, carry: list[str]) -> DataFrame:
     def task(batches):
         for b in batches:
-            x = features(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in carry], pa.array([r.tobytes() for r in x], pa.binary())],
-                                             names=[*carry, "x"])
+            for low, high, texts in text_runs(b.column("text")):
+                x = features(texts)
+                yield pa.RecordBatch.from_arrays([*[b.column(c).slice(low, high - low) for c in carry],
+                                                  pa.array([r.tobytes() for r in x], pa.binary())], names=[*carry, "x"])
     src = df.select(*carry, "text")
     return src.mapInArrow(task, T.StructType([*[src.schema[c] for c in carry], T.StructField("x", T.BinaryType())]))
 
@@ -134,9 +139,10 @@ def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
 
     def task(batches):
         for b in batches:
-            s = model.score(features(b.column("text").to_pylist()))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(s, pa.float64()),
-                                              pa.array((s >= cut).astype("i4"))], names=["id", "score", "predicted"])
+            for low, high, texts in text_runs(b.column("text")):
+                s = model.score(features(texts))
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(low, high - low), pa.array(s, pa.float64()),
+                                                  pa.array((s >= cut).astype("i4"))], names=["id", "score", "predicted"])
 
     return src.mapInArrow(task, T.StructType([src.schema["id"], T.StructField("score", T.DoubleType()),
                                               T.StructField("predicted", T.IntegerType())]))

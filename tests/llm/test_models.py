@@ -1,6 +1,8 @@
 """Quality classifier and language ID on held-out rows; WARC round trips; near-dedup."""
+import hashlib
 import io
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -193,3 +195,116 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame([(bytearray(key(a)), bytearray(key(b))) for a, b in edges], "a binary, b binary")
     got = {int.from_bytes(r.node, "big"): int.from_bytes(r.root, "big") for r in lsh_forest.components(df).collect()}
     assert {got[i] for i in range(61)} == {0} and {got[i] for i in range(100, 150)} == {100} and got[201] == 200
+
+
+def test_warc_of_others(spark, tmp_path):
+    """An archive of another writer: other versions and record types, no own headers, a damaged
+    member, bytes between members; everything is a row."""
+    from boxwise.session import ship_package
+    ship_package(spark)
+
+    def member(lines, block):
+        return warc.gzip_member("\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n")
+
+    page = b"HTTP/1.1 200 OK\r\n\r\n<p>hello</p>"
+    good = member(["WARC/1.0", "WARC-Type: response", "WARC-Target-URI: http://a/"], page)
+    digest = hashlib.sha1(b"<p>hello</p>").hexdigest()
+    hexed = member(["WARC/1.1", "WARC-Type: response", "WARC-Target-URI: http://b/", f"WARC-Payload-Digest: sha1:{digest}"], page)
+    parts = [member(["WARC/1.0", "WARC-Type: warcinfo"], b"software: x"), good,
+             member(["WARC/1.0", "WARC-Type: request", "WARC-Target-URI: http://a/"], b"GET / HTTP/1.1\r\n\r\n"),
+             good[:-9] + bytes([good[-9] ^ 255]) + good[-8:], b"rubbish", hexed,
+             member(["WARC/1.1", "WARC-Type: resource", "WARC-Target-URI: http://c/"], b"plain"), good[:40]]
+    path = tmp_path / "other.warc.gz"
+    path.write_bytes(b"".join(parts))
+    files = spark.createDataFrame([(str(path), path.stat().st_size)], "path string, n_bytes bigint")
+    for step in (1 << 20, 200, 61):
+        rows = warc.read(spark, files, range_bytes=step).collect()
+        kinds = Counter(r.record_type for r in rows)
+        assert kinds[warc.DAMAGED] >= 2
+        del kinds[warc.DAMAGED]
+        assert kinds == {"warcinfo": 1, "request": 1, "response": 2, "resource": 1}
+        by = {r.url: r for r in rows if r.record_type in ("response", "resource")}
+        assert bytes(by["http://a/"].payload) == bytes(by["http://b/"].payload) == b"<p>hello</p>"
+        assert by["http://a/"].payload_digest == by["http://b/"].payload_digest == digest and by["http://a/"].page_id is None
+        assert bytes(by["http://c/"].payload) == b"plain" and by["http://c/"].payload_bytes == 5
+
+
+def test_warc_report_counts_what_is_missing(spark):
+    from boxwise.session import ship_package
+    ship_package(spark)
+    rows = [(i if i % 7 else None, f"u{i}", "same " * 300 if i % 3 else f"{i}" * 50) for i in range(60)] + [(5, "u", "same " * 300)] * 3
+    rows += [(99, "u", "long " * 600_000)]                   # a member of many read chunks
+    report = warc.archive(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3))
+    records = warc.read(spark, report, range_bytes=500)
+    assert records.count() == 64 and warc.missing(report, records) == 0
+    got = [r for r in records.collect() if r.page_id == "99"]
+    assert got[0].payload_bytes == 3_000_000 and bytes(got[0].payload) == b"long " * 600_000
+    assert records.where("page_id IS NULL").count() == sum(r[0] is None for r in rows)
+    # of rows with the largest id of a group one stays, or all where they are that row
+    path = report.first().path
+    data = bytearray(open(path, "rb").read())
+    data[len(data) // 2] ^= 255
+    open(path, "wb").write(data)
+    again = warc.read(spark, report, range_bytes=500)
+    assert warc.missing(report, again) == 1 and again.where("record_type = 'damaged'").count() >= 1
+
+
+def test_language_sample_is_that_of_a_window(spark, docs_of):
+    """The least distinct hashes of each language, with one language held by most rows and copies."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    texts = [f"w{i % 900} text" for i in range(3000)] + ["rare one", "rare two"] + ["copy of one text"] * 500
+    rows = docs_of(texts, langs=["en"] * 3000 + ["fr"] * 2 + ["de"] * 500).selectExpr("lang", "xxhash64(text) AS h")
+    order = Window.partitionBy("lang").orderBy("h")
+    want = {r.lang: r.top for r in rows.distinct().withColumn("r", F.row_number().over(order)).filter("r <= 100")
+            .groupBy("lang").agg(F.max("h").alias("top")).collect()}
+    assert langid._least_hashes(rows, 100) == want
+    plan = rows.groupBy("lang").count()._jdf.queryExecution().toString()
+    assert "Window" not in plan
+
+
+def test_language_of_repeated_rows_and_clashing_columns(spark, docs_of):
+    en, fr = "the cat and the house of the people ", "le chat et la maison des gens "
+    d = docs_of([en * 4, fr * 4, en * 4, fr * 4, None], langs=["en", "fr", "en", "fr", None])
+    out = langid.predict(d, langid.fit(d), pred_col="lang", score_col="score")
+    assert sorted(out.columns) == sorted(d.columns)          # its columns take the places of these names
+    got = {r.doc_id: r for r in out.collect()}
+    assert [got[i].lang for i in range(5)] == ["en", "fr", "en", "fr", "und"] and got[0].score == got[2].score
+
+
+@pytest.mark.parametrize("percent", [60, 75, 90])
+def test_near_links_at_any_percentage(spark, docs_of, percent):
+    """Components against brute force, with pairs on both sides of the line."""
+    rng = random.Random(percent)
+    texts = []
+    for g in range(25):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(30, 80))]
+        for _ in range(4):
+            own = list(words)
+            for _ in range(rng.randint(0, 4)):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(5000)}"
+            texts.append(" ".join(own))
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    for options in ({}, {"cluster_nodes": 2}):
+        got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(docs_of(texts), percent=percent, **options).collect()}
+        assert got == {i: find(i) for i in range(len(texts))}
+
+
+def test_hub_edges_are_dealt_out(spark):
+    """A star of 30,000 edges: AQE splits the joins of its hub."""
+    edges = spark.range(1, 30_000).selectExpr("unhex(lpad(hex(0), 8, '0')) AS a", "unhex(lpad(hex(id), 8, '0')) AS b")
+    roots = lsh_forest.components(edges)
+    assert roots.count() == 30_000 and roots.select("root").distinct().count() == 1
