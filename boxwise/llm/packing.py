@@ -7,7 +7,8 @@ an individual is a partition of the pieces into bins; crossover injects the
 well-filled bins of one parent whole into the other, dissolves the bins that then
 hold a piece twice, and best-fits the displaced pieces; mutation dissolves some
 badly filled bins.  An individual is better with fewer bins, then with a higher
-mean of squared fill.
+mean of squared fill.  Individuals start as varied first fits; best fit serves
+displaced pieces only, so what comes out is the search's.
 
 Distribution: pieces are dealt by hash into shards of about ``shard_items``
 pieces.  ``islands`` populations evolve each shard as separate Spark groups; after
@@ -105,6 +106,29 @@ class Bins:
         return b, room
 
 
+def first_fit(lengths: np.ndarray, order: np.ndarray, capacity: int) -> np.ndarray:
+    """Place the items in ``order``, each into the first bin it fits; a tree over the bins
+    holds the most room below each node."""
+    n, size = len(lengths), 1
+    while size < n:
+        size *= 2
+    room, assign = [capacity] * (2 * size), np.empty(n, np.int64)
+    for i, need in zip(order.tolist(), lengths[order].tolist()):
+        k = 1
+        while k < size:
+            k *= 2
+            k += room[k] < need                              # the left bins have no room for it
+        assign[i] = k - size
+        room[k] -= need
+        while k > 1:
+            k //= 2
+            most = max(room[2 * k], room[2 * k + 1])
+            if room[k] == most:
+                break
+            room[k] = most
+    return assign                                            # bins are numbered from 0 without gaps
+
+
 def best_fit(lengths: np.ndarray, assign: np.ndarray, todo: np.ndarray, capacity: int) -> np.ndarray:
     """Place the items ``todo`` (in this order) into the bins of ``assign`` (-1: no
     bin), each into the fullest one it fits, else into a new one."""
@@ -165,24 +189,29 @@ def mutate(lengths, a: np.ndarray, capacity: int, rng) -> np.ndarray:
     return best_fit(lengths, child, todo[np.argsort(-noise, kind="stable")], capacity)
 
 
-def evolve(lengths: np.ndarray, population: list[np.ndarray], capacity: int, generations: int, size: int, rng):
-    """The population after ``generations``, best first."""
+def evolve(lengths: np.ndarray, population: list[np.ndarray], capacity: int, generations: int, size: int, patience: int, rng):
+    """(population, its qualities), best first, after at most ``generations`` children.
+
+    A missing individual starts as a first fit in falling order of the lengths, each
+    times a random factor; the factors vary more from individual to individual, so
+    starts differ in which pieces share a bin.  The search ends early once no packing
+    can have fewer bins, or when ``patience`` children in a row bring no better best."""
     least = -(-int(lengths.sum()) // capacity)
-    empty = np.full(len(lengths), -1, np.int64)
+    population = list(population)
     while len(population) < size:
-        noise = lengths * (rng.uniform(0.95, 1.05, len(lengths)) if population else 1.0)
-        population.append(best_fit(lengths, empty, np.argsort(-noise, kind="stable"), capacity))
-        if -quality(lengths, population[-1], capacity)[0] == least:
-            break
+        spread = 0.3 * (len(population) + 1) / size
+        key = lengths * rng.uniform(1 - spread, 1 + spread, len(lengths))
+        population.append(first_fit(lengths, np.argsort(-key, kind="stable"), capacity))
     ranked = sorted(((quality(lengths, p, capacity), i) for i, p in enumerate(population)), reverse=True)
-    population = [population[i] for _, i in ranked]
-    scores = [q for q, _ in ranked]
+    population, scores = [population[i] for _, i in ranked], [q for q, _ in ranked]
+    stale = 0
     for _ in range(generations):
-        if -scores[0][0] == least or len(population) < 2:
-            break                                            # no packing has fewer bins
+        if -scores[0][0] == least or len(population) < 2 or stale == patience:
+            break
         i, j = sorted(rng.choice(len(population), 2, replace=False))
         child = mutate(lengths, crossover(lengths, population[i], population[j], capacity, rng), capacity, rng)
         q = quality(lengths, child, capacity)
+        stale = 0 if q > scores[0] else stale + 1
         if q > scores[-1]:
             at = next(k for k, s in enumerate(scores) if q > s)
             population.insert(at, child)
@@ -194,7 +223,7 @@ def evolve(lengths: np.ndarray, population: list[np.ndarray], capacity: int, gen
 ISLAND = "shard bigint, island int, rank int, bins bigint, square double, piece_ids array<bigint>, lengths array<bigint>, assign array<bigint>"
 
 
-def _epoch(capacity: int, generations: int, size: int, elites: int, islands: int, seed: int):
+def _epoch(capacity: int, generations: int, size: int, patience: int, elites: int, islands: int, seed: int):
     """Evolve one island of one shard: rows are its individuals (or, at first, one
     row without assignment)."""
     def task(key, table):
@@ -203,7 +232,7 @@ def _epoch(capacity: int, generations: int, size: int, elites: int, islands: int
         lengths = np.array(rows[0]["lengths"], np.int64)
         rng = np.random.default_rng([seed, shard & 0x7FFFFFFF, island])
         start = [np.array(r["assign"], np.int64) for r in rows if r["assign"] is not None]
-        population, scores = evolve(lengths, start, capacity, generations, size, rng)
+        population, scores = evolve(lengths, start, capacity, generations, size, patience, rng)
         # the population stays, and copies of its elites move on to the next island
         keep = [(island, k) for k in range(len(population))]
         move = [((island + 1) % islands, k) for k in range(min(elites, len(population)))] if islands > 1 else []
@@ -215,7 +244,7 @@ def _epoch(capacity: int, generations: int, size: int, elites: int, islands: int
 
 
 def _round(items: DataFrame, n_items: int, *, capacity: int, shard_items: int, islands: int, epochs: int,
-           generations: int, size: int, elites: int, seed: int) -> DataFrame:
+           generations: int, size: int, patience: int, elites: int, seed: int) -> DataFrame:
     """(piece_id, length, bin, fill) of one round over (piece_id, length); bins
     are numbered shard * 2^24 + bin."""
     shards = max(1, -(-n_items // shard_items))
@@ -227,7 +256,7 @@ def _round(items: DataFrame, n_items: int, *, capacity: int, shard_items: int, i
                          "cast(null AS array<bigint>) AS assign"))
     for e in range(epochs):
         state = materialize(state.groupBy("shard", "island").applyInArrow(
-            _epoch(capacity, generations, size, elites, islands, seed + e), ISLAND), "packing-epoch")
+            _epoch(capacity, generations, size, patience, elites, islands, seed + e), ISLAND), "packing-epoch")
     best = state.groupBy("shard").agg(F.max_by(F.struct("piece_ids", "lengths", "assign"), F.struct(
         -F.col("bins"), "square", "island")).alias("b"))
     flat = best.selectExpr("shard", "explode(arrays_zip(b.piece_ids, b.lengths, b.assign)) AS x").selectExpr(
@@ -236,11 +265,12 @@ def _round(items: DataFrame, n_items: int, *, capacity: int, shard_items: int, i
 
 
 def pack(items: DataFrame, *, capacity: int = 1024, shard_items: int = 8192, islands: int = 2, epochs: int = 2,
-         generations: int = 6, size: int = 4, elites: int = 1, rounds: int = 3, badly_filled: float = 0.98,
-         seed: int = 5) -> DataFrame:
-    """(piece_id, bin, offset) of the items (piece_id, length), length < capacity."""
+         generations: int = 80, size: int = 4, patience: int = 30, elites: int = 1, rounds: int = 3,
+         badly_filled: float = 0.98, seed: int = 5) -> DataFrame:
+    """(piece_id, bin, offset) of the items (piece_id, length), length < capacity.  At most
+    ``generations`` children an epoch and island."""
     opts = dict(capacity=capacity, shard_items=shard_items, islands=islands, epochs=epochs, generations=generations,
-                size=size, elites=elites)
+                size=size, patience=patience, elites=elites)
     done = None
     todo, n = items, items.count()
     for r in range(rounds):
