@@ -94,6 +94,12 @@ def monoid(step: np.ndarray, begin: np.ndarray):
     return of_class, table, act, begin
 
 
+def begins_at(c: np.ndarray, of_class, table, act, begin) -> np.ndarray:
+    """Whether a match begins at each of the classes ``c``: by the product before it and its class."""
+    by_product = np.ascontiguousarray(begin[act[:, START]]).ravel()
+    return by_product.take(scan(of_class.take(c, mode="clip"), table) * np.uint16(begin.shape[1]) + c, mode="clip")
+
+
 def scan(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Exclusive products of the monoid elements ``x`` (element 0 is the identity)."""
     n, m = len(x), len(table)
@@ -110,10 +116,13 @@ def scan(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     lanes[:n] = x
     lanes = np.ascontiguousarray(lanes.reshape(blocks, width).T)
     out = np.zeros((width + 1, blocks), np.uint16)
-    for j in range(width):
-        np.take(flat, out[j].astype(np.uint32) * m + lanes[j], out=out[j + 1])
+    at = np.empty(blocks, np.intp)
+    for j in range(width):                                  # "clip": take without a buffer; all places exist
+        np.multiply(out[j], m, out=at)
+        at += lanes[j]
+        np.take(flat, at, out=out[j + 1], mode="clip")
     before = scan(out[width], table)                       # product of all earlier blocks
-    full = flat[before.astype(np.uint32)[None, :] * m + out[:width]]
+    full = flat.take(before.astype(np.intp)[None, :] * m + out[:width], mode="clip")
     return np.ascontiguousarray(full.T).ravel()[:n]
 
 
@@ -133,7 +142,7 @@ def _class_table() -> np.ndarray:
 
 def classes(cps: np.ndarray) -> np.ndarray:
     """Classes of a code point array that ends with SENTINEL."""
-    c = _class_table()[cps]
+    c = _class_table().take(cps.astype(np.intp), mode="clip")
     space = c == INNER
     last = space[:-1] & ~space[1:] & (c[1:] != END)
     at = np.flatnonzero(last)
@@ -152,9 +161,12 @@ def byte_positions(cps: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """Byte position of every code point in UTF-8, and the end."""
     size = np.ones(len(cps), np.uint8)
     for low in (0x80, 0x800, 0x10000):
-        size += cps >= low
+        more = cps >= low
+        if low > 0x80 and np.count_nonzero(more) == len(stops):
+            break                                           # the sentinels only
+        size += more
     size[stops] = 1
-    at = np.zeros(len(cps) + 1, np.int64)
+    at = np.zeros(len(cps) + 1, np.int64 if len(cps) >= 1 << 29 else np.int32)
     np.cumsum(size, out=at[1:])
     return at
 
@@ -167,9 +179,7 @@ def slices(texts: list[str]):
     stops = np.cumsum([len(t) + 1 for t in texts]) - 1
     cps[stops] = SENTINEL
     c = classes(cps)
-    of_class, table, act, begin = _monoid()
-    state = act[scan(of_class[c], table), START]
-    starts = begin[state, c]
+    starts = begins_at(c, *_monoid())
     at = byte_positions(cps, stops)
     edges = np.flatnonzero(starts)                          # sentinels included: they end the last slice
     is_end = c[edges] == END

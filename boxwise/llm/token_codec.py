@@ -41,7 +41,7 @@ LANES, STEPS = 4096, 512
 CONTEXTS = 1 << 18                 # entries of the order-2 table
 EVENT_BITS = 12                    # events are coded in 4096ths
 GAIN = 24                          # order-0 count of one occurrence
-LEARN = 16_384                     # ids between two renewals of the order-0 frequencies
+LEARN = 65_536                     # ids between two renewals of the order-0 frequencies
 HEAD = struct.Struct("<4sIIIIIII")  # mark, ids, lanes, steps, alphabet, payload bytes, crc of payload, crc of ids
 MARK, TAIL = b"TKB1", b"TKIX"
 U = np.uint64
@@ -52,7 +52,8 @@ FLOOR, W16 = U(1 << 32), U(16)
 class _Model:
     """What encoder and decoder both know before a step."""
 
-    def __init__(self, alphabet: int, lanes: int):
+    def __init__(self, alphabet: int, lanes: int, searched: bool = False):
+        self.searched = searched                                   # whether ids are looked up by their frequency range
         # an entry is 8 * predicted id + confidence
         self.order1, self.order2 = np.zeros(alphabet, np.int32), np.zeros(CONTEXTS, np.int32)
         self.seen = np.ones((8, 2, 8, 3), np.int64)                # events by order-2 confidence, agreement, order-1 confidence
@@ -90,6 +91,25 @@ class _Model:
         self.cum = np.zeros(len(self.count) + 1, np.int32)
         np.cumsum(self.count, out=self.cum[1:])
         self.count_u, self.cum_u = self.count.astype(U), self.cum.astype(U)
+        if self.searched:
+            # the id at the start of each of some 16,384 to 32,768 equal parts of the range
+            self.part = max(0, int(self.cum[-1]).bit_length() - 15)
+            behind = (self.cum[1:-1] + ((1 << self.part) - 1)) >> self.part
+            self.jump = np.cumsum(np.bincount(behind, minlength=(int(self.cum[-1]) >> self.part) + 2), dtype=np.int32)
+
+    def find(self, v: np.ndarray) -> np.ndarray:
+        """The ids whose order-0 ranges hold ``v``: most are alone in their part of the
+        range, the others are searched between the ids at its ends."""
+        part = v >> self.part
+        low, high = self.jump.take(part), self.jump.take(part + 1)
+        todo = np.flatnonzero(low < high)
+        while len(todo):
+            a, b = low[todo], high[todo]
+            mid = (a + b + 1) >> 1
+            up = self.cum.take(mid) <= v[todo]
+            low[todo], high[todo] = np.where(up, mid, a), np.where(up, b, mid - 1)
+            todo = todo[low[todo] < high[todo]]
+        return low
 
     def predict(self):
         """Both predictions and the context of the events, by lane."""
@@ -186,7 +206,7 @@ def decode_block(data: bytes) -> np.ndarray:
     count = np.frombuffer(payload, "<u2", lanes).astype(np.int64)
     words = np.concatenate([np.frombuffer(payload, "<u2", offset=2 * lanes), np.zeros(4, "<u2")]).astype(U)
     at_word = np.cumsum(count) - count
-    m = _Model(alphabet, lanes)
+    m = _Model(alphabet, lanes, searched=True)
     size = np.full(lanes, (1 << 48) - 1, U)
     code = (words[at_word] << U(32)) | (words[at_word + 1] << W16) | words[at_word + 2]
     at_word += 3
@@ -218,7 +238,7 @@ def decode_block(data: bytes) -> np.ndarray:
             total = int(m.cum[-1])
             unit = size[at] // U(total)
             v = np.minimum(code[at] // unit, U(total - 1)).astype(np.int32)
-            others = (np.searchsorted(m.cum, v, side="right") - 1).astype(np.int32)
+            others = m.find(v)
             x[at] = others
             code[at] -= unit * m.cum_u.take(others)
             size[at] = unit * m.count_u.take(others)
