@@ -34,10 +34,25 @@ def test_near_copies_with_equal_or_null_ids(spark, docs_of, prose):
     assert sum(i == 5 for i, _ in left) == 1 and sum(i is None for i, _ in left) == 1 and sum(i == 1 for i, _ in left) == 1
 
 
+def test_columns_with_clashing_names(spark, docs_of, prose):
+    """Extra columns named like the stages' own pass unread through every stage but the last."""
+    names = ["language", "certainty", "_language", "digest", "_digest", "row", "gone_id", "t", "score", "lang_pred", "node"]
+    en = "the people of the town and the river were in it "
+    base = docs_of([en + prose(150, 8), en + prose(150, 8), en + prose(120, 9) + " password = hunter2hunter2", None])
+    docs = base.select("doc_id", "text", "lang", "source", "n_chars").selectExpr("*", *[f"doc_id * 10 + {i} AS `{n}`" for i, n in enumerate(names)])
+    want = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, ""), name)
+        assert docs.columns == want
+        for r in docs.collect():
+            assert all(r[n] == r.doc_id * 10 + i for i, n in enumerate(names))
+    assert sorted(r.doc_id for r in docs.collect()) == [1, 2]
+
+
 def test_registered_once_for_each_operator():
     from boxwise.llm import queries
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     import __spark_entry__ as entry
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -1,5 +1,6 @@
 """Quality rules, secret scans, exact dedup: the operators without user functions."""
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -118,3 +119,88 @@ def test_exact_dedup_state_goes_on(spark, docs_of, tmp_path):
     docs_of(["a", "c"], ids=[10, 11]).write.mode("append").parquet(path)
     got = exact_dedup.stream_digests(spark, path, schema, checkpoint=state).collect()
     assert sorted((r.keep_id, r.group_size) for r in got) == [(1, 1), (10, 2), (11, 1)]
+
+
+def plain_base_spans(text):
+    """The fixed patterns by Python's expressions."""
+    out = []
+    for m in re.finditer(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
+        if len(m.group(1)) >= 8:
+            out.append((m.start(), 0, m.end()))
+    for kind, pattern, least in ((1, r"AKIA[A-Z0-9]+", 16), (2, r"[0-9a-f]+", 32)):
+        out += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if m.end() - m.start() >= least]
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(out))
+
+
+def test_base_spans_equal_python(docs_of):
+    rng = random.Random(12)
+    parts = ["password", "PassWd", "token", "api_key", "ApiKey", "secret", "\"", "'", " ", "  ", ":", "=", "hunter22", "abc", "AKIA", "AKIA0123456789AB",
+             "XYZ", "0123456789abcdef", "dead", "ff" * 8, "é", "\n", "-", ".", "/", "+x_y=z"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    out = secrets.scan(docs_of(texts)).selectExpr("doc_id", f"{secrets.spans_text('base')} AS b").collect()
+    assert {r.doc_id: r.b for r in out} == {i: plain_base_spans(t) for i, t in enumerate(texts)}
+
+
+def randomness(x, alphabet):
+    """The battery's combined p-value, in plain Python."""
+    n, a, v = len(x), len(alphabet), [alphabet.index(c) for c in x]
+    tail = lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+    chi = a * sum(c * c for c in Counter(v).values()) / n - n
+    z1 = ((max(chi, 1e-9) / (a - 1)) ** (1 / 3) - (1 - 2 / (9 * (a - 1)))) / math.sqrt(2 / (9 * (a - 1)))
+    hi = [2 * u >= a for u in v]
+    k, runs = sum(hi), 1 + sum(p != q for p, q in zip(hi, hi[1:]))
+    mu = 2 * k * (n - k) / n + 1
+    z2 = -9 if k in (0, n) else (runs - mu) / math.sqrt(max((mu - 1) * (mu - 2) / (n - 1), 1e-9))
+    mean = sum(v) / n
+    var = sum((u - mean) ** 2 for u in v)
+    z3 = 9 if var <= 0 else math.sqrt(n) * sum((p - mean) * (q - mean) for p, q in zip(v, v[1:])) / var
+    least = min(tail(z1), tail(min(max(-z2, -9), 9)), tail(min(max(z3, -9), 9)))
+    return 1 - (1 - least) ** 3
+
+
+def test_battery_equals_python(docs_of):
+    rng = random.Random(13)
+    runs = ["".join(rng.choice(a) for _ in range(rng.randint(20, 90))) for a in secrets.ALPHABETS.values() for _ in range(25)]
+    runs += ["getUserAccountByName2Handler", "usr/local/share/applications", "aaaaaaaaaaaaaaaaaaaaaaaa", "SOME_CONSTANT_NAME_42"]
+    out = secrets.candidates(docs_of(runs).selectExpr("doc_id", "text AS t")).selectExpr("doc_id", "explode(runs) AS c", "t").collect()
+    assert len(out) > 100
+    for r in out:
+        x = r.t[r.c.s:r.c.e]
+        alphabet = secrets.ALPHABETS[r.c.enc]
+        x = x.lower() if r.c.enc == "hex" else x.replace("-", "+").replace("_", "/")
+        want = randomness(x, alphabet)
+        assert abs(r.c.p - want) < 1e-6 + 0.02 * want
+
+
+def test_both_error_rates(docs_of, spark):
+    """Keys of 32, 40 or 64 characters among identifiers: at most 5 % of what is reported is
+    structured.  Hex keys, and most keys with letters of both cases, are found; the battery can tell
+    few random strings of letters of one case from joined words at these lengths."""
+    rng = random.Random(14)
+    names = [w for w in ("quarterly sales north region forecast adjusted cluster warehouse driver signal sensor reading gamma delta "
+                         "kernel vector matrix tensor weight learning rate epoch sample window bucket shard replica leader follower "
+                         "commit offset ledger journal snapshot compact merge flush cursor tuple lattice prism harbor meadow").split()]
+
+    def identifier():
+        w = [rng.choice(names) for _ in range(rng.randint(3, 6))]
+        make = rng.randrange(5)
+        return ["".join(x.title() for x in w) + str(rng.randint(1, 999)), "_".join(w).upper() + f"_{rng.randint(1, 99)}",
+                "-".join(w), "/".join(w) + f"/v{rng.randint(1, 9)}", "".join(w)][make]
+
+    keys = {}
+    for name, alphabet in secrets.ALPHABETS.items():
+        keys[name] = ["".join(rng.choice(alphabet) for _ in range(rng.choice([32, 40, 64]))) for _ in range(60)]
+    plain = [x for x in (identifier() for _ in range(2000)) if len(x) >= 20]
+    texts = [f"see {k} here" for some in keys.values() for k in some] + [f"call {x} now" for x in plain]
+    found = {r.doc_id: r.f for r in secrets.scan(docs_of(texts)).selectExpr("doc_id", f"{secrets.spans_text('found')} AS f").collect()}
+    n = sum(map(len, keys.values()))
+    false = sum("random" in found[i] for i in range(n, len(texts)))
+    true = [sum("random" in found[i] or "hex" in found[i] for i in range(k * 60, k * 60 + 60)) / 60 for k in range(len(keys))]
+    print("found of each alphabet", dict(zip(keys, true)), "false", false, "of", len(plain))
+    assert false <= 0.05 * (false + sum(true) * 60)
+    assert false <= 0.01 * len(plain)
+    rate = dict(zip(keys, true))
+    assert rate["hex"] == 1 and rate["base64"] >= 0.85 and rate["letters"] >= 0.6
+    # a corpus without a secret: nothing to report, or nearly nothing
+    clean = secrets.scan(docs_of([f"call {x} now" for x in plain])).selectExpr(f"{secrets.spans_text('found')} AS f").collect()
+    assert sum("random" in r.f for r in clean) <= 0.005 * len(plain)
