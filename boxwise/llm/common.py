@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,3 +29,31 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def crc_bucket(column: str, modulus: int):
     """crc32 of the column's decimal text, modulo ``modulus``."""
     return F.crc32(F.col(f"`{column}`").cast("string").cast("binary")) % F.lit(modulus)
+
+
+def release_memory() -> None:
+    """Give memory that a finished task no longer needs back to the system: workers wait for
+    their next task beside the executor's JVM, and a large group would stay with them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def releasing(task):
+    """``task`` (a function of a grouped task), with its memory released when it has returned."""
+    def run(*tables):
+        try:
+            return task(*tables)
+        finally:
+            release_memory()
+    return run
+
+
+def releasing_batches(task):
+    """``task`` (a generator over batches), with its memory released behind its last batch."""
+    def run(batches):
+        yield from task(batches)
+        release_memory()
+    return run

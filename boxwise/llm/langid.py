@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxwise.llm.bpe import text_runs
+from boxwise.llm.common import releasing_batches
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -234,6 +235,6 @@ def predict(df: DataFrame, model: Model | None, *, text_col: str = "text", carry
 
     schema = T.StructType([held.schema["row"], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
-    out = held.mapInArrow(task, schema)
+    out = held.mapInArrow(releasing_batches(task), schema)
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in carry], F.col("lang_pred").alias(pred_col),
                       F.col("score").alias(score_col))

@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxwise.llm.bpe import text_runs
+from boxwise.llm.common import releasing, releasing_batches
 from boxwise.session import materialize
 
 SHINGLE = 5
@@ -143,7 +144,7 @@ def _sign(docs: DataFrame) -> DataFrame:
                      pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary())],
                     names=[*carry, "n", "node", "sig"])
 
-    return docs.mapInArrow(task, T.StructType([
+    return docs.mapInArrow(releasing_batches(task), T.StructType([
         *(docs.schema[c] for c in carry), T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()),
         T.StructField("sig", T.BinaryType())]))
 
@@ -260,7 +261,7 @@ def _neighbours(rows: DataFrame, percent: int, near: int = NEAR, start: int = ST
             yield pa.RecordBatch.from_arrays([_fixed(a), _fixed(b)], names=["x", "y"])
             tail = tuple(v[-start:] for v in (key, n, node, root, pos))
 
-    return (ordered.mapInArrow(task, "x binary, y binary")
+    return (ordered.mapInArrow(releasing_batches(task), "x binary, y binary")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
@@ -283,7 +284,7 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at),
                                               pa.array(agree, pa.int32()).take(at)], names=["a", "b", "agree"])
 
-    return both.select("a", "b", "s", "t").mapInArrow(task, "a binary, b binary, agree int")
+    return both.select("a", "b", "s", "t").mapInArrow(releasing_batches(task), "a binary, b binary, agree int")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -363,7 +364,7 @@ def _confirm_groups(texts: DataFrame, pairs: DataFrame, percent: int, least: int
         return pa.table({"node": pa.array(list(sets), pa.binary()), "root": pa.array([find(n) for n in sets], pa.binary())})
 
     return (texts.groupBy("cluster").cogroup(pairs.groupBy("cluster"))
-            .applyInArrow(task, "node binary, root binary"))
+            .applyInArrow(releasing(task), "node binary, root binary"))
 
 
 def _confirm_joined(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -383,7 +384,7 @@ def _confirm_joined(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFra
                     b.append(d["b"][i])
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return both.select("a", "b", "s", "t").mapInArrow(task, "a binary, b binary")
+    return both.select("a", "b", "s", "t").mapInArrow(releasing_batches(task), "a binary, b binary")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -515,7 +516,7 @@ def _apart_links(member: DataFrame, root: DataFrame, texts: DataFrame, percent:
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return (left.groupBy("cluster", "i", "j").cogroup(right.groupBy("cluster", "i", "j"))
-            .applyInArrow(task, "a binary, b binary"))
+            .applyInArrow(releasing(task), "a binary, b binary"))
 
 
 def block_links(xs: dict, ys: dict, root: dict, percent: int) -> tuple[list, list]:

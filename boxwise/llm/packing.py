@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxwise.llm import bpe, tokens
-from boxwise.llm.common import store
+from boxwise.llm.common import releasing_batches, store
 from boxwise.session import materialize
 
 
@@ -76,7 +76,7 @@ def pieces(docs: DataFrame, vocabulary: str, *, end_id: int, capacity: int = 102
     schema = T.StructType([src.schema["doc_id"], T.StructField("piece", T.IntegerType()),
                            T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("ids", T.BinaryType())])
-    return store(src.mapInArrow(task, schema).withColumn("piece_id", F.monotonically_increasing_id()), "packing-pieces")
+    return store(src.mapInArrow(releasing_batches(task), schema).withColumn("piece_id", F.monotonically_increasing_id()), "packing-pieces")
 
 
 # ------------------------------------------------------- genetic algorithm ---
