@@ -974,9 +974,13 @@ def _tree_rows(spark, d, root: str):
 
 
 def _tree(spark, d) -> str:
-    root = scratch_path(spark, "tree")
-    fo.put_files(_tree_rows(spark, d, root))
-    return root
+    """The tree's root, written once per application and table directory."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), "tree")
+    if key not in fx._MATERIALIZED:
+        root = scratch_path(spark, "tree")
+        fo.put_files(_tree_rows(spark, d, root))
+        fx._MATERIALIZED[key] = root
+    return fx._MATERIALIZED[key]
 
 
 TREE_CTES = """
@@ -1064,28 +1068,34 @@ def _b8(spark, d):
 ANN_COLS = "id, image_id, category_id, x, y, w, h, iscrowd"
 
 
-def _coco_root(spark, d) -> str:
-    root = scratch_path(spark, "coco_json")
-    # ~1000 images per document here, so the fixture is split into several documents
-    cj_out.write_coco_json(fx.images(spark, d), fx.annotations(spark, d), fx.categories(spark, d), root,
-                           images_per_doc=1000)
-    return root
+def _coco_document(spark, d) -> str:
+    """All annotations as one document, written once per application and table directory."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), "coco-document")
+    if key not in fx._MATERIALIZED:
+        root = scratch_path(spark, "coco-document")
+        cj_out.write_document(fx.images(spark, d), fx.annotations(spark, d), fx.categories(spark, d), root)
+        fx._MATERIALIZED[key] = root
+    return fx._MATERIALIZED[key]
+
+
+# the document is small here: ranges of 256 KiB, not 32 MiB
+COCO_RANGE = 1 << 18
 
 
 @register("read_coco_json", W(f"SELECT {ANN_COLS} FROM annotations"))
 def _a1(spark, d):
-    return cj.read_coco_json(spark, _coco_root(spark, d))[1]
+    return cj.read_coco_json(spark, _coco_document(spark, d), range_bytes=COCO_RANGE)[1]
 
 
 @register("read_coco_json_images", W("SELECT id, file_name, height, width FROM images"))
 def _a1_images(spark, d):
-    return cj.read_coco_json(spark, _coco_root(spark, d))[0]
+    return cj.read_coco_json(spark, _coco_document(spark, d), range_bytes=COCO_RANGE)[0]
 
 
 @register("read_coco_json_categories", W("""
 SELECT id, name, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS pos FROM categories"""))
 def _a1_categories(spark, d):
-    return cj.read_coco_json(spark, _coco_root(spark, d))[2]
+    return cj.read_coco_json(spark, _coco_document(spark, d), range_bytes=COCO_RANGE)[2]
 
 
 @register("convert_dataset", W("""
