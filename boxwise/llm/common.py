@@ -42,10 +42,10 @@ def release_memory() -> None:
 
 
 def releasing(task):
-    """``task`` (a function of a grouped task), with its memory released when it has returned."""
-    def run(*tables):
+    """``task`` (a function of two co-grouped tables), with its memory released when it has returned."""
+    def run(left, right):
         try:
-            return task(*tables)
+            return task(left, right)
         finally:
             release_memory()
     return run
