@@ -31,6 +31,9 @@ def crc_bucket(column: str, modulus: int):
     return F.crc32(F.col(f"`{column}`").cast("string").cast("binary")) % F.lit(modulus)
 
 
+RELEASE_BYTES = 4 << 20
+
+
 def release_memory() -> None:
     """Give memory that a finished task no longer needs back to the system: workers wait for
     their next task beside the executor's JVM, and a large group would stay with them."""
@@ -42,12 +45,14 @@ def release_memory() -> None:
 
 
 def releasing(task):
-    """``task`` (a function of two co-grouped tables), with its memory released when it has returned."""
+    """``task`` (a function of two co-grouped tables), with its memory released when it has
+    returned; groups below ``RELEASE_BYTES`` leave nothing that matters."""
     def run(left, right):
         try:
             return task(left, right)
         finally:
-            release_memory()
+            if left.nbytes + right.nbytes > RELEASE_BYTES:
+                release_memory()
     return run
 
 
