@@ -35,3 +35,43 @@ def test_entry_contract(spark):
     assert e.entry(spark).count() == 57
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(e.queries()) >= 80
+
+
+def test_identity_holds_through_a_restart(spark):
+    """Duplicates and split samples that only show against shards read before a restart."""
+    root, out, ck = (scratch_path(spark, n) for n in ("t-id-in", "t-id-out", "t-id-ck"))
+    schema = "id bigint, image_id bigint"
+
+    def put(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(root)
+
+    def run():
+        q = ssh.stream_identity(ssh.stream_shards(spark, root, schema, max_files=1), out, ck)
+        q.processAllAvailable()
+        q.stop()
+
+    put([(1, 10), (2, 10), (3, 20)])
+    put([(4, 30), (5, 30), (5, 30)])
+    run()
+    assert {(r.kind, r.key, r.n) for r in ssh.findings(spark, out).collect()} == {("record", "5", 2)}
+    put([(3, 20), (6, 40), (7, 10)])
+    run()
+    got = {(r.kind, r.key): r for r in ssh.findings(spark, out).collect()}
+    assert {k: r.n for k, r in got.items()} == {("record", "5"): 2, ("record", "3"): 2, ("sample", "20"): 2, ("sample", "10"): 3}
+    assert all((r.first_shard != r.last_shard) == (r.key != "5") for r in got.values())
+
+
+def test_trailing_mean_of_late_files(spark):
+    """Files in any order give the batch's trailing means."""
+    from boxwise.streaming import metrics as smx
+    root, out, ck = (scratch_path(spark, n) for n in ("t-sm-in", "t-sm-out", "t-sm-ck"))
+    rows = spark.range(1, 241).selectExpr("concat('r', id % 2) AS run", "'loss' AS metric", "(id + 1) div 2 AS iter",
+                                          "cast(id * 7919 % 101 AS double) AS value")
+    for k in (3, 0, 4, 1, 2):
+        rows.where(f"iter % 5 = {k}").coalesce(1).write.mode("append").parquet(root)
+    src = spark.readStream.schema(spark.read.parquet(root).schema).option("maxFilesPerTrigger", 1).parquet(root)
+    q = smx.start_metrics(smx.stream_smooth(src, window=30, every=20), out, ck)
+    q.processAllAvailable()
+    q.stop()
+    want = {(r.run, r.iter): r.value for r in mt.smooth_metrics(rows, window=30, every=20).collect()}
+    assert len(want) == 12 and {(r.run, r.iter): r.value for r in smx.smoothed(spark, out).collect()} == want
