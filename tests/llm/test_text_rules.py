@@ -204,3 +204,13 @@ def test_both_error_rates(docs_of, spark):
     # a corpus without a secret: nothing to report, or nearly nothing
     clean = secrets.scan(docs_of([f"call {x} now" for x in plain])).selectExpr(f"{secrets.spans_text('found')} AS f").collect()
     assert sum("random" in r.f for r in clean) <= 0.005 * len(plain)
+
+
+def test_every_word_is_part_of_a_structured_string(docs_of):
+    """35 words make seven strings of two to eight words, however long the text is."""
+    def strings(*texts):
+        return sum(r.c for r in secrets.null_counts(docs_of(list(texts)).selectExpr("doc_id", "text AS t")).collect())
+
+    own = strings("")
+    assert strings(" ".join(["abcdefabcd"] * 35)) - own == 7
+    assert strings(" ".join(["abcdefabcd"] * 350), " ".join(["fedcbaabcd"] * 70)) - own == 84
