@@ -164,3 +164,16 @@ def test_writes_happen_once(spark, tmp_path):
     (tmp_path / "once" / "a.txt").write_text("changed")
     assert report.count() == 1 and report.count() == 1
     assert (tmp_path / "once" / "a.txt").read_text() == "changed"
+
+
+def test_no_shuffle_carries_image_bytes(spark, tmp_path):
+    """Bytes are read behind the join of records and listing, files listed twice or not at all included."""
+    root = _tree(tmp_path)
+    im = spark.createDataFrame([(1, root + "/a/x.jpg"), (2, root + "/.hid/c/w.jpg"), (3, root + "/lost.jpg"), (4, "file:" + root + "/a/x.jpg")],
+                               "id int, path string")
+    listing = fi.list_files(spark, root, list_dir=False, suffix=fi.IMAGE_SUFFIXES, recursive=True)
+    got = fi.attach_image_bytes(im, listing)
+    assert sorted((r.id, r.length, bytes(r.content)) for r in got.collect()) == [(1, 2, b"xx"), (2, 1, b"w"), (4, 2, b"xx")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in "".join(line for line in plan.splitlines() if "Exchange" in line or "Sort" in line)
+    assert plan.index("MapInArrow") < plan.index("SortMergeJoin")
