@@ -214,3 +214,15 @@ def test_every_word_is_part_of_a_structured_string(docs_of):
     own = strings("")
     assert strings(" ".join(["abcdefabcd"] * 35)) - own == 7
     assert strings(" ".join(["abcdefabcd"] * 350), " ".join(["fedcbaabcd"] * 70)) - own == 84
+
+
+def test_structured_strings_are_made_and_measured_once(spark, docs_of):
+    """Rows and arrays give the same randomness; no filter repeats what makes or encodes a string."""
+    rng = random.Random(15)
+    runs = ["".join(rng.choice(a) for _ in range(rng.randint(20, 150))) for a in secrets.ALPHABETS.values() for _ in range(10)]
+    docs = docs_of(runs).selectExpr("doc_id", "text AS t")
+    rows = secrets.candidates(docs).selectExpr("explode(runs) AS c", "t").selectExpr("c.enc", "c.n", "c.p", "substring(t, c.s + 1, c.n) AS x")
+    again = secrets._battery_rows(rows.select("x", "enc"))
+    assert sorted(map(tuple, again.collect())) == sorted((r.enc, r.n, r.p) for r in rows.collect())
+    plan = secrets.null_counts(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("initcap" in line or "RLIKE" in line for line in plan.splitlines() if line.strip(" :+-").startswith("Filter"))
