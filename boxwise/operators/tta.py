@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxwise.operators.postprocess import nms, topk_per_image
-from boxwise.session import materialize
 
 # fixed values: TTA scales (w, h), flip choices and pad size
 TTA_SCALES = ((640, 640), (320, 320), (960, 960))
@@ -67,7 +66,8 @@ def to_variant_frame(det: DataFrame, images: DataFrame, scales: Sequence = TTA_S
     if "variant" in images.columns:
         j = det.join(images.select("image_id", "variant", *META), "image_id")
     else:
-        j = _each_variant(det.join(_canvas(images), "image_id"), scales, flips)
+        # the merge join leaves all rows of an image in one task, variants too: merging them needs no further shuffle
+        j = _each_variant(det.join(_canvas(images).hint("merge"), "image_id"), scales, flips)
     x1, x2 = F.col("x1") * F.col("scale_x"), F.col("x2") * F.col("scale_x")
     return j.select((F.col("det_id") * 8 + F.col("variant")).alias("det_id"), "image_id", "variant", "category_id",
                     F.when(F.col("flip"), F.col("img_w") - x2).otherwise(x1).alias("x1"),
@@ -99,7 +99,7 @@ def union_variants(frames: Sequence[DataFrame]) -> DataFrame:
 def tta_merge(det_v: DataFrame, variants: DataFrame | None = None, *, iou_thr: float = 0.6, max_per_img: int = 100) -> DataFrame:
     """Undo each variant, union, class-wise NMS, best ``max_per_img`` per image.
 
-    The merged detections are written once to the shared checkpoint folder:
-    NMS reads them twice (group-size check, then the suppression itself)."""
-    back = materialize(undo_variant(det_v, variants).drop("variant"), "tta-merged")
-    return topk_per_image(nms(back, iou_thr=iou_thr), max_per_img)
+    The merged detections are not stored, which would lose their placement by image and shuffle
+    every variant twice: NMS computes them twice (group-size check, then the suppression
+    itself), each time from one shuffle of the detections before they are multiplied."""
+    return topk_per_image(nms(undo_variant(det_v, variants).drop("variant"), iou_thr=iou_thr), max_per_img)

@@ -104,3 +104,11 @@ def test_random_eviction_equals_a_cache(spark):
             for slot in range(1, k + 1) if len(places) >= least else ():
                 want[r.image_id, slot] = places[int(u(f"{r.image_id}:{slot}", "mosaic_partner") * len(places))]
         assert got == want
+
+
+def test_merging_variants_shuffles_by_image_only(spark, sf):
+    """Detections are placed by image before they are multiplied; the variants are not shuffled again."""
+    det = fx.detections(spark, sf).where("score > 0.5")
+    plan = tta.tta_merge(tta.to_variant_frame(det, fx.images(spark, sf)))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and not any("category_id" in line.split("ENSURE")[0] for line in exchanges)
