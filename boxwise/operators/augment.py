@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from boxwise.functions.draws import DEFAULT_SEED, coin, uniform, uniform_range
 from boxwise.plans.ranking import as_of
+from boxwise.session import materialize
 
 BOX = ("x1", "y1", "x2", "y2")
 
@@ -294,10 +295,12 @@ def augment_plan(images: DataFrame, boxes: DataFrame, plan: DataFrame, *, epoch:
         return pad(random_flip(x, 0.5, seed=seed, epoch=epoch), scale)
     mp = sample_cache_partners(plan, cache=mosaic_cache, k=3, min_cache=5, random_pop=random_pop, seed=seed, epoch=epoch,
                                op="mosaic")
+    # the composers read partners and frames several times: each is stored, so its chain runs once
+    mp = materialize(mp, "augment-mosaic-partners")
     x = mosaic_compose(cv, fb.drop("w", "h"), mp, samples=plan, img_scale=scale, seed=seed, epoch=epoch)
     x = random_resize(x, scale=(2 * scale[0], 2 * scale[1]), ratio_range=ratio_range, seed=seed, epoch=epoch)
     x = random_crop(x, scale, seed=seed, epoch=epoch)
-    x = pad(random_flip(x, 0.5, seed=seed, epoch=epoch), scale)
+    x = materialize(pad(random_flip(x, 0.5, seed=seed, epoch=epoch), scale), "augment-frames")
     xp = sample_cache_partners(plan, cache=mixup_cache, k=1, min_cache=2, random_pop=random_pop, seed=seed, epoch=epoch,
                                op="mixup")
     return mixup_compose(x, x, xp, img_scale=scale, prob=mixup_prob, seed=seed, epoch=epoch)

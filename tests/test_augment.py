@@ -1,5 +1,6 @@
 """Box-geometry augmentation properties."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from boxwise import fixtures as fx
@@ -112,3 +113,12 @@ def test_merging_variants_shuffles_by_image_only(spark, sf):
     plan = tta.tta_merge(tta.to_variant_frame(det, fx.images(spark, sf)))._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 2 and not any("category_id" in line.split("ENSURE")[0] for line in exchanges)
+
+
+def test_augment_plan_runs_its_chain_once(spark, sf):
+    images, ann = fx.images(spark, sf), fx.as_xyxy(fx.annotations(spark, sf))
+    boxes = ann.select("image_id", F.col("id").alias("box_id"), "x1", "y1", "x2", "y2")
+    plan = images.selectExpr("id % 4 AS node", "0 AS rank", "0 AS worker", "id AS image_id").withColumn(
+        "idx", F.row_number().over(Window.partitionBy("node").orderBy("image_id")).cast("long") - 1)
+    out = ag.augment_plan(images, boxes, plan, epoch=0, **ag.TINY)._jdf.queryExecution().optimizedPlan().toString()
+    assert "mixup" in out and "random_resize" not in out and "mosaic" not in out
