@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from boxwise.functions.geometry import iou_above
 from boxwise.plans.ranking import ranked
 from boxwise.plans.spatial import cell_size, grid_pairs, own_cells
-from boxwise.session import materialize, scratch_path
+from boxwise.session import default_parallelism, materialize, partitions_for, scratch_path
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -41,15 +41,46 @@ def min_box_filter(det: DataFrame, min_size: float = 0.0) -> DataFrame:
     return det.where(((F.col("x2") - F.col("x1")) > min_size) & ((F.col("y2") - F.col("y1")) > min_size))
 
 
-def topk_per_image(det: DataFrame, k: int, *, by=("image_id",)) -> DataFrame:
+# an image with more detections is cut in several tasks before it meets in one
+TOPK_HOT = 1_000_000
+TOPK_SALTS = 64
+
+
+def image_partitions(det: DataFrame, by=("image_id",)) -> tuple[int, int]:
+    """(partitions in which a task holds a bounded number of rows, rows of the largest image)."""
+    n = det.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    rows, largest = n.agg(F.sum("n"), F.max("n")).first()
+    return partitions_for(det.sparkSession, rows or 0), largest or 0
+
+
+def topk_per_image(det: DataFrame, k: int, *, by=("image_id",), partitions: int | None = None,
+                   hot_rows: int = TOPK_HOT) -> DataFrame:
     """Best ``k`` detections per image by ``score DESC, det_id``.
 
     Spark plans this as ``WindowGroupLimit`` on both sides of the shuffle: every
     map task keeps only its local top ``k`` per image, so even an image holding
     a large share of all detections sends at most ``k`` rows per task.
+
+    Both sides sort all that a task holds.  A table too large for the session's shuffle
+    partitions is dealt by image into more (``partitions``; counted where None), and then an image of over
+    ``hot_rows`` detections is first cut to its best ``k`` in ``TOPK_SALTS`` parts.  Where ``partitions``
+    is given, images must be bounded; 0 leaves the rows where they are.
     """
-    w = Window.partitionBy(*by).orderBy(F.col("score").desc(), F.col("det_id"))
-    return det.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
+    order = [F.col("score").desc(), F.col("det_id")]
+
+    def best(d, keys):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return d.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
+
+    largest = 0
+    if partitions is None:
+        partitions, largest = image_partitions(det, by)
+    if partitions <= default_parallelism(det.sparkSession):
+        return best(det, by)
+    if largest > hot_rows:
+        det = det.withColumn("_salt", F.pmod(F.xxhash64("det_id"), F.lit(TOPK_SALTS)))
+        det = best(det.repartition(partitions, *by, "_salt"), [*by, "_salt"]).drop("_salt")
+    return best(det.repartition(partitions, *by), by)
 
 
 # groups up to this size are walked as one array (the walk is quadratic in the
@@ -186,12 +217,15 @@ def nms_distributed(det: DataFrame, *, iou_thr: float, group=("image_id", "categ
 def postprocess(det: DataFrame, *, score_thr: float = 0.001, nms_pre: int = 30000, min_size: float = 0.0,
                 iou_thr: float = 0.65, max_per_img: int = 300) -> DataFrame:
     """score filter -> pre-NMS top-k per image -> size filter -> class-wise NMS -> top-k."""
-    return (det.transform(lambda d: confidence_filter(d, score_thr))
-               .transform(lambda d: topk_per_image(d, nms_pre))
+    scored = confidence_filter(det, score_thr)
+    partitions, largest = image_partitions(scored)
+    return (scored
+               # an image too large to be dealt to one task takes the path that counts by itself
+               .transform(lambda d: topk_per_image(d, nms_pre, partitions=partitions if largest <= TOPK_HOT else None))
                .transform(lambda d: min_box_filter(d, min_size))
                # where nms_pre already bounds every group, no hot-group check is needed
                .transform(lambda d: nms(d, iou_thr=iou_thr, max_group=None if nms_pre <= NMS_MAX_GROUP else NMS_MAX_GROUP))
-               .transform(lambda d: topk_per_image(d, max_per_img)))
+               .transform(lambda d: topk_per_image(d, max_per_img, partitions=partitions)))
 
 
 # ------------------------------------------------------------------ oracle ---

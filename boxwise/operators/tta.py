@@ -101,5 +101,6 @@ def tta_merge(det_v: DataFrame, variants: DataFrame | None = None, *, iou_thr: f
 
     The merged detections are not stored, which would lose their placement by image and shuffle
     every variant twice: NMS computes them twice (group-size check, then the suppression
-    itself), each time from one shuffle of the detections before they are multiplied."""
-    return topk_per_image(nms(undo_variant(det_v, variants).drop("variant"), iou_thr=iou_thr), max_per_img)
+    itself), each time from one shuffle of the detections before they are multiplied.  The
+    top-k takes them where they are, which counting them would compute once more."""
+    return topk_per_image(nms(undo_variant(det_v, variants).drop("variant"), iou_thr=iou_thr), max_per_img, partitions=0)

@@ -1,5 +1,6 @@
 """NMS (contract K1), top-k and the composed post-processing."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from boxwise import fixtures as fx
@@ -156,3 +157,18 @@ def test_near_identical_boxes_against_kept_ones(spark):
     assert time.time() - start < 60
     best = max((i * 7919 % 200003, -i) for i in range(n))
     assert [r.det_id for r in kept] == [-best[1]]
+
+
+def test_topk_of_more_rows_than_a_task_should_sort(spark, monkeypatch):
+    """Dealt into more partitions than the session's, a hot image cut in parts first: the same rows."""
+    from boxwise import session
+    monkeypatch.setattr(session.partitions_for, "__defaults__", (100,))
+    det = spark.range(3000).select(F.col("id").alias("det_id"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 300).cast("bigint")
+                                   .alias("image_id"), ((F.col("id") * 7919) % 50 / 50.0).alias("score"))
+    w = Window.partitionBy("image_id").orderBy(F.col("score").desc(), "det_id")
+    want = {r.det_id for r in det.withColumn("rk", F.row_number().over(w)).where("rk <= 5").collect()}
+    assert pp.image_partitions(det) == (30, 1510)
+    for kw in ({}, {"hot_rows": 1000}, {"partitions": 0}, {"partitions": 30}):
+        assert {r.det_id for r in pp.topk_per_image(det, 5, **kw).collect()} == want
+    held = pp.topk_per_image(det, 5).withColumn("p", F.spark_partition_id()).select("p").distinct().count()
+    assert held > 8
