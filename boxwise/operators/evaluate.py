@@ -3,8 +3,9 @@
 Steps
 1. ``eval_sets``: ground truth and detections restricted to known images and
    categories; detections cut to the best ``max_det`` per (image, category).
-2. ``iou_join``: equi-join on ``(image_id, category_id)`` with the IoU as an
-   expression (crowd truths use the detection area as the union).  A pair
+2. ``iou_join``: join on ``(image_id, category_id)`` with the IoU as an
+   expression (crowd truths use the detection area as the union).  Both sets lie by
+   image since ``eval_sets``, so the join moves neither again.  A pair
    group is bounded by ``max_det`` times that image's truths of the class;
    keys with very many truths pair through a scale-bucketed spatial grid.
 3. ``match``: per (image, category) the detections, by ``score DESC,
@@ -47,7 +48,7 @@ from boxwise.operators.postprocess import topk_per_image
 from boxwise.plans.ranking import segmented
 from boxwise.plans.scan import replayed, totals_before
 from boxwise.plans.spatial import cell_size, grid_pairs
-from boxwise.session import materialize, ship_package
+from boxwise.session import materialize, partitions_for, ship_package
 
 # fixed values: IoU thresholds .50:.05:.95 and detections-per-image limits
 IOU_THRS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
@@ -60,11 +61,20 @@ AREA_RANGES = (("all", 0.0, 1e10), ("small", 0.0, 1024.0), ("medium", 1024.0, 92
 def eval_sets(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
               max_det: int = 100) -> tuple[DataFrame, DataFrame]:
     """Ground truth and detections on known images and categories; detections
-    keep their rank ``rk`` inside (image, category), cut at ``max_det``."""
-    im = images.select(F.col("id").alias("image_id"))
+    keep their rank ``rk`` inside (image, category), cut at ``max_det``.
+
+    Both are dealt by image once, into partitions of bounded size: the image filter, the
+    rank and :func:`iou_join` all take them as they lie, and no sort outgrows its task."""
     ca = categories.select(F.col("id").alias("category_id"))
-    gt = gt_xyxy.join(im, "image_id", "left_semi").join(ca, "category_id", "left_semi")
-    d = det.join(im, "image_id", "left_semi").join(ca, "category_id", "left_semi")
+    n = partitions_for(det.sparkSession, max(det.count(), gt_xyxy.count()))
+
+    # the merge join deals the boxes as the images are dealt
+    im = images.select(F.col("id").alias("image_id")).repartition(n, "image_id").hint("merge")
+
+    def known(rows):
+        return rows.join(ca, "category_id", "left_semi").join(im, "image_id", "left_semi")
+
+    gt, d = known(gt_xyxy), known(det)
     w = Window.partitionBy("image_id", "category_id").orderBy(F.col("score").desc(), F.col("det_id"))
     d = d.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= max_det)
     return d, gt
@@ -105,9 +115,14 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame, *, min_iou: float | None = None
     dsel = det.select("det_id", "image_id", "category_id", "x1", "y1", "x2", "y2", "score")
 
     def plain(dd, gg):
-        # both sides grow with the data: always a shuffle join (a compressed-file
-        # size estimate is no bound on the in-memory size of either side)
-        return _pair_iou(dd.join(gg.hint("merge"), key))
+        # both sides grow with the data: always a merge join (a compressed-file
+        # size estimate is no bound on the in-memory size of either side).  The key is the image,
+        # by which they lie already, and the category a condition: as a second key it would
+        # shuffle and sort both once more.  An image's truths are met by the best detections
+        # of each of its categories, so by at most that many times more.
+        gg = gg.withColumnsRenamed({"image_id": "gimage", "category_id": "gcategory"}).hint("merge")
+        same = F.col("category_id").between(F.col("gcategory"), F.col("gcategory"))
+        return _pair_iou(dd.join(gg, (F.col("image_id") == F.col("gimage")) & same))
 
     if min_iou is None or hot_truths is None:
         return plain(dsel, g)

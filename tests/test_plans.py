@@ -41,3 +41,18 @@ def test_coco_documents_follow_the_data(spark, sf):
     assert len(parts) == 3  # ceil(1500 / 500)
     images, ann, cats = cj.read_coco_json(spark, root)
     assert images.count() == 1500 and ann.count() == 6000 and cats.count() == 25
+
+
+def test_partitions_follow_the_rows(spark):
+    from boxwise.session import PARTITION_ROWS, partitions_for
+    assert partitions_for(spark, 0) == 8
+    assert partitions_for(spark, 100 * PARTITION_ROWS + 1) == 101
+
+
+def test_iou_join_moves_boxes_once(spark, sf):
+    """One shuffle of each side and its images, none between the rank and the pairs."""
+    import __spark_entry__ as e
+    plan = e.queries()["iou_join"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(image_id") + plan.count("hashpartitioning(id") <= 4
+    assert "hashpartitioning(image_id#" in plan and ", category_id#" not in "".join(
+        line for line in plan.splitlines() if "hashpartitioning" in line)
