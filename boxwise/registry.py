@@ -1210,9 +1210,17 @@ def _run_stream(q):
         q.stop()
 
 
-def _annotation_shards(spark, d) -> str:
+# rows of a shard and bytes of a row group: a micro-batch and the tasks that read it stay bounded
+# however large the table is
+STREAM_SHARD_ROWS = 2_000_000
+STREAM_GROUP_BYTES = 8 << 20
+
+
+def _annotation_shards(spark, d, shard_rows: int = STREAM_SHARD_ROWS) -> str:
     root = scratch_path(spark, "ann_shards")
-    fx.annotations(spark, d).repartition(8, "image_id").write.parquet(root)
+    ann = fx.annotations(spark, d)
+    ann.repartition(max(8, -(-ann.count() // shard_rows)), "image_id") \
+        .write.option("parquet.block.size", STREAM_GROUP_BYTES).parquet(root)
     return root
 
 
@@ -1230,7 +1238,7 @@ def _a8(spark, d):
 def _late_shards(spark, d) -> str:
     """The annotation shards and one more that repeats every 997th annotation."""
     root = _annotation_shards(spark, d)
-    fx.annotations(spark, d).where("id % 997 = 0").coalesce(1).write.mode("append").parquet(root)
+    fx.annotations(spark, d).where("id % 997 = 0").repartition(1).write.mode("append").parquet(root)
     return root
 
 

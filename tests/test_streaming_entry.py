@@ -75,3 +75,12 @@ def test_trailing_mean_of_late_files(spark):
     q.stop()
     want = {(r.run, r.iter): r.value for r in mt.smooth_metrics(rows, window=30, every=20).collect()}
     assert len(want) == 12 and {(r.run, r.iter): r.value for r in smx.smoothed(spark, out).collect()} == want
+
+
+def test_stream_shards_are_bounded(spark, sf):
+    """More rows make more shards, not larger ones, so a micro-batch does not grow with the table."""
+    from boxwise import registry as r
+    n = fx.annotations(spark, sf).count()
+    few, many = (spark.read.parquet(r._annotation_shards(spark, sf, *a)) for a in ((), (300,)))
+    assert len(few.inputFiles()) == 8 and len(many.inputFiles()) == -(-n // 300)
+    assert few.count() == many.count() == n
