@@ -152,3 +152,17 @@ def test_shard_aware_order_opens_few_shards(spark):
     again = {r.sample_id: r.pos for r in fd.shard_epoch_plan(samples.repartition(7), block_size=100, **shape).collect()}
     assert again == {r.sample_id: r.pos for r in rows}
     assert again != {r.sample_id: r.pos for r in fd.shard_epoch_plan(samples, block_size=100, epoch=1, **shape).collect()}
+
+
+def test_validate_hashes_lists_and_hashes_once(spark, sf, monkeypatch):
+    """The manifest is stored, and made of shards listed by the caller."""
+    from boxwise import registry as r
+    made, listed = [], []
+    manifest, counts = sh.shard_manifest, sh.shard_counts
+    monkeypatch.setattr(sh, "shard_manifest", lambda *a: made.append(a) or manifest(*a))
+    monkeypatch.setattr(sh, "shard_counts", lambda *a: listed.append(len(a) > 2 and a[2] is not None) or counts(*a))
+    stored = []
+    keep = r.materialize
+    monkeypatch.setattr(r, "materialize", lambda df, name: stored.append(name) or keep(df, name))
+    assert sorted(x.issue for x in r.QUERIES["validate_hashes"](spark, sf).collect()) == ["changed", "missing"]
+    assert stored == ["manifest"] and len(made) == 2 and listed == [False, True]
