@@ -23,12 +23,13 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     """Derive a stand-in view once per application and table directory, write
     it as Parquet under the shared checkpoint folder and read it from there
     (the "convert once, then work from Parquet" rule for derived inputs)."""
-    from boxwise.session import scratch_path
+    from boxwise.session import scratch_path, shuffles_dropped
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_path(spark, f"view-{name}")
-        build().write.parquet(path)
+        with shuffles_dropped(spark):
+            build().write.parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
 

@@ -7,19 +7,21 @@ Steps
    expression (crowd truths use the detection area as the union).  Both sets lie by
    image since ``eval_sets``, so the join moves neither again.  A pair
    group is bounded by ``max_det`` times that image's truths of the class;
-   keys with very many truths pair through a scale-bucketed spatial grid.
+   keys with very many truths pair through a scale-bucketed spatial grid.  For the
+   curve it is an outer join: detections without a pair stay in, so one walk gives every
+   detection its masks and nothing is joined back.
 3. ``match``: per (image, category) the detections, by ``score DESC,
    det_id``, take for every threshold t and area range the best-IoU unmatched truth
    with ``IoU >= t`` that counts (ties: the later truth); failing that, a truth that
    is ignored (a crowd, or one whose area is outside the range) makes the detection
    *ignored*; otherwise it is a false positive, or ignored where its own area is
-   outside the range.  Pairs are sorted by key inside each partition and walked as
-   a stream, one group at a time; a detection's results are two bit masks over the
-   thresholds per area range.
+   outside the range.  Pairs are sorted by key inside each partition, where the join left
+   them, and walked as a stream, one group at a time; a detection's results are two bit
+   masks over the thresholds per area range.
 4. ``pr_curve``: precision sampled at 101 recall points, monotone from the
    right.  Detections are range-partitioned by category and score
    (``plans.ranking.segmented``: a category holding most detections is still spread
-   over all tasks); every segment carries the running counts of all thresholds and
+   over all tasks), with their masks packed in a few longs; every segment carries the running counts of all thresholds and
    ranges on from the segments before it.  Precision at the m-th true positive
    is ``m / k``; the envelope only needs the maximum per *recall band*
    ``b = floor(100 m / npig)``, an aggregation with map-side combine, followed by a
@@ -35,6 +37,7 @@ Steps
 from __future__ import annotations
 
 from functools import partial
+from typing import Sequence
 
 import numpy as np
 import pandas as pd
@@ -89,17 +92,24 @@ def _truth_area(gt: DataFrame):
     return F.col("area") if "area" in gt.columns else area("")
 
 
-def _pair_iou(j: DataFrame) -> DataFrame:
+def _iou_of_pair():
+    """(intersection, IoU) of a detection and a truth (``g`` columns)."""
     inter = intersection("", "g")
     da, ga = area(""), area("g")
     uni = F.when(F.col("iscrowd") == 1, da).otherwise(da + ga - inter)
-    return (j.withColumn("inter", inter).where(F.col("inter") > 0)
-             .select("det_id", "ann_id", "image_id", "category_id", "iscrowd", "score", "gt_area",
-                     F.when(uni > 0, F.col("inter") / uni).otherwise(F.lit(0.0)).alias("iou")))
+    return inter, F.when(uni > 0, inter / uni).otherwise(F.lit(0.0))
+
+
+PAIR_COLS = ("det_id", "ann_id", "image_id", "category_id", "iscrowd", "score", "gt_area")
+
+
+def _pair_iou(j: DataFrame, keep=()) -> DataFrame:
+    inter, iou = _iou_of_pair()
+    return j.withColumn("inter", inter).where(F.col("inter") > 0).select(*PAIR_COLS, iou.alias("iou"), *keep)
 
 
 def iou_join(det: DataFrame, gt_xyxy: DataFrame, *, min_iou: float | None = None,
-             hot_truths: int | None = HOT_TRUTHS) -> DataFrame:
+             hot_truths: int | None = HOT_TRUTHS, keep: Sequence[str] | None = None) -> DataFrame:
     """Detection x truth pairs of the same image and category with ``inter > 0``
     (and ``iou >= min_iou`` when given).
 
@@ -107,29 +117,41 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame, *, min_iou: float | None = None
     pairs its non-crowd truths through the scale-bucketed grid
     (:mod:`boxwise.plans.spatial`) instead of with every detection of the key.
     Crowd truths keep the plain join, since their IoU uses the detection area.
+
+    With ``keep`` (columns of ``det`` to carry along) a detection that has no pair is a row too,
+    with ``iou`` -1 and zeros for the truth.
     """
     key = ["image_id", "category_id"]
+    more, outer = list(keep or ()), keep is not None
     g = gt_xyxy.select(F.col("id").alias("ann_id"), "image_id", "category_id",
                        *[F.col(c).alias(f"g{c}") for c in ("x1", "y1", "x2", "y2")], "iscrowd",
                        _truth_area(gt_xyxy).alias("gt_area"))
-    dsel = det.select("det_id", "image_id", "category_id", "x1", "y1", "x2", "y2", "score")
+    dsel = det.select("det_id", "image_id", "category_id", "x1", "y1", "x2", "y2", "score", *more)
 
-    def plain(dd, gg):
+    def plain(dd, gg, outer=False):
         # both sides grow with the data: always a merge join (a compressed-file
         # size estimate is no bound on the in-memory size of either side).  The key is the image,
         # by which they lie already, and the category a condition: as a second key it would
         # shuffle and sort both once more.  An image's truths are met by the best detections
         # of each of its categories, so by at most that many times more.
         gg = gg.withColumnsRenamed({"image_id": "gimage", "category_id": "gcategory"}).hint("merge")
-        same = F.col("category_id").between(F.col("gcategory"), F.col("gcategory"))
-        return _pair_iou(dd.join(gg, (F.col("image_id") == F.col("gimage")) & same))
+        on = (F.col("image_id") == F.col("gimage")) & F.col("category_id").between(F.col("gcategory"), F.col("gcategory"))
+        if not outer:
+            return _pair_iou(dd.join(gg, on), more)
+        inter, iou = _iou_of_pair()
+        on = on & (inter > 0) if min_iou is None else on & (inter > 0) & (iou >= min_iou)
+        j = dd.join(gg.withColumn("_met", F.lit(True)), on, "left")
+        return j.select(*[c if c not in NO_TRUTH else F.when(F.col("_met"), F.col(c)).otherwise(F.lit(NO_TRUTH[c])).alias(c)
+                          for c in PAIR_COLS], F.when(F.col("_met"), iou).otherwise(F.lit(-1.0)).alias("iou"), *more)
 
     if min_iou is None or hot_truths is None:
-        return plain(dsel, g)
+        return plain(dsel, g, outer)
     hot = g.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_truths).select(*key)
     hot = materialize(hot, "iou-hot")
     if hot.isEmpty():
-        return plain(dsel, g).where(F.col("iou") >= min_iou)
+        return plain(dsel, g, True) if outer else plain(dsel, g).where(F.col("iou") >= min_iou)
+    if outer:                                        # read by several joins, which must see the same ranks
+        dsel = materialize(dsel, "iou-dets")
     cold = plain(dsel.join(hot, key, "left_anti"), g.join(hot, key, "left_anti"))
     hd, hg = dsel.join(hot, key, "left_semi"), g.join(hot, key, "left_semi")
     crowd = plain(hd, hg.where(F.col("iscrowd") == 1))
@@ -138,113 +160,193 @@ def iou_join(det: DataFrame, gt_xyxy: DataFrame, *, min_iou: float | None = None
     cand = grid_pairs(hd.select(*key, "det_id", "x1", "y1", "x2", "y2"),
                       nc.select(*key, "ann_id", *[F.col(f"g{c}").alias(c) for c in ("x1", "y1", "x2", "y2")]),
                       keys=key, left_id="det_id", right_id="ann_id", thr=min_iou, cell=cell)
-    spatial = _pair_iou(cand.join(hd.hint("merge"), key + ["det_id"]).join(nc.hint("merge"), key + ["ann_id"]))
-    return cold.unionByName(crowd).unionByName(spatial).where(F.col("iou") >= min_iou)
+    spatial = _pair_iou(cand.join(hd.hint("merge"), key + ["det_id"]).join(nc.hint("merge"), key + ["ann_id"]), more)
+    pairs = cold.unionByName(crowd).unionByName(spatial).where(F.col("iou") >= min_iou)
+    if not outer:
+        return pairs
+    # one more row a detection: an IoU of -1 comes last and is no candidate
+    return pairs.unionByName(dsel.withColumns({c: F.lit(v) for c, v in NO_TRUTH.items()} | {"iou": F.lit(-1.0)})
+                             .select(*pairs.columns))
+
+
+NO_TRUTH = {"ann_id": 0, "iscrowd": 0, "gt_area": 0.0}
 
 
 KEY = ["image_id", "category_id"]
 
 
 def _groups(batches):
-    """Complete (image, category) groups out of sorted batches, as lists of columns."""
-    rest = None
-    for pdf in batches:
-        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-        im, ca = pdf["image_id"].to_numpy(), pdf["category_id"].to_numpy()
-        edges = [0, *(np.flatnonzero((im[1:] != im[:-1]) | (ca[1:] != ca[:-1])) + 1).tolist()]
-        rest = pdf.iloc[edges[-1]:]
-        cols = [pdf[c].tolist() for c in pdf.columns]
-        for a, b in zip(edges, edges[1:]):
-            yield [c[a:b] for c in cols]
-    if rest is not None and len(rest):
-        yield [rest[c].tolist() for c in rest.columns]
+    """Tables of complete (image, category) groups out of sorted batches, with where each group starts."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in KEY]
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = bool(held) and last != tuple(k[0] for k in keys)
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+        last, at = tuple(k[-1] for k in keys), np.flatnonzero(new)
+        if len(at):
+            held.append(batch.slice(0, at[-1]))
+            yield _started(held)
+            held = []
+        held.append(batch.slice(at[-1] if len(at) else 0))
+    if held:
+        yield _started(held)
+
+
+def _started(held: list) -> tuple[pa.Table, np.ndarray]:
+    t = pa.Table.from_batches(held).combine_chunks()
+    new = np.zeros(t.num_rows, bool)
+    new[:1] = True
+    for c in KEY:
+        k = t[c].to_numpy()
+        new[1:] |= k[1:] != k[:-1]
+    return t, new
 
 
 def _match_group(dets: list, thrs, lo: float, hi: float) -> list:
-    """(threshold index, detection index, truth, ignored) of one group and range.
-    ``dets``: per detection its candidates (iou, truth, crowd, area), best first."""
+    """(threshold index, detection index, row of the truth, ignored) of one group and range.
+    ``dets``: per detection its candidates (iou, truth, crowd, area, row), best first."""
     out = []
     for i, t in enumerate(thrs):
         taken = set()
         for k, cands in enumerate(dets):
             best = spare = None
-            for iou, ann, crowd, size in cands:
+            for iou, ann, crowd, size, row in cands:
                 if iou < t:
                     break
                 if not crowd and lo <= size <= hi:
                     if ann not in taken:
-                        best = ann
+                        best = ann, row
                         break
                 elif spare is None and (crowd or ann not in taken):
-                    spare = ann
-            if best is not None:
-                taken.add(best)
-                out.append((i, k, best, 0))
-            elif spare is not None:
-                taken.add(spare)
-                out.append((i, k, spare, 1))
+                    spare = ann, row
+            found = best or spare
+            if found is not None:
+                taken.add(found[0])
+                out.append((i, k, found[1], int(best is None)))
     return out
 
 
-def _walk(thrs, ranges, masks: bool, batches):
-    names = [f.name for f in (_mask_schema(ranges) if masks else MATCH_SCHEMA).fields]
-    rows = []
-    for im, ca, _, det, iou, ann, crowd, size in _groups(batches):
-        ids, dets = [], []
-        for d, *c in zip(det, iou, ann, crowd, size):
-            if not ids or ids[-1] != d:
-                ids.append(d)
+def _matched(t: pa.Table, new: np.ndarray, thrs, ranges):
+    """``starts, results``: the first row of each detection (rows of a group that follow one another with
+    one id; without an id each row is one) and by range (threshold index, detection, row of the truth, ignored)."""
+    ids = t["det_id"]
+    first = new.copy()
+    k = ids.fill_null(0).to_numpy()
+    first[1:] |= k[1:] != k[:-1]
+    if ids.null_count:
+        first |= ~ids.is_valid().to_numpy()
+    starts = np.flatnonzero(first)
+    iou = t["iou"].to_numpy()
+    cand = np.flatnonzero(iou >= min(thrs))          # best first: what a detection has stands at its start
+    ann = t["ann_id"].take(pa.array(cand)).to_pylist()
+    if None in ann:                                  # truths without an id are not told apart by it
+        ann = [object() if a is None else a for a in ann]
+    size = t["gt_area"].to_numpy()[cand]
+    inside = np.stack([(size >= lo) & (size <= hi) for _, lo, hi in ranges], 1) if len(cand) else None
+    group, det = (np.cumsum(new) - 1)[cand], (np.cumsum(first) - 1)[cand]
+    rows = list(zip(iou[cand].tolist(), ann, t["iscrowd"].to_numpy()[cand].tolist(), size.tolist(), cand.tolist()))
+    det = det.tolist()
+    results = [[] for _ in ranges]
+    edges = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(cand)] if len(cand) else []
+    for a, b in zip(edges, edges[1:]):
+        own, dets = [], []
+        for d, c in zip(det[a:b], rows[a:b]):
+            if not own or own[-1] != d:
+                own.append(d)
                 dets.append([])
             dets[-1].append(c)
         known = {}
-        result = []
-        for _, lo, hi in ranges:
-            inside = tuple(lo <= x <= hi for x in size)
-            if inside not in known:
-                known[inside] = _match_group(dets, thrs, lo, hi)
-            result.append(known[inside])
-        if masks:
-            bits = [[0] * (2 * len(ranges)) for _ in ids]
-            for r, found in enumerate(result):
-                for i, k, _, ignored in found:
-                    bits[k][2 * r + ignored] |= 1 << i
-            rows += [(im[0], ca[0], d, *b) for d, b in zip(ids, bits) if any(b)]
-        else:
-            rows += [(ids[k], thrs[i], truth, ignored) for i, k, truth, ignored in result[0]]
-        if len(rows) > 50_000:
-            yield pd.DataFrame(rows, columns=names)
-            rows = []
-    yield pd.DataFrame(rows, columns=names)
+        for r, (_, lo, hi) in enumerate(ranges):
+            of = inside[a:b, r].tobytes()
+            if of not in known:
+                known[of] = [(i, own[j], row, ignored) for i, j, row, ignored in _match_group(dets, thrs, lo, hi)]
+            results[r] += known[of]
+    return starts, results
 
 
 MATCH_SCHEMA = T.StructType([T.StructField("det_id", T.LongType()), T.StructField("iou_thr", T.DoubleType()),
                              T.StructField("ann_id", T.LongType()), T.StructField("crowd", T.IntegerType())])
 
 
-def _mask_schema(ranges) -> T.StructType:
-    return T.StructType([*[T.StructField(c, T.LongType()) for c in (*KEY, "det_id")],
-                         *[T.StructField(f"{kind}_{name}", T.IntegerType()) for name, _, _ in ranges
-                           for kind in ("tp", "ig")]])
+def _match_rows(thrs, batches):
+    for t, new in _groups(batches):
+        starts, (found,) = _matched(t, new, thrs, AREA_RANGES[:1])
+        i, k, row, ignored = (np.array(c, np.int64) for c in (zip(*found) if found else ([],) * 4))
+        yield from pa.table([t["det_id"].take(pa.array(starts[k])), pa.array(np.array(thrs, float)[i]), t["ann_id"].take(pa.array(row)),
+                             pa.array(ignored.astype(np.int32))], names=[f.name for f in MATCH_SCHEMA.fields]).to_batches(50_000)
+
 
+def _mask_names(ranges) -> list[str]:
+    return [f"{kind}_{name}" for name, _, _ in ranges for kind in ("tp", "ig")]
 
-def _walked(pairs: DataFrame, thrs, ranges, masks: bool) -> DataFrame:
+
+def _mask_rows(thrs, ranges, keep, batches):
+    for t, new in _groups(batches):
+        starts, results = _matched(t, new, thrs, ranges)
+        bits = np.zeros((2 * len(ranges), len(starts) + 1), np.int32)   # the last one: nothing matched
+        for r, found in enumerate(results):
+            for i, k, _, ignored in found:
+                bits[2 * r + ignored, k] |= 1 << i
+        if keep:
+            rows, of = _own_rows(t, new, starts, bits)
+        else:
+            of = np.flatnonzero(bits.any(0))
+            rows = starts[of]
+        own = t.select([*KEY, "det_id", *keep]).take(pa.array(rows))
+        yield from pa.table([*own.columns, *[pa.array(b[of]) for b in bits]], names=[*own.column_names, *_mask_names(ranges)]).to_batches(50_000)
+
+
+def _own_rows(t: pa.Table, new: np.ndarray, starts: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place in ``bits``) for every detection of the table, told apart by ``rk``: each has the masks of
+    its id in its group, as a join on it gives them, where an id repeats or is missing too."""
+    rk, ids = t["rk"].to_numpy(), t["det_id"]
+    first = np.zeros(t.num_rows, bool)
+    first[starts] = True
+    group = np.cumsum(new) - 1
+    lone = not ids.null_count and not (~first[1:] & (rk[1:] != rk[:-1])).any()
+    if lone and not pd.DataFrame({"g": group[starts], "d": ids.to_numpy()[starts]}).duplicated().any():
+        return starts, np.arange(len(starts))
+    ids, hit, masks, seen, rows, of = ids.to_pylist(), bits.any(0), {}, set(), [], []
+    for k, at in enumerate(starts.tolist()):
+        if hit[k] and ids[at] is not None:
+            masks.setdefault((group[at], ids[at]), []).append(k)
+    for at, key in enumerate(zip(group.tolist(), rk.tolist())):
+        if key not in seen:
+            seen.add(key)
+            for k in masks.get((key[0], ids[at]), [len(starts)]):
+                rows.append(at)
+                of.append(k)
+    return np.array(rows, np.int64), np.array(of, np.int64)
+
+
+def _walked(pairs: DataFrame, run, schema, keep=()) -> DataFrame:
     ship_package(pairs.sparkSession)
-    p = pairs.select(*KEY, (-F.col("score")).alias("ns"), "det_id", "iou", "ann_id", "iscrowd", "gt_area")
-    p = p.repartition(*KEY).sortWithinPartitions(*KEY, "ns", "det_id", F.desc("iou"), F.desc("ann_id"))
-    return p.mapInPandas(partial(_walk, tuple(thrs), tuple(ranges), masks), _mask_schema(ranges) if masks else MATCH_SCHEMA)
+    p = pairs.withColumn("ns", -F.col("score")).select(*KEY, "ns", "det_id", "iou", "ann_id", "iscrowd", "gt_area", *keep)
+    # the window asks that a task has a group's rows: pairs that lie by image stay, others are dealt by key
+    order = ["ns", "det_id", F.desc("iou"), F.desc("ann_id")]
+    p = p.withColumn("_n", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))).sortWithinPartitions(*KEY, *order)
+    return p.mapInArrow(run, schema)
 
 
 def match(pairs: DataFrame, thrs=IOU_THRS) -> DataFrame:
     """Greedy matching; returns ``det_id, iou_thr, ann_id, crowd`` for every
     detection that matched something (``crowd = 1``: ignored detection)."""
-    return _walked(pairs, thrs, AREA_RANGES[:1], False)
+    return _walked(pairs, partial(_match_rows, tuple(thrs)), MATCH_SCHEMA)
 
 
-def match_masks(pairs: DataFrame, thrs=IOU_THRS, ranges=AREA_RANGES) -> DataFrame:
+def match_masks(pairs: DataFrame, thrs=IOU_THRS, ranges=AREA_RANGES, *, keep: Sequence[str] = ()) -> DataFrame:
     """The same matching for every area range, one row per matched detection:
     ``tp_<range>`` and ``ig_<range>`` have bit ``i`` set where the detection is a
-    true positive, or ignored, at the i-th threshold."""
-    return _walked(pairs, thrs, ranges, True)
+    true positive, or ignored, at the i-th threshold.  With ``keep`` (columns of the pairs, ``rk``
+    among them) every detection of the pairs has a row, with these columns, matched or not."""
+    kept = [T.StructField(c, pairs.schema[c].dataType) for c in keep]
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in (*KEY, "det_id")], *kept,
+                           *[T.StructField(c, T.IntegerType()) for c in _mask_names(ranges)]])
+    return _walked(pairs, partial(_mask_rows, tuple(thrs), tuple(ranges), tuple(keep)), schema, keep)
 
 
 def npig(gt: DataFrame, ranges=AREA_RANGES) -> DataFrame:
@@ -255,13 +357,42 @@ def npig(gt: DataFrame, ranges=AREA_RANGES) -> DataFrame:
     return g.groupBy("area", "category_id").agg(F.count(F.lit(1)).alias("npig"))
 
 
+def _packed(n_thrs: int, ranges) -> list:
+    """``c0, c1, ...``: whether the area is in each range and the range's two masks, packed in as few longs as hold
+    them.  A detection whose area is not known lies in every range."""
+    width = 2 * n_thrs + 1
+    each, out = 63 // width, []
+    for at in range(0, len(ranges), each):
+        code = F.lit(0).cast("bigint")
+        for k, (name, lo, hi) in enumerate(ranges[at:at + each]):
+            inside = F.coalesce(F.col("size").between(lo, hi), F.lit(True)).cast("bigint")
+            tp, ig = (F.col(f"{kind}_{name}").cast("bigint") for kind in ("tp", "ig"))
+            code = code.bitwiseOR(F.shiftleft(inside.bitwiseOR(F.shiftleft(tp, 1)).bitwiseOR(F.shiftleft(ig, 1 + n_thrs)), k * width))
+        out.append(code.alias(f"c{len(out)}"))
+    return out
+
+
+def _states(n_thrs: int, ranges, rows: pa.RecordBatch):
+    """By range: whether the area lies in it, and the masks; packed (:func:`_packed`) or as columns."""
+    if "c0" not in rows.schema.names:
+        size = rows.column("size").to_numpy()
+        for name, lo, hi in ranges:
+            yield ((size >= lo) & (size <= hi)).astype(np.int64), *(
+                rows.column(f"{kind}_{name}").to_numpy().astype(np.int64) for kind in ("tp", "ig"))
+        return
+    width, ones = 2 * n_thrs + 1, (1 << n_thrs) - 1
+    each = 63 // width
+    for r in range(len(ranges)):
+        code = rows.column(f"c{r // each}").to_numpy() >> (r % each * width)
+        yield code & 1, (code >> 1) & ones, (code >> (1 + n_thrs)) & ones
+
+
 def _counters(n_thrs: int, ranges, rows: pa.RecordBatch) -> np.ndarray:
     """Per detection and range: counts by its area, then by threshold true positive
     and correction of the count of detections.  A counter's values lie side by side."""
-    size, bits, out = rows.column("size").to_numpy(), np.arange(n_thrs)[:, None], []
-    for name, lo, hi in ranges:
-        inside = ((size >= lo) & (size <= hi)).astype(np.int64)
-        tp, ig = ((rows.column(f"{kind}_{name}").to_numpy().astype(np.int64) >> bits) & 1 for kind in ("tp", "ig"))
+    bits, out = np.arange(n_thrs)[:, None], []
+    for inside, tp, ig in _states(n_thrs, ranges, rows):
+        tp, ig = (tp >> bits) & 1, (ig >> bits) & 1
         out += [inside[None], tp, tp * (1 - inside) - ig * inside]
     return np.concatenate(out).T
 
@@ -300,9 +431,12 @@ class _Bands:
             names=["area", "category_id", "iou_thr", "b", "mp"])
 
 
-def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_THRS, ranges=AREA_RANGES) -> DataFrame:
+def pr_curve(det_top: DataFrame, masks: DataFrame | None, n_pos: DataFrame, thrs=IOU_THRS, ranges=AREA_RANGES) -> DataFrame:
     """``area, category_id, iou_thr, recall_idx (0..100), precision`` (101-point curve).
 
+    ``det_top`` are boxes, joined to their ``masks``, or detections that carry their ``size`` and masks
+    (:func:`evaluate_inputs`), which nothing need be joined to.
+
     At a true positive, ``m`` is the running count of true positives and ``k`` that
     of all detections that count: those whose area is in the range, less ignored
     ones among them, plus true positives outside it.  Detections are range-partitioned
@@ -312,16 +446,20 @@ def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_TH
     """
     ship_package(det_top.sparkSession)
     order = [F.col("score").desc(), F.col("image_id"), F.col("det_id")]
-    names = [f"{kind}_{name}" for name, _, _ in ranges for kind in ("tp", "ig")]
-    d = det_top.select(*KEY, "det_id", "score", area("").alias("size")).join(masks.hint("merge"), [*KEY, "det_id"], "left")
-    d = d.select(*KEY, "det_id", "score", "size", *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
-    seg = segmented(d, order, group=["category_id"]).select("_pid", "_i", "category_id", "size", *names)
-    before = totals_before(seg, "category_id", partial(_counters, len(thrs), tuple(ranges)), ["size", *names])
+    n, names, d = partitions_for(det_top.sparkSession, det_top.count()), _mask_names(ranges), det_top
+    if names[0] not in d.columns:
+        d = d.select(*KEY, "det_id", "score", area("").alias("size")).join(masks.hint("merge"), [*KEY, "det_id"], "left")
+        d = d.select(*KEY, "det_id", "score", "size", *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
+    # the order's columns and a few longs are all that is sorted, the longs all that is stored
+    d = d.select(*KEY, "det_id", "score", *_packed(len(thrs), ranges))
+    codes = [c for c in d.columns if c not in (*KEY, "det_id", "score")]
+    seg = segmented(d, order, group=["category_id"], partitions=n, keep=["category_id", *codes])
+    before = totals_before(seg, "category_id", partial(_counters, len(thrs), tuple(ranges)), codes)
     wide = n_pos.groupBy("category_id").agg(F.array(*[
         F.coalesce(F.max(F.when(F.col("area") == name, F.col("npig"))), F.lit(0)) for name, _, _ in ranges]).alias("npig"))
-    parts = replayed(seg, before.join(wide, "category_id"), "category_id", ["size", *names],
+    parts = replayed(seg, before.join(wide, "category_id"), "category_id", codes,
                      partial(_Bands, tuple(thrs), tuple(ranges)), _Bands.step, _Bands.rows,
-                     "area string, category_id bigint, iou_thr double, b int, mp double")
+                     "area string, category_id bigint, iou_thr double, b int, mp double", partitions=n)
     key = ["area", "category_id", "iou_thr"]
     bands = parts.groupBy(*key, "b").agg(F.max("mp").alias("mp"))
     w_suffix = Window.partitionBy(*key).orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)
@@ -344,13 +482,15 @@ def pr_curve(det_top: DataFrame, masks: DataFrame, n_pos: DataFrame, thrs=IOU_TH
 def evaluate_inputs(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categories: DataFrame, *,
                     max_det: int = 100, thrs=IOU_THRS, ranges=AREA_RANGES):
     """``(detections, truths, match masks)``.  The evaluated detections (best
-    ``max_det`` per image and category) and the masks are written as Parquet to the
-    shared checkpoint folder.  ``coco_ap`` and ``coco_ar`` both take the triple as
-    ``evaluated``, so one matching serves both."""
+    ``max_det`` per image and category) are matched where they lie by image and written once, as Parquet
+    in the shared checkpoint folder: ``image_id, category_id, det_id, score, rk, size`` (the box's area) and
+    the masks.  The third is a view of the matched ones.  ``coco_ap`` and ``coco_ar`` both take the
+    triple as ``evaluated``, so one matching serves both."""
     d, g = eval_sets(det, gt_xyxy, images, categories, max_det=max_det)
-    d = materialize(d, "eval-dets")
-    pairs = iou_join(d, g, min_iou=min(thrs))
-    return d, g, materialize(match_masks(pairs, thrs, ranges), "eval-masks")
+    pairs = iou_join(d.withColumn("size", area("")), g, min_iou=min(thrs), keep=["rk", "size"])
+    d = materialize(match_masks(pairs, thrs, ranges, keep=["score", "rk", "size"]), "eval-dets")
+    names = _mask_names(ranges)
+    return d, g, d.select(*KEY, "det_id", *names).where(" OR ".join(f"`{c}` <> 0" for c in names))
 
 
 def coco_ap(det: DataFrame = None, gt_xyxy: DataFrame = None, images: DataFrame = None, categories: DataFrame = None, *,
@@ -387,7 +527,7 @@ def coco_ar(det: DataFrame = None, gt_xyxy: DataFrame = None, images: DataFrame
     detections, so one matching at the largest limit serves every limit.
     """
     d, g, m = evaluated or evaluate_inputs(det, gt_xyxy, images, categories, max_det=max(max_dets), thrs=thrs, ranges=ranges)
-    hits = m.join(d.select(*KEY, "det_id", "rk").hint("merge"), [*KEY, "det_id"])
+    hits = d if set(_mask_names(ranges)) <= set(d.columns) else m.join(d.select(*KEY, "det_id", "rk").hint("merge"), [*KEY, "det_id"])
     wanted = [(ranges[0][0], n) for n in max_dets] + [(name, max(max_dets)) for name, _, _ in ranges[1:]]
     # true positives of all thresholds together: the mean over thresholds needs their sum only
     counts = [F.sum(F.when(F.col("rk") <= n, F.bit_count(F.col(f"tp_{name}"))).otherwise(0)).alias(f"n{i}")

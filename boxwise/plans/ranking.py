@@ -49,9 +49,10 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def segmented(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+def segmented(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), partitions: int | None = None,
+              keep: Sequence[str] | None = None) -> DataFrame:
     """The rows in total order, written once: ``_pid`` numbers the range partition,
-    ``_i`` the row inside it."""
+    ``_i`` the row inside it.  ``keep`` names the columns to write, where the order's are not needed."""
     n = partitions or default_parallelism(df.sparkSession)
     keys = [F.col(g) for g in group] + [_col(o) for o in order]
     r = (df.repartitionByRange(n, *keys)
@@ -60,6 +61,8 @@ def segmented(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), part
     r = (r.withColumn("_pid", F.shiftright("_mid", 33))
           .withColumn("_i", F.col("_mid").bitwiseAND(F.lit(_LOW)))
           .drop("_mid"))
+    if keep is not None:
+        r = r.select("_pid", "_i", *keep)
     r = materialize(r, "ranked")
     return r
 

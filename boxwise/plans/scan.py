@@ -73,18 +73,20 @@ def totals_before(segments: DataFrame, group: str, counters: Callable[[pa.Record
 
 
 def replayed(segments: DataFrame, heads: DataFrame, group: str, columns: Sequence[str], begin: Callable, step: Callable,
-             end: Callable, schema: str) -> DataFrame:
+             end: Callable, schema: str, *, partitions: int | None = None) -> DataFrame:
     """Rows of the segments in order, segment by segment: ``begin(head)`` makes a segment's
     state from its row of ``heads`` (``_pid, group`` and more, as a dict), ``step(state, rows)`` takes its
     rows batch by batch, ``end(state)`` gives the columns of its result.  Segments without a
-    head are passed over."""
+    head are passed over.  ``partitions``: the range partitions of ``segments``, each of which one
+    task then takes (else as many as the session has, by hash)."""
     # as text: a column of arrays that are null in nearly every row is slow to transfer
     head = F.to_json(F.struct(*[c for c in heads.columns if c not in ("_pid", group)])).alias("_head")
     rows = segments.select("_pid", group, F.col("_i"), *columns)
     marked = heads.select("_pid", group, F.lit(-1).cast("bigint").alias("_i"), head)
     both = rows.unionByName(marked, allowMissingColumns=True)
     # a segment is at most one range partition, and its head sorts before its rows
-    ordered = both.repartition("_pid", group).sortWithinPartitions("_pid", group, "_i")
+    dealt = both.repartitionById(partitions, F.col("_pid").cast("int")) if partitions else both.repartition("_pid", group)
+    ordered = dealt.sortWithinPartitions("_pid", group, "_i")
 
     def task(batches):
         now, state = None, None

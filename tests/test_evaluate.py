@@ -100,3 +100,59 @@ def test_hot_keys_take_the_spatial_grid(spark, sf):
     plain = {tuple(r) for r in ev.iou_join(d, g).where("iou >= 0.5").select(*cols).collect()}
     grid = {tuple(r) for r in ev.iou_join(d, g, min_iou=0.5, hot_truths=0).select(*cols).collect()}
     assert grid == plain and len(plain) > 1000
+
+
+def test_masks_come_with_the_detections(spark):
+    """Every detection is walked and stored once with its masks: the rows that joining them back by id gives,
+    with ids that repeat or are missing, and through the grid too.  No pair is dealt by (image, category)."""
+    import random
+    r = random.Random(5)
+    gt, det = [], []
+    for i in range(300):
+        x, y, w, h = r.uniform(0, 60), r.uniform(0, 60), r.choice([5, 20, 120]), r.choice([5, 20, 120])
+        gt.append((i, r.randrange(6), r.randrange(3), x, y, x + w, y + h, int(r.random() < .1)))
+        for k in range(r.randrange(4)):
+            a, b = r.uniform(-3, 3), r.uniform(-3, 3)
+            det.append((None if r.random() < .05 else (10 * i + k) // 2, *gt[-1][1:3], x + a, y + b, x + w + a, y + h + b, r.choice([.1, .2, .3])))
+    det += det[::9] + [(5000 + i, i % 8, i % 4, 1e4, 1e4, 1e4 + 5, 1e4 + 5, r.random()) for i in range(40)]
+    corners = "long, image_id long, category_id long, x1 double, y1 double, x2 double, y2 double, "
+    gt = spark.createDataFrame(gt, f"id {corners} iscrowd int")
+    apart = spark.createDataFrame([(i, *x[1:]) for i, x in enumerate(det)], f"det_id {corners} score double")
+    det = spark.createDataFrame(det, f"det_id {corners} score double")
+    im, ca = spark.range(6), spark.range(3)
+    d, g = ev.eval_sets(det, gt, im, ca)
+    pairs = ev.iou_join(d, g, min_iou=0.5)
+    names = ev._mask_names(ev.AREA_RANGES)
+    want = d.withColumn("size", ev.area("")).join(ev.match_masks(pairs), [*ev.KEY, "det_id"], "left") \
+        .select(*ev.KEY, "det_id", "score", "size", *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
+    got, _, m = ev.evaluate_inputs(det, gt, im, ca)
+    as_rows = lambda f: sorted((tuple(x) for x in f.select(*want.columns).collect()), key=str)
+    assert as_rows(got) == as_rows(want) and 0 < m.count() < got.count()
+    sized = ev.eval_sets(apart, gt, im, ca)[0].withColumn("size", ev.area(""))
+    plan, grid = (ev.match_masks(ev.iou_join(sized, g, min_iou=0.5, hot_truths=n, keep=["rk", "size"]), keep=["score", "rk", "size"])
+                  for n in (10_000, 12))
+    assert as_rows(grid) == as_rows(plan)
+    shuffles = [line for line in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in line]
+    assert shuffles and not any(", category_id#" in line for line in shuffles)
+
+
+def test_curve_stores_a_few_longs_a_detection(spark, sf, monkeypatch):
+    """Sorted and stored for the curve: no mask column, no box, no id."""
+    kept = []
+    monkeypatch.setattr(ev, "segmented", lambda *a, **kw: kept.append(plain(*a, **kw)) or kept[-1])
+    from boxwise.plans.ranking import segmented as plain
+    d, g, m = ev.evaluate_inputs(fx.detections(spark, sf), fx.as_xyxy(fx.annotations(spark, sf)), fx.images(spark, sf), fx.categories(spark, sf))
+    curve = ev.pr_curve(d, m, ev.npig(g))
+    assert kept[0].columns == ["_pid", "_i", "category_id", "c0", "c1"] and kept[0].count() == d.count()
+    boxes = ev.eval_sets(fx.detections(spark, sf), g, fx.images(spark, sf), fx.categories(spark, sf))[0]
+    joined = ev.pr_curve(boxes, m, ev.npig(g))                # boxes and masks apart: the same curve
+    assert curve.exceptAll(joined).isEmpty() and joined.exceptAll(curve).isEmpty() and curve.count() > 0
+
+
+def test_unknown_area_counts_in_every_range(spark):
+    """A detection without a full box is a false positive of every range, as in the SQL."""
+    corners = "long, image_id long, category_id long, x1 double, y1 double, x2 double, y2 double, "
+    gt = spark.createDataFrame([(1, 0, 0, 0.0, 0.0, 10.0, 10.0, 0)], f"id {corners} iscrowd int")
+    det = spark.createDataFrame([(1, 0, 0, 0.0, 0.0, 10.0, 10.0, 0.5), (2, 0, 0, 0.0, 0.0, None, 5.0, 0.9)], f"det_id {corners} score double")
+    d, g, m = ev.evaluate_inputs(det, gt, spark.range(1), spark.range(1))
+    assert {(r.area, r.precision) for r in ev.pr_curve(d, m, ev.npig(g)).collect()} == {("all", 0.5), ("small", 0.5)}
