@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from boxwise.session import default_parallelism, partitions_for, scratch_path, shuffles_dropped
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -23,7 +25,6 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     """Derive a stand-in view once per application and table directory, write
     it as Parquet under the shared checkpoint folder and read it from there
     (the "convert once, then work from Parquet" rule for derived inputs)."""
-    from boxwise.session import scratch_path, shuffles_dropped
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     path = _MATERIALIZED.get(key)
     if path is None:
@@ -63,10 +64,14 @@ def build_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``(l_orderkey, l_linenumber)`` is not unique, so the id uses a row number
     inside the order; the window is partitioned by order key (at most a few
-    dozen lines each), so it never gathers a large group.  Lines of every 50th
+    dozen lines each), so it never gathers a large group.  A table too large for the session's
+    shuffle partitions is dealt into more, so that no sort outgrows its task.  Lines of every 50th
     order point to an image that does not exist, and one category in 26 is unknown.
     """
     li = table(spark, sf_dir, "lineitem")
+    n = partitions_for(spark, li.count())
+    if n > default_parallelism(spark):
+        li = li.repartition(n, "l_orderkey")
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     pk = F.col("l_partkey")
@@ -104,7 +109,8 @@ def detections_from(ann: DataFrame) -> DataFrame:
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialized(spark, sf_dir, "detections", lambda: detections_from(annotations(spark, sf_dir)))
+    """The copies are made where the stored annotations are read, not stored once more."""
+    return detections_from(annotations(spark, sf_dir))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -453,7 +453,7 @@ def pr_curve(det_top: DataFrame, masks: DataFrame | None, n_pos: DataFrame, thrs
     # the order's columns and a few longs are all that is sorted, the longs all that is stored
     d = d.select(*KEY, "det_id", "score", *_packed(len(thrs), ranges))
     codes = [c for c in d.columns if c not in (*KEY, "det_id", "score")]
-    seg = segmented(d, order, group=["category_id"], partitions=n, keep=["category_id", *codes])
+    seg = segmented(d, order, group=["category_id"], partitions=n, keep=["category_id", *codes], codec="zstd")
     before = totals_before(seg, "category_id", partial(_counters, len(thrs), tuple(ranges)), codes)
     wide = n_pos.groupBy("category_id").agg(F.array(*[
         F.coalesce(F.max(F.when(F.col("area") == name, F.col("npig"))), F.lit(0)) for name, _, _ in ranges]).alias("npig"))
@@ -488,7 +488,7 @@ def evaluate_inputs(det: DataFrame, gt_xyxy: DataFrame, images: DataFrame, categ
     triple as ``evaluated``, so one matching serves both."""
     d, g = eval_sets(det, gt_xyxy, images, categories, max_det=max_det)
     pairs = iou_join(d.withColumn("size", area("")), g, min_iou=min(thrs), keep=["rk", "size"])
-    d = materialize(match_masks(pairs, thrs, ranges, keep=["score", "rk", "size"]), "eval-dets")
+    d = materialize(match_masks(pairs, thrs, ranges, keep=["score", "rk", "size"]), "eval-dets", "zstd")
     names = _mask_names(ranges)
     return d, g, d.select(*KEY, "det_id", *names).where(" OR ".join(f"`{c}` <> 0" for c in names))
 

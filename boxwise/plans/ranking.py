@@ -50,7 +50,7 @@ def _col(c) -> Column:
 
 
 def segmented(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), partitions: int | None = None,
-              keep: Sequence[str] | None = None) -> DataFrame:
+              keep: Sequence[str] | None = None, codec: str | None = None) -> DataFrame:
     """The rows in total order, written once: ``_pid`` numbers the range partition,
     ``_i`` the row inside it.  ``keep`` names the columns to write, where the order's are not needed."""
     n = partitions or default_parallelism(df.sparkSession)
@@ -63,7 +63,7 @@ def segmented(df: DataFrame, order: Sequence, *, group: Sequence[str] = (), part
           .drop("_mid"))
     if keep is not None:
         r = r.select("_pid", "_i", *keep)
-    r = materialize(r, "ranked")
+    r = materialize(r, "ranked", codec)
     return r
 
 

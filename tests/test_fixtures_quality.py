@@ -95,3 +95,22 @@ def test_path_join_rule():
     assert join_literal("/data/coco/", "train2017") == "/data/coco/train2017"
     assert join_literal("/data/coco", "/abs/x") == "/abs/x"
     assert join_literal("", "a", "", "b") == "a/b"
+
+
+def test_detections_are_not_stored_again(spark, sf):
+    """The copies are made from the stored annotations; only these are on disk."""
+    from boxwise.session import checkpoint_root, local_path
+    got = fx.detections(spark, sf)
+    assert got.count() == 2 * fx.annotations(spark, sf).count()
+    assert not any(key[2] == "detections" for key in fx._MATERIALIZED)
+    import os
+    assert not [f for f in os.listdir(local_path(checkpoint_root(spark))) if f.startswith("view-detections")]
+
+
+def test_lines_are_dealt_into_partitions_of_bounded_size(spark, sf, monkeypatch):
+    from boxwise import session
+    few = fx.build_annotations(spark, sf)
+    monkeypatch.setattr(session.partitions_for, "__defaults__", (100,))
+    many = fx.build_annotations(spark, sf)
+    assert many.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+    assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
