@@ -36,6 +36,7 @@ Steps
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from functools import partial
 from typing import Sequence
 
@@ -207,10 +208,15 @@ def _started(held: list) -> tuple[pa.Table, np.ndarray]:
 
 
 def _match_group(dets: list, thrs, lo: float, hi: float) -> list:
-    """(threshold index, detection index, row of the truth, ignored) of one group and range.
-    ``dets``: per detection its candidates (iou, truth, crowd, area, row), best first."""
-    out = []
+    """(bits of the thresholds, detection index, row of the truth, ignored) of one group and range.
+    ``dets``: per detection its candidates (iou, truth, crowd, area, row), best first.  Thresholds
+    that the same candidates reach give the same matching, so they are walked together."""
+    ious, alike, out = sorted([c[0] for cands in dets for c in cands]), {}, []
     for i, t in enumerate(thrs):
+        below = bisect_left(ious, t)
+        if below < len(ious):
+            alike.setdefault(below, [t, 0])[1] |= 1 << i
+    for t, bits in alike.values():
         taken = set()
         for k, cands in enumerate(dets):
             best = spare = None
@@ -226,13 +232,13 @@ def _match_group(dets: list, thrs, lo: float, hi: float) -> list:
             found = best or spare
             if found is not None:
                 taken.add(found[0])
-                out.append((i, k, found[1], int(best is None)))
+                out.append((bits, k, found[1], int(best is None)))
     return out
 
 
 def _matched(t: pa.Table, new: np.ndarray, thrs, ranges):
     """``starts, results``: the first row of each detection (rows of a group that follow one another with
-    one id; without an id each row is one) and by range (threshold index, detection, row of the truth, ignored)."""
+    one id; without an id each row is one) and by range (bits of the thresholds, detection, row of the truth, ignored)."""
     ids = t["det_id"]
     first = new.copy()
     k = ids.fill_null(0).to_numpy()
@@ -263,7 +269,7 @@ def _matched(t: pa.Table, new: np.ndarray, thrs, ranges):
         for r, (_, lo, hi) in enumerate(ranges):
             of = inside[a:b, r].tobytes()
             if of not in known:
-                known[of] = [(i, own[j], row, ignored) for i, j, row, ignored in _match_group(dets, thrs, lo, hi)]
+                known[of] = [(bits, own[j], row, ignored) for bits, j, row, ignored in _match_group(dets, thrs, lo, hi)]
             results[r] += known[of]
     return starts, results
 
@@ -275,9 +281,10 @@ MATCH_SCHEMA = T.StructType([T.StructField("det_id", T.LongType()), T.StructFiel
 def _match_rows(thrs, batches):
     for t, new in _groups(batches):
         starts, (found,) = _matched(t, new, thrs, AREA_RANGES[:1])
-        i, k, row, ignored = (np.array(c, np.int64) for c in (zip(*found) if found else ([],) * 4))
-        yield from pa.table([t["det_id"].take(pa.array(starts[k])), pa.array(np.array(thrs, float)[i]), t["ann_id"].take(pa.array(row)),
-                             pa.array(ignored.astype(np.int32))], names=[f.name for f in MATCH_SCHEMA.fields]).to_batches(50_000)
+        bits, k, row, ignored = np.array(found, np.int64).reshape(-1, 4).T
+        at, i = np.nonzero((bits[:, None] >> np.arange(len(thrs))) & 1)
+        yield from pa.table([t["det_id"].take(pa.array(starts[k[at]])), pa.array(np.array(thrs, float)[i]), t["ann_id"].take(pa.array(row[at])),
+                             pa.array(ignored[at].astype(np.int32))], names=[f.name for f in MATCH_SCHEMA.fields]).to_batches(50_000)
 
 
 def _mask_names(ranges) -> list[str]:
@@ -289,8 +296,8 @@ def _mask_rows(thrs, ranges, keep, batches):
         starts, results = _matched(t, new, thrs, ranges)
         bits = np.zeros((2 * len(ranges), len(starts) + 1), np.int32)   # the last one: nothing matched
         for r, found in enumerate(results):
-            for i, k, _, ignored in found:
-                bits[2 * r + ignored, k] |= 1 << i
+            of, k, _, ignored = np.array(found, np.int64).reshape(-1, 4).T
+            np.add.at(bits, (2 * r + ignored, k), of.astype(np.int32))   # a threshold comes once a detection
         if keep:
             rows, of = _own_rows(t, new, starts, bits)
         else:
